@@ -13,9 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def stable_hash(id_col: str, seed) -> Column:
-    """Hex md5 of ``seed:id``; identical in Spark and DuckDB."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+def stable_hash(id_col, seed) -> Column:
+    """Hex md5 of ``seed:id`` (several id columns are joined by ``:``); identical in Spark and DuckDB."""
+    if isinstance(id_col, (list, tuple)):
+        key = F.concat_ws(":", *[F.col(c).cast("string") for c in id_col])
+    else:
+        key = F.col(id_col).cast("string")
+    return F.md5(F.concat(F.lit(f"{seed}:"), key))
 
 
 def fraction_threshold(fraction: float) -> str:

@@ -1,7 +1,7 @@
 """Query plans over the shared test tables: domain views, and the registry of queries with
 their DuckDB oracles."""
 
-from . import q_fraud, q_forecast  # noqa: F401  (register queries)
+from . import q_forecast, q_fraud, q_recsys  # noqa: F401  (register queries)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

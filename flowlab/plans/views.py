@@ -83,7 +83,7 @@ SQL_VIEWS = {
                c_custkey AS cc_num, o_orderpriority AS merchant, c_mktsegment AS category,
                o_totalprice / 500 AS amt, c_name AS "first", n_name AS state,
                CAST(c_nationkey AS BIGINT) AS zip, c_acctbal AS lat,
-               CAST(epoch(o_orderdate) AS BIGINT) AS unix_time,
+               CAST(floor(epoch(o_orderdate)) AS BIGINT) AS unix_time,
                CAST(o_orderkey AS VARCHAR) AS trans_num,
                CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS is_fraud
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
@@ -92,7 +92,7 @@ SQL_VIEWS = {
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "ratings": """
         SELECT o_custkey AS userId, l_partkey AS movieId, l_quantity / 10 AS rating,
-               CAST(epoch(o_orderdate) AS BIGINT) AS "timestamp", o_orderpriority AS context
+               CAST(floor(epoch(o_orderdate)) AS BIGINT) AS "timestamp", o_orderpriority AS context
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "items": """
         SELECT p_partkey AS movieId, p_name || ' (' || CAST(p_size + 1970 AS VARCHAR) || ')' AS title,
