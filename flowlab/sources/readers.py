@@ -89,9 +89,9 @@ def read_recommendations(spark: SparkSession, path) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).json(path)
 
 
-def read_json_docs(spark: SparkSession, path, schema=None) -> DataFrame:
-    """SRC8. One JSON document per file (multi-line), with a schema when known."""
-    r = spark.read.option("multiLine", True)
+def read_json_docs(spark: SparkSession, path, schema=None, multiline: bool = True) -> DataFrame:
+    """SRC8. One JSON document per file (multi-line), or one per line, with a schema when known."""
+    r = spark.read.option("multiLine", multiline)
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
