@@ -17,7 +17,7 @@ def train_labels(vectors: DataFrame, vec_col: str = "embedding", label_col: str
 
 
 def detect_labels(model: DataFrame, vectors: DataFrame, min_confidence: float = 60.0, id_col: str = "vec_id",
-                  vec_col: str = "embedding", label_col: str = "label", temperature: float = 1.0) -> DataFrame:
+                  vec_col: str = "embedding", label_col: str = "label", temperature: float = 0.01) -> DataFrame:
     """IMG2. Ranked labels per vector: confidence = 100 x softmax(-distance / temperature)
     over the labels; labels under ``min_confidence`` are not reported (a vector may get none).
 

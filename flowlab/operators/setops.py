@@ -21,9 +21,15 @@ def sql_query(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame
 
 
 def split_statements(text: str) -> list[str]:
-    """Split a script on ``;`` outside single-quoted literals; trim; drop empty parts."""
-    out, cur, quoted = [], [], False
-    for ch in text:
+    """Split a script on ``;`` outside single-quoted literals, dropping ``--`` line comments;
+    trim; drop empty parts."""
+    out, cur, quoted, i = [], [], False, 0
+    while i < len(text):
+        ch = text[i]
+        if not quoted and text.startswith("--", i):
+            j = text.find("\n", i)
+            i = len(text) if j < 0 else j
+            continue
         if ch == "'":
             quoted = not quoted
         if ch == ";" and not quoted:
@@ -31,6 +37,7 @@ def split_statements(text: str) -> list[str]:
             cur = []
         else:
             cur.append(ch)
+        i += 1
     out.append("".join(cur))
     return [s.strip() for s in out if s.strip()]
 
