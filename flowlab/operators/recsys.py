@@ -125,7 +125,8 @@ def recommend_popular(interactions: DataFrame, users: DataFrame, k: int = DEFAUL
     """REC10 as a recommender: the k most popular items for every requested user. The k
     items (bounded by ``k``) are fetched once and attached to each user as a literal list."""
     pop = popularity_count(interactions, item).orderBy(F.col("score").desc(), F.col(item)).limit(k).collect()
-    arr = F.array(*[F.struct(F.lit(r[item]).alias(item), F.lit(float(r["score"])).alias("score")) for r in pop])
+    it = interactions.schema[item].dataType
+    arr = F.array(*[F.struct(F.lit(r[item]).cast(it).alias(item), F.lit(float(r["score"])).alias("score")) for r in pop])
     e = users.select(user).distinct().select(user, F.posexplode(arr).alias("__pos", "__r"))
     return e.select(user, (F.col("__pos") + 1).alias("rank"), F.col("__r")[item].alias(item),
                     F.col("__r.score").alias("score"))
