@@ -233,14 +233,14 @@ def forecast_seasonal_naive(windows: DataFrame, horizon: int, m: int = 7) -> Dat
 def weighted_quantiles(values: DataFrame, keys, value: str, weight: str, quantiles=QUANTILES) -> DataFrame:
     """Per group, for each q the smallest value whose cumulative weight reaches q x total.
 
-    Weights are summed per distinct value first (map-side combine), so the window below
-    only ranks distinct values of a group, never its raw rows.
-    """
+    Weights are summed per distinct value first (map-side combine); the cumulative weight
+    over the sorted distinct values is computed with range partitioning, so even a group
+    holding most of the values is spread over many tasks."""
+    from .ranking import cumulative_within_group
+
     keys = list(keys)
     agg = values.groupBy(*keys, value).agg(F.sum(weight).alias("__w"))
-    w = Window.partitionBy(*keys).orderBy(value).rangeBetween(Window.unboundedPreceding, 0)
-    x = agg.withColumn("__cum", F.sum("__w").over(w)).withColumn(
-        "__tot", F.sum("__w").over(Window.partitionBy(*keys)))
+    x = cumulative_within_group(agg, keys, [value], "__w", cum_col="__cum", total_col="__tot")
     out = [F.min(F.when(F.round(F.col("__cum"), 9) >= F.round(F.col("__tot") * q, 9), F.col(value)))
            .alias(QUANTILE_NAMES.get(q, f"q{q}")) for q in quantiles]
     return x.groupBy(*keys).agg(*out)

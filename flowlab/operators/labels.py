@@ -50,13 +50,15 @@ def top_label(detections: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def evaluate_labels(pred: DataFrame, label_col: str = "label", pred_col: str = "predicted") -> DataFrame:
-    """IMG3. Per label: support, predicted, true positives, precision, recall, F1."""
-    t = pred.groupBy(F.col(label_col).alias("Name")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("support"),
-        F.count_if(F.col(pred_col) == F.col(label_col)).cast("bigint").alias("tp"))
-    p = pred.filter(F.col(pred_col).isNotNull()).groupBy(F.col(pred_col).alias("Name")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("predicted"))
-    j = t.join(p, "Name", "full").fillna(0, ["support", "tp", "predicted"])
+    """IMG3. Per label: support, predicted, true positives, precision, recall, F1 — one pass:
+    every row contributes to its true label and to its predicted label."""
+    contrib = F.array(
+        F.struct(F.col(label_col).alias("Name"), F.lit(1).alias("s"), (F.col(pred_col) == F.col(label_col))
+                 .cast("int").alias("t"), F.lit(0).alias("p")),
+        F.struct(F.col(pred_col).alias("Name"), F.lit(0).alias("s"), F.lit(0).alias("t"), F.lit(1).alias("p")))
+    e = pred.select(F.inline(contrib)).filter(F.col("Name").isNotNull())
+    j = e.groupBy("Name").agg(F.sum("s").cast("bigint").alias("support"), F.sum("p").cast("bigint").alias("predicted"),
+                              F.coalesce(F.sum("t"), F.lit(0)).cast("bigint").alias("tp"))
     prec = F.try_divide(F.col("tp"), F.col("predicted"))
     rec = F.try_divide(F.col("tp"), F.col("support"))
     return j.select("Name", "support", "predicted", "tp", prec.alias("precision"), rec.alias("recall"),
@@ -66,12 +68,18 @@ def evaluate_labels(pred: DataFrame, label_col: str = "label", pred_col: str = "
 def error_listing(pred: DataFrame, id_col: str = "vec_id", label_col: str = "label", pred_col: str = "predicted",
                   n: int | None = None) -> DataFrame:
     """IMG4. Wrong or missing predictions, listed per true label as false negatives and per
-    predicted label as false positives, most confident first."""
+    predicted label as false positives, most confident first. The full listing is ranked
+    with the skew-safe ``rank_within_group``; with ``n`` a top-n window is used."""
+    from .ranking import rank_within_group
+
     wrong = pred.filter(F.col(pred_col).isNull() | (F.col(pred_col) != F.col(label_col)))
     fn = wrong.select(F.col(label_col).alias("Name"), F.lit("false_negative").alias("kind"), id_col, "confidence")
     fp = wrong.filter(F.col(pred_col).isNotNull()).select(F.col(pred_col).alias("Name"), F.lit("false_positive").alias("kind"),
                                                          id_col, "confidence")
-    u = fn.unionByName(fp)
-    w = Window.partitionBy("Name", "kind").orderBy(F.col("confidence").desc_nulls_last(), F.col(id_col))
-    u = u.withColumn("rank", F.row_number().over(w))
-    return u.filter(F.col("rank") <= n) if n else u
+    u = fn.unionByName(fp).withColumn("__grp", F.concat_ws(":", F.col("Name").cast("string"), F.col("kind")))
+    if n:
+        w = Window.partitionBy("Name", "kind").orderBy(F.col("confidence").desc_nulls_last(), F.col(id_col))
+        return u.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).drop("__grp")
+    u = u.withColumn("__negconf", F.coalesce(-F.col("confidence"), F.lit(float("inf"))))
+    r = rank_within_group(u, "__grp", ["__negconf", id_col])
+    return r.withColumn("rank", F.col("__rank").cast("int")).drop("__grp", "__negconf", "__rank", "__size")

@@ -109,9 +109,11 @@ def tune(train: DataFrame, holdout_input: DataFrame, holdout_truth: DataFrame, g
 # ---- deterministic recommenders ----------------------------------------------------------------
 
 def popularity_count(interactions: DataFrame, item: str = ITEM) -> DataFrame:
-    """REC10. Events per item, with the catalogue share (scores sum to 1, REC5)."""
+    """REC10. Events per item, with the catalogue share (scores sum to 1, REC5). The total is
+    one scalar, so no window has to hold the whole catalogue."""
     c = interactions.groupBy(item).agg(F.count(F.lit(1)).cast("bigint").alias("events"))
-    return c.withColumn("score", F.col("events") / F.sum("events").over(Window.partitionBy()))
+    total = interactions.count()
+    return c.withColumn("score", F.col("events") / F.lit(float(max(total, 1))))
 
 
 def top_k(cands: DataFrame, k: int, user: str = USER, item: str = ITEM, score: str = "score") -> DataFrame:
@@ -133,9 +135,11 @@ def recommend_popular(interactions: DataFrame, users: DataFrame, k: int = DEFAUL
 
 
 def context_popularity(interactions: DataFrame, context: str, item: str = ITEM) -> DataFrame:
-    """Share of each item's events within each context value (scores sum to 1 per context)."""
+    """Share of each item's events within each context value (scores sum to 1 per context).
+    Per-context totals are a grouped aggregate (one row per context) joined back."""
     c = interactions.groupBy(context, item).agg(F.count(F.lit(1)).alias("__n"))
-    return c.withColumn("score", F.col("__n") / F.sum("__n").over(Window.partitionBy(context))).drop("__n")
+    t = interactions.groupBy(context).agg(F.count(F.lit(1)).alias("__t"))
+    return c.join(t, context).withColumn("score", F.col("__n") / F.col("__t")).drop("__n", "__t")
 
 
 def recommend_with_context(interactions: DataFrame, requests: DataFrame, context: str, k: int = DEFAULT_K,

@@ -76,16 +76,15 @@ def take_per_class(df: DataFrame, label: str, n: int, order_col: str) -> DataFra
 def random_pick(df: DataFrame, label: str, id_col: str, n: int = 10, seed: int = 0) -> DataFrame:
     """SMP5. n draws: a class uniformly at random, then a member of it uniformly at random.
 
-    Draws are a tiny frame of n rows; each stage is a grouped min-by, so partial
-    aggregation keeps per-task state at one row per draw.
+    Each class is expanded to the n draw numbers (no join), the class pick is a grouped
+    min-by over n groups, and the member pick joins the n picked classes (a table of n rows)
+    and takes a grouped min-by, so partial aggregation keeps per-task state at n rows.
     """
-    spark = df.sparkSession
-    draws = spark.range(n).withColumnRenamed("id", "draw")
     classes = df.select(label).distinct()
-    pick_c = (F.broadcast(draws).crossJoin(classes)   # n x #classes, both bounded
-              .groupBy("draw")
-              .agg(F.min_by(label, F.md5(F.concat(F.lit(f"{seed}:c:"), F.col("draw").cast("string"),
-                                                  F.lit(":"), F.col(label).cast("string")))).alias(label)))
+    per_draw = classes.select(label, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("draw"))
+    pick_c = per_draw.groupBy("draw").agg(
+        F.min_by(label, F.md5(F.concat(F.lit(f"{seed}:c:"), F.col("draw").cast("string"), F.lit(":"),
+                                       F.col(label).cast("string")))).alias(label))        # n rows
     j = df.join(F.broadcast(pick_c), label)
     h = F.md5(F.concat(F.lit(f"{seed}:f:"), F.col("draw").cast("string"), F.lit(":"), F.col(id_col).cast("string")))
     return j.groupBy("draw", label).agg(F.min_by(id_col, h).alias(id_col))

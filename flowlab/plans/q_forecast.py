@@ -30,7 +30,10 @@ def prepared(spark, sf):
 
 
 def daily(spark, sf):
-    return fc.to_daily(prepared(spark, sf))
+    """Daily series, checkpointed: gap filling, the series end and the windows all read it."""
+    from ..session import cut_lineage
+
+    return cut_lineage(fc.to_daily(prepared(spark, sf)))
 
 
 def filled(spark, sf):
@@ -38,8 +41,12 @@ def filled(spark, sf):
 
 
 def windows(spark, sf):
+    """Backtest windows, checkpointed: every model, the actuals and the MASE scale read them,
+    so they are computed once and their lineage is cut (safe against lost executors)."""
+    from ..session import cut_lineage
+
     f = filled(spark, sf)
-    return fc.backtest_windows(f, H, NW)
+    return cut_lineage(fc.backtest_windows(f, H, NW))
 
 
 def all_forecasts(spark, sf, w=None):
