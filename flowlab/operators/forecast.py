@@ -293,6 +293,58 @@ def forecast_ets(windows: DataFrame, horizon: int, alpha: float = 0.3) -> DataFr
                               else F.col("__level") for q in QUANTILES})
 
 
+def holt_weights(alpha: float, beta: float, max_lag: int) -> list[tuple]:
+    """Holt's recursion is linear: state (level, trend) = A state + g y with
+    A = [[1-a, 1-a], [-a b, 1-a b]], g = (a, a b). So the final state is
+    sum_k A^k g y_(T-k) + A^(T-1) (y_1, 0). Returns rows (lag, wl, wb, cl, cb) with
+    (wl, wb) = A^k g and (cl, cb) = A^k e1 for k = 0..max_lag (one row per lag)."""
+    a11, a12 = 1.0 - alpha, 1.0 - alpha
+    a21, a22 = -(alpha * beta), 1.0 - alpha * beta
+    wl, wb, cl, cb = alpha, alpha * beta, 1.0, 0.0
+    rows = []
+    for k in range(max_lag + 1):
+        rows.append((k, wl, wb, cl, cb))
+        wl, wb = a11 * wl + a12 * wb, a21 * wl + a22 * wb
+        cl, cb = a11 * cl + a12 * cb, a21 * cl + a22 * cb
+    return rows
+
+
+def forecast_holt(windows: DataFrame, horizon: int, alpha: float = 0.3, beta: float = 0.1) -> DataFrame:
+    """TS7 (trend). Holt's linear method with level_1 = y_1, trend_1 = 0, evaluated exactly as
+    weighted sums: the weights per lag come from ``holt_weights`` (a table with one row per
+    period of history, joined by lag), so fitting is one grouped aggregate. Forecast
+    level + h trend; interval from the weighted spread of the history around the fitted
+    line, widened by sqrt(1 + sum_(j<h) a^2 (1 + j b)^2)."""
+    spark = windows.sparkSession
+    train = windows.filter(F.col("split") == "train")
+    keys = [ITEM, "window", "cutoff"]
+    age = F.datediff(F.col("cutoff"), F.col(TS))
+    max_lag = train.agg(F.max(age)).first()[0] or 0          # one scalar
+    w = spark.createDataFrame(holt_weights(alpha, beta, int(max_lag)),
+                              "lag int, wl double, wb double, cl double, cb double")
+    x = train.select(*keys, TS, Y, age.alias("lag"))
+    first = x.groupBy(*keys).agg(F.max("lag").alias("__n1"), F.max_by(Y, F.col("lag")).alias("__y1"))
+    x = x.join(first, keys).join(F.broadcast(w), "lag")      # one row per lag: bounded by the span
+    x = x.withColumn("__in", F.col("lag") < F.col("__n1"))
+    st = x.groupBy(*keys).agg(
+        (F.coalesce(F.sum(F.when(F.col("__in"), F.col("wl") * F.col(Y))), F.lit(0.0))
+         + F.max(F.when(~F.col("__in"), F.col("cl") * F.col(Y)))).alias("__l"),
+        (F.coalesce(F.sum(F.when(F.col("__in"), F.col("wb") * F.col(Y))), F.lit(0.0))
+         + F.max(F.when(~F.col("__in"), F.col("cb") * F.col(Y)))).alias("__b"))
+    a = F.lit(alpha)
+    fitted = F.col("__l") - F.col("lag") * F.col("__b")
+    wt = a * F.pow(1 - a, F.col("lag"))
+    sd = x.select(*keys, "lag", Y).join(st, keys).groupBy(*keys).agg(
+        F.sqrt(F.try_divide(F.sum(wt * F.pow(F.col(Y) - fitted, 2)), F.sum(wt))).alias("__sd"))
+    fut = _future(train, horizon).join(st, keys).join(sd, keys)
+    h = F.col("step")
+    mean = F.col("__l") + h * F.col("__b")
+    # sum_(j=1..h-1) (1 + j b)^2 = (h-1) + b h(h-1) + b^2 (h-1)h(2h-1)/6
+    s2 = (h - 1) + F.lit(beta) * h * (h - 1) + F.lit(beta * beta) * (h - 1) * h * (2 * h - 1) / 6.0
+    spread = F.col("__sd") * F.sqrt(1 + F.lit(alpha * alpha) * s2)
+    return _long(fut, "Holt", {q: mean + F.lit(Z[q]) * spread for q in QUANTILES})
+
+
 def forecast_ar(windows: DataFrame, horizon: int) -> DataFrame:
     """TS8. AR(1) with intercept: y_t = c + phi y_(t-1), fitted by ``regr_*`` aggregates over a
     one-step self-join (no ordered window). h-step mean phi^h y_T + c(1-phi^h)/(1-phi),
@@ -463,6 +515,7 @@ MODELS = {
     "NPTS": lambda w, h, **kw: forecast_npts(w, h, **kw),
     "ETS": lambda w, h, **kw: forecast_ets(w, h, **kw),
     "AR": lambda w, h, **kw: forecast_ar(w, h),
+    "Holt": lambda w, h, **kw: forecast_holt(w, h, **kw),
     "SeasonalNaive": lambda w, h, **kw: forecast_seasonal_naive(w, h, **kw),
     "Harmonic": lambda w, h, **kw: forecast_harmonic(w, h, **kw),
 }

@@ -14,7 +14,8 @@ from .views import demand, with_views
 
 H, NW, YEARS = 28, 3, (1995, 2002)
 DECAY, ALPHA, M = 0.01, 0.3, 7
-ALGOS_SQL = ["NPTS", "ETS", "AR", "SeasonalNaive"]
+HA, HB = 0.3, 0.1            # Holt level and trend smoothing
+ALGOS_SQL = ["NPTS", "ETS", "AR", "SeasonalNaive", "Holt"]
 
 
 # ---- Spark pipeline ---------------------------------------------------------------------------
@@ -52,7 +53,7 @@ def windows(spark, sf):
 def all_forecasts(spark, sf, w=None):
     w = w if w is not None else windows(spark, sf)
     parts = [fc.forecast_npts(w, H, decay=DECAY), fc.forecast_ets(w, H, alpha=ALPHA), fc.forecast_ar(w, H),
-             fc.forecast_seasonal_naive(w, H, m=M)]
+             fc.forecast_seasonal_naive(w, H, m=M), fc.forecast_holt(w, H, alpha=HA, beta=HB)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -146,11 +147,42 @@ sn1 AS (SELECT sn0.*, t.target_value AS v FROM sn0 LEFT JOIN wins t
 snaive AS ({_long_sql("sn1", "SeasonalNaive", {0.1: "v", 0.5: "v", 0.9: "v"})})"""
 
 
-def forecasts_sql(which=("npts", "ets", "ar", "snaive")) -> str:
-    blocks = {"npts": NPTS_SQL, "ets": ETS_SQL, "ar": AR_SQL, "snaive": SNAIVE_SQL}
+def _d(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+_A11, _A21, _A22 = 1.0 - HA, -(HA * HB), 1.0 - HA * HB
+HOLT_SQL = f"""
+hk AS (SELECT max(cutoff - ts) AS K FROM wins WHERE split = 'train'),
+hw(lag, wl, wb, cl, cb) AS (
+  SELECT 0, {_d(HA)}, {_d(HA * HB)}, {_d(1.0)}, {_d(0.0)}
+  UNION ALL
+  SELECT lag + 1, {_d(_A11)} * wl + {_d(_A11)} * wb, {_d(_A21)} * wl + {_d(_A22)} * wb,
+         {_d(_A11)} * cl + {_d(_A11)} * cb, {_d(_A21)} * cl + {_d(_A22)} * cb
+  FROM hw WHERE lag < (SELECT K FROM hk)),
+ht AS (SELECT {KEYS}, ts, target_value, CAST(cutoff - ts AS INTEGER) AS lag FROM wins WHERE split = 'train'),
+hf AS (SELECT {KEYS}, max(lag) AS n1 FROM ht GROUP BY ALL),
+hx AS (SELECT ht.*, hf.n1, hw.wl, hw.wb, hw.cl, hw.cb FROM ht JOIN hf USING (item_id, "window", cutoff) JOIN hw USING (lag)),
+hs AS (SELECT {KEYS}, coalesce(sum(CASE WHEN lag < n1 THEN wl * target_value END), 0.0)
+                      + max(CASE WHEN lag >= n1 THEN cl * target_value END) AS l,
+              coalesce(sum(CASE WHEN lag < n1 THEN wb * target_value END), 0.0)
+                      + max(CASE WHEN lag >= n1 THEN cb * target_value END) AS b FROM hx GROUP BY ALL),
+hd AS (SELECT {KEYS}, sqrt(sum({_d(HA)} * pow(1 - {_d(HA)}, lag) * pow(target_value - (l - lag * b), 2))
+                           / sum({_d(HA)} * pow(1 - {_d(HA)}, lag))) AS sd
+       FROM ht JOIN hs USING (item_id, "window", cutoff) GROUP BY ALL),
+holt_j AS (SELECT fu.*, l + step * b AS mean,
+                  sd * sqrt(1 + {_d(HA * HA)} * ((step - 1) + {_d(HB)} * step * (step - 1)
+                                                  + {_d(HB * HB)} * (step - 1) * step * (2 * step - 1) / 6.0)) AS spread
+           FROM fut fu JOIN hs USING (item_id, "window", cutoff) JOIN hd USING (item_id, "window", cutoff)),
+holt AS ({_long_sql("holt_j", "Holt", {0.1: f"mean + ({fc.Z[0.1]}) * spread", 0.5: "mean + 0.0 * spread",
+                                       0.9: f"mean + ({fc.Z[0.9]}) * spread"})})"""
+
+
+def forecasts_sql(which=("npts", "ets", "ar", "snaive", "holt")) -> str:
+    blocks = {"npts": NPTS_SQL, "ets": ETS_SQL, "ar": AR_SQL, "snaive": SNAIVE_SQL, "holt": HOLT_SQL}
     body = ",".join(blocks[w] for w in which)
     union = " UNION ALL ".join(f"SELECT * FROM {w}" for w in which)
-    return f"WITH wins AS ({WINDOWS_SQL}), fut AS ({FUTURE_SQL}), {body} {union}"
+    return f"WITH RECURSIVE wins AS ({WINDOWS_SQL}), fut AS ({FUTURE_SQL}), {body} {union}"
 
 
 METRICS_SQL = f"""
@@ -283,6 +315,11 @@ def q_ets(spark, sf):
     return fc.forecast_ets(windows(spark, sf), H, alpha=ALPHA)
 
 
+@register("ts7_holt", forecasts_sql(("holt",)))
+def q_holt(spark, sf):
+    return fc.forecast_holt(windows(spark, sf), H, alpha=HA, beta=HB)
+
+
 @register("ts8_ar", forecasts_sql(("ar",)))
 def q_ar(spark, sf):
     return fc.forecast_ar(windows(spark, sf), H)

@@ -38,3 +38,21 @@ def test_result_records_scores_descending(spark):
     for r in rows:
         sc = r["output"]["scores"]
         assert len(sc) == 25 and sc == sorted(sc, reverse=True)
+
+
+def test_holt_closed_form_equals_recursion(spark):
+    import datetime as dt
+
+    ys = [3.0, 5.0, 4.0, 6.0, 8.0, 7.0, 9.0, 12.0, 11.0, 13.0]
+    a, b = 0.4, 0.2
+    lvl, tr = ys[0], 0.0
+    for y in ys[1:]:
+        new_l = a * y + (1 - a) * (lvl + tr)
+        tr = b * (new_l - lvl) + (1 - b) * tr
+        lvl = new_l
+    s = spark.createDataFrame([("i", dt.date(2020, 1, 1) + dt.timedelta(days=k), y) for k, y in enumerate(ys)],
+                              "item_id string, ts date, target_value double")
+    w = fc.final_cutoff(s)
+    f = fc.forecast_wide(fc.forecast_holt(w, 3, alpha=a, beta=b)).orderBy("step").collect()
+    for r in f:
+        assert math.isclose(r["p50"], lvl + r["step"] * tr, rel_tol=1e-9)
