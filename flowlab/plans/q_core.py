@@ -74,7 +74,7 @@ def q_external(spark, sf):
                                     "item_id string, `timestamp` timestamp, target_value double", sep="\t")
 
 
-@register("src11_latest_output")
+@register("src11_latest_output", with_views("SELECT * FROM transactions_raw WHERE category = 'MACHINERY'", "transactions_raw"))
 def q_latest(spark, sf):
     base = rd.scratch_path(spark, "runs")
     raw = transactions_raw(spark, sf)

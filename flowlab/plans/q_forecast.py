@@ -305,7 +305,20 @@ def q_npts(spark, sf):
     return fc.forecast_npts(windows(spark, sf), H, decay=DECAY)
 
 
-@register("ts6_npts_seasonal", None)
+NPTS_SEASONAL_SQL = f"""
+WITH wins AS ({WINDOWS_SQL}), fut AS ({FUTURE_SQL}),
+h AS (SELECT {KEYS}, dayofweek(ts) AS season, target_value AS v, 1.0 AS wt FROM wins WHERE split = 'train'),
+a AS (SELECT {KEYS}, season, v, sum(wt) AS w FROM h GROUP BY ALL),
+c AS (SELECT *, sum(w) OVER (PARTITION BY {KEYS}, season ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+             sum(w) OVER (PARTITION BY {KEYS}, season) AS tot FROM a),
+q AS (SELECT {KEYS}, season, {", ".join(f"min(CASE WHEN round(cum, 9) >= round(tot * {q}, 9) THEN v END) AS {n}" for q, n in fc.QUANTILE_NAMES.items())}
+      FROM c GROUP BY ALL),
+j AS (SELECT fu.*, q.p10, q.p50, q.p90 FROM fut fu LEFT JOIN q ON fu.item_id = q.item_id AND fu."window" = q."window"
+        AND fu.cutoff = q.cutoff AND dayofweek(fu.ts) = q.season)
+{_long_sql("j", "NPTS", {0.1: "p10", 0.5: "p50", 0.9: "p90"})}"""
+
+
+@register("ts6_npts_seasonal", NPTS_SEASONAL_SQL)
 def q_npts_seasonal(spark, sf):
     return fc.forecast_npts(windows(spark, sf), H, kernel="uniform", season="dayofweek")
 
