@@ -345,6 +345,91 @@ def forecast_holt(windows: DataFrame, horizon: int, alpha: float = 0.3, beta: fl
     return _long(fut, "Holt", {q: mean + F.lit(Z[q]) * spread for q in QUANTILES})
 
 
+def hw_system(alpha: float, beta: float, gamma: float, m: int):
+    """Additive Holt-Winters as a linear system x_t = A x_(t-1) + g y_t with
+    x = (level, trend, s_t, s_(t-1), ..., s_(t-m+1)). Returns (A, g) as nested lists."""
+    d = m + 2
+    A = [[0.0] * d for _ in range(d)]
+    last = m + 1                                     # s_(t-m) in the previous state
+    A[0][0], A[0][1], A[0][last] = 1.0 - alpha, 1.0 - alpha, -alpha
+    A[1][0], A[1][1], A[1][last] = -(alpha * beta), 1.0 - alpha * beta, -(alpha * beta)
+    A[2][0], A[2][1], A[2][last] = -(gamma * (1.0 - alpha)), -(gamma * (1.0 - alpha)), gamma * alpha + 1.0 - gamma
+    for i in range(1, m):
+        A[2 + i][1 + i] = 1.0
+    g = [alpha, alpha * beta, gamma * (1.0 - alpha)] + [0.0] * (m - 1)
+    return A, g
+
+
+def apply_matrix(A, x):
+    """A x, summing the non-zero terms left to right (the oracle sums in the same order)."""
+    out = []
+    for row in A:
+        acc = None
+        for a, v in zip(row, x):
+            if a != 0.0:
+                acc = a * v if acc is None else acc + a * v
+        out.append(0.0 if acc is None else acc)
+    return out
+
+
+def linear_weights(A, g, max_lag: int) -> list[tuple]:
+    """Rows (lag, A^k g ..., A^k e_0 ...) for k = 0..max_lag."""
+    w, c = list(g), [1.0] + [0.0] * (len(g) - 1)
+    rows = []
+    for k in range(max_lag + 1):
+        rows.append((k, *w, *c))
+        w, c = apply_matrix(A, w), apply_matrix(A, c)
+    return rows
+
+
+def hw_multipliers(alpha: float, beta: float, gamma: float, m: int, horizon: int) -> list[float]:
+    """sqrt(1 + sum_(j=1..h-1) (alpha (1 + j beta) + gamma [j mod m = 0])^2) for h = 1..horizon."""
+    out, acc = [], 0.0
+    for h in range(1, horizon + 1):
+        out.append(math.sqrt(1.0 + acc))
+        c = alpha * (1.0 + h * beta) + (gamma if h % m == 0 else 0.0)
+        acc += c * c
+    return out
+
+
+def forecast_holt_winters(windows: DataFrame, horizon: int, alpha: float = 0.3, beta: float = 0.1,
+                          gamma: float = 0.2, m: int = 7) -> DataFrame:
+    """TS7 (trend + season). Additive Holt-Winters with level_1 = y_1, trend_1 = 0 and zero
+    initial seasonal terms, evaluated exactly as weighted sums over the history (weights per
+    lag from the system's matrix powers; one grouped aggregate). Forecast
+    level + h trend + the seasonal term of the step's phase; interval from the weighted
+    spread around the fitted values, widened by the Holt-Winters step multiplier."""
+    spark = windows.sparkSession
+    A, g = hw_system(alpha, beta, gamma, m)
+    d = m + 2
+    train = windows.filter(F.col("split") == "train")
+    keys = [ITEM, "window", "cutoff"]
+    age = F.datediff(F.col("cutoff"), F.col(TS))
+    max_lag = train.agg(F.max(age)).first()[0] or 0          # one scalar
+    schema = "lag int, " + ", ".join([f"w{i} double" for i in range(d)] + [f"c{i} double" for i in range(d)])
+    w = spark.createDataFrame(linear_weights(A, g, int(max_lag)), schema)
+    x = train.select(*keys, TS, Y, age.alias("lag"))
+    first = x.groupBy(*keys).agg(F.max("lag").alias("__n1"))
+    x = x.join(first, keys).join(F.broadcast(w), "lag")      # one row per lag: bounded by the span
+    inside = F.col("lag") < F.col("__n1")
+    st = x.groupBy(*keys).agg(*[
+        (F.coalesce(F.sum(F.when(inside, F.col(f"w{i}") * F.col(Y))), F.lit(0.0))
+         + F.max(F.when(~inside, F.col(f"c{i}") * F.col(Y)))).alias(f"__x{i}") for i in range(d)])
+    st = st.withColumn("__S", F.array(*[F.col(f"__x{i}") for i in range(2, d)]))
+    a = F.lit(alpha)
+    fitted = F.col("__x0") - F.col("lag") * F.col("__x1") + F.element_at("__S", (F.col("lag") % m + 1).cast("int"))
+    wt = a * F.pow(1 - a, F.col("lag"))
+    sd = x.select(*keys, "lag", Y).join(st, keys).groupBy(*keys).agg(
+        F.sqrt(F.try_divide(F.sum(wt * F.pow(F.col(Y) - fitted, 2)), F.sum(wt))).alias("__sd"))
+    mult = F.array(*[F.lit(v) for v in hw_multipliers(alpha, beta, gamma, m, horizon)])
+    fut = _future(train, horizon).join(st, keys).join(sd, keys)
+    h = F.col("step")
+    season = F.element_at("__S", (F.lit(m) - (h - 1) % m).cast("int"))
+    mean = F.col("__x0") + h * F.col("__x1") + season
+    spread = F.col("__sd") * F.element_at(mult, h)
+    return _long(fut, "HoltWinters", {q: mean + F.lit(Z[q]) * spread for q in QUANTILES})
+
+
 def forecast_ar(windows: DataFrame, horizon: int) -> DataFrame:
     """TS8. AR(1) with intercept: y_t = c + phi y_(t-1), fitted by ``regr_*`` aggregates over a
     one-step self-join (no ordered window). h-step mean phi^h y_T + c(1-phi^h)/(1-phi),
@@ -516,6 +601,7 @@ MODELS = {
     "ETS": lambda w, h, **kw: forecast_ets(w, h, **kw),
     "AR": lambda w, h, **kw: forecast_ar(w, h),
     "Holt": lambda w, h, **kw: forecast_holt(w, h, **kw),
+    "HoltWinters": lambda w, h, **kw: forecast_holt_winters(w, h, **kw),
     "SeasonalNaive": lambda w, h, **kw: forecast_seasonal_naive(w, h, **kw),
     "Harmonic": lambda w, h, **kw: forecast_harmonic(w, h, **kw),
 }

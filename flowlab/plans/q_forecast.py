@@ -15,7 +15,8 @@ from .views import demand, with_views
 H, NW, YEARS = 28, 3, (1995, 2002)
 DECAY, ALPHA, M = 0.01, 0.3, 7
 HA, HB = 0.3, 0.1            # Holt level and trend smoothing
-ALGOS_SQL = ["NPTS", "ETS", "AR", "SeasonalNaive", "Holt"]
+WA, WB, WG, WM = 0.3, 0.1, 0.2, 7   # Holt-Winters smoothing and season
+ALGOS_SQL = ["NPTS", "ETS", "AR", "SeasonalNaive", "Holt", "HoltWinters"]
 
 
 # ---- Spark pipeline ---------------------------------------------------------------------------
@@ -53,7 +54,8 @@ def windows(spark, sf):
 def all_forecasts(spark, sf, w=None):
     w = w if w is not None else windows(spark, sf)
     parts = [fc.forecast_npts(w, H, decay=DECAY), fc.forecast_ets(w, H, alpha=ALPHA), fc.forecast_ar(w, H),
-             fc.forecast_seasonal_naive(w, H, m=M), fc.forecast_holt(w, H, alpha=HA, beta=HB)]
+             fc.forecast_seasonal_naive(w, H, m=M), fc.forecast_holt(w, H, alpha=HA, beta=HB),
+             fc.forecast_holt_winters(w, H, WA, WB, WG, WM)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -61,8 +63,12 @@ def all_forecasts(spark, sf, w=None):
 
 
 def metrics(spark, sf):
+    """Metrics per (algorithm, window); checkpointed because the summary, the selection and
+    the pivot each read them more than once (the table is tiny)."""
+    from ..session import cut_lineage
+
     w = windows(spark, sf)
-    return fc.evaluate(all_forecasts(spark, sf, w), w, m=M)
+    return cut_lineage(fc.evaluate(all_forecasts(spark, sf, w), w, m=M))
 
 
 # ---- SQL twins ---------------------------------------------------------------------------------
@@ -178,8 +184,52 @@ holt AS ({_long_sql("holt_j", "Holt", {0.1: f"mean + ({fc.Z[0.1]}) * spread", 0.
                                        0.9: f"mean + ({fc.Z[0.9]}) * spread"})})"""
 
 
-def forecasts_sql(which=("npts", "ets", "ar", "snaive", "holt")) -> str:
-    blocks = {"npts": NPTS_SQL, "ets": ETS_SQL, "ar": AR_SQL, "snaive": SNAIVE_SQL, "holt": HOLT_SQL}
+def _matrix_sql(A, prefix: str) -> list[str]:
+    """SQL for A x with x = prefix0..prefixN, non-zero terms summed left to right."""
+    out = []
+    for row in A:
+        terms = [f"{_d(a)} * {prefix}{j}" for j, a in enumerate(row) if a != 0.0]
+        out.append(" + ".join(terms) if terms else _d(0.0))
+    return out
+
+
+def _hw_sql() -> str:
+    A, g = fc.hw_system(WA, WB, WG, WM)
+    d = WM + 2
+    ws, cs = [f"w{i}" for i in range(d)], [f"c{i}" for i in range(d)]
+    init = [_d(v) for v in g] + [_d(1.0)] + [_d(0.0)] * (d - 1)
+    step = _matrix_sql(A, "w") + _matrix_sql(A, "c")
+    mult = "[" + ", ".join(_d(v) for v in fc.hw_multipliers(WA, WB, WG, WM, H)) + "]"
+    S = "[" + ", ".join(f"x{i}" for i in range(2, d)) + "]"
+    xs = ",\n".join(f"coalesce(sum(CASE WHEN lag < n1 THEN w{i} * target_value END), 0.0) "
+                    f"+ max(CASE WHEN lag >= n1 THEN c{i} * target_value END) AS x{i}" for i in range(d))
+    return f"""
+wk AS (SELECT max(cutoff - ts) AS K FROM wins WHERE split = 'train'),
+ww(lag, {", ".join(ws + cs)}) AS (
+  SELECT 0, {", ".join(init)}
+  UNION ALL
+  SELECT lag + 1, {", ".join(step)} FROM ww WHERE lag < (SELECT K FROM wk)),
+wt AS (SELECT {KEYS}, ts, target_value, CAST(cutoff - ts AS INTEGER) AS lag FROM wins WHERE split = 'train'),
+wf AS (SELECT {KEYS}, max(lag) AS n1 FROM wt GROUP BY ALL),
+wx AS (SELECT wt.*, wf.n1, {", ".join("ww." + c for c in ws + cs)}
+       FROM wt JOIN wf USING (item_id, "window", cutoff) JOIN ww USING (lag)),
+wsum AS (SELECT {KEYS}, {xs} FROM wx GROUP BY ALL),
+wst AS (SELECT {KEYS}, x0, x1, {S} AS S FROM wsum),
+wsd AS (SELECT {KEYS}, sqrt(sum({_d(WA)} * pow(1 - {_d(WA)}, lag)
+                                * pow(target_value - (x0 - lag * x1 + S[lag % {WM} + 1]), 2))
+                           / sum({_d(WA)} * pow(1 - {_d(WA)}, lag))) AS sd
+        FROM wt JOIN wst USING (item_id, "window", cutoff) GROUP BY ALL),
+hw_j AS (SELECT fu.*, x0 + step * x1 + S[{WM} - (step - 1) % {WM}] AS mean, sd * {mult}[step] AS spread
+         FROM fut fu JOIN wst USING (item_id, "window", cutoff) JOIN wsd USING (item_id, "window", cutoff)),
+hwin AS ({_long_sql("hw_j", "HoltWinters", {0.1: f"mean + ({fc.Z[0.1]}) * spread", 0.5: "mean + 0.0 * spread",
+                                            0.9: f"mean + ({fc.Z[0.9]}) * spread"})})"""
+
+
+HW_SQL = _hw_sql()
+
+
+def forecasts_sql(which=("npts", "ets", "ar", "snaive", "holt", "hwin")) -> str:
+    blocks = {"npts": NPTS_SQL, "ets": ETS_SQL, "ar": AR_SQL, "snaive": SNAIVE_SQL, "holt": HOLT_SQL, "hwin": HW_SQL}
     body = ",".join(blocks[w] for w in which)
     union = " UNION ALL ".join(f"SELECT * FROM {w}" for w in which)
     return f"WITH RECURSIVE wins AS ({WINDOWS_SQL}), fut AS ({FUTURE_SQL}), {body} {union}"
@@ -333,6 +383,11 @@ def q_holt(spark, sf):
     return fc.forecast_holt(windows(spark, sf), H, alpha=HA, beta=HB)
 
 
+@register("ts7_holt_winters", forecasts_sql(("hwin",)))
+def q_holt_winters(spark, sf):
+    return fc.forecast_holt_winters(windows(spark, sf), H, WA, WB, WG, WM)
+
+
 @register("ts8_ar", forecasts_sql(("ar",)))
 def q_ar(spark, sf):
     return fc.forecast_ar(windows(spark, sf), H)

@@ -56,3 +56,24 @@ def test_holt_closed_form_equals_recursion(spark):
     f = fc.forecast_wide(fc.forecast_holt(w, 3, alpha=a, beta=b)).orderBy("step").collect()
     for r in f:
         assert math.isclose(r["p50"], lvl + r["step"] * tr, rel_tol=1e-9)
+
+
+def test_holt_winters_closed_form_equals_recursion(spark):
+    import datetime as dt
+
+    m, a, b, g = 7, 0.3, 0.1, 0.2
+    ys = [10 + (k % 7) * 2.0 + 0.3 * k + (1.5 if k % 5 == 0 else 0.0) for k in range(40)]
+    lvl, tr, seas = ys[0], 0.0, [0.0] * m          # seas[i] = s_(t-i)
+    for y in ys[1:]:
+        s_old = seas[m - 1]
+        new_l = a * (y - s_old) + (1 - a) * (lvl + tr)
+        tr = b * (new_l - lvl) + (1 - b) * tr
+        new_s = g * (y - new_l) + (1 - g) * s_old
+        lvl, seas = new_l, [new_s] + seas[:-1]
+    s = spark.createDataFrame([("i", dt.date(2020, 1, 1) + dt.timedelta(days=k), y) for k, y in enumerate(ys)],
+                              "item_id string, ts date, target_value double")
+    f = fc.forecast_wide(fc.forecast_holt_winters(fc.final_cutoff(s), 10, a, b, g, m)).orderBy("step").collect()
+    for r in f:
+        h = r["step"]
+        expect = lvl + h * tr + seas[(m - h % m) % m]
+        assert math.isclose(r["p50"], expect, rel_tol=1e-9), (h, r["p50"], expect)
