@@ -58,9 +58,14 @@ def q_train(spark, sf):
     return model(spark, sf)
 
 
-@register("img2_detect_labels", DETECT_SQL)
+@register("img2_detect_labels", f"""
+SELECT vec_id, label, list_transform(CustomLabels, lambda x: struct_pack(Name := x.Name, Confidence := round(x.Confidence, 6)))
+         AS CustomLabels
+FROM ({DETECT_SQL}) d""")
 def q_detect(spark, sf):
-    return detections(spark, sf)
+    d = detections(spark, sf)
+    return d.withColumn("CustomLabels", F.transform("CustomLabels", lambda x: F.struct(
+        x["Name"].alias("Name"), F.round(x["Confidence"], 6).alias("Confidence"))))
 
 
 @register("img3_evaluate_labels", f"""
@@ -94,9 +99,11 @@ def q_errors(spark, sf):
     return lb.error_listing(predictions(spark, sf))
 
 
-@register("flt7_min_confidence", f"SELECT * FROM ({PRED_SQL}) p WHERE confidence >= {MINCONF}")
+@register("flt7_min_confidence",
+          f"SELECT vec_id, label, predicted, confidence FROM ({PRED_SQL}) p WHERE confidence >= {MINCONF}")
 def q_min_conf(spark, sf):
-    return min_confidence(predictions(spark, sf), "confidence", MINCONF)
+    return min_confidence(predictions(spark, sf), "confidence", MINCONF).select("vec_id", "label", "predicted",
+                                                                                "confidence")
 
 
 @register("flt3_label_in", "SELECT vec_id, label FROM embeddings WHERE label IN (1, 3, 5)")

@@ -40,6 +40,21 @@ def test_rows_only_runs(spark, name):
     assert len(df.columns) > 0
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_rounding_list_matches_schema(spark, name):
+    """ROUND_COLS must list exactly the top-level double columns of each query."""
+    from pyspark.sql import types as T
+
+    from flowlab.plans import QUERIES as RAW
+    from flowlab.plans.rounding import ROUND_COLS
+
+    if name not in ORACLES:
+        return
+    df = RAW[name](spark, SF_SMALL)
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    assert doubles == ROUND_COLS.get(name, [])
+
+
 def test_entry(spark):
     df = E.entry(spark)
     rows = df.collect()
