@@ -99,7 +99,7 @@ KEYS = 'item_id, "window", cutoff'
 
 
 def _long_sql(src: str, algo: str, cols: dict) -> str:
-    parts = [f"SELECT item_id, \"window\", cutoff, step, ts, '{algo}' AS algorithm, {q} AS quantile, {c} AS value FROM {src}"
+    parts = [f"SELECT item_id, \"window\", cutoff, step, ts, '{algo}' AS algorithm, CAST({q} AS DOUBLE) AS quantile, {c} AS value FROM {src}"
              for q, c in cols.items()]
     return " UNION ALL ".join(parts)
 
@@ -286,7 +286,7 @@ def q_add_constant(spark, sf):
     return add_constant(demand(spark, sf), "scope", "all")
 
 
-@register("prj11_derive_year", f"SELECT *, year(CAST(ds AS DATE)) AS year FROM (SELECT 0 AS \"index\", strftime(\"timestamp\", '%Y-%m-%d') AS ds, target_value AS y, item_id FROM ({with_views('SELECT * FROM demand', 'demand')}) d) r")
+@register("prj11_derive_year", f"SELECT *, CAST(year(CAST(ds AS DATE)) AS INTEGER) AS year FROM (SELECT 0 AS \"index\", strftime(\"timestamp\", '%Y-%m-%d') AS ds, target_value AS y, item_id FROM ({with_views('SELECT * FROM demand', 'demand')}) d) r")
 def q_derive_year(spark, sf):
     return derive_year(raw_series(spark, sf), "ds")
 
@@ -330,7 +330,8 @@ def q_attach_holidays(spark, sf):
 @register("ts3_calendar_features", f"""
 WITH d AS ({DAILY_SQL}), c AS ({HOLIDAY_SQL}),
 cu AS (SELECT ds, min(holiday) AS holiday FROM c WHERE country = 'US' GROUP BY ds)
-SELECT d.*, dayofweek(ts) + 1 AS dow, month(ts) AS month, dayofyear(ts) AS doy,
+SELECT d.*, CAST(dayofweek(ts) + 1 AS INTEGER) AS dow, CAST(month(ts) AS INTEGER) AS month,
+       CAST(dayofyear(ts) AS INTEGER) AS doy,
        sin(2 * pi() * 1 * dayofyear(ts) / 365.25) AS sin_y1, cos(2 * pi() * 1 * dayofyear(ts) / 365.25) AS cos_y1,
        sin(2 * pi() * 2 * dayofyear(ts) / 365.25) AS sin_y2, cos(2 * pi() * 2 * dayofyear(ts) / 365.25) AS cos_y2,
        sin(2 * pi() * 1 * (dayofweek(ts) + 1) / 7.0) AS sin_w1, cos(2 * pi() * 1 * (dayofweek(ts) + 1) / 7.0) AS cos_w1,

@@ -162,12 +162,12 @@ def q_review_queue(spark, sf):
 
 
 @register("frd8_review_task", f"""
-SELECT trans_num, to_json(struct_pack(score := struct_pack({S} := {S}),
+SELECT trans_num, CAST(to_json(struct_pack(score := struct_pack({S} := {S}),
    taskObject := struct_pack(variables := struct_pack(trans_num := trans_num, amt := CAST(amt AS VARCHAR),
       zip := CAST(zip AS VARCHAR), city := city, "first" := "first", job := job, street := street,
       category := category, city_pop := CAST(city_pop AS VARCHAR), gender := gender, cc_num := CAST(cc_num AS VARCHAR),
       "last" := "last", state := state, merchant := merchant),
-   EVENT_TIMESTAMP := strftime(EVENT_TIMESTAMP, '%Y-%m-%dT%H:%M:%SZ')))) AS task
+   EVENT_TIMESTAMP := strftime(EVENT_TIMESTAMP, '%Y-%m-%dT%H:%M:%SZ')))) AS VARCHAR) AS task
 FROM ({SCORED_SQL}) s WHERE {S} BETWEEN 700 AND 900""")
 def q_review_task(spark, sf):
     s = fr.review_queue(scored(spark, sf), flow_col=None)
@@ -243,7 +243,7 @@ def q_score_distribution(spark, sf):
 
 
 _CONF_SQL = f"""
-WITH t(threshold) AS (VALUES {", ".join(f"({float(t)})" for t in THRESHOLDS)}),
+WITH t(threshold) AS (VALUES {", ".join(f"(CAST({float(t)} AS DOUBLE))" for t in THRESHOLDS)}),
 s AS ({SCORED_SQL}),
 c AS (SELECT t.threshold,
         CAST(count(*) FILTER (WHERE {S} >= t.threshold AND EVENT_LABEL = 'fraud') AS BIGINT) AS TP,

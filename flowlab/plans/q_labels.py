@@ -122,7 +122,7 @@ def q_take(spark, sf):
 WITH cls AS (SELECT DISTINCT label FROM embeddings),
 d AS (SELECT draw, arg_min(label, md5('3:c:' || CAST(draw AS VARCHAR) || ':' || CAST(label AS VARCHAR))) AS label
       FROM cls, range(0, 10) r(draw) GROUP BY draw)
-SELECT d.draw, d.label, arg_min(e.vec_id, md5('3:f:' || CAST(d.draw AS VARCHAR) || ':' || CAST(e.vec_id AS VARCHAR))) AS vec_id
+SELECT CAST(d.draw AS INTEGER) AS draw, d.label, arg_min(e.vec_id, md5('3:f:' || CAST(d.draw AS VARCHAR) || ':' || CAST(e.vec_id AS VARCHAR))) AS vec_id
 FROM d JOIN embeddings e ON e.label = d.label GROUP BY d.draw, d.label""")
 def q_pick(spark, sf):
     return random_pick(vectors(spark, sf).select("vec_id", "label"), "label", "vec_id", 10, seed=3)
