@@ -455,6 +455,63 @@ def forecast_ar(windows: DataFrame, horizon: int) -> DataFrame:
     return _long(fut, "AR", {q: mean + F.lit(Z[q]) * sd for q in QUANTILES})
 
 
+def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2, ridge: float = 1e-9) -> DataFrame:
+    """TS8 (order p). y_t = c + sum_i phi_i y_(t-i) by least squares per item. The lagged
+    columns come from p equi-joins on t - i (no ordered window); X'X, X'y and y'y are grouped
+    sums (partial aggregation), the last p values are conditional maxima. One row per item
+    then goes through an Arrow-batched pandas function that solves the (p+1)x(p+1) system
+    and runs the h-step recursion; the interval uses the psi-weights of the fitted model."""
+    import numpy as np
+    import pandas as pd
+
+    train = windows.filter(F.col("split") == "train")
+    keys = [ITEM, "window", "cutoff"]
+    base = train.select(*keys, TS, F.col(Y).alias("__y"))
+    x = base
+    for i in range(1, p + 1):
+        lag = base.select(*keys, F.date_add(F.col(TS), i).alias(TS), F.col("__y").alias(f"__l{i}"))
+        x = x.join(lag, keys + [TS])
+    cols = ["__one"] + [f"__l{i}" for i in range(1, p + 1)]
+    x = x.withColumn("__one", F.lit(1.0))
+    k = p + 1
+    sums = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"a_{i}_{j}") for i in range(k) for j in range(i, k)]
+    sums += [F.sum(F.col(cols[i]) * F.col("__y")).alias(f"b_{i}") for i in range(k)]
+    sums += [F.sum(F.col("__y") * F.col("__y")).alias("yy"), F.count(F.lit(1)).alias("n")]
+    st = x.groupBy(*keys).agg(*sums)
+    age = F.datediff(F.col("cutoff"), F.col(TS))
+    last = train.filter(age < p).groupBy(*keys).agg(
+        *[F.max(F.when(age == j, F.col(Y))).alias(f"last_{j}") for j in range(p)])
+    j = st.join(last, keys)
+    out_schema = f"{ITEM} string, window int, cutoff date, step int, {TS} date, algorithm string, quantile double, value double"
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for _, r in pdf.iterrows():
+            A = np.zeros((k, k))
+            for a in range(k):
+                for b in range(a, k):
+                    A[a, b] = A[b, a] = r[f"a_{a}_{b}"]
+            bvec = np.array([r[f"b_{a}"] for a in range(k)])
+            beta = np.linalg.solve(A + ridge * np.eye(k), bvec)
+            sse = max(r["yy"] - 2 * beta @ bvec + beta @ A @ beta, 0.0)
+            s2 = sse / max(r["n"] - k, 1)
+            c, phi = beta[0], beta[1:]
+            hist = [r[f"last_{q}"] for q in range(p)]          # newest first
+            psi, acc = [1.0], 0.0
+            for h in range(1, horizon + 1):
+                mean = c + sum(phi[q] * hist[q] for q in range(p))
+                hist = [mean] + hist[:-1]
+                acc += psi[h - 1] ** 2
+                psi.append(sum(phi[q] * psi[h - 1 - q] for q in range(p) if h - 1 - q >= 0))
+                sd = (s2 * acc) ** 0.5
+                day = r["cutoff"] + pd.Timedelta(days=h)
+                for q in QUANTILES:
+                    rows.append([r[ITEM], int(r["window"]), r["cutoff"], h, day, f"AR{p}", q, mean + Z[q] * sd])
+        return pd.DataFrame(rows, columns=[ITEM, "window", "cutoff", "step", TS, "algorithm", "quantile", "value"])
+
+    return j.mapInPandas(lambda it: (solve(pdf) for pdf in it), out_schema)
+
+
 def _design(df: DataFrame, fourier: int, calendar: DataFrame | None, country: str) -> tuple[DataFrame, list]:
     d = F.col(TS)
     t = F.datediff(d, F.lit("1970-01-01").cast("date")) / 365.25
@@ -600,6 +657,7 @@ MODELS = {
     "NPTS": lambda w, h, **kw: forecast_npts(w, h, **kw),
     "ETS": lambda w, h, **kw: forecast_ets(w, h, **kw),
     "AR": lambda w, h, **kw: forecast_ar(w, h),
+    "ARp": lambda w, h, **kw: forecast_ar_p(w, h, **kw),
     "Holt": lambda w, h, **kw: forecast_holt(w, h, **kw),
     "HoltWinters": lambda w, h, **kw: forecast_holt_winters(w, h, **kw),
     "SeasonalNaive": lambda w, h, **kw: forecast_seasonal_naive(w, h, **kw),

@@ -394,6 +394,11 @@ def q_ar(spark, sf):
     return fc.forecast_ar(windows(spark, sf), H)
 
 
+@register("ts8_ar_p")
+def q_ar_p(spark, sf):
+    return fc.forecast_ar_p(windows(spark, sf), H, p=3)
+
+
 @register("ts9_harmonic")
 def q_harmonic(spark, sf):
     return fc.forecast_harmonic(windows(spark, sf), H, calendar=fc.holiday_calendar(spark, ("US",)))

@@ -77,3 +77,19 @@ def test_holt_winters_closed_form_equals_recursion(spark):
         h = r["step"]
         expect = lvl + h * tr + seas[(m - h % m) % m]
         assert math.isclose(r["p50"], expect, rel_tol=1e-9), (h, r["p50"], expect)
+
+
+def test_ar_p_recovers_coefficients(spark):
+    import datetime as dt
+    import random
+
+    rnd = random.Random(1)
+    ys = [1.0, 2.0]
+    for _ in range(400):
+        ys.append(2.0 + 0.5 * ys[-1] - 0.3 * ys[-2] + rnd.gauss(0, 0.01))
+    s = spark.createDataFrame([("i", dt.date(2020, 1, 1) + dt.timedelta(days=k), y) for k, y in enumerate(ys)],
+                              "item_id string, ts date, target_value double")
+    f = fc.forecast_wide(fc.forecast_ar_p(fc.final_cutoff(s), 2, p=2)).orderBy("step").collect()
+    e1 = 2.0 + 0.5 * ys[-1] - 0.3 * ys[-2]
+    assert abs(f[0]["p50"] - e1) < 0.01
+    assert f[0]["p10"] < f[0]["p50"] < f[0]["p90"]
