@@ -39,13 +39,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is given by the cluster's configuration and is used as is.
-    Only when it is unset (local tests) a folder of our own is chosen.
+    Only when it is unset (local tests) a folder of our own is chosen; it is registered with
+    ``SparkContext.setCheckpointDir`` (the core setting itself cannot change at runtime).
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        d = sc.getCheckpointDir()
     if not d:
         d = os.environ.get("FLOWLAB_LOCAL_CHECKPOINT") or tempfile.mkdtemp(prefix="flowlab-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
