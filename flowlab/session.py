@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,15 +38,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is given by the cluster's configuration and is used as is.
-    Only when it is unset (local tests) a folder of our own is chosen; it is registered with
-    ``SparkContext.setCheckpointDir`` (the core setting itself cannot change at runtime).
+    Only when it is unset (local tests) a folder on the default Hadoop filesystem is chosen, so
+    that every executor reaches it; it is registered with ``SparkContext.setCheckpointDir``
+    (the core setting itself cannot change at runtime).
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
-        d = os.environ.get("FLOWLAB_LOCAL_CHECKPOINT") or tempfile.mkdtemp(prefix="flowlab-ckpt-")
+        home = sc._jvm.org.apache.hadoop.fs.FileSystem.get(sc._jsc.hadoopConfiguration()).getUri().toString()
+        d = f"{home.rstrip('/')}/tmp/flowlab-ckpt-{uuid.uuid4().hex}"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
