@@ -108,12 +108,20 @@ class PatriciaOwners:
         for top in list(self.files):
             f = self.files.pop(top)
             f.flush()
-            shared, first = None, None
-            for text, _, _ in self._records(f):
-                first = text if first is None else first
-                shared = len(text) if shared is None else min(shared, common_prefix(first[:shared], text))
-            below = PatriciaOwners(self.max_bytes, max(shared or 0, self.branch + 1) if top >= 0 else 1 << 62)
-            for record in self._records(f):
-                below.insert(*record)
-            yield from below.items()
+            first = shared = None
+            one = True                                     # one distinct text: no subtree to cut further
+            owner, copies = None, 0
+            for text, o, c in self._records(f):
+                if first is None:
+                    first, shared = text, len(text)
+                one = one and text == first
+                shared = common_prefix(first[:shared], text)
+                owner, copies = smallest(owner, o), copies + c
+            if one:
+                yield first, owner, copies
+            else:                                          # these texts part right after their shared bytes
+                below = PatriciaOwners(self.max_bytes, shared)
+                for record in self._records(f):
+                    below.insert(*record)
+                yield from below.items()
             f.close()

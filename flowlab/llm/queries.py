@@ -29,3 +29,10 @@ def op5_exact_dedup(spark, sf_dir):
     from flowlab.llm.exact_dedup import exact_dedup
 
     return exact_dedup(documents(spark, sf_dir))
+
+
+@_query()
+def op1_simhash(spark, sf_dir):
+    from flowlab.llm.simhash import simhash_components
+
+    return simhash_components(documents(spark, sf_dir), shingle_words=3, max_distance=3)
