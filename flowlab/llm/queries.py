@@ -36,3 +36,12 @@ def op1_simhash(spark, sf_dir):
     from flowlab.llm.simhash import simhash_components
 
     return simhash_components(documents(spark, sf_dir), shingle_words=3, max_distance=3)
+
+
+@_query()
+def op6_packing(spark, sf_dir):
+    import public_tokenizers
+
+    from flowlab.llm.packing import pack
+
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2, sequence=4096)
