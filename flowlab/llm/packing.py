@@ -26,9 +26,9 @@ from flowlab.session import cut_lineage
 
 SEQUENCE = 4096
 #: Tokens of one length class.
-CLASS_TOKENS = 8
-#: The linear program may stop this close (relatively) to its lower bound.
-GAP = 1e-4
+CLASS_TOKENS = 16
+#: The linear program may stop this close (relatively) to its lower bound; the last thousandth takes half the columns.
+GAP = 1e-3
 
 _ENCODERS: dict[str, ChunkIds] = {}
 # one run of ASCII or Latin-1 letters and one full stop or comma: two tokens' words
@@ -110,6 +110,12 @@ def _best_pattern(sizes: np.ndarray, worth: np.ndarray, room: int) -> tuple[floa
     return float(best[room]), counts
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    # without the threads of a linear-algebra library, which may wait for ever in a driver that
+    # has forked (its JVM is a child process)
+    return np.einsum("ij,j...->i...", a, b)
+
+
 def cutting_stock(histogram: dict[int, int], room: int, gap: float = GAP, max_columns: int = 20_000) -> list[tuple[dict[int, int], int]]:
     """Patterns and how often to use them, so that all pieces of ``histogram`` (size -> number)
     have a slot in a bin of ``room``. Sizes are 1 to ``room``."""
@@ -120,14 +126,16 @@ def cutting_stock(histogram: dict[int, int], room: int, gap: float = GAP, max_co
     m = len(sizes)
     patterns = np.diag((room // sizes).astype(float))           # a column for each size, alone
     inverse = np.diag(1 / (room // sizes))
-    used = inverse @ need
+    used = _times(inverse, need)
+    bound = 0.0
     for step in range(max_columns):
         duals = inverse.sum(axis=0)                              # costs are all one
         value, column = _best_pattern(sizes, np.maximum(duals, 0), room)
         total = used.sum()
-        if value <= 1 + 1e-9 or total - total / value <= gap * total:
+        bound = max(bound, total / max(value, 1))                # no packing has fewer bins
+        if total - bound <= gap * total:
             break
-        d = inverse @ column
+        d = _times(inverse, column)
         up = d > 1e-10
         ratio = np.full(m, np.inf)
         ratio[up] = np.maximum(used[up], 0) / d[up]
@@ -136,10 +144,9 @@ def cutting_stock(histogram: dict[int, int], room: int, gap: float = GAP, max_co
         inverse[row] /= d[row]
         rest = np.arange(m) != row
         inverse[rest] -= np.outer(d[rest], inverse[row])
-        used = inverse @ need
-        if step % 200 == 199:
-            inverse = np.linalg.inv(patterns)
-            used = inverse @ need
+        if step % 200 == 199:                                    # one Newton step takes the rounding errors out
+            inverse = _times(inverse, 2 * np.eye(m) - _times(patterns, inverse))
+        used = _times(inverse, need)
     whole = np.floor(np.maximum(used, 0) + 1e-6).astype(int)
     left = need.astype(int).copy()
     plan = []
