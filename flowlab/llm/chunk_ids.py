@@ -61,3 +61,34 @@ class ChunkIds:
         ids = self.flat[np.repeat(self.begin[at] - (ends - size), size) + np.arange(total)]
         last = np.cumsum(np.fromiter(map(len, chunked), np.int64, len(chunked)))
         return ids, np.concatenate(([0], ends))[last]
+
+
+class ChunkTable:
+    """A row of numbers for every chunk, computed once while the chunk is remembered."""
+
+    def __init__(self, compute, width: int, max_chunks: int = CACHE_CHUNKS):
+        """``compute``: list of distinct byte chunks -> (n, width) array."""
+        self.compute, self.width, self.max_chunks = compute, width, max_chunks
+        self.index: dict[bytes, int] = {}
+        self.rows = np.zeros((1 << 12, width))
+
+    def __call__(self, chunked: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks of each text -> (the rows of all chunks, ends of the texts in them)."""
+        chunks = list(chain.from_iterable(chunked))
+        if len(self.index) > self.max_chunks:
+            self.index.clear()
+        new = sorted(set(chunks).difference(self.index))
+        if new:
+            n = len(self.index)
+            if n + len(new) > len(self.rows):
+                self.rows = np.concatenate([self.rows[:n], np.zeros((n + 2 * len(new), self.width))])
+            self.rows[n:n + len(new)] = self.compute(new)
+            self.index.update(zip(new, range(n, n + len(new))))
+        at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        return self.rows[at], np.cumsum(np.fromiter(map(len, chunked), np.int64, len(chunked)))
+
+
+def sums(rows: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each text."""
+    total = np.concatenate([np.zeros((1, rows.shape[1])), np.cumsum(rows, axis=0)])
+    return np.diff(total[np.concatenate(([0], ends))], axis=0)

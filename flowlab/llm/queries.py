@@ -45,3 +45,27 @@ def op6_packing(spark, sf_dir):
     from flowlab.llm.packing import pack
 
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2, sequence=4096)
+
+
+@_query()
+def op8_language_id(spark, sf_dir):
+    from flowlab.llm.language_id import fit, with_language
+
+    docs = documents(spark, sf_dir)
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = fit(docs.where(~held_out))
+    return with_language(docs.select("doc_id", "text", held_out.alias("held_out")), model) \
+        .select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+@_query()
+def op3_toxicity(spark, sf_dir):
+    from flowlab.llm.toxicity import fit, with_toxicity
+
+    docs = documents(spark, sf_dir)
+    held_out = fold(F.col("doc_id"), 3) == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out)
+    model = fit(docs.where(~held_out), labels)
+    return with_toxicity(docs.select("doc_id", "text", held_out.alias("held_out")), model).select(
+        "doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+        F.size("toxic_passages").alias("passages"))
