@@ -11,7 +11,7 @@ from itertools import chain
 import numpy as np
 
 #: Chunks that one Python worker remembers; beyond it, it starts anew.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 700_000
 
 
 class ChunkIds:
@@ -66,11 +66,11 @@ class ChunkIds:
 class ChunkTable:
     """A row of numbers for every chunk, computed once while the chunk is remembered."""
 
-    def __init__(self, compute, width: int, max_chunks: int = CACHE_CHUNKS):
+    def __init__(self, compute, width: int, max_chunks: int = CACHE_CHUNKS, dtype=np.float64):
         """``compute``: list of distinct byte chunks -> (n, width) array."""
         self.compute, self.width, self.max_chunks = compute, width, max_chunks
         self.index: dict[bytes, int] = {}
-        self.rows = np.zeros((1 << 12, width))
+        self.rows = np.zeros((1 << 12, width), dtype)
 
     def __call__(self, chunked: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Chunks of each text -> (the rows of all chunks, ends of the texts in them)."""
@@ -81,7 +81,7 @@ class ChunkTable:
         if new:
             n = len(self.index)
             if n + len(new) > len(self.rows):
-                self.rows = np.concatenate([self.rows[:n], np.zeros((n + 2 * len(new), self.width))])
+                self.rows = np.concatenate([self.rows[:n], np.zeros((n + 2 * len(new), self.width), self.rows.dtype)])
             self.rows[n:n + len(new)] = self.compute(new)
             self.index.update(zip(new, range(n, n + len(new))))
         at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))

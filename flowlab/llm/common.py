@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,14 +33,15 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
-def text_slices(batch_rows: int, sizes, limit: int = 8 << 20):
-    """Cut ``batch_rows`` rows whose byte sizes are given into runs of about ``limit`` bytes, at
-    least one row each, so that a task never holds the tokens of a whole Arrow batch."""
+def byte_slices(column: pa.Array, limit: int = 6 << 20):
+    """Runs of rows of a string column of about ``limit`` bytes, at least one row each, as
+    (first, end, UTF-8 texts; null is empty), so that a task never holds the tokens of a whole
+    Arrow batch."""
+    column = column.cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start = total = 0
-    for i in range(batch_rows):
-        total += sizes[i]
-        if total >= limit:
-            yield start, i + 1
-            start, total = i + 1, 0
-    if start < batch_rows:
-        yield start, batch_rows
+    for i, n in enumerate(sizes.tolist(), start=1):
+        total += n
+        if total >= limit or i == len(sizes):
+            yield start, i, [t or b"" for t in column.slice(start, i - start).to_pylist()]
+            start, total = i, 0

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm.chunk_ids import ChunkTable, sums
-from flowlab.llm.common import text_slices
+from flowlab.llm.common import byte_slices
 
 #: Labelled rows expected in the sample that the model is fitted on.
 SAMPLE_ROWS = 4000
@@ -141,10 +141,9 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
         m = shared.value
         table = ChunkTable(m.chunks, len(m.langs) + 1)
         for b in batches:
-            texts = [(t or "").encode() for t in b.column(at).to_pylist()]
             langs, scores = [], []
-            for lo, hi in text_slices(len(texts), [len(t) for t in texts]):
-                lang, score = m.predict(sums(*table([t.split() for t in texts[lo:hi]])))
+            for _, _, texts in byte_slices(b.column(at)):
+                lang, score = m.predict(sums(*table([t.split() for t in texts])))
                 langs += lang
                 scores += score.tolist()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],

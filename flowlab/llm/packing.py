@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.llm.chunk_ids import ChunkIds
-from flowlab.llm.common import text_slices
+from flowlab.llm.common import byte_slices
 from flowlab.operators.ranking import rank_within_group
 from flowlab.session import cut_lineage
 
@@ -71,9 +71,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, sequence: int = SE
     def run(batches):
         encode = word_encoder(tokenizer_path)
         for b in batches:
-            doc_ids, texts = b.column(0).to_pylist(), [(t or "").encode() for t in b.column(1).to_pylist()]
-            for lo, hi in text_slices(len(texts), [len(t) for t in texts]):
-                ids, ends = encode([_chunks(t) for t in texts[lo:hi]])
+            doc_ids = b.column(0).to_pylist()
+            for lo, hi, texts in byte_slices(b.column(1)):
+                ids, ends = encode([_chunks(t) for t in texts])
                 rows, begin = [], 0
                 for doc, end in zip(doc_ids[lo:hi], ends.tolist()):
                     own = np.append(ids[begin:end], np.uint32(end_id)).astype("<u4")

@@ -69,3 +69,13 @@ def op3_toxicity(spark, sf_dir):
     return with_toxicity(docs.select("doc_id", "text", held_out.alias("held_out")), model).select(
         "doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
         F.size("toxic_passages").alias("passages"))
+
+
+@_query()
+def op7_lm_score(spark, sf_dir):
+    from flowlab.llm.ngram_lm import fit, score
+
+    docs = documents(spark, sf_dir)
+    held_out = fold(F.col("doc_id"), 7) == 2
+    scored = score(docs, fit(docs.where(~held_out), order=2))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlab.llm.chunk_ids import ChunkTable
-from flowlab.llm.common import text_slices
+from flowlab.llm.common import byte_slices
 from flowlab.llm.language_id import hash_sample
 
 #: Labelled rows expected in the sample: two thirds for the weights, one third for calibration.
@@ -228,10 +228,9 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
         m = shared.value
         table = ChunkTable(m.chunks, 1)
         for b in batches:
-            texts = [(t or "").encode() for t in b.column(at).to_pylist()]
             scores, passages = [], []
-            for lo, hi in text_slices(len(texts), [len(t) for t in texts]):
-                chunked = [t.split() for t in texts[lo:hi]]
+            for _, _, texts in byte_slices(b.column(at)):
+                chunked = [t.split() for t in texts]
                 rows, ends = table(chunked)
                 begin = 0
                 for chunks, end in zip(chunked, ends.tolist()):
