@@ -79,3 +79,43 @@ def op7_lm_score(spark, sf_dir):
     held_out = fold(F.col("doc_id"), 7) == 2
     scored = score(docs, fit(docs.where(~held_out), order=2))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _tree_sql(text: str) -> str:
+    def cut(x, after):
+        return rf"string_split(regexp_replace({x}, '({after})', '\1' || chr(1), 'g'), chr(1))"
+    return (f"list_transform({cut(text, chr(92) + 'n{2,}')}, lambda s: list_transform({cut('s', chr(92) + 'n+')}, lambda p: list_transform(list_filter(flatten("
+            f"list_transform({cut('p', '[.!?]+ +')}, lambda q: {cut('q', '(?:[^ ]+ +){5}')})), lambda x: x <> ''), lambda x: md5(x))))")
+
+
+def _fingerprint_sql(text: str, nodes: str) -> str:
+    def join(x, sep):
+        return f"coalesce(array_to_string({x}, '{sep}'), '')"
+
+    def digest(x):
+        return f"md5({join(x, '')})"
+    paragraph = f"substr({digest('p')}, 1, 16) || '[' || {join('list_transform(p, lambda x: substr(x, 1, 8))', '.')} || ']'"
+    pars = f"list_transform(s, lambda p: {digest('p')})"
+    shown = f"list_transform(s, lambda p: {paragraph})"
+    section = f"substr({digest(pars)}, 1, 16) || '(' || {join(shown, ',')} || ')'"
+    secs = f"list_transform({nodes}, lambda s: {digest(pars)})"
+    shown_secs = f"list_transform({nodes}, lambda s: {section})"
+    return f"md5(md5({text}) || {join(secs, '')}) || ':' || {join(shown_secs, '/')}"
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    la, lb = (f"list_distinct(list_transform(flatten(flatten({t})), lambda x: substr(x, 1, 8)))" for t in (a, b))
+    return f"CASE WHEN greatest(len({la}), len({lb})) = 0 THEN 1.0 ELSE len(list_intersect({la}, {lb})) / greatest(len({la}), len({lb})) END"
+
+
+@_query(f"""
+WITH o AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS n_t
+           FROM documents WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT doc_id, t, n_t, length(t) AS n_chars, substr(t, 1, length(t) - length(t) // 2) || substr(n_t, 1, length(t) // 2) AS e FROM o),
+k AS (SELECT *, {_tree_sql('t')} AS a, {_tree_sql('e')} AS b, {_tree_sql('n_t')} AS c FROM e)
+SELECT doc_id, n_chars, sha256(e) AS edited_sha256, {_fingerprint_sql('t', 'a')} AS fingerprint, {_fingerprint_sql('e', 'b')} AS edited_fingerprint,
+       {_likeness_sql('a', 'b')} AS near_edited, {_likeness_sql('a', 'c')} AS near_next FROM k""")
+def op10_document_fingerprints(spark, sf_dir):
+    from flowlab.llm.merkle import edit_report
+
+    return edit_report(documents(spark, sf_dir))
