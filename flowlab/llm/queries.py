@@ -119,3 +119,35 @@ def op10_document_fingerprints(spark, sf_dir):
     from flowlab.llm.merkle import edit_report
 
     return edit_report(documents(spark, sf_dir))
+
+
+@_query(r"""
+WITH c AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn) AS l FROM conversations GROUP BY conv_id),
+u AS (SELECT min(conv_id) AS conv_id, count(*) AS copies, l FROM c GROUP BY l)
+SELECT conv_id, len(l) AS turns, copies,
+       array_to_string(list_transform(l, lambda x: '<|im_start|>' || x.r || chr(10) || x.t || '<|im_end|>' || chr(10)), '') AS rendered
+FROM u a WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.l[1] = a.l[1] AND len(b.l) > len(a.l) AND b.l[1:len(a.l)] = a.l)""")
+def op4_chat_format(spark, sf_dir):
+    from flowlab.llm.chat import render_chats
+
+    return render_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@_query()
+def op9_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    from flowlab.llm.token_counts import length_histogram, length_report, token_lengths
+
+    lengths = token_lengths(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return length_report(length_histogram(lengths))
+
+
+@_query()
+def op2_sentence_pieces(spark, sf_dir):
+    import public_tokenizers
+
+    from flowlab.llm.sentence_pieces import encode
+
+    encoded = encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), kind="bpe")
+    return encoded.select("doc_id", F.size("ids").alias("n_tokens"), "ids")
