@@ -67,7 +67,7 @@ def differing_branches(a: Column, b: Column) -> Column:
 
     def places(pair, i):
         pairs = F.arrays_zip(paragraphs(F.coalesce(pair["0"], F.lit("()"))).alias("x"), paragraphs(F.coalesce(pair["1"], F.lit("()"))).alias("y"))
-        numbered = F.transform(pairs, lambda p, j: F.struct(i.alias("section"), j.alias("paragraph"), (~p["0"].eqNullSafe(p["1"])).alias("differs")))
+        numbered = F.transform(pairs, lambda p, j: F.struct(i.alias("section"), j.alias("paragraph"), (~p["x"].eqNullSafe(p["y"])).alias("differs")))
         return F.when(pair["0"].eqNullSafe(pair["1"]), F.filter(numbered, lambda p: F.lit(False))).otherwise(F.filter(numbered, lambda p: p["differs"]))
 
     both = F.arrays_zip(sections(a), sections(b))
