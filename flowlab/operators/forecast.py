@@ -105,23 +105,34 @@ def fill_gaps(series: DataFrame, freq: str = "day", middlefill: str = "zero", ba
               end=None, fill_value: float = 0.0) -> DataFrame:
     """TS2. Complete every item's calendar from its first point to the common end (the latest
     point of any item, or ``end``). Middle gaps (before the item's last point) get
-    ``middlefill``, the tail after it gets ``backfill``: zero | value | mean | nan.
+    ``middlefill``, the tail after it gets ``backfill``: zero | value | mean | median | ffill |
+    nan. ``median`` is the item's exact median, ``ffill`` the last point before the gap (each gap
+    row joins the item's points as intervals up to the next one, so no ordered pass over an
+    item's whole history is needed).
     Adds ``was_filled``; filled points are not scored.
     """
-    span = series.groupBy(ITEM).agg(F.min(TS).alias("__first"), F.max(TS).alias("__last"),
-                                    F.avg(Y).alias("__mean"))
+    kinds = {middlefill, backfill}
+    span = series.groupBy(ITEM).agg(F.min(TS).alias("__first"), F.max(TS).alias("__last"), F.avg(Y).alias("__mean"),
+                                    (F.percentile(Y, 0.5) if "median" in kinds else F.lit(None).cast("double")).alias("__median"))
     if end is None:
         end = series_end(series)        # one scalar
     end_col = F.lit(end).cast("date")
     step = {"day": F.expr("INTERVAL 1 DAY"), "week": F.expr("INTERVAL 7 DAYS"),
             "month": F.expr("INTERVAL 1 MONTH")}[freq]
-    cal = span.select(ITEM, "__last", "__mean",
+    cal = span.select(ITEM, "__last", "__mean", "__median",
                       F.explode(F.sequence(F.col("__first"), end_col, step)).alias(TS))
     j = cal.join(series.select(ITEM, TS, Y), [ITEM, TS], "left")
+    if "ffill" in kinds:
+        # a point holds from its date to the day before the next one: lay its value over those dates
+        ahead = Window.partitionBy(ITEM).orderBy(TS)
+        held = series.select(ITEM, F.col(TS).alias("__from"), F.col(Y).alias("__held"),
+                             F.coalesce(F.lead(TS).over(ahead), F.date_add(end_col, 1)).alias("__to"))
+        held = held.select(ITEM, "__held", F.explode(F.filter(F.sequence("__from", "__to", step), lambda x: x < F.col("__to"))).alias(TS))
+        j = j.join(held, [ITEM, TS], "left")
 
     def fill(kind):
-        return {"zero": F.lit(0.0), "value": F.lit(float(fill_value)), "mean": F.col("__mean"),
-                "nan": F.lit(None).cast("double")}[kind]
+        return {"zero": F.lit(0.0), "value": F.lit(float(fill_value)), "mean": F.col("__mean"), "median": F.col("__median"),
+                "nan": F.lit(None).cast("double"), "ffill": F.col("__held") if "ffill" in kinds else None}[kind]
 
     filled = (F.when(F.col(Y).isNotNull(), F.col(Y))
               .when(F.col(TS) <= F.col("__last"), fill(middlefill))
@@ -129,8 +140,15 @@ def fill_gaps(series: DataFrame, freq: str = "day", middlefill: str = "zero", ba
     return j.select(ITEM, TS, filled.alias(Y), F.col(Y).isNull().alias("was_filled"))
 
 
-def holiday_calendar(spark, countries=("US",), start_year: int = 1990, end_year: int = 2030) -> DataFrame:
-    """Holiday table ``(country, ds, holiday)`` generated from rules; size = #years x #rules."""
+def series_years(series: DataFrame, ts: str = TS) -> tuple[int, int]:
+    """First and last year of a series (two scalars); (1970, 1970) for an empty one."""
+    lo, hi = series.agg(F.year(F.min(ts)), F.year(F.max(ts))).first()
+    return (lo, hi) if lo is not None else (1970, 1970)
+
+
+def holiday_calendar(spark, countries, start_year: int, end_year: int) -> DataFrame:
+    """Holiday table ``(country, ds, holiday)`` generated from rules; size = #years x #rules.
+    The years come from the data it serves (``series_years``), with room for a horizon."""
     rules = [r for r in HOLIDAY_RULES if r[0] in countries]
     arr = F.array(*[F.struct(F.lit(c).alias("country"), F.lit(h).alias("holiday"), F.lit(m).alias("m"),
                              F.lit(d).alias("d"), F.lit(w).alias("w"), F.lit(n).alias("n"))
@@ -175,21 +193,32 @@ def series_end(series: DataFrame):
 def backtest_windows(series: DataFrame, horizon: int, n_windows: int = 1, end=None,
                      freq: str = "day") -> DataFrame:
     """TS4. Tag rows with ``(window, cutoff, split)`` for ``n_windows`` back-to-back test
-    windows of ``horizon`` periods ending at ``end``. Window 1 is the newest. A row may
-    belong to several windows (train of an older one, test of a newer one)."""
+    windows of ``horizon`` periods (days, weeks or months) ending at ``end``. Window 1 is the
+    newest. A row may belong to several windows (train of an older one, test of a newer one).
+    Raises for other than 1 to 5 windows, or if the test windows cover more than half of the
+    longest series."""
+    if not 1 <= n_windows <= 5:
+        raise ValueError("1 to 5 backtest windows")
+    if freq not in ("day", "week", "month"):
+        raise ValueError(f"unsupported frequency {freq}")
+    begin = series.agg(F.min(TS)).first()[0]
     if end is None:
         end = series_end(series)
     if isinstance(end, str):
         end = _dt.date.fromisoformat(end[:10])
-    cuts = []
-    for k in range(1, n_windows + 1):
-        cut = end - _dt.timedelta(days=k * horizon) if freq == "day" else None
-        if cut is None:
-            raise ValueError("backtest windows are defined for daily series")
-        cuts.append((k, cut))
-    arr = F.array(*[F.struct(F.lit(k).alias("window"), F.lit(c).alias("cutoff")) for k, c in cuts])
+    def back(k):
+        last = F.lit(end).cast("date")
+        return {"day": F.date_sub(last, k * horizon), "week": F.date_sub(last, 7 * k * horizon),
+                "month": F.add_months(last, -k * horizon)}[freq]
+
+    if begin is not None and end is not None:
+        n = {"day": (end - begin).days, "week": (end - begin).days // 7,
+             "month": 12 * (end.year - begin.year) + end.month - begin.month}[freq] + 1
+        if 2 * n_windows * horizon > n:
+            raise ValueError("the test windows cover more than half of the series")
+    arr = F.array(*[F.struct(F.lit(k).alias("window"), back(k).alias("cutoff")) for k in range(1, n_windows + 1)])
     x = series.select("*", F.inline(arr))
-    lim = F.date_add(F.col("cutoff"), horizon)
+    lim = {"day": F.date_add("cutoff", horizon), "week": F.date_add("cutoff", 7 * horizon), "month": F.add_months("cutoff", horizon)}[freq]
     split = F.when(F.col(TS) <= F.col("cutoff"), F.lit("train")).when(F.col(TS) <= lim, F.lit("test"))
     return x.withColumn("split", split).filter(F.col("split").isNotNull())
 
@@ -268,11 +297,11 @@ def forecast_npts(windows: DataFrame, horizon: int, kernel: str = "exponential",
     return _long(j, "NPTS", {qq: F.col(QUANTILE_NAMES[qq]) for qq in QUANTILES})
 
 
-def forecast_ets(windows: DataFrame, horizon: int, alpha: float = 0.3) -> DataFrame:
+def forecast_ets(windows: DataFrame, horizon: int, alpha: float = 0.3, nonnegative: bool = False) -> DataFrame:
     """TS7. Simple exponential smoothing, in closed form: level at the cutoff =
     sum over history of alpha(1-alpha)^age y + (1-alpha)^n y_first, a weighted sum (one
     aggregate). Interval: weighted residual spread around the level, widened with the step
-    as in SES (sigma sqrt(1 + (h-1) alpha^2))."""
+    as in SES (sigma sqrt(1 + (h-1) alpha^2)). ``nonnegative`` cuts all quantiles at zero."""
     train = windows.filter(F.col("split") == "train")
     keys = [ITEM, "window", "cutoff"]
     age = F.datediff(F.col("cutoff"), F.col(TS))
@@ -289,8 +318,8 @@ def forecast_ets(windows: DataFrame, horizon: int, alpha: float = 0.3) -> DataFr
         F.sqrt(F.try_divide(F.sum(wts * F.pow(F.col(Y) - F.col("__level"), 2)), F.sum(wts))).alias("__sd"))
     fut = _future(train, horizon).join(st.select(*keys, "__level"), keys).join(r, keys)
     spread = F.col("__sd") * F.sqrt(1 + (F.col("step") - 1) * alpha * alpha)
-    return _long(fut, "ETS", {q: F.greatest(F.col("__level") + F.lit(Z[q]) * spread, F.lit(0.0)) if q != 0.5
-                              else F.col("__level") for q in QUANTILES})
+    value = {q: F.col("__level") + F.lit(Z[q]) * spread if q != 0.5 else F.col("__level") for q in QUANTILES}
+    return _long(fut, "ETS", {q: F.greatest(v, F.lit(0.0)) if nonnegative else v for q, v in value.items()})
 
 
 def holt_weights(alpha: float, beta: float, max_lag: int) -> list[tuple]:
@@ -455,7 +484,25 @@ def forecast_ar(windows: DataFrame, horizon: int) -> DataFrame:
     return _long(fut, "AR", {q: mean + F.lit(Z[q]) * sd for q in QUANTILES})
 
 
-def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2, ridge: float = 1e-9) -> DataFrame:
+def _solve_all(pdf, k: int):
+    """Least-squares coefficients and residual variances of a batch of normal equations (columns
+    a_i_j, b_i, yy, n), solved together. Rows are scaled to unit diagonal before a small relative
+    ridge, so constant or tiny series stay solvable; the ridge takes the least coefficients then."""
+    import numpy as np
+
+    a = np.zeros((len(pdf), k, k))
+    for i in range(k):
+        for j in range(i, k):
+            a[:, i, j] = a[:, j, i] = pdf[f"a_{i}_{j}"].to_numpy(float)
+    b = np.stack([pdf[f"b_{i}"].to_numpy(float) for i in range(k)], 1)
+    size = np.sqrt(np.maximum(np.einsum("nii->ni", a), 1e-300))
+    scaled = a / size[:, :, None] / size[:, None, :] + 1e-10 * np.eye(k)
+    beta = np.linalg.solve(scaled, (b / size)[:, :, None])[:, :, 0] / size
+    sse = pdf["yy"].to_numpy(float) - 2 * np.einsum("ni,ni->n", beta, b) + np.einsum("ni,nij,nj->n", beta, a, beta)
+    return beta, np.maximum(sse, 0.0) / np.maximum(pdf["n"].to_numpy(float) - k, 1)
+
+
+def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2) -> DataFrame:
     """TS8 (order p). y_t = c + sum_i phi_i y_(t-i) by least squares per item. The lagged
     columns come from p equi-joins on t - i (no ordered window); X'X, X'y and y'y are grouped
     sums (partial aggregation), the last p values are conditional maxima. One row per item
@@ -485,29 +532,21 @@ def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2, ridge: float = 1
     out_schema = f"{ITEM} string, window int, cutoff date, step int, {TS} date, algorithm string, quantile double, value double"
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            A = np.zeros((k, k))
-            for a in range(k):
-                for b in range(a, k):
-                    A[a, b] = A[b, a] = r[f"a_{a}_{b}"]
-            bvec = np.array([r[f"b_{a}"] for a in range(k)])
-            beta = np.linalg.solve(A + ridge * np.eye(k), bvec)
-            sse = max(r["yy"] - 2 * beta @ bvec + beta @ A @ beta, 0.0)
-            s2 = sse / max(r["n"] - k, 1)
-            c, phi = beta[0], beta[1:]
-            hist = [r[f"last_{q}"] for q in range(p)]          # newest first
-            psi, acc = [1.0], 0.0
-            for h in range(1, horizon + 1):
-                mean = c + sum(phi[q] * hist[q] for q in range(p))
-                hist = [mean] + hist[:-1]
-                acc += psi[h - 1] ** 2
-                psi.append(sum(phi[q] * psi[h - 1 - q] for q in range(p) if h - 1 - q >= 0))
-                sd = (s2 * acc) ** 0.5
-                day = r["cutoff"] + pd.Timedelta(days=h)
-                for q in QUANTILES:
-                    rows.append([r[ITEM], int(r["window"]), r["cutoff"], h, day, f"AR{p}", q, mean + Z[q] * sd])
-        return pd.DataFrame(rows, columns=[ITEM, "window", "cutoff", "step", TS, "algorithm", "quantile", "value"])
+        beta, s2 = _solve_all(pdf, k)
+        c, phi = beta[:, 0], beta[:, 1:]
+        hist = np.stack([pdf[f"last_{q}"].to_numpy(float) for q in range(p)], 1)      # newest first
+        psi, acc, parts = [np.ones(len(pdf))], np.zeros(len(pdf)), []
+        cutoff = pd.to_datetime(pdf["cutoff"])
+        for h in range(1, horizon + 1):                                # all items of the batch step together
+            mean = c + np.einsum("np,np->n", phi, hist)
+            hist = np.concatenate([mean[:, None], hist[:, :-1]], 1)
+            acc = acc + psi[h - 1] ** 2
+            psi.append(sum((phi[:, q] * psi[h - 1 - q] for q in range(p) if h - 1 - q >= 0), np.zeros(len(pdf))))
+            sd = np.sqrt(s2 * acc)
+            for q in QUANTILES:
+                parts.append(pd.DataFrame({ITEM: pdf[ITEM], "window": pdf["window"], "cutoff": pdf["cutoff"], "step": h,
+                                           TS: (cutoff + pd.Timedelta(days=h)).dt.date, "algorithm": f"AR{p}", "quantile": q, "value": mean + Z[q] * sd}))
+        return pd.concat(parts)
 
     return j.mapInPandas(lambda it: (solve(pdf) for pdf in it), out_schema)
 
@@ -535,13 +574,12 @@ def _design(df: DataFrame, fourier: int, calendar: DataFrame | None, country: st
 
 
 def forecast_harmonic(windows: DataFrame, horizon: int, fourier: int = 2, calendar: DataFrame | None = None,
-                      country: str = "US", ridge: float = 1e-6) -> DataFrame:
+                      country: str = "US") -> DataFrame:
     """TS9. Trend + yearly/weekly Fourier terms (+ holiday flag) by least squares per item.
 
     X'X and X'y are sums of products: computed as grouped aggregates (partial, skew-safe),
     then each item's small system (k x k, k <= 15) is solved in an Arrow-batched pandas
     function over one row per item. Interval from the residual variance."""
-    import numpy as np
     import pandas as pd
 
     train = windows.filter(F.col("split") == "train")
@@ -557,18 +595,8 @@ def forecast_harmonic(windows: DataFrame, horizon: int, fourier: int = 2, calend
                            + ["s2 double"])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            A = np.zeros((k, k))
-            for i in range(k):
-                for j in range(i, k):
-                    A[i, j] = A[j, i] = r[f"a_{i}_{j}"]
-            b = np.array([r[f"b_{i}"] for i in range(k)])
-            beta = np.linalg.solve(A + ridge * np.eye(k), b)
-            sse = max(r["yy"] - 2 * beta @ b + beta @ A @ beta, 0.0)
-            s2 = sse / max(r["n"] - k, 1)
-            rows.append([r[ITEM], int(r["window"]), r["cutoff"], *beta.tolist(), s2])
-        return pd.DataFrame(rows, columns=[ITEM, "window", "cutoff"] + [f"beta_{i}" for i in range(k)] + ["s2"])
+        beta, s2 = _solve_all(pdf, k)
+        return pdf[[ITEM, "window", "cutoff"]].assign(**{f"beta_{i}": beta[:, i] for i in range(k)}, s2=s2)
 
     fit = st.mapInPandas(lambda it: (solve(p) for p in it), out_schema)
     fut, _ = _design(_future(train, horizon), fourier, calendar, country)

@@ -100,10 +100,9 @@ def rule_condition(expression: str):
     return F.expr(_VAR.sub(lambda m: f"`{m.group(1)}`", expression))
 
 
-def apply_rules(df: DataFrame, rules, mode: str = "FIRST_MATCHED", scale: float = 1.0) -> DataFrame:
+def apply_rules(df: DataFrame, rules, mode: str = "FIRST_MATCHED") -> DataFrame:
     """FRD5. Ordered rules evaluated as one CASE expression (FIRST_MATCHED) or as the array
-    of all matching rule ids (ALL_MATCHED). No match -> null rule, empty outcomes.
-    ``scale`` multiplies every numeric literal threshold (e.g. to move rules to another unit)."""
+    of all matching rule ids (ALL_MATCHED). No match -> null rule, empty outcomes."""
     conds = [rule_condition(r.expression) for r in rules]
     if mode == "FIRST_MATCHED":
         rid = out = None
@@ -176,7 +175,7 @@ def review_queue(scored: DataFrame, score_col: str = "fraud_model_insightscore",
     return out
 
 
-# Fields shown to a reviewer, in display order.
+# Fields shown to a reviewer, in display order.
 REVIEW_FIELDS = ["trans_num", "amt", "zip", "city", "first", "job", "street", "category", "city_pop",
                  "gender", "cc_num", "last", "state", "merchant"]
 
@@ -205,7 +204,7 @@ def ingest_verdicts(spark, path: str, multiline: bool = True) -> DataFrame:
     return raw.select(
         F.col("humanLoopName"),
         F.col("inputContent.taskObject.variables")["trans_num"].alias("trans_num"),
-        F.col("humanAnswers")[0]["answerContent"]["category"]["label"].alias("verdict"),
+        F.get("humanAnswers", F.lit(0))["answerContent"]["category"]["label"].alias("verdict"),
         F.col("inputContent.score.fraud_model_insightscore").alias("fraud_model_insightscore"),
     )
 

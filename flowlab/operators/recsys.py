@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .aggregates import drop_duplicate_rows
 from .joins import enrich_ranked_list
@@ -25,6 +26,7 @@ METADATA_MAPPINGS = [("title", "string", "TITLE", "string"), ("genres", "string"
                      ("(right) movieId", "string", "ITEM_ID", "long")]
 METADATA_FIELDS = ["genres", "title", "(right) movieId"]
 DEFAULT_K = 25
+SALTS = 16          # tasks that share the rows of a popular item in a join on items
 # ------------------------------------------------------------------------------------------
 
 
@@ -109,11 +111,11 @@ def tune(train: DataFrame, holdout_input: DataFrame, holdout_truth: DataFrame, g
 # ---- deterministic recommenders ----------------------------------------------------------------
 
 def popularity_count(interactions: DataFrame, item: str = ITEM) -> DataFrame:
-    """REC10. Events per item, with the catalogue share (scores sum to 1, REC5). The total is
-    one scalar, so no window has to hold the whole catalogue."""
+    """REC10. Events per item, with the catalogue share (scores sum to 1). The total comes from
+    the counts in the same plan: one scalar subquery over the grouped rows."""
     c = interactions.groupBy(item).agg(F.count(F.lit(1)).cast("bigint").alias("events"))
-    total = interactions.count()
-    return c.withColumn("score", F.col("events") / F.lit(float(max(total, 1))))
+    total = c.agg(F.sum("events").alias("__total"))
+    return c.withColumn("score", F.col("events") / total.scalar())
 
 
 def top_k(cands: DataFrame, k: int, user: str = USER, item: str = ITEM, score: str = "score") -> DataFrame:
@@ -148,27 +150,63 @@ def recommend_with_context(interactions: DataFrame, requests: DataFrame, context
     by their popularity within that context, and ``k`` always applies (Q18). The per-context
     top-k table has #contexts x k rows."""
     ctx_top = top_k(context_popularity(interactions, context, item), k, user=context, item=item)
-    return requests.select(user, context).join(ctx_top, context).select(user, context, "rank", item, "score")
+    lists = ctx_top.groupBy(context).agg(F.array_sort(F.collect_list(F.struct("rank", item, "score"))).alias("__list"))   # at most k each
+    return requests.select(user, context).join(lists, context).select(user, context, F.inline("__list"))
+
+
+def rerank_in_context(cands: DataFrame, interactions: DataFrame, requests: DataFrame, context: str, k: int = DEFAULT_K,
+                      user: str = USER, item: str = ITEM) -> DataFrame:
+    """REC8. The user's own scores re-weighted by the request's context: score x the share of the
+    item's events that fall into that context (0 for an item never seen in it), the top ``k`` of
+    each (user, context). ``cands`` holds each user's scored candidates."""
+    seen = interactions.groupBy(item, context).agg(F.count(F.lit(1)).alias("__n"))
+    share = seen.join(seen.groupBy(F.col(item).alias("__it")).agg(F.sum("__n").alias("__t")), F.col(item) == F.col("__it")) \
+        .select(F.col(item).alias("__it"), F.col(context).alias("__ctx"), (F.col("__n") / F.col("__t")).alias("__share"))
+    asked = requests.select(user, context).distinct().join(cands.select(user, item, "score"), user)
+    scored = asked.join(share, (F.col(item) == F.col("__it")) & (F.col(context) == F.col("__ctx")), "left") \
+        .select(user, context, item, (F.col("score") * F.coalesce("__share", F.lit(0.0))).alias("score"))
+    w = Window.partitionBy(user, context).orderBy(F.col("score").desc(), F.col(item))
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def explore(cands: DataFrame, interactions: DataFrame, weight: float = 0.3, age_cutoff_days: int = 30,
             k: int = DEFAULT_K, user: str = USER, item: str = ITEM, ts: str = TSC) -> DataFrame:
-    """REC7. Blend ``(1-w) score + w bonus``; bonus 1 for items whose first event is within
-    ``age_cutoff_days`` of the latest event in the data (new items), then re-take the top-k."""
+    """REC7. Blend ``(1-w) score + w bonus`` and take the top-k again. New items (first event
+    within ``age_cutoff_days`` of the latest event) have bonus 1 and are candidates of their own,
+    with score 0 where a user's list lacks them. All new items tie in a user's blend but for that
+    score, so of those a list lacks only the first k by id can win a slot: a list of at most
+    ``k`` plus the list's length is laid beside each user, and no item is a join key."""
     first = interactions.groupBy(item).agg(F.min(ts).alias("__first"))
-    latest = interactions.agg(F.max(ts).alias("__latest")).first()[0]     # one scalar
-    bonus = first.select(item, (F.col("__first") >= F.lit(latest - age_cutoff_days * 86400)).cast("double")
-                         .alias("__bonus"))
-    b = cands.drop("rank").join(bonus, item, "left").withColumn(
-        "score", (1 - weight) * F.col("score") + weight * F.coalesce(F.col("__bonus"), F.lit(0.0))).drop("__bonus")
-    return top_k(b, k, user, item)
-
-
-def normalise_scores(cands: DataFrame, user: str = USER, score: str = "score") -> DataFrame:
-    """REC5 for a given per-user candidate set: softmax, each in [0,1], sum 1 per user."""
-    w = Window.partitionBy(user)
-    e = F.exp(F.col(score) - F.max(score).over(w))
-    return cands.withColumn(score, e / F.sum(e).over(w))
+    latest = interactions.agg((F.max(ts) - age_cutoff_days * 86400).alias("__cutoff"))
+    new = first.where(F.col("__first") >= latest.scalar())
+    it = interactions.schema[item].dataType
+    longest = cands.groupBy(user).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]    # one scalar: the length of a list
+    # new items a list lacks: among the first (k + longest) ids at least k are not in it
+    head = [r[0] for r in new.orderBy(item).limit(k + longest).select(item).collect()]
+    fresh = F.array(*[F.lit(x).cast(it) for x in head]) if head else F.array().cast(T.ArrayType(it))
+    # a popular item is a candidate of very many users: its rows are dealt over salts
+    salted = new.select(F.col(item).alias("__new"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    marked = cands.join(salted, (F.col(item) == F.col("__new")) & (F.pmod(F.xxhash64(user), F.lit(SALTS)) == F.col("__salt")), "left")
+    own = marked.groupBy(user).agg(F.collect_list(F.struct(F.col(item).alias("i"), F.col("score").cast("double").alias("s"),
+                                                           F.col("__new").isNotNull().alias("n"))).alias("__own"))
+    blend = F.transform("__own", lambda c: F.struct(((1 - weight) * c["s"] + F.when(c["n"], F.lit(float(weight))).otherwise(0.0)).alias("score"), c["i"].alias("i")))
+    extra = F.transform(F.array_except(fresh, F.transform("__own", lambda c: c["i"])), lambda x: F.struct(F.lit(float(weight)).alias("score"), x.alias("i")))
+    e = own.select(user, F.inline(F.concat(blend, extra))).withColumnRenamed("i", item)
+    return top_k(e, k, user, item)
+
+
+def normalise_scores(catalogue: DataFrame, score: str = "score", key: str | None = None) -> DataFrame:
+    """REC5. Softmax over the whole catalogue, before any top-k: each score in [0, 1], the sum 1
+    (per ``key``, if given, e.g. a segment). The maximum and the sum are aggregates, so no task
+    has to hold a catalogue."""
+    if key is None:
+        top = catalogue.agg(F.max(score).alias("__m"))
+        e = catalogue.withColumn("__e", F.exp(F.col(score) - top.scalar()))
+        return e.withColumn(score, F.col("__e") / e.agg(F.sum("__e").alias("__s")).scalar()).drop("__e")
+    top = catalogue.groupBy(F.col(key).alias("__k")).agg(F.max(score).alias("__m"))
+    e = catalogue.join(top, F.col(key) == F.col("__k")).withColumn("__e", F.exp(F.col(score) - F.col("__m"))).drop("__k", "__m")
+    total = e.groupBy(F.col(key).alias("__k")).agg(F.sum("__e").alias("__s"))
+    return e.join(total, F.col(key) == F.col("__k")).withColumn(score, F.col("__e") / F.col("__s")).drop("__e", "__k", "__s")
 
 
 # ---- evaluation -------------------------------------------------------------------------------
@@ -187,6 +225,15 @@ def evaluate_split(interactions: DataFrame, test_fraction: float = 0.1, input_fr
             "test_truth": test.filter(~cut).drop("__rank", "__size")}
 
 
+def segmentation_split(interactions: DataFrame, train_fraction: float = 0.8, seed: int = 0, user: str = USER,
+                       item: str = ITEM, ts: str = TSC) -> dict[str, DataFrame]:
+    """REC11 for segmentation (REC6): the oldest ``train_fraction`` of each user's events train,
+    the newest rest are the truth."""
+    ranked = rank_within_group(interactions, user, [ts, item])
+    cut = F.col("__rank") <= F.floor(F.col("__size") * train_fraction)
+    return {"train": ranked.filter(cut).drop("__rank", "__size"), "truth": ranked.filter(~cut).drop("__rank", "__size")}
+
+
 def ranking_metrics(recs: DataFrame, truth: DataFrame, ks=(5, 10, 25), user: str = USER,
                     item: str = ITEM) -> DataFrame:
     """REC13-REC15. MRR@max(k), NDCG@k (weight 1/log(1+position)) and precision@k, averaged

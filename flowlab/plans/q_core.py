@@ -56,11 +56,13 @@ def q_inferred(spark, sf):
     return rd.read_csv_inferred(spark, path)
 
 
-@register("src5_read_csv_matching")
+@register("src5_read_csv_matching", RAW_SQL)
 def q_matching(spark, sf):
     base = rd.scratch_path(spark, "matching")
-    transactions_raw(spark, sf).write.option("header", True).csv(base)
-    return rd.read_csv_matching(spark, base, RAW_DDL, ".csv", r"^part-0000[0-9]-")
+    raw = transactions_raw(spark, sf)
+    raw.write.option("header", True).csv(base + "/kept")
+    raw.limit(0).write.option("header", True).json(base + "/other")           # other formats beside it are not matched
+    return rd.read_csv_matching(spark, base, RAW_DDL, ".csv", r"^part-\d+-")
 
 
 @register("src10_create_external_table", with_views("SELECT CAST(count(*) AS BIGINT) AS n FROM demand", "demand"))

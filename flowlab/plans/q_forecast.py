@@ -27,8 +27,8 @@ def raw_series(spark, sf):
                     F.col("target_value").alias("y"), "item_id")
 
 
-def prepared(spark, sf):
-    return fc.prepare_series(raw_series(spark, sf), item_col="item_id", years=YEARS)
+def prepared(spark, sf, years=None):
+    return fc.prepare_series(raw_series(spark, sf), item_col="item_id", years=years)
 
 
 def daily(spark, sf):
@@ -51,6 +51,12 @@ def windows(spark, sf):
     return cut_lineage(fc.backtest_windows(f, H, NW))
 
 
+def us_holidays(series):
+    """US holidays of the years of a series, and of the year after it (a horizon may reach it)."""
+    lo, hi = fc.series_years(series)
+    return fc.holiday_calendar(series.sparkSession, ("US",), lo, hi + 1)
+
+
 def all_forecasts(spark, sf, w=None):
     w = w if w is not None else windows(spark, sf)
     parts = [fc.forecast_npts(w, H, decay=DECAY), fc.forecast_ets(w, H, alpha=ALPHA), fc.forecast_ar(w, H),
@@ -72,12 +78,15 @@ def metrics(spark, sf):
 
 
 # ---- SQL twins ---------------------------------------------------------------------------------
+ALL_PREP_SQL = with_views("""
+SELECT TRY_CAST(ds AS TIMESTAMP) AS "timestamp", TRY_CAST(y AS DOUBLE) AS target_value, item_id
+FROM (SELECT strftime("timestamp", '%Y-%m-%d') AS ds, target_value AS y, item_id FROM demand) r""", "demand")
 PREP_SQL = with_views(f"""
 SELECT TRY_CAST(ds AS TIMESTAMP) AS "timestamp", TRY_CAST(y AS DOUBLE) AS target_value, item_id
 FROM (SELECT strftime("timestamp", '%Y-%m-%d') AS ds, target_value AS y, item_id FROM demand) r
 WHERE ds >= '{YEARS[0] + 1}-01-01' AND ds < '{YEARS[1]}-01-01'""", "demand")
 DAILY_SQL = f"""SELECT item_id, CAST(date_trunc('day', "timestamp") AS DATE) AS ts, sum(target_value) AS target_value
-FROM ({PREP_SQL}) p GROUP BY ALL"""
+FROM ({ALL_PREP_SQL}) p GROUP BY ALL"""
 FILLED_SQL = f"""
 WITH d AS ({DAILY_SQL}),
 span AS (SELECT item_id, min(ts) AS f, max(ts) AS l FROM d GROUP BY 1),
@@ -124,8 +133,8 @@ sd AS (SELECT {KEYS}, sqrt(sum({ALPHA} * pow(1 - {ALPHA}, age) * pow(target_valu
        FROM tr JOIN lv USING (item_id, "window", cutoff) GROUP BY ALL),
 ets_j AS (SELECT fu.*, lvl, sd * sqrt(1 + (step - 1) * {ALPHA} * {ALPHA}) AS spread
           FROM fut fu JOIN lv USING (item_id, "window", cutoff) JOIN sd USING (item_id, "window", cutoff)),
-ets AS ({_long_sql("ets_j", "ETS", {0.1: f"greatest(lvl + ({fc.Z[0.1]}) * spread, 0.0)", 0.5: "lvl",
-                                    0.9: f"greatest(lvl + ({fc.Z[0.9]}) * spread, 0.0)"})})"""
+ets AS ({_long_sql("ets_j", "ETS", {0.1: f"lvl + ({fc.Z[0.1]}) * spread", 0.5: "lvl",
+                                    0.9: f"lvl + ({fc.Z[0.9]}) * spread"})})"""
 
 AR_SQL = f"""
 trn AS (SELECT {KEYS}, ts, target_value FROM wins WHERE split = 'train'),
@@ -266,7 +275,7 @@ FROM m GROUP BY algorithm"""
 # ---- registrations --------------------------------------------------------------------------
 @register("ts1_prepare_series", PREP_SQL)
 def q_prepare(spark, sf):
-    return prepared(spark, sf)
+    return prepared(spark, sf, YEARS)
 
 
 @register("flt2_year_range", with_views("""SELECT item_id, "timestamp", target_value FROM demand
@@ -298,6 +307,59 @@ def q_resample(spark, sf):
     return resample(demand(spark, sf), "week", "sum", ts="timestamp")
 
 
+def _resample_sql(unit):
+    return with_views(f"""SELECT item_id, date_trunc('{unit}', "timestamp") AS "timestamp", sum(target_value) AS target_value
+FROM demand GROUP BY ALL""", "demand")
+
+
+@register("agg2_resample_daily", _resample_sql("day"))
+def q_resample_day(spark, sf):
+    return resample(demand(spark, sf), "day", "sum", ts="timestamp")
+
+
+@register("agg2_resample_monthly", _resample_sql("month"))
+def q_resample_month(spark, sf):
+    return resample(demand(spark, sf), "month", "sum", ts="timestamp")
+
+
+@register("agg2_resample_hourly", """
+SELECT event_type AS item_id, date_trunc('hour', ts) AS "timestamp", sum(value) AS target_value FROM events GROUP BY ALL""")
+def q_resample_hour(spark, sf):
+    from .views import table
+
+    e = table(spark, sf, "events").select(F.col("event_type").alias("item_id"), F.col("ts").alias("timestamp"), F.col("value").alias("target_value"))
+    return resample(e, "hour", "sum", ts="timestamp")
+
+
+@register("ts2_fill_gaps_median_ffill", f"""
+WITH d AS ({DAILY_SQL}),
+span AS (SELECT item_id, min(ts) AS f, max(ts) AS l, median(target_value) AS med FROM d GROUP BY 1),
+e AS (SELECT max(ts) AS e FROM d),
+cal AS (SELECT item_id, l, med, CAST(unnest(generate_series(f, e.e, INTERVAL 1 DAY)) AS DATE) AS ts FROM span, e)
+SELECT cal.item_id, cal.ts, CASE WHEN d.target_value IS NOT NULL THEN d.target_value WHEN cal.ts <= l THEN med
+       ELSE last_value(d.target_value IGNORE NULLS) OVER (PARTITION BY cal.item_id ORDER BY cal.ts) END AS target_value,
+       d.target_value IS NULL AS was_filled
+FROM cal LEFT JOIN d USING (item_id, ts)""")
+def q_fill_median(spark, sf):
+    return fc.fill_gaps(daily(spark, sf), middlefill="median", backfill="ffill")
+
+
+@register("ts4_backtest_windows_weekly", f"""
+WITH f AS (SELECT item_id, CAST(date_trunc('week', "timestamp") AS DATE) AS ts, sum(target_value) AS target_value FROM ({ALL_PREP_SQL}) p GROUP BY ALL),
+w AS (SELECT CAST(k AS INTEGER) AS "window", CAST(e - CAST(k * 28 AS INTEGER) AS DATE) AS cutoff FROM range(1, 3) t(k), (SELECT max(ts) AS e FROM f) m)
+SELECT f.*, w."window", w.cutoff, CASE WHEN ts <= cutoff THEN 'train' ELSE 'test' END AS split FROM f, w WHERE ts <= cutoff + 28""")
+def q_windows_weekly(spark, sf):
+    return fc.backtest_windows(fc.to_daily(prepared(spark, sf), freq="week"), 4, 2, freq="week")
+
+
+@register("ts4_backtest_windows_monthly", f"""
+WITH f AS (SELECT item_id, CAST(date_trunc('month', "timestamp") AS DATE) AS ts, sum(target_value) AS target_value FROM ({ALL_PREP_SQL}) p GROUP BY ALL),
+w AS (SELECT CAST(k AS INTEGER) AS "window", CAST(e - to_months(CAST(k * 3 AS INTEGER)) AS DATE) AS cutoff FROM range(1, 4) t(k), (SELECT max(ts) AS e FROM f) m)
+SELECT f.*, w."window", w.cutoff, CASE WHEN ts <= cutoff THEN 'train' ELSE 'test' END AS split FROM f, w WHERE ts <= cutoff + to_months(3)""")
+def q_windows_monthly(spark, sf):
+    return fc.backtest_windows(fc.to_daily(prepared(spark, sf), freq="month"), 3, 3, freq="month")
+
+
 @register("ts2_fill_gaps", FILLED_SQL)
 def q_fill(spark, sf):
     return filled(spark, sf)
@@ -308,15 +370,14 @@ SELECT country, CASE WHEN d > 0 THEN make_date(y, m, d)
                      WHEN n = -1 THEN CAST(last_day(make_date(y, m, 1)) - CAST(((dayofweek(last_day(make_date(y, m, 1))) + 1) - w + 7) % 7 AS INTEGER) AS DATE)
                      ELSE CAST(make_date(y, m, 1) + CAST((w - (dayofweek(make_date(y, m, 1)) + 1) + 7) % 7 + 7 * (n - 1) AS INTEGER) AS DATE) END AS ds,
        holiday
-FROM (SELECT CAST(range AS INTEGER) AS y FROM range(1990, 2031)) yy,
+FROM (SELECT CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS y FROM (SELECT year(min(ts)) AS lo, year(max(ts)) AS hi FROM ({DAILY_SQL}) s)) yy,
      (VALUES {", ".join("('%s', '%s', %d, %d, %d, %d)" % (c, h.replace("'", "''"), m, d, w, n) for c, h, m, d, w, n in fc.HOLIDAY_RULES)})
        r(country, holiday, m, d, w, n)"""
 
 
 @register("joi5_holiday_calendar", HOLIDAY_SQL)
 def q_holidays(spark, sf):
-    # the calendar spans the years of the given tables' demand dates (fixed 1990-2030 window)
-    return fc.holiday_calendar(spark, ("US", "DE", "GB"), 1990, 2030)
+    return fc.holiday_calendar(spark, ("US", "DE", "GB"), *fc.series_years(demand(spark, sf), "timestamp"))
 
 
 @register("joi5_attach_holidays", f"""
@@ -324,7 +385,8 @@ WITH d AS ({DAILY_SQL}), c AS ({HOLIDAY_SQL}),
 cu AS (SELECT ds, min(holiday) AS holiday FROM c WHERE country = 'US' GROUP BY ds)
 SELECT d.*, cu.holiday FROM d LEFT JOIN cu ON d.ts = cu.ds""")
 def q_attach_holidays(spark, sf):
-    return attach_holidays(daily(spark, sf), fc.holiday_calendar(spark, ("US",)), "US", "ts", "holiday")
+    d = daily(spark, sf)
+    return attach_holidays(d, us_holidays(d), "US", "ts", "holiday")
 
 
 @register("ts3_calendar_features", f"""
@@ -338,7 +400,8 @@ SELECT d.*, CAST(dayofweek(ts) + 1 AS INTEGER) AS dow, CAST(month(ts) AS INTEGER
        cu.holiday, CAST(cu.holiday IS NOT NULL AS INTEGER) AS is_holiday
 FROM d LEFT JOIN cu ON d.ts = cu.ds""")
 def q_calendar(spark, sf):
-    return fc.calendar_features(daily(spark, sf), fc.holiday_calendar(spark, ("US",)), "US")
+    d = daily(spark, sf)
+    return fc.calendar_features(d, us_holidays(d), "US")
 
 
 @register("ts4_backtest_windows", WINDOWS_SQL)
@@ -401,7 +464,8 @@ def q_ar_p(spark, sf):
 
 @register("ts9_harmonic")
 def q_harmonic(spark, sf):
-    return fc.forecast_harmonic(windows(spark, sf), H, calendar=fc.holiday_calendar(spark, ("US",)))
+    w = windows(spark, sf)
+    return fc.forecast_harmonic(w, H, calendar=us_holidays(w))
 
 
 @register("ts10_ts11_evaluate", METRICS_SQL)
@@ -482,4 +546,5 @@ def q_forecast_map(spark, sf):
 
 @register("ts17_explain_impact")
 def q_impact(spark, sf):
-    return fc.explain_impact(windows(spark, sf), H, fc.holiday_calendar(spark, ("US",)))
+    w = windows(spark, sf)
+    return fc.explain_impact(w, H, us_holidays(w))

@@ -85,7 +85,7 @@ def flagship(spark, sf):
     """Raw transactions -> typed, labelled, cut-off split, stratified test sample -> routed by
     the ordered amount rules -> outcome counts."""
     s = fr.apply_rules(prepared(spark, sf)["test_sample"], fr.AMOUNT_RULES)
-    return s.groupBy("rule_id", F.col("outcomes")[0].alias("outcome")).agg(
+    return s.groupBy("rule_id", F.get("outcomes", F.lit(0)).alias("outcome")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"), F.sum("amt").alias("amount"))
 
 

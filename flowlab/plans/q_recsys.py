@@ -168,17 +168,40 @@ def q_rec_popular(spark, sf):
     return all_user_recs(spark, sf)
 
 
-@register("rec5_normalise_scores", f"""
-WITH r AS ({ALL_RECS_SQL}), e AS (SELECT *, exp(score - max(score) OVER (PARTITION BY USER_ID)) AS ex FROM r)
-SELECT USER_ID, rank, ITEM_ID, ex / sum(ex) OVER (PARTITION BY USER_ID) AS score FROM e""")
-def q_normalise(spark, sf):
-    return rs.normalise_scores(all_user_recs(spark, sf))
-
-
 CTX_SQL = with_views("""SELECT DISTINCT movieId AS ITEM_ID, userId AS USER_ID, "timestamp" AS "TIMESTAMP", context
 FROM ratings""", "ratings")
 
 
+@register("rec5_normalise_scores", f"""
+WITH p AS (SELECT ITEM_ID, count(*) AS events FROM ({INTER_SQL}) i GROUP BY 1),
+e AS (SELECT ITEM_ID, events, exp(ln(events) - max(ln(events)) OVER ()) AS ex FROM p)
+SELECT ITEM_ID, events, ex / sum(ex) OVER () AS score FROM e""")
+def q_normalise(spark, sf):
+    return rs.normalise_scores(rs.popularity_count(interactions(spark, sf)).withColumn("score", F.log("events")))
+
+
+@register("rec5_normalise_by_context", f"""
+WITH c AS ({CTX_SQL}), p AS (SELECT context, ITEM_ID, count(*) AS n FROM c GROUP BY 1, 2),
+e AS (SELECT context, ITEM_ID, exp(n - max(n) OVER (PARTITION BY context)) AS ex FROM p)
+SELECT context, ITEM_ID, ex / sum(ex) OVER (PARTITION BY context) AS score FROM e""")
+def q_normalise_context(spark, sf):
+    c = with_context(spark, sf).groupBy("context", "ITEM_ID").agg(F.count(F.lit(1)).cast("double").alias("score"))
+    return rs.normalise_scores(c, key="context")
+
+
+@register("rec8_rerank_in_context", f"""
+WITH c AS ({CTX_SQL}), r AS ({ALL_RECS_SQL}),
+n AS (SELECT ITEM_ID, context, count(*) AS n FROM c GROUP BY 1, 2),
+sh AS (SELECT ITEM_ID, context, n / sum(n) OVER (PARTITION BY ITEM_ID) AS share FROM n),
+s AS (SELECT q.USER_ID, q.context, r.ITEM_ID, r.score * coalesce(sh.share, 0.0) AS score
+      FROM (SELECT DISTINCT USER_ID, context FROM c) q JOIN r USING (USER_ID) LEFT JOIN sh ON sh.ITEM_ID = r.ITEM_ID AND sh.context = q.context)
+SELECT USER_ID, context, ITEM_ID, score, CAST(rank AS INTEGER) AS rank FROM
+  (SELECT *, row_number() OVER (PARTITION BY USER_ID, context ORDER BY score DESC, ITEM_ID) AS rank FROM s) x WHERE rank <= 10""")
+def q_rerank_context(spark, sf):
+    c = with_context(spark, sf)
+    return rs.rerank_in_context(all_user_recs(spark, sf), c, c, "context", 10)
+
+
 @register("rec8_recommend_with_context", f"""
 WITH c AS ({CTX_SQL}),
 cp AS (SELECT context, ITEM_ID, count(*) / sum(count(*)) OVER (PARTITION BY context) AS score FROM c GROUP BY context, ITEM_ID),
@@ -194,8 +217,11 @@ def q_context(spark, sf):
 WITH i AS ({INTER_SQL}),
 c AS ({_popular_sql(INTER_SQL, INTER_SQL, 2 * K)}),
 f AS (SELECT ITEM_ID, min("TIMESTAMP") AS first_ts FROM i GROUP BY 1),
-b AS (SELECT c.USER_ID, c.ITEM_ID, 0.7 * c.score + 0.3 * coalesce(CAST(f.first_ts >= (SELECT max("TIMESTAMP") FROM i) - 30 * 86400 AS DOUBLE), 0.0) AS score
-      FROM c LEFT JOIN f USING (ITEM_ID)),
+nw AS (SELECT ITEM_ID FROM f WHERE first_ts >= (SELECT max("TIMESTAMP") FROM i) - 30 * 86400),
+b AS (SELECT c.USER_ID, c.ITEM_ID, 0.7 * c.score + CASE WHEN nw.ITEM_ID IS NOT NULL THEN 0.3 ELSE 0.0 END AS score
+      FROM c LEFT JOIN nw USING (ITEM_ID)
+      UNION ALL SELECT u.USER_ID, nw.ITEM_ID, 0.3 FROM (SELECT DISTINCT USER_ID FROM c) u, (SELECT ITEM_ID FROM nw ORDER BY 1 LIMIT {4 * K}) nw
+      WHERE NOT EXISTS (SELECT 1 FROM c x WHERE x.USER_ID = u.USER_ID AND x.ITEM_ID = nw.ITEM_ID)),
 r AS (SELECT *, row_number() OVER (PARTITION BY USER_ID ORDER BY score DESC, ITEM_ID) AS rank FROM b)
 SELECT USER_ID, ITEM_ID, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= {K}""")
 def q_explore(spark, sf):
@@ -235,6 +261,29 @@ SELECT avg(coalesce(1.0 / first_hit, 0.0)) AS mrr_at_{kmax},
 FROM u"""
 
 
+_SEG = f"""WITH t AS (SELECT *, row_number() OVER (PARTITION BY USER_ID ORDER BY "TIMESTAMP", ITEM_ID) AS rk, count(*) OVER (PARTITION BY USER_ID) AS n
+FROM ({INTER_SQL}) i) SELECT ITEM_ID, USER_ID, "TIMESTAMP" FROM t WHERE rk {{}} floor(n * 0.8)"""
+
+
+@register("rec11_segmentation_train", _SEG.format("<="))
+def q_segmentation_train(spark, sf):
+    return rs.segmentation_split(interactions(spark, sf))["train"]
+
+
+@register("rec11_segmentation_truth", _SEG.format(">"))
+def q_segmentation_truth(spark, sf):
+    return rs.segmentation_split(interactions(spark, sf))["truth"]
+
+
+@register("rec11_split_keeps_context", f"""
+WITH c AS ({CTX_SQL}), t AS (SELECT *, row_number() OVER (PARTITION BY USER_ID ORDER BY "TIMESTAMP", ITEM_ID, context) AS rk, count(*) OVER (PARTITION BY USER_ID) AS n
+FROM c WHERE substr(md5('0:' || CAST(USER_ID AS VARCHAR)), 1, 8) < '19999999')
+SELECT context, CAST(count(*) AS BIGINT) AS events FROM t GROUP BY 1""")
+def q_split_context(spark, sf):
+    s = rs.evaluate_split(with_context(spark, sf))
+    return s["test_input"].unionByName(s["test_truth"]).groupBy("context").agg(F.count(F.lit(1)).cast("bigint").alias("events"))
+
+
 @register("rec13_15_ranking_metrics", _metrics_sql(POP_TEST_SQL, TEST_TRUTH_SQL))
 def q_metrics(spark, sf):
     return rs.ranking_metrics(popular_for_test_users(spark, sf), split(spark, sf)["test_truth"])
@@ -367,8 +416,8 @@ def q_als(spark, sf):
 def q_segment(spark, sf):
     inter = interactions(spark, sf)
     model, uid, iid = _als(spark, sf, inter)
-    top_items = rs.popularity_count(inter).orderBy(F.col("events").desc(), "ITEM_ID").limit(20)
-    return rs.segment_users(model, uid, iid, top_items, K)
+    asked = rs.segmentation_split(inter)["truth"].select("ITEM_ID")          # the request table: items of the held-back events
+    return rs.segment_users(model, uid, iid, asked, K)
 
 
 @register("rec3_tune")
