@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .filters import score_band, time_cutoff_split
 from .mapping import (VariableSpec, apply_mapping, copy_column, drop_fields, event_envelope,
                       recode_label)
+from .ranking import cumulative_within_group
 from .sampling import stratified_exact_sample
 
 # ---- fixed values (must equal the reference's) -------------------------------------------
@@ -256,24 +257,17 @@ def score_counts(df: DataFrame, score_col: str, label_col: str, positive="fraud"
 
 def roc_curve(df: DataFrame, score_col: str, label_col: str, positive="fraud") -> DataFrame:
     """FRD12. (threshold, TPR, FPR) at every distinct score, from the per-score counts."""
-    from pyspark.sql import Window
-
-    c = score_counts(df, score_col, label_col, positive)
-    w = Window.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy()
-    return c.select(
-        F.col("score").alias("threshold"),
-        (F.sum("pos").over(w) / F.sum("pos").over(tot)).alias("TPR"),
-        (F.sum("neg").over(w) / F.sum("neg").over(tot)).alias("FPR"))
+    c = score_counts(df, score_col, label_col, positive).withColumn("__down", -F.col("score"))
+    c = cumulative_within_group(c, [], ["__down"], "pos", cum_col="__tp", total_col="__p")
+    c = cumulative_within_group(c, [], ["__down"], "neg", cum_col="__fp", total_col="__n")
+    return c.select(F.col("score").alias("threshold"), (F.col("__tp") / F.col("__p")).alias("TPR"), (F.col("__fp") / F.col("__n")).alias("FPR"))
 
 
 def auc(df: DataFrame, score_col: str, label_col: str, positive="fraud") -> DataFrame:
     """FRD12. Exact AUC = P(s+ > s-) + 0.5 P(s+ = s-), ties included, from per-score counts."""
-    from pyspark.sql import Window
-
     c = score_counts(df, score_col, label_col, positive)
-    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    x = c.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    x = cumulative_within_group(c, [], ["score"], "neg", cum_col="__up_to", total_col="__all") \
+        .withColumn("neg_below", F.col("__up_to") - F.col("neg"))
     return x.agg(
         (F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg")))
          / (F.sum("pos") * F.sum("neg"))).alias("auc"))

@@ -33,9 +33,11 @@ def enrich_ranked_list(df: DataFrame, key_col: str, list_col: str, items: DataFr
     ``value_expr`` is a Column over the ``items`` frame. Lists are short (top-k), so each
     regrouped row holds at most k elements; unknown ids keep their slot as null.
     """
+    salts = 16                   # a popular id is in very many lists: its rows are dealt over salts
     e = df.select(key_col, F.posexplode(list_col).alias("__pos", "__id"))
-    lk = items.select(F.col(item_key).alias("__k"), value_expr.alias("__v"))
-    j = e.join(lk, e["__id"] == lk["__k"].cast(e.schema["__id"].dataType), "left")
+    lk = items.select(F.col(item_key).cast(e.schema["__id"].dataType).alias("__k"), value_expr.alias("__v"),
+                      F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
+    j = e.join(lk, (F.col("__id") == F.col("__k")) & (F.pmod(F.xxhash64(key_col), F.lit(salts)) == F.col("__salt")), "left")
     g = j.groupBy(key_col).agg(F.array_sort(F.collect_list(F.struct("__pos", "__v"))).alias("__s"))
     return g.select(key_col, F.transform("__s", lambda s: s["__v"]).alias(out))
 

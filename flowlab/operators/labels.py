@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Numbers (labels x dimensions) of a model that may lie beside every vector.
+MODEL_NUMBERS = 4_000_000
+
 
 def train_labels(vectors: DataFrame, vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """IMG1. Centroid per label: per-dimension mean, aggregated map-side by (label, dim).
@@ -21,16 +24,17 @@ def detect_labels(model: DataFrame, vectors: DataFrame, min_confidence: float =
     """IMG2. Ranked labels per vector: confidence = 100 x softmax(-distance / temperature)
     over the labels; labels under ``min_confidence`` are not reported (a vector may get none).
 
-    The model (one centroid per label) is fetched once and compiled into the expression, so
-    scoring is a per-row map with no join; its size is #labels x dims."""
-    cents = model.orderBy(label_col).collect()
+    The model (one centroid per label) becomes one row with an array of centroids, laid beside
+    every vector, so scoring is a per-row map; its size, #labels x dims, is checked against
+    ``MODEL_NUMBERS`` first."""
+    size = model.agg(F.sum(F.size("centroid"))).first()[0] or 0          # one scalar
+    if size > MODEL_NUMBERS:
+        raise ValueError(f"the model holds {size} numbers, more than {MODEL_NUMBERS}: score it in blocks of labels")
+    row = model.agg(F.array_sort(F.collect_list(F.struct(F.col(label_col).alias("Name"), F.col("centroid").alias("c")))).alias("__m"))
     vec = F.col(vec_col)
-    dists = F.array(*[F.struct(F.lit(r[label_col]).alias("Name"),
-                               F.sqrt(F.aggregate(F.zip_with(vec, F.array(*[F.lit(float(x)) for x in r["centroid"]]),
-                                                             lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)),
-                                                  F.lit(0.0), lambda acc, v: acc + v)).alias("d"))
-                      for r in cents])
-    x = vectors.select(id_col, label_col, dists.alias("__d"))
+    dists = F.transform("__m", lambda r: F.struct(r["Name"].alias("Name"), F.sqrt(F.aggregate(
+        F.zip_with(vec, r["c"], lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)), F.lit(0.0), lambda acc, v: acc + v)).alias("d")))
+    x = vectors.withColumn("__m", row.scalar()).select(id_col, label_col, dists.alias("__d"))
     mind = F.array_min(F.transform("__d", lambda s: s["d"]))
     ex = F.transform("__d", lambda s: F.struct(s["Name"].alias("Name"),
                                                F.exp(-(s["d"] - mind) / temperature).alias("e")))

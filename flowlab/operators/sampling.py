@@ -38,25 +38,25 @@ def latest_events(df: DataFrame, ts: str, n: int, tie: str | None = None) -> Dat
 
 def stratified_exact_sample(df: DataFrame, label: str, counts: dict, seed: int = 0,
                             id_col: str | None = None, stable: bool = True) -> DataFrame:
-    """SMP2. Exactly min(n, available) rows per label value, UNION ALL over labels.
+    """SMP2. Exactly min(n, available) rows per label value, in one pass: the rank of a row in
+    its label by a stable hash is compared with the label's count (the limit on the rank is
+    applied in each map task before the shuffle).
 
     ``stable`` orders by md5(seed:id) (needs ``id_col``); otherwise by ``rand(seed)`` like
     ``ORDER BY RAND() LIMIT n``.
     """
-    parts = []
-    for value, n in counts.items():
-        sub = df.filter(F.col(label) == F.lit(value))
-        if stable:
-            if id_col is None:
-                raise ValueError("stable sampling needs id_col")
-            sub = sub.orderBy(stable_hash(id_col, seed), F.col(id_col)).limit(int(n))
-        else:
-            sub = sub.orderBy(F.rand(seed)).limit(int(n))
-        parts.append(sub)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if stable and id_col is None:
+        raise ValueError("stable sampling needs id_col")
+    wanted = df.filter(F.col(label).isin(list(counts)))
+    if not counts:
+        return wanted
+    n = None
+    for value, k in counts.items():
+        n = (F.when if n is None else n.when)(F.col(label) == F.lit(value), F.lit(int(k)))
+    order = [stable_hash(id_col, seed), F.col(id_col)] if stable else [F.rand(seed)]
+    w = Window.partitionBy(label).orderBy(*order)
+    return wanted.withColumn("__rn", F.row_number().over(w)) \
+        .filter((F.col("__rn") <= max(map(int, counts.values()))) & (F.col("__rn") <= n)).drop("__rn")
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 0, id_col: str | None = None) -> DataFrame:

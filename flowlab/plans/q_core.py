@@ -23,6 +23,7 @@ from .views import SQL_VIEWS, table, transactions_raw, with_views
 RAW_DDL = ("`index` bigint, trans_date_trans_time string, cc_num bigint, merchant string, category string, amt double, "
            "`first` string, state string, zip bigint, lat double, unix_time bigint, trans_num string, is_fraud bigint")
 RAW_SQL = with_views("SELECT * FROM transactions_raw", "transactions_raw")
+RAW_NAMES = [c.split()[0].strip("`") for c in RAW_DDL.split(", ")]
 
 
 # ---- sources and sinks -----------------------------------------------------------------------------
@@ -110,10 +111,24 @@ def q_export(spark, sf):
     return spark.read.option("header", True).schema("trans_num string, EVENT_LABEL string, kind string").csv(base)
 
 
-@register("snk5_order_event_columns")
+def _filled_sql(source: str, names, tail) -> str:
+    rows = ", ".join(f'''({i}, '{c}', (SELECT count("{c}") FROM t))''' for i, c in enumerate([n for n in names if n not in tail] + [n for n in tail if n in names]))
+    return f"WITH t AS ({source}) SELECT CAST(pos AS INTEGER) AS pos, name, CAST(filled AS BIGINT) AS filled FROM (VALUES {rows}) v(pos, name, filled)"
+
+
+def _filled(df):
+    """Position, name and number of non-null values of every column, from one pass over the rows."""
+    one = df.agg(*[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(df.columns)])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"), F.col(f"n{i}").alias("filled"))
+                                         for i, c in enumerate(df.columns)])))
+
+
+@register("snk5_order_event_columns", _filled_sql(RAW_SQL, RAW_NAMES, ["category", "amt"]))
 def q_order(spark, sf):
-    cols = prepared(spark, sf)["train"].columns
-    return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "pos int, name string")
+    """The raw columns with two of them put last, and how many rows fill each."""
+    from ..operators.fraud import order_event_columns
+
+    return _filled(order_event_columns(transactions_raw(spark, sf), ("category", "amt")))
 
 
 # ---- projections --------------------------------------------------------------------------------------

@@ -122,8 +122,12 @@ def q_prepare_test_sample(spark, sf):
 
 @register("frd2_model_variables")
 def q_model_variables(spark, sf):
+    """The training table's variables with the rows that fill each and its distinct values."""
     train = prepared(spark, sf)["train"]
-    return spark.createDataFrame([(i, c) for i, c in enumerate(fr.model_variables(train))], "pos int, variable string")
+    names = fr.model_variables(train)
+    one = train.agg(*[x for i, c in enumerate(names) for x in (F.count(f"`{c}`").alias(f"n{i}"), F.approx_count_distinct(f"`{c}`").alias(f"d{i}"))])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("variable"), F.col(f"n{i}").alias("filled"),
+                                                  F.col(f"d{i}").alias("about_distinct")) for i, c in enumerate(names)])))
 
 
 @register("frd4_insight_score", f"SELECT trans_num, amt, {S} FROM ({SCORED_SQL}) s")

@@ -120,12 +120,13 @@ def create_external_table(spark: SparkSession, name: str, location: str, schema,
 
 
 def latest_output(spark: SparkSession, folder: str, fmt: str = "csv", schema=None, **options) -> DataFrame:
-    """SRC11. Rows of the newest file under a folder (by modification time), chosen by an
-    aggregate over file metadata, not a driver-side listing."""
+    """SRC11. Rows of the newest file under a folder (by modification time, then path). The
+    newest path is an aggregate over the files' names and times (their content is not read);
+    then that one path is read. An empty folder raises, as any missing input does."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", options.get("recursiveFileLookup", "true")) \
+        .load(folder).select("path", "modificationTime").where(~F.col("path").rlike("/[._][^/]*$"))
+    newest = files.agg(F.max(F.struct("modificationTime", "path"))["path"]).first()[0]
     r = spark.read.format(fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)
-    df = r.load(folder).withColumn("__file", F.col("_metadata.file_path")) \
-        .withColumn("__mtime", F.col("_metadata.file_modification_time"))
-    newest = df.agg(F.max_by("__file", "__mtime").alias("__newest"))
-    return df.join(F.broadcast(newest), F.col("__file") == F.col("__newest"), "left_semi").drop("__file", "__mtime")
+    return r.load(newest)
