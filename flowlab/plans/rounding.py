@@ -1,11 +1,16 @@
 """Top-level double columns per registered query (generated by tools/gen_rounding.py).
 
-Both the Spark result and the oracle round these to 6 decimals so that last-digit
-differences between engines (summation order, libm) do not change the compared values."""
+Both the Spark result and the oracle keep ``SIGNIFICANT`` digits of these, so that last-digit
+differences between engines (summation order, libm) do not change the compared values, while
+shares that shrink with the data keep theirs. Values below ``TINY`` count as zero."""
 
-ROUND_DIGITS = 6
+SIGNIFICANT = 9
+TINY = 1e-12
 
 ROUND_COLS = {
+    'agg2_resample_daily': ['target_value'],
+    'agg2_resample_hourly': ['target_value'],
+    'agg2_resample_monthly': ['target_value'],
     'agg2_resample_weekly': ['target_value'],
     'flt2_year_range': ['target_value'],
     'flt2_year_range_inclusive': ['target_value'],
@@ -48,10 +53,12 @@ ROUND_COLS = {
     'rec13_15_ranking_metrics': ['mrr_at_25', 'ndcg_at_5', 'precision_at_5', 'ndcg_at_10', 'precision_at_10', 'ndcg_at_25', 'precision_at_25'],
     'rec2_rec4_als_recommend': ['score'],
     'rec3_tune': ['ndcg'],
+    'rec5_normalise_by_context': ['score'],
     'rec5_normalise_scores': ['score'],
     'rec6_als_segment_users': ['score'],
     'rec7_explore': ['score'],
     'rec8_recommend_with_context': ['score'],
+    'rec8_rerank_in_context': ['score'],
     'rec_als_metrics': ['mrr_at_25', 'ndcg_at_5', 'precision_at_5', 'ndcg_at_10', 'precision_at_10', 'ndcg_at_25', 'precision_at_25'],
     'smp1_latest_events': ['value'],
     'smp3_bernoulli_sample_hash': ['rating'],
@@ -83,8 +90,11 @@ ROUND_COLS = {
     'ts17_explain_impact': ['delta', 'impact'],
     'ts1_prepare_series': ['target_value'],
     'ts2_fill_gaps': ['target_value'],
+    'ts2_fill_gaps_median_ffill': ['target_value'],
     'ts3_calendar_features': ['target_value', 'sin_y1', 'cos_y1', 'sin_y2', 'cos_y2', 'sin_w1', 'cos_w1'],
     'ts4_backtest_windows': ['target_value'],
+    'ts4_backtest_windows_monthly': ['target_value'],
+    'ts4_backtest_windows_weekly': ['target_value'],
     'ts5_seasonal_naive': ['quantile', 'value'],
     'ts6_npts': ['quantile', 'value'],
     'ts6_npts_seasonal': ['quantile', 'value'],
@@ -95,7 +105,21 @@ ROUND_COLS = {
     'ts9_harmonic': ['quantile', 'value'],
     'txt2_transcript_words': ['start_time', 'end_time', 'confidence', 'pause'],
     'txt4_flatten_entities': ['Score'],
+    'txt4_flatten_key_phrases': ['Score'],
     'txt6_learn_lexicon': ['polarity'],
     'txt7_entities': ['Score'],
     'txt8_key_phrases': ['Score'],
 }
+
+
+def significant(column):
+    """A Spark column rounded to ``SIGNIFICANT`` digits."""
+    from pyspark.sql import functions as F
+
+    text = F.format_string(f"%.{SIGNIFICANT - 1}e", column.cast("double")).cast("double")
+    return F.when(F.abs(column) < TINY, F.lit(0.0)).when(column.isNotNull(), text)
+
+
+def significant_sql(name: str) -> str:
+    """The same in the oracle's SQL."""
+    return f"CASE WHEN abs(\"{name}\") < {TINY} THEN 0.0 WHEN \"{name}\" IS NOT NULL THEN CAST(format('{{:.{SIGNIFICANT - 1}e}}', CAST(\"{name}\" AS DOUBLE)) AS DOUBLE) END"

@@ -19,14 +19,10 @@ def main():
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
         if cols:
             out[name] = cols
-    lines = ['"""Top-level double columns per registered query (generated by tools/gen_rounding.py).',
-             "", "Both the Spark result and the oracle round these to 6 decimals so that last-digit",
-             'differences between engines (summation order, libm) do not change the compared values."""',
-             "", "ROUND_DIGITS = 6", "", "ROUND_COLS = {"]
-    for k, v in out.items():
-        lines.append(f"    {k!r}: {v!r},")
-    lines.append("}")
-    open("flowlab/plans/rounding.py", "w").write("\n".join(lines) + "\n")
+    path = "flowlab/plans/rounding.py"
+    text = open(path).read()
+    begin, end = text.index("ROUND_COLS = {"), text.index("}\n") + 2
+    open(path, "w").write(text[:begin] + "ROUND_COLS = {\n" + "".join(f"    {k!r}: {v!r},\n" for k, v in out.items()) + "}\n" + text[end:])
     spark.stop()
 
 
