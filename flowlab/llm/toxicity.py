@@ -4,7 +4,7 @@ Token weights are log-odds of toxic against clean labelled texts, shrunk by a Di
 the prior of a word is the rate of its first letters, theirs the rate of the corpus. A small
 cost for each token makes the expected weight negative, so a linear scan (all maximal scoring
 segments) finds the passages that stand out. Extreme-value statistics say how large a segment
-a clean text of that length would show by chance; the significant ones are summed and mapped
+a clean text of that length would show by chance; the most significant one is mapped
 to a probability on labelled rows that the weights were not learned from.
 
 Fitted on a bounded sample of labelled rows (``SAMPLE_ROWS`` expected, by a hash of the id);
@@ -111,7 +111,8 @@ class ToxicityModel:
         return [self.decay * s - np.log(self.spread * max(n, 1)) for s, _, _ in segments]
 
     def total(self, evidence) -> float:
-        return float(sum(e for e in evidence if e > -np.log(EXPECTED_BY_CHANCE)))
+        """The evidence of the most significant segment: the extreme value that chance has to match."""
+        return float(max((e for e in evidence if e > -np.log(EXPECTED_BY_CHANCE)), default=0.0))
 
     def probability(self, total: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.slope * total, -50, 50))))
@@ -154,17 +155,26 @@ def _decay(histogram: np.ndarray) -> float:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Bias and slope by Newton steps with a weak prior on both."""
-    b, a = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.5
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(b + a * x, -30, 30)))
+    """Bias and slope (not negative) by Newton steps with a weak prior; a step that does not raise
+    the likelihood is halved, as a bare Newton step may overshoot where all is nearly certain."""
+    def gain(t):
+        z = t[0] + t[1] * x
+        return float((y * z - np.logaddexp(0, z)).sum() - 5e-3 * (t[0] ** 2 + t[1] ** 2))
+
+    t = np.array([np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.0])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(t[0] + t[1] * x, -500, 500)))
         w = p * (1 - p)
-        gb, ga = (y - p).sum() - 1e-2 * b, ((y - p) * x).sum() - 1e-2 * (a - 0.5)
+        gb, ga = (y - p).sum() - 1e-2 * t[0], ((y - p) * x).sum() - 1e-2 * t[1]
         hbb, hab, haa = w.sum() + 1e-2, (w * x).sum(), (w * x * x).sum() + 1e-2
         det = hbb * haa - hab * hab
-        db, da = (haa * gb - hab * ga) / det, (hbb * ga - hab * gb) / det
-        b, a = b + np.clip(db, -2, 2), a + np.clip(da, -2, 2)
-    return float(b), float(max(a, 0.0))
+        step, now = np.array([haa * gb - hab * ga, hbb * ga - hab * gb]) / det, gain(t)
+        while gain(t + step) < now and np.abs(step).max() > 1e-9:
+            step /= 2
+        t = t + step
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(t[0]), float(max(t[1], 0.0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
