@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .filters import score_band, time_cutoff_split
 from .mapping import (VariableSpec, apply_mapping, copy_column, drop_fields, event_envelope,
                       recode_label)
@@ -316,7 +317,7 @@ def prepare_training(df: DataFrame, spec, label_col: str, positive) -> DataFrame
     from .mapping import conform_variables
 
     d = conform_variables(df, spec).withColumn("label", (F.col(label_col) == F.lit(positive)).cast("double"))
-    d = d.filter(F.col(label_col).isNotNull())
+    d = cut_lineage(d.filter(F.col(label_col).isNotNull()))      # counted for the weights, then read by every pass of the fit
     from pyspark.sql import Window
     # class weight = n / (2 * n_class), from a grouped count (<= 2 rows) joined back
     cnt = d.groupBy("label").agg(F.count(F.lit(1)).alias("__n"))

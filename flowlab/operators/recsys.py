@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .aggregates import drop_duplicate_rows
 from .joins import enrich_ranked_list
 from .mapping import apply_mapping, split_fields
@@ -63,9 +64,11 @@ def train_recommender(interactions: DataFrame, rank: int = 10, max_iter: int = 1
     """REC2. Implicit ALS over dense int ids (built in parallel). Returns (model, user_ids, item_ids)."""
     from pyspark.ml.recommendation import ALS
 
-    uid = dense_index(interactions, user, "__u")
-    iid = dense_index(interactions, item, "__i")
-    data = implicit_counts(interactions, user, item).join(uid, user).join(iid, item)
+    # written once: the counts feed both indexes and the fit, the indexes every later request
+    counts = cut_lineage(implicit_counts(interactions, user, item))
+    uid = cut_lineage(dense_index(counts, user, "__u"))
+    iid = cut_lineage(dense_index(counts, item, "__i"))
+    data = cut_lineage(counts.join(uid, user).join(iid, item))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, userCol="__u",
               itemCol="__i", ratingCol="strength", coldStartStrategy="drop", seed=seed, nonnegative=False)
     return als.fit(data), uid, iid
