@@ -48,12 +48,16 @@ def fingerprint(text: Column, nodes: Column) -> Column:
     return F.concat(root, F.lit(":"), F.array_join(F.transform(nodes, section), "/"))
 
 
+def short_leaves(nodes: Column) -> Column:
+    """The distinct leaves of a tree, each by the 8 digits its fingerprint shows."""
+    return F.array_distinct(F.transform(F.flatten(F.flatten(nodes)), lambda x: F.substring(x, 1, 8)))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: the share of distinct leaves that two trees have in common, of the larger tree's;
-    two trees without leaves are alike."""
-    la, lb = (F.transform(F.flatten(F.flatten(t)), lambda x: F.substring(x, 1, 8)) for t in (a, b))
-    larger = F.greatest(F.size(F.array_distinct(la)), F.size(F.array_distinct(lb)))
-    return F.when(larger == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(la, lb)) / larger)
+    """0 to 1: the share of leaves that two trees (their :func:`short_leaves`) have in common, of
+    the larger tree's; two trees without leaves are alike."""
+    larger = F.greatest(F.size(a), F.size(b))
+    return F.when(larger == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / larger)
 
 
 def differing_branches(a: Column, b: Column) -> Column:
@@ -102,16 +106,30 @@ def next_ids(ids: DataFrame) -> DataFrame:
 def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next. The edited text ends with the beginning of the next document's (next
-    smaller id; of rows that share an id, the first text in binary order stands for it). Null
-    texts are empty. Repeated rows stay; a single document follows itself; empty in, empty out."""
-    d = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("t"))
-    following = d.groupBy(F.col("doc_id").alias("n_id")).agg(F.min("t").alias("n_t"))
-    with_next = d.join(next_ids(d).select(F.col("doc_id").alias("o_id"), "next_id"), F.col("doc_id").eqNullSafe(F.col("o_id"))) \
-        .join(following, F.col("next_id").eqNullSafe(F.col("n_id")))
+    smaller id; of rows that share an id, the text with the smallest md5 stands for it). Null
+    texts are empty. Repeated rows stay; a single document follows itself; empty in, empty out.
+
+    Texts are dealt by id once; a document then sends the one before it no more than the
+    characters it needs and the leaves of its tree, four bytes each."""
+    def key(i):                    # never null, so that grouping and joining by it share one shuffle
+        return F.struct(i.isNull().alias("none"), F.coalesce(i, F.lit(0)).alias("id"))
+
+    d = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("t")) \
+        .select(key(F.col("doc_id")).alias("k"), "t")          # both joins below read this one shuffle
+    lengths = d.groupBy(F.col("k").alias("l")).agg(F.max(F.char_length("t")).alias("l_chars"))
+    follows = next_ids(docs.select(docs[id_col].cast("long").alias("doc_id"))).select(key(F.col("doc_id")).alias("f"), key(F.col("next_id")).alias("x")) \
+        .join(lengths, F.col("f") == F.col("l")).select("f", "x", "l_chars")
+    sent = d.join(follows, F.col("k") == F.col("x")).select("f", F.struct(
+        F.md5("t").alias("h"), F.substring("t", F.lit(1), F.floor(F.col("l_chars") / 2).cast("int")).alias("head"),
+        F.unhex(F.array_join(short_leaves(tree(F.col("t"))), "")).alias("leaves")).alias("n"))
+    one = sent.groupBy("f").agg(F.min("n").alias("n"))
     half = F.floor(F.char_length("t") / 2).cast("int")
-    e = with_next.select("doc_id", "t", F.char_length("t").cast("long").alias("n_chars"), "n_t", F.concat(
-        F.substring("t", F.lit(1), F.char_length("t") - half), F.substring("n_t", F.lit(1), half)).alias("e"))
-    trees = e.select("*", tree(F.col("t")).alias("a"), tree(F.col("e")).alias("b"), tree(F.col("n_t")).alias("c"))
-    return trees.select("doc_id", "n_chars", F.sha2("e", 256).alias("edited_sha256"), fingerprint(F.col("t"), F.col("a")).alias("fingerprint"),
-                        fingerprint(F.col("e"), F.col("b")).alias("edited_fingerprint"), likeness(F.col("a"), F.col("b")).alias("near_edited"),
-                        likeness(F.col("a"), F.col("c")).alias("near_next"))
+    e = d.join(one, F.col("k") == F.col("f")).select(
+        F.when(~F.col("k.none"), F.col("k.id")).alias("doc_id"), "t", F.char_length("t").cast("long").alias("n_chars"),
+        F.concat(F.substring("t", F.lit(1), F.char_length("t") - half), F.substring("n.head", F.lit(1), half)).alias("e"),
+        F.regexp_extract_all(F.lower(F.hex("n.leaves")), F.lit(".{8}"), F.lit(0)).alias("c"))
+    trees = e.select("*", tree(F.col("t")).alias("a"), tree(F.col("e")).alias("b"))
+    near = trees.select("*", short_leaves(F.col("a")).alias("la"), short_leaves(F.col("b")).alias("lb"))
+    return near.select("doc_id", "n_chars", F.sha2("e", 256).alias("edited_sha256"), fingerprint(F.col("t"), F.col("a")).alias("fingerprint"),
+                       fingerprint(F.col("e"), F.col("b")).alias("edited_fingerprint"), likeness(F.col("la"), F.col("lb")).alias("near_edited"),
+                       likeness(F.col("la"), F.col("c")).alias("near_next"))
