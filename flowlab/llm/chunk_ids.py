@@ -11,7 +11,15 @@ from itertools import chain
 import numpy as np
 
 #: Chunks that one Python worker remembers; beyond it, it starts anew.
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS = 500_000
+_REMEMBERED: list[dict] = []
+
+
+def remembered(by_name: dict) -> dict:
+    """A worker's encoders, by name. The worker may next run tasks of another operator, whose
+    table takes their place."""
+    _REMEMBERED.append(by_name)
+    return by_name
 
 
 class ChunkIds:
@@ -68,6 +76,8 @@ class ChunkTable:
 
     def __init__(self, compute, width: int, max_chunks: int = CACHE_CHUNKS, dtype=np.float64):
         """``compute``: list of distinct byte chunks -> (n, width) array."""
+        for encoders in _REMEMBERED:
+            encoders.clear()
         self.compute, self.width, self.max_chunks = compute, width, max_chunks
         self.index: dict[bytes, int] = {}
         self.rows = np.zeros((1 << 12, width), dtype)

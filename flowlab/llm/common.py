@@ -33,7 +33,7 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
-def byte_slices(column: pa.Array, limit: int = 6 << 20):
+def byte_slices(column: pa.Array, limit: int = 3 << 20):
     """Runs of rows of a string column of about ``limit`` bytes, at least one row each, as
     (first, end, UTF-8 texts; null is empty), so that a task never holds the tokens of a whole
     Arrow batch."""

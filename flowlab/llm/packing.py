@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkIds
+from flowlab.llm.chunk_ids import ChunkIds, remembered
 from flowlab.llm.common import byte_slices
 from flowlab.operators.ranking import rank_within_group
 from flowlab.session import cut_lineage
@@ -30,7 +30,7 @@ CLASS_TOKENS = 16
 #: The linear program may stop this close (relatively) to its lower bound; the last thousandth takes half the columns.
 GAP = 1e-3
 
-_ENCODERS: dict[str, ChunkIds] = {}
+_ENCODERS = remembered({})
 # one run of ASCII or Latin-1 letters and one full stop or comma: two tokens' words
 _STEM_STOP = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,])")
 
@@ -44,7 +44,10 @@ def word_encoder(path: str) -> ChunkIds:
         tok = Tokenizer.from_file(path)
 
         def direct(chunks):
-            return [e.ids for e in tok.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
+            out = []
+            for i in range(0, len(chunks), 4096):             # an encoding holds much more than its ids
+                out += [e.ids for e in tok.encode_batch_fast([c.decode() for c in chunks[i:i + 4096]], add_special_tokens=False)]
+            return out
 
         def encode(chunks):
             # a word and its full stop are encoded apart: many chunks share the word

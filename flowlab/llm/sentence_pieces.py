@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkIds
+from flowlab.llm.chunk_ids import ChunkIds, remembered
 from flowlab.llm.common import byte_slices
 
 MARK = "▁"
 #: Score of a character without a piece, below the lowest piece's (unigram models).
 UNKNOWN_PENALTY = 10.0
-_READERS: dict = {}
+_READERS = remembered({})
 
 
 class PieceModel:
