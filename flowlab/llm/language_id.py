@@ -75,31 +75,45 @@ class LanguageModel:
         counts = [defaultdict(lambda: np.zeros(len(self.langs))) for _ in range(NGRAM + 1)]
         for lang, size, gram, n in rows:
             counts[size][gram][at[lang]] += n
-        self.levels = []
+        # one table of log frequencies: words first, then the n-grams by length; each has its index
+        self.index, tables, n_rows = [], [], 0
         for c in counts:
             keys = sorted(c)
             m = np.array([c[k] for k in keys]) if keys else np.zeros((0, len(self.langs)))
-            logs = np.log((m + SMOOTHING) / (m.sum(axis=0) + SMOOTHING * (len(keys) + 1)))
-            self.levels.append(({k: i for i, k in enumerate(keys)}, logs.astype(np.float32)))
-
-    def word(self, word: str) -> np.ndarray:
-        at, logs = self.levels[0]
-        if word in at:
-            return logs[at[word]]
+            tables.append(np.log((m + SMOOTHING) / (m.sum(axis=0) + SMOOTHING * (len(keys) + 1))))
+            self.index.append({k: n_rows + i for i, k in enumerate(keys)})
+            n_rows += len(keys)
+        self.logs = np.concatenate(tables)
+
+    def evidence(self, word: str) -> list[int]:
+        """Rows of the table that speak for a word: its own, or those of the longest n-grams known."""
+        own = self.index[0].get(word)
+        if own is not None:
+            return [own]
+        w = f" {word} "
         for size in range(NGRAM, 0, -1):
-            at, logs = self.levels[size]
-            found = [at[g] for g in _grams(word, size) if g in at]
+            at = self.index[size]
+            found = [at[g] for i in range(len(w) - size + 1) if (g := w[i:i + size]) in at]
             if found:
-                return logs[found].mean(axis=0)
-        return np.zeros(len(self.langs))
+                return found
+        return []
 
     def chunks(self, chunks: list[bytes]) -> np.ndarray:
-        """For each chunk: the words' scores by language, then the number of words."""
+        """For each chunk: the words' scores by language (n-grams by their mean), then the number of words."""
         out = np.zeros((len(chunks), len(self.langs) + 1))
+        rows, sizes, owner = [], [], []
         for i, c in enumerate(chunks):
             for w in _words(c.decode()):
-                out[i, :-1] += self.word(w)
+                found = self.evidence(w)
                 out[i, -1] += 1
+                if found:
+                    rows += found
+                    sizes.append(len(found))
+                    owner.append(i)
+        if rows:
+            n = np.array(sizes)
+            means = np.add.reduceat(self.logs[rows], np.cumsum(n) - n, axis=0) / n[:, None]
+            np.add.at(out, (np.array(owner)[:, None], np.arange(len(self.langs))[None, :]), means)
         return out
 
     def predict(self, totals: np.ndarray) -> tuple[list[str], np.ndarray]:
