@@ -29,16 +29,27 @@ RAW_NAMES = [c.split()[0].strip("`") for c in RAW_DDL.split(", ")]
 # ---- sources and sinks -----------------------------------------------------------------------------
 @register("src1_snk1_single_csv_round_trip", RAW_SQL)
 def q_csv(spark, sf):
-    path = rd.scratch_path(spark, "single") + "/transactions.csv"
-    sk.write_single_csv(transactions_raw(spark, sf), path)
+    """SRC1 over a parallel write. SNK1's single file is for bounded results only, see below."""
+    path = rd.scratch_path(spark, "csv")
+    transactions_raw(spark, sf).write.option("header", True).option("escape", '"').csv(path)
     return rd.read_csv(spark, path, RAW_DDL)
 
 
+@register("snk1_single_csv_of_test_sample", f"SELECT trans_num, amt FROM ({TEST_SAMPLE_SQL}) s")
+def q_single_csv(spark, sf):
+    """The one-file sink on the test sample, whose size the strata's counts bound."""
+    path = rd.scratch_path(spark, "single") + "/sample.csv"
+    sk.write_single_csv(prepared(spark, sf)["test_sample"].select("trans_num", "amt"), path)
+    return rd.read_csv(spark, path, "trans_num string, amt double")
+
+
 @register("src2_read_table", RAW_SQL)
 def q_read_table(spark, sf):
-    name = "tx_" + uuid.uuid4().hex[:8]
-    transactions_raw(spark, sf).createOrReplaceTempView(name)
-    return rd.read_table(spark, None, name)
+    """A scan of a catalog table over files of the shared folder."""
+    name, path = "tx_" + uuid.uuid4().hex[:8], rd.scratch_path(spark, "catalog")
+    transactions_raw(spark, sf).write.parquet(path)
+    spark.catalog.createTable(name, path=path, source="parquet")
+    return rd.read_table(spark, "default", name)
 
 
 @register("src3_register_csv_table", RAW_SQL)

@@ -106,6 +106,14 @@ def q_min_conf(spark, sf):
                                                                                 "confidence")
 
 
+@register("flt7_min_confidence_null_label",
+          f"SELECT vec_id, label, CASE WHEN confidence >= {MINCONF} THEN predicted END AS predicted, confidence FROM ({PRED_SQL}) p")
+def q_min_conf_null(spark, sf):
+    """FLT7, keeping every row: a label under the threshold becomes null."""
+    p = predictions(spark, sf).select("vec_id", "label", "predicted", "confidence")
+    return min_confidence(p, "confidence", MINCONF, label_col="predicted")
+
+
 @register("flt3_label_in", "SELECT vec_id, label FROM embeddings WHERE label IN (1, 3, 5)")
 def q_label_in(spark, sf):
     return label_in(vectors(spark, sf).select("vec_id", "label"), "label", [1, 3, 5])

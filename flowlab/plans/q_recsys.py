@@ -122,6 +122,13 @@ def q_split_fields(spark, sf):
     return split_fields(j, rs.METADATA_FIELDS)["rest"]
 
 
+@register("prj8_split_fields_selected", with_views("""
+SELECT i.genres, i.title, r.movieId AS "(right) movieId" FROM items i JOIN ratings r ON i.movieId = r.movieId""", "ratings", "items"))
+def q_split_fields_selected(spark, sf):
+    it, r = items(spark, sf), ratings(spark, sf).withColumnRenamed("movieId", "(right) movieId")
+    return split_fields(it.join(r, it["movieId"] == r["`(right) movieId`"]), rs.METADATA_FIELDS)["selected"]
+
+
 @register("joi1_join_items_interactions", with_views("""
 SELECT r.*, i.movieId AS ITEM_KEY, i.title, i.genres FROM ratings r JOIN items i ON r.movieId = CAST(i.movieId AS BIGINT)""",
                                                      "ratings", "items"))
@@ -400,6 +407,20 @@ def q_event_fields(spark, sf):
                     sc.json_config(F.col("props"), "k int")["k"].alias("k"))
 
 
+@register("sca7_round_to_json", """
+SELECT event_id, '{"value":' || CAST(round(value, 2) AS VARCHAR) || '}' AS rounded FROM events""")
+def q_round_to_json(spark, sf):
+    return table(spark, sf, "events").select("event_id", sc.round_to_json(F.col("value"), 2).alias("rounded"))
+
+
+@register("sca9_parse_times", """
+SELECT event_id, date_trunc('second', ts) AS from_epoch, date_trunc('second', ts) AS from_iso FROM events""")
+def q_parse_times(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", sc.epoch_to_ts(sc.ts_to_epoch(F.col("ts"))).cast("timestamp_ntz").alias("from_epoch"),
+                    sc.parse_iso(sc.iso_z(F.col("ts"))).cast("timestamp_ntz").alias("from_iso"))
+
+
 # ---- ALS (rows-only) ---------------------------------------------------------------------------------
 def _als(spark, sf, inter=None):
     return rs.train_recommender(inter if inter is not None else interactions(spark, sf), rank=8, max_iter=5)

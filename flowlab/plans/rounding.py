@@ -17,6 +17,7 @@ ROUND_COLS = {
     'flt4_score_band': ['fraud_model_insightscore'],
     'flt6_query_forecast': ['p10', 'p50', 'p90'],
     'flt7_min_confidence': ['confidence'],
+    'flt7_min_confidence_null_label': ['confidence'],
     'frd11_confusion_at': ['threshold', 'TPR', 'FPR', 'precision', 'alerts_per_100k'],
     'frd12_auc': ['auc'],
     'frd12_roc_curve': ['threshold', 'TPR', 'FPR'],
@@ -63,6 +64,7 @@ ROUND_COLS = {
     'smp1_latest_events': ['value'],
     'smp3_bernoulli_sample_hash': ['rating'],
     'smp3_bernoulli_sample_random': ['rating'],
+    'snk1_single_csv_of_test_sample': ['amt'],
     'snk2_parquet_round_trip': ['amt', 'lat'],
     'snk3_json_round_trip': ['amt', 'lat'],
     'sql1_sql_query': ['total'],
