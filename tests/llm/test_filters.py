@@ -1,12 +1,11 @@
 import random
-import zlib
 
 import numpy as np
 import pytest
 
 from flowlab.llm.common import fold_of
 from flowlab.llm.language_id import fit as fit_language, with_language
-from flowlab.llm.toxicity import TOKEN_COST, fit as fit_toxicity, maximal_segments, with_toxicity
+from flowlab.llm.toxicity import fit as fit_toxicity, maximal_segments, with_toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -78,4 +77,3 @@ def test_toxicity_of_planted_documents(spark):
     assert scores[1] == scores[2] and scores[1] < 0.5 and scores[None] > 0.7 and all(0 <= s <= 1 for s in scores.values())
     none = fit_toxicity(docs, lab.limit(0))
     assert all(r.toxicity < 0.7 for r in with_toxicity(odd, none).collect())
-    assert TOKEN_COST > 0 and zlib.crc32(b"1") >= 0
