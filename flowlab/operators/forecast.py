@@ -106,9 +106,8 @@ def fill_gaps(series: DataFrame, freq: str = "day", middlefill: str = "zero", ba
     """TS2. Complete every item's calendar from its first point to the common end (the latest
     point of any item, or ``end``). Middle gaps (before the item's last point) get
     ``middlefill``, the tail after it gets ``backfill``: zero | value | mean | median | ffill |
-    nan. ``median`` is the item's exact median, ``ffill`` the last point before the gap (each gap
-    row joins the item's points as intervals up to the next one, so no ordered pass over an
-    item's whole history is needed).
+    nan. ``median`` is the item's exact median, ``ffill`` the last point before the gap: each
+    point's value is laid over the dates up to the item's next point and joined by date.
     Adds ``was_filled``; filled points are not scored.
     """
     kinds = {middlefill, backfill}
