@@ -10,8 +10,8 @@ from itertools import chain
 
 import numpy as np
 
-#: Chunks that one Python worker remembers; beyond it, it starts anew.
-CACHE_CHUNKS = 500_000
+#: Chunks that one Python worker remembers; beyond it, those seen least often are forgotten.
+CACHE_CHUNKS = 400_000
 _REMEMBERED: list[dict] = []
 
 
@@ -22,9 +22,19 @@ def remembered(by_name: dict) -> dict:
     return by_name
 
 
+def in_parts(chunks: list[bytes], encode, size: int = 4096):
+    """``encode`` (list of chunks -> list of id lists) over parts of the chunks, for :class:`ChunkIds`."""
+    for i in range(0, len(chunks), size):
+        part = chunks[i:i + size]
+        ids = encode(part)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        yield part, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+
 class ChunkIds:
     def __init__(self, encode_many, max_chunks: int = CACHE_CHUNKS):
-        """``encode_many``: list of distinct byte chunks -> list of id sequences."""
+        """``encode_many``: list of distinct byte chunks, ascending -> parts of them, each as
+        (chunks, their ids in a row, the number of ids of each)."""
         self.encode_many, self.max_chunks = encode_many, max_chunks
         self._clear()
 
@@ -32,6 +42,25 @@ class ChunkIds:
         self.index: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.hits = np.zeros(0, np.int64)
+
+    def _forget(self):
+        """Keep at most half of the chunks, those seen most often."""
+        n, least = len(self.index), 2
+        hits = np.zeros(n, np.int64)
+        hits[:len(self.hits)] = self.hits[:n]
+        while (hits >= least).sum() > self.max_chunks // 2:
+            least *= 2
+        keep = np.flatnonzero(hits >= least)
+        if not len(keep):
+            return self._clear()
+        where = np.full(n, -1)
+        where[keep] = np.arange(len(keep))
+        self.index = {c: k for c, i in self.index.items() if (k := int(where[i])) >= 0}
+        begin, size = self.begin[keep], self.size[keep]
+        ends = np.cumsum(size)
+        self.flat = self.flat[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]))]
+        self.used, self.begin, self.size, self.hits = len(self.flat), ends - size, size, hits[keep] // 2
 
     @staticmethod
     def _room(a, need):
@@ -45,24 +74,26 @@ class ChunkIds:
         new = sorted(set(chunks).difference(self.index))
         if not new:
             return
-        ids = self.encode_many(new)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        n, total = len(self.index), int(sizes.sum())
-        self.flat = self._room(self.flat, self.used + total)
-        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
-        self.begin, self.size = self._room(self.begin, n + len(new)), self._room(self.size, n + len(new))
-        self.begin[n:n + len(new)] = self.used + np.cumsum(sizes) - sizes
-        self.size[n:n + len(new)] = sizes
-        self.used += total
-        self.index.update(zip(new, range(n, n + len(new))))
+        for part, ids, sizes in self.encode_many(new):
+            n, m, total = len(self.index), len(part), len(ids)
+            self.flat = self._room(self.flat, self.used + total)
+            self.flat[self.used:self.used + total] = ids
+            self.begin, self.size = self._room(self.begin, n + m), self._room(self.size, n + m)
+            self.begin[n:n + m] = self.used + np.cumsum(sizes) - sizes
+            self.size[n:n + m] = sizes
+            self.used += total
+            self.index.update(zip(part, range(n, n + m)))
 
     def __call__(self, chunked: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Chunks of each text -> (ids of all texts in a row, ends of the texts in it)."""
         chunks = list(chain.from_iterable(chunked))
         if len(self.index) > self.max_chunks:
-            self._clear()
+            self._forget()
         self._learn(chunks)
         at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        seen = np.bincount(at, minlength=len(self.index))
+        seen[:len(self.hits)] += self.hits
+        self.hits = seen
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkIds, remembered
+from flowlab.llm.chunk_ids import ChunkIds, in_parts, remembered
 from flowlab.llm.common import byte_slices
 from flowlab.operators.ranking import rank_within_group
 from flowlab.session import cut_lineage
@@ -31,39 +31,48 @@ CLASS_TOKENS = 16
 GAP = 1e-3
 
 _ENCODERS = remembered({})
-# one run of ASCII or Latin-1 letters and one full stop or comma: two tokens' words
-_STEM_STOP = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,])")
+# one run of ASCII or Latin-1 letters: one word of the tokenizer
+_WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# a full stop or comma between a letter and white space: a word of its own
+_STOP = re.compile(rb"(?<=[a-z])[.,](?=[ \n]|\Z)")
 
 
 def word_encoder(path: str) -> ChunkIds:
     """Encoder of white-space separated chunks for a tokenizer file (``tokenizers`` library) that
-    drops white space; one for each Python worker."""
+    drops white space and marks the ends of words; one for each Python worker."""
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
+        vocabulary = tok.get_vocab()
+        ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
         def direct(chunks):
-            out = []
-            for i in range(0, len(chunks), 4096):             # an encoding holds much more than its ids
-                out += [e.ids for e in tok.encode_batch_fast([c.decode() for c in chunks[i:i + 4096]], add_special_tokens=False)]
-            return out
+            return [e.ids for e in tok.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
 
         def encode(chunks):
-            # a word and its full stop are encoded apart: many chunks share the word
-            parts = [m.groups() if (m := _STEM_STOP.fullmatch(c)) else (c,) for c in chunks]
-            distinct = sorted({p for ps in parts for p in ps})
-            ids = dict(zip(distinct, direct(distinct)))
-            return [ids[ps[0]] if len(ps) == 1 else ids[ps[0]] + ids[ps[1]] for ps in parts]
+            plain, other = [], []
+            for c in chunks:
+                (plain if _WORD.fullmatch(c) else other).append(c)
+            for i in range(0, len(plain), 2048):              # many words as one text, cut where words end
+                part = plain[i:i + 2048]
+                ids = np.array(tok.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint32)
+                cut = np.flatnonzero(ends_word[ids]) + 1
+                if len(cut) == len(part):
+                    yield part, ids, np.diff(cut, prepend=0)
+                else:
+                    yield from in_parts(part, direct)
+            yield from in_parts(other, direct)
 
         _ENCODERS[path] = ChunkIds(encode)
     return _ENCODERS[path]
 
 
 def _chunks(text: bytes) -> list[bytes]:
-    # the tokenizer lower-cases; doing so for A-Z first makes more chunks equal, unless the text
-    # may hold a special token, which is matched as written
-    return (text if b"<|" in text else text.lower()).split()
+    # the tokenizer lower-cases and parts a word from the stop behind it; doing so first makes more
+    # chunks equal, unless the text may hold a special token, which is matched as written
+    return text.split() if b"<|" in text else _STOP.sub(rb" \g<0>", text.lower()).split()
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, sequence: int = SEQUENCE,

@@ -82,3 +82,16 @@ def test_pack_places_each_id_once_without_gaps(spark):
         padded += end if end & (end - 1) == 0 else 4096
     assert padded <= used * 1.03 + 2 * 4096
     assert pack(docs.limit(0), PATH, end_id=2).count() == 0
+
+
+def test_a_small_memory_gives_the_same_ids():
+    from flowlab.llm.chunk_ids import ChunkIds, in_parts
+
+    rng = random.Random(1)
+    texts = [[str(min(int(rng.expovariate(0.05)), 300)).encode() for _ in range(rng.randint(0, 30))] for _ in range(400)]
+    enc = ChunkIds(lambda new: in_parts(new, lambda cs: [[int(c), *range(int(c) % 4)] for c in cs], 7), max_chunks=20)
+    for i in range(0, 400, 5):
+        ids, ends = enc(texts[i:i + 5])
+        want = [[x for c in t for x in (int(c), *range(int(c) % 4))] for t in texts[i:i + 5]]
+        assert ids.tolist() == sum(want, []) and ends.tolist() == np.cumsum(list(map(len, want))).tolist()
+        assert len(enc.index) <= 20 + 150
