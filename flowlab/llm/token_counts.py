@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.llm.common import byte_slices
+from flowlab.session import cut_lineage
 
 #: Lengths in one block of the two-step sums.
 BLOCK = 1024
@@ -50,9 +51,10 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
 def length_report(histogram: DataFrame) -> DataFrame:
     """The histogram with its sums, one row per length L: docs_up_to and tokens_up_to (lengths up
     to L), docs_over and tokens_over (longer ones), truncated_total (tokens left if every
-    document is cut to L) and share_up_to (the quantile rank of L). Sums go by blocks of lengths,
-    so no task sees the whole histogram, only a row for each block."""
-    h = histogram.withColumn("block", F.expr(f"n_tokens div {BLOCK}")).withColumn("tokens", F.col("n_tokens") * F.col("docs"))
+    document is cut to L) and share_up_to (the quantile rank of L). The histogram is written once,
+    as rows and block totals read it. Sums go by blocks of lengths, so no task sees the whole
+    histogram, only a row for each block."""
+    h = cut_lineage(histogram).withColumn("block", F.expr(f"n_tokens div {BLOCK}")).withColumn("tokens", F.col("n_tokens") * F.col("docs"))
     per = h.groupBy("block").agg(F.sum("docs").alias("b_docs"), F.sum("tokens").alias("b_tokens"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)       # a row for each block
     all_rows = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
