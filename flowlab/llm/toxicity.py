@@ -58,35 +58,23 @@ def _count(batches):
                                              names=["word", "toxic", "clean"])
 
 
-def first_only(chunks: list[bytes], weights: np.ndarray) -> np.ndarray:
-    """Positive weights count at the first occurrence of a chunk; its repetitions cost like any token."""
-    at = np.flatnonzero(weights > 0).tolist()
-    if len(at) > 1:
-        weights, seen = weights.copy(), set()
-        for k in at:
-            if chunks[k] in seen:
-                weights[k] = -TOKEN_COST
-            seen.add(chunks[k])
-    return weights
-
-
 def maximal_segments(weights: np.ndarray) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (score, first, last + 1) in one pass: every positive token
     starts as a segment and joins the nearest earlier one that begins lower and ends lower."""
     after = np.cumsum(weights)
-    out: list[tuple[float, float, int, int]] = []               # (sum before, sum after, first, end)
+    out: list[tuple[float, float, int, int, int]] = []          # (sum before, sum after, first, end, nearest earlier one that begins lower)
     for k in np.flatnonzero(weights > 0).tolist():
-        left, right, first = float(after[k] - weights[k]), float(after[k]), k
+        left, right, first, j = float(after[k] - weights[k]), float(after[k]), k, len(out) - 1
         while True:
-            j = len(out) - 1
             while j >= 0 and out[j][0] >= left:
-                j -= 1
+                j = out[j][4]                                   # those between begin no lower: the pass stays linear
             if j < 0 or out[j][1] >= right:
                 break
-            left, first = out[j][0], out[j][2]
+            left, first, below = out[j][0], out[j][2], out[j][4]
             del out[j:]
-        out.append((left, right, first, k + 1))
-    return [(r - l, a, b) for l, r, a, b in out]
+            j = below
+        out.append((left, right, first, k + 1, j))
+    return [(r - l, a, b) for l, r, a, b, _ in out]
 
 
 @dataclass
@@ -203,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             out = []
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 chunks = text.encode().split()
-                w = first_only(chunks, table([chunks])[0][:, 0])
+                w = table([chunks])[0][:, 0]
                 out.append((toxic, len(w), [s for s, _, _ in maximal_segments(w)], np.histogram(w, _BINS)[0].tolist()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int64())))],
                                              names=["toxic", "n", "segments", "histogram"])
@@ -243,8 +231,8 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
                 chunked = [t.split() for t in texts]
                 rows, ends = table(chunked)
                 begin = 0
-                for chunks, end in zip(chunked, ends.tolist()):
-                    w, begin = first_only(chunks, rows[begin:end, 0]), end
+                for end in ends.tolist():
+                    w, begin = rows[begin:end, 0], end
                     segments = maximal_segments(w) if (w > 0).any() else []
                     evidence = m.evidence(segments, len(w))
                     scores.append(m.probability(m.total(evidence)))

@@ -77,3 +77,44 @@ def test_toxicity_of_planted_documents(spark):
     assert scores[1] == scores[2] and scores[1] < 0.5 and scores[None] > 0.7 and all(0 <= s <= 1 for s in scores.values())
     none = fit_toxicity(docs, lab.limit(0))
     assert all(r.toxicity < 0.7 for r in with_toxicity(odd, none).collect())
+
+
+def planted(spark):
+    """A model of four toxic words in texts of 1,500 plain ones, and the plain ones."""
+    rng = random.Random(11)
+    plain = ["".join(rng.choices("abdeghilmnorstu", k=rng.randint(2, 8))) for _ in range(1500)]
+    rows = []
+    for i in range(1500):
+        w = rng.choices(plain, k=rng.randint(20, 200))
+        if i % 7 == 0:
+            at = rng.randrange(len(w) - 4)
+            w[at:at] = rng.choices(["zork", "blurgh", "vexil", "grubo"], k=rng.randint(2, 5))
+        rows.append((i, " ".join(w), int(i % 7 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return fit_toxicity(docs.drop("toxic"), docs.select("doc_id", "toxic")), plain, rng
+
+
+def test_toxic_passages_of_words_seen_before(spark):
+    model, plain, rng = planted(spark)
+
+    def clean(n):
+        return rng.choices(plain, k=n)
+    bad = ["zork", "blurgh", "vexil", "grubo"]
+    repeated = clean(300) + bad + clean(300) + bad + clean(300)
+    scattered = sum(([b] + clean(150) for b in bad), []) + bad + clean(100)
+    texts = {1: repeated, 2: scattered, 3: ["zork"] * 100_000, 4: clean(900)}
+    got = {r.doc_id: r for r in with_toxicity(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string"), model).collect()}
+
+    def covers(i, a, b):
+        return any(p.begin <= a and p.end >= b for p in got[i].toxic_passages)
+    assert covers(1, 300, 304) and covers(1, 604, 608) and len(got[1].toxic_passages) == 2
+    assert covers(2, 604, 608)
+    assert [(p.begin, p.end) for p in got[3].toxic_passages] == [(0, 100_000)]
+    assert min(got[i].toxicity for i in (1, 2, 3)) > 0.7 > got[4].toxicity and not got[4].toxic_passages
+
+
+def test_many_scattered_weights_take_linear_time():
+    w = np.tile([1.0] + [-0.5] * 4, 200_000)
+    begun = __import__("time").process_time()
+    got = maximal_segments(w)
+    assert len(got) == 200_000 and __import__("time").process_time() - begun < 20
