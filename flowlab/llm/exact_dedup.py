@@ -96,13 +96,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text has an owner with a smaller id; all columns stay.
-    Only the ids that go are joined; rows without an id are told apart by their text. Repeated
-    rows of a kept id stay."""
-    def key(i, sha):
-        return F.when(i.isNull(), sha).otherwise(F.lit(""))
-
+    Only the rows that go are joined, by id and text, as an id may come with several texts.
+    Repeated rows of a kept id and text stay."""
     gone = exact_dedup(docs, id_col, text_col).where("not kept") \
-        .select(F.col("doc_id").alias("__gone"), key(F.col("doc_id"), F.col("text_sha256")).alias("__gone_text")).distinct()
-    i = docs[id_col].cast("long")
-    return docs.join(gone, i.eqNullSafe(F.col("__gone")) &
-                     (key(i, F.sha2(normalised(docs[text_col]), 256)) == F.col("__gone_text")), "left_anti")
+        .select(F.col("doc_id").alias("__gone"), F.unhex("text_sha256").alias("__gone_text")).distinct()
+    keyed = docs.withColumns({"__exact_id": docs[id_col].cast("long"), "__exact_text": F.unhex(F.sha2(normalised(docs[text_col]), 256))})
+    return keyed.join(gone, F.col("__exact_id").eqNullSafe(F.col("__gone")) & (F.col("__exact_text") == F.col("__gone_text")), "left_anti") \
+        .drop("__exact_id", "__exact_text")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.components import components
+from flowlab.llm.components import SALTS, components
 from flowlab.session import cut_lineage
 
 #: Distinct fingerprints expanded at a time in a task (radius 3: at most 2.2 million variants).
@@ -52,15 +52,24 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long. No words (or null): zero."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id", text_col: str = "text", with_key: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long. No words (or null): zero. If asked, also
+    text_key, that of :func:`text_key`."""
+    names = ["doc_id", "fp"] + ["text_key"] * with_key
+
     def run(batches):
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle_words) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=names)
+
+    text = docs[text_col].cast("string")
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("t"), *([text_key(text).alias("text_key")] if with_key else [])) \
+        .mapInArrow(run, "doc_id long, fp long" + ", text_key binary" * with_key)
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("t")) \
-        .mapInArrow(run, "doc_id long, fp long")
+
+def text_key(text):
+    """Tells the texts of one id apart; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
 
 
 def flips(radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,24 +162,36 @@ def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: in
     Null and word-less texts have fingerprint zero and link like any other; equal fingerprints
     are linked; a null id never names a component (a group of null ids has component null).
     Other columns are not looked at. Empty in, empty out."""
+    return _components(docs, shingle_words, max_distance, id_col, text_col).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, shingle_words: int, max_distance: int, id_col: str, text_col: str, with_key: bool = False) -> DataFrame:
+    """The columns of :func:`fingerprints` and component_id. Components are those of fingerprints:
+    an id that comes with several texts does not link them."""
     if not 1 <= max_distance <= 4:
         raise ValueError("max_distance must be 1 to 4: the balls grow with its half")
-    fps = cut_lineage(fingerprints(docs, shingle_words, id_col, text_col))
+    fps = cut_lineage(fingerprints(docs, shingle_words, id_col, text_col, with_key))
     reps = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     pairs = links(reps, max_distance)
-    named = pairs.join(reps.select(F.col("fp").alias("fa"), F.col("rep").alias("a")), "fa") \
-        .join(reps.select(F.col("fp").alias("fb"), F.col("rep").alias("b")), "fb").select("a", "b")
-    comp = components(named)
-    of_fp = reps.join(comp, reps.rep == comp.node, "left") \
-        .select(F.col("fp").alias("__fp"), F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(of_fp, fps.fp == F.col("__fp"), "left").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    comp = components(pairs.select(F.col("fa").alias("a"), F.col("fb").alias("b")))
+    linked = cut_lineage(reps.join(comp, reps.fp == comp.node).select("fp", "component", "rep"))   # only fingerprints with a link
+    least = linked.groupBy("component").agg(F.min("rep").alias("least")) \
+        .select("component", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))     # a component may hold most fingerprints
+    named = linked.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")).join(least, ["component", "salt"]) \
+        .select(F.col("fp").alias("node"), "least")
+    of_fp = reps.join(named, reps.fp == named.node, "left") \
+        .select(F.col("fp").alias("__fp"), F.coalesce("least", "rep").alias("component_id"))
+    return fps.join(of_fp, fps.fp == F.col("__fp"), "left").drop("__fp")
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, that with the smallest id; rows without an
-    id stay, as do repeated rows of a kept id. All columns stay."""
-    gone = simhash_components(docs, shingle_words, max_distance, id_col, text_col) \
-        .where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+    id stay, as do the rows of the kept id in that component. Rows that go are told by id and
+    text, as an id may come with several texts. All columns stay."""
+    gone = _components(docs, shingle_words, max_distance, id_col, text_col, with_key=True) \
+        .where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__gone_text")).distinct()
+    keyed = docs.withColumns({"__near_id": docs[id_col].cast("long"), "__near_text": text_key(docs[text_col])})
+    return keyed.join(gone, (F.col("__near_id") == F.col("__gone")) & (F.col("__near_text") == F.col("__gone_text")), "left_anti") \
+        .drop("__near_id", "__near_text")

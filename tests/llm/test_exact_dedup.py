@@ -40,3 +40,10 @@ def test_whole_rows_nulls_empties_ties_repeats_and_clashes(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(w[0]) for w in want if w[3])
     assert exact_dedup(docs.limit(0)).count() == 0
+
+
+def test_tied_ids_with_different_texts_keep_every_text(spark):
+    rows = [(3, "A a"), (5, "A  a"), (5, "B b"), (8, "B\tb"), (9, "C"), (9, "D"), (None, "D"), (None, "E"), (2, None), (4, ""), (4, "F")]
+    kept = drop_exact_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [
+        (3, "A a"), (5, "B b"), (9, "C"), (9, "D"), (None, "E"), (2, None), (4, "F")]))

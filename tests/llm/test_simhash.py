@@ -83,3 +83,18 @@ def test_documents_with_nulls_ties_repeats_and_clashing_columns(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _, c in want if i is None or i == c)
     assert simhash_components(docs.limit(0)).count() == 0
+
+
+def test_tied_ids_do_not_link_or_drop_other_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(400)) for x in "ab")
+    near_a, near_b = a + " tail", b + " tail"
+    for x, y in ((a, a), (b, b), (a, near_a), (b, near_b)):
+        assert (plain_fingerprint(x) ^ plain_fingerprint(y)).bit_count() <= 3
+    assert (plain_fingerprint(a) ^ plain_fingerprint(b)).bit_count() > 9
+    for a2, b2 in ((a, b), (near_a, near_b)):
+        rows = [(3, a), (5, a2), (5, b), (8, b2)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        assert sorted((r.doc_id, r.component_id) for r in simhash_components(docs).collect()) == [(3, 3), (5, 3), (5, 5), (8, 5)]
+        assert sorted(map(tuple, drop_near_copies(docs).collect())) == [(3, a), (5, b)]
+    docs = spark.createDataFrame([(None, "p q"), (7, ""), (7, "p q"), (2, None)], "doc_id long, text string")
+    assert sorted(map(str, map(tuple, drop_near_copies(docs).collect()))) == sorted(map(str, [(None, "p q"), (7, "p q"), (2, None)]))
