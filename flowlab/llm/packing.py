@@ -1,12 +1,13 @@
 """Packing documents into fixed-length sequences by cutting-stock column generation.
 
 Every document is encoded once, on the executors; pieces longer than a sequence are cut there.
-What is left is a histogram of piece lengths in classes of a few tokens: a table whose size
-does not depend on the corpus. On it, a linear program over patterns (how many pieces of each
+What is left is a histogram of piece lengths, exact for short pieces and in classes of a few
+tokens for longer ones: a table whose size does not depend on the corpus. For the longer ones, a linear program over patterns (how many pieces of each
 class share a sequence) is solved by column generation: the duals of the current patterns price
 a new one by an unbounded knapsack (dynamic programming over the sequence length). The
 rounded-down pattern counts plus first-fit patterns for the rest say how many sequences of each
-pattern to fill, and documents ranked inside their class take the slots in order.
+pattern to fill. Short pieces fill what these leave, largest first, and what remains of them is
+planned the same way by exact length. Documents ranked inside their class take the slots in order.
 """
 
 from __future__ import annotations
@@ -25,8 +26,12 @@ from flowlab.operators.ranking import rank_within_group
 from flowlab.session import cut_lineage
 
 SEQUENCE = 4096
-#: Tokens of one length class.
+#: Tokens of the widest length class.
 CLASS_TOKENS = 16
+#: Lengths up to this are classes of their own.
+EXACT_TOKENS = 256
+#: Rooms that the knapsack fills at a time.
+BLOCK = 16
 #: The linear program may stop this close (relatively) to its lower bound; the last thousandth takes half the columns.
 GAP = 1e-3
 
@@ -101,25 +106,43 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, sequence: int = SE
 
 
 def _best_pattern(sizes: np.ndarray, worth: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the most worthwhile counts of ``sizes`` (ascending) within ``room``."""
-    best, took = np.zeros(room + 1), np.full(room + 1, -1)
-    fit = np.searchsorted(sizes, np.arange(room + 1), side="right")
-    for w in range(1, room + 1):
-        best[w] = best[w - 1]
-        k = fit[w]
-        if k:
-            v = best[w - sizes[:k]] + worth[:k]
-            i = int(v.argmax())
-            if v[i] > best[w] + 1e-12:
-                best[w], took[w] = v[i], i
+    """Unbounded knapsack: the most worthwhile counts of ``sizes`` (ascending) within ``room``. Sizes
+    of a block of rooms or more are put in block by block; a smaller one for all rooms at once: of
+    those that differ by its multiples, the running best of what it costs."""
+    used = np.flatnonzero(worth > 0)
+    if not len(used):
+        return 0.0, np.zeros(len(sizes))
+    large, small = used[sizes[used] >= BLOCK], used[sizes[used] < BLOCK]
+    best = np.zeros(room + 1)
+    if len(large):
+        pad = int(sizes[large[-1]])
+        padded = np.concatenate((np.full(pad, -np.inf), best))   # no room below zero
+        at, v = pad + np.arange(BLOCK)[:, None] - sizes[large], worth[large]
+        for w in range(BLOCK, room + 1, BLOCK):
+            n = min(BLOCK, room + 1 - w)
+            got = (padded[at[:n] + w] + v).max(axis=1)
+            padded[pad + w:pad + w + n] = np.maximum.accumulate(np.maximum(got, padded[pad + w - 1]))
+        best = padded[pad:]
+    for s, v in zip(sizes[small].tolist(), worth[small].tolist()):
+        rows = -(-(room + 1) // s)
+        grid = np.full(rows * s, -np.inf)
+        grid[:room + 1] = best
+        paid = v * np.arange(rows)
+        best = (np.maximum.accumulate(np.ascontiguousarray(grid.reshape(rows, s).T) - paid, axis=1) + paid).T.ravel()[:room + 1]
+    best = np.maximum.accumulate(best)
     counts, w = np.zeros(len(sizes)), room
-    while w > 0:
-        if took[w] >= 0:
-            counts[took[w]] += 1
-            w -= sizes[took[w]]
-        else:
+    while True:
+        fits = used[sizes[used] <= w]
+        if not len(fits):
+            break
+        v = best[w - sizes[fits]] + worth[fits]
+        i = int(v.argmax())
+        if v[i] < best[w] - 1e-9:                                # only room that stays empty
             w -= 1
-    return float(best[room]), counts
+            continue
+        counts[fits[i]] += 1
+        w -= int(sizes[fits[i]])
+    return float(counts @ worth), counts
 
 
 def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -180,6 +203,43 @@ def cutting_stock(histogram: dict[int, int], room: int, gap: float = GAP, max_co
     return plan + [(b[1], 1) for b in bins]
 
 
+def fill(plan: list[tuple[dict[int, int], int]], short: dict[int, int], room: int) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """Pieces of ``short`` (size -> number) put into what the bins of ``plan`` leave, largest first,
+    and those without a slot. Bins of a pattern stay together until a size runs out."""
+    left, out = {s: n for s, n in short.items() if n}, []
+    todo = [(dict(p), n, room - sum(s * c for s, c in p.items())) for p, n in plan]
+    todo.sort(key=lambda x: -x[2])
+    while todo:
+        pattern, times, free = todo.pop()
+        for s in sorted((s for s in left if s <= free), reverse=True):
+            each = min(free // s, left[s] // times)
+            if each:
+                pattern[s] = pattern.get(s, 0) + each
+                free -= each * s
+                left[s] -= each * times
+            if 0 < left[s] < times and s <= free:               # one more in some of the bins
+                todo.append((dict(pattern), times - left[s], free))
+                pattern[s], times, free = pattern.get(s, 0) + 1, left[s], free - s
+                left[s] = 0
+            if not left[s]:
+                del left[s]
+        out.append((pattern, times))
+    return out, left
+
+
+def plan_sequences(histogram: dict[int, int], sequence: int = SEQUENCE, class_tokens: int = CLASS_TOKENS) -> list[tuple[dict[int, int], int]]:
+    """Patterns of classes (:func:`length_class`) and how often to use them."""
+    long = {s // class_tokens: n for s, n in histogram.items() if s > EXACT_TOKENS}
+    plan = [({s * class_tokens: c for s, c in p.items()}, n) for p, n in cutting_stock(long, sequence // class_tokens)]
+    plan, left = fill(plan, {s: n for s, n in histogram.items() if s <= EXACT_TOKENS}, sequence)
+    return plan + cutting_stock(left, sequence)
+
+
+def length_class(length, class_tokens: int = CLASS_TOKENS):
+    """The longest length of a piece's class."""
+    return F.when(length <= EXACT_TOKENS, length).otherwise(F.ceil(length / class_tokens) * class_tokens).cast("int")
+
+
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, sequence: int = SEQUENCE, class_tokens: int = CLASS_TOKENS,
          id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and
@@ -189,9 +249,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, sequence: int = SEQU
     if sequence % class_tokens:
         raise ValueError("a sequence must hold a whole number of classes")
     own = cut_lineage(pieces(docs, tokenizer_path, end_id, sequence, id_col, text_col, with_ids)
-                      .withColumn("size", F.ceil(F.col("length") / class_tokens).cast("int")))
-    histogram = {r["size"]: r["count"] for r in own.groupBy("size").count().collect()}   # at most sequence / class_tokens rows
-    plan = cutting_stock(histogram, sequence // class_tokens)
+                      .withColumn("size", length_class(F.col("length"), class_tokens)))
+    histogram = {r["size"]: r["count"] for r in own.groupBy("size").count().collect()}   # bounded by the number of classes
+    plan = plan_sequences(histogram, sequence, class_tokens)
     slots, first, seen = [], 0, {}
     for pattern, times in plan:
         for s, each in pattern.items():

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from flowlab.llm.packing import cutting_stock, pack, word_encoder, _chunks
+from flowlab.llm.packing import cutting_stock, pack, plan_sequences, word_encoder, _chunks
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -95,3 +95,32 @@ def test_a_small_memory_gives_the_same_ids():
         want = [[x for c in t for x in (int(c), *range(int(c) % 4))] for t in texts[i:i + 5]]
         assert ids.tolist() == sum(want, []) and ends.tolist() == np.cumsum(list(map(len, want))).tolist()
         assert len(enc.index) <= 20 + 150
+
+
+@pytest.mark.parametrize("sizes", [(1, 31), (17, 18), (1, 2), (40, 61), (1, 257)])
+def test_short_texts_leave_little_padding(spark, sizes):
+    rng = random.Random(sizes[0])
+    rows = [(i, " ".join(["the"] * (rng.randrange(*sizes) - 1))) for i in range(20_000 if sizes[1] < 100 else 4_000)]
+    got = pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH, end_id=2).collect()
+    seqs = defaultdict(list)
+    for r in got:
+        seqs[r.sequence_id].append((r.offset, r.length))
+    for parts in seqs.values():
+        ends = np.cumsum([0] + [n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == ends[:-1].tolist() and ends[-1] <= 4096
+    used = sum(r.length for r in got)
+    assert len(got) == len(rows) and used == sum(len(t.split()) + 1 for _, t in rows)
+    assert len(seqs) * 4096 <= used * 1.01 + 2 * 4096
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plans_of_short_and_long_pieces(seed):
+    rng = random.Random(seed)
+    hist = {s: rng.randint(1, 3000) for s in rng.sample(range(1, 257), 60)} | {16 * s: rng.randint(1, 40) for s in rng.sample(range(17, 257), 80)}
+    plan, slots = plan_sequences(hist), defaultdict(int)
+    for p, n in plan:
+        assert n > 0 and sum(s * c for s, c in p.items()) <= 4096
+        for s, c in p.items():
+            slots[s] += c * n
+    assert all(slots[s] >= n for s, n in hist.items())
+    assert sum(n for _, n in plan) * 4096 <= sum(s * n for s, n in hist.items()) * 1.01 + 3 * 4096
