@@ -147,7 +147,7 @@ def op9_token_counts(spark, sf_dir):
 def op2_sentence_pieces(spark, sf_dir):
     import public_tokenizers
 
-    from flowlab.llm.sentence_pieces import encode
+    from flowlab.llm.sentence_pieces import round_trip
 
-    encoded = encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), kind="bpe")
-    return encoded.select("doc_id", F.size("ids").alias("n_tokens"), "ids")
+    coded = round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), kind="bpe")
+    return coded.select("doc_id", F.size("ids").alias("n_tokens"), "ids", "decoded_sha256", "same_text")

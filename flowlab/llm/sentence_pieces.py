@@ -13,6 +13,7 @@ piece become byte pieces."""
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -184,6 +185,28 @@ def encode(docs: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "d
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def round_trip(docs: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids, decoded_sha256 and same_text of every row, from the scan, without a shuffle:
+    the ids as :func:`encode` gives them, the SHA-256 of the text that they decode to, and whether
+    that is the text (null counts as empty)."""
+    def run(batches):
+        m, chunks = reader(model_path, kind)
+        for b in batches:
+            for lo, hi, texts in byte_slices(b.column(1), 4 << 20):
+                ids, ends = chunks([m.words(t) for t in texts])
+                digests, same, begin = [], [], 0
+                for t, end in zip(texts, ends.tolist()):
+                    back, begin = m.decode(ids[begin:end].tolist()).encode(), end
+                    digests.append(hashlib.sha256(back).hexdigest())
+                    same.append(back == t)
+                offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))),
+                                                  pa.array(digests, pa.string()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "decoded_sha256", "same_text"])
+
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string")) \
+        .mapInArrow(run, "doc_id long, ids array<int>, decoded_sha256 string, same_text boolean")
+
+
 def decode(encoded: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id and text of every row of ids; null ids give a null text. Word marks (U+2581) of the
     original come back as spaces, as the model can't tell them apart."""

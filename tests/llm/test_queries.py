@@ -2,6 +2,7 @@
 plain versions; and the pipeline, stage by stage."""
 
 import base64
+import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -67,6 +68,15 @@ def test_sentence_pieces(spark):
     assert all(got[i].ids == sp.encode(r["text"]) and got[i].n_tokens == len(got[i].ids) for i, r in DOCS.items()) and len(got) == len(DOCS)
 
 
+def test_sentence_pieces_are_decoded(spark):
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = run(spark, "op2_sentence_pieces")
+    for i, r in DOCS.items():
+        back = sp.decode(got[i].ids)
+        assert got[i].decoded_sha256 == hashlib.sha256(back.encode()).hexdigest() and got[i].same_text == (back == r["text"])
+    assert any(r.same_text for r in got.values())
+
+
 def test_toxicity_and_language_on_held_out_rows(spark):
     docs = {r["doc_id"]: r for r in pq.read_table(f"{SF2}/documents.parquet").to_pylist()}
     labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{SF2}/labels.parquet").to_pylist()}
