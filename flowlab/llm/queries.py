@@ -77,7 +77,7 @@ def op7_lm_score(spark, sf_dir):
 
     docs = documents(spark, sf_dir)
     held_out = fold(F.col("doc_id"), 7) == 2
-    scored = score(docs, fit(docs.where(~held_out), order=2))
+    scored = score(docs, fit(docs.where(~held_out), order=3, min_count=1))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -122,6 +122,18 @@ def test_lm_base_and_gain(spark):
     assert held and sum(g.score for g in held) > 0.9 * sum(g.base_score for g in held)
 
 
+def test_lm_uses_every_trigram(spark):
+    from flowlab.llm.ngram_lm import fit, score
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fit(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2"), order=3, min_count=1)
+    want = {r.doc_id: r.score for r in score(docs, model).collect()}
+    got = run(spark, "op7_lm_score")
+    assert set(got) == set(want) and all(abs(g.score - want[i]) < 1e-6 * max(1, abs(want[i])) for i, g in got.items())
+    train = [[None, *re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or "")), None] for i, r in DOCS.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert model.stats["sizes"][1] == len({(a, b) for w in train for a, b in zip(w, w[1:])})
+
+
 def test_token_counts(spark):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
     enc = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
