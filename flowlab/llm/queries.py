@@ -151,3 +151,12 @@ def op2_sentence_pieces(spark, sf_dir):
 
     coded = round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), kind="bpe")
     return coded.select("doc_id", F.size("ids").alias("n_tokens"), "ids", "decoded_sha256", "same_text")
+
+
+@_query()
+def op13_embedding_whitening(spark, sf_dir):
+    from flowlab.llm.whitening import fit, whiten
+
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    white = whiten(embeddings, fit(embeddings, components=16))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
