@@ -160,3 +160,12 @@ def op13_embedding_whitening(spark, sf_dir):
     embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     white = whiten(embeddings, fit(embeddings, components=16))
     return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@_query()
+def op11_tokenizer_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    from flowlab.llm.alignment import alignments
+
+    return alignments(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))[0]
