@@ -53,11 +53,17 @@ def save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
                 f.write(p)
 
 
-def load(folder: str, name: str) -> dict[str, np.ndarray]:
-    """The arrays of :func:`save`, mapped."""
+def load(folder: str, name: str, mapped: bool = True) -> dict[str, np.ndarray]:
+    """The arrays of :func:`save`, mapped, or read into memory (for small files)."""
     path = _local(folder)
     if path:
-        whole = np.memmap(f"{path}/{name}", np.uint8, "r")
+        whole = np.memmap(f"{path}/{name}", np.uint8, "r") if mapped else np.fromfile(f"{path}/{name}", np.uint8)
+    elif not mapped:
+        from pyarrow import fs
+
+        where, inner = fs.FileSystem.from_uri(folder)
+        with where.open_input_stream(f"{inner}/{name}") as f:
+            whole = np.frombuffer(f.read(), np.uint8)
     else:
         from pyarrow import fs
 

@@ -169,3 +169,12 @@ def op11_tokenizer_alignment(spark, sf_dir):
     from flowlab.llm.alignment import alignments
 
     return alignments(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
+@_query()
+def op12_repeated_spans(spark, sf_dir):
+    from flowlab.llm.repeated_spans import remove_repeats
+
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return remove_repeats(documents(spark, sf_dir), length=100).select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
