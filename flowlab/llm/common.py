@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,3 +46,13 @@ def byte_slices(column: pa.Array, limit: int = 3 << 20):
         if total >= limit or i == len(sizes):
             yield start, i, [t or b"" for t in column.slice(start, i - start).to_pylist()]
             start, total = i, 0
+
+
+def text_slices(column: pa.Array, limit: int = 3 << 20):
+    """The runs of :func:`byte_slices` as (first, end, string array; null is empty)."""
+    sizes = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+    start = 0
+    while start < len(column):
+        end = min(max(int(np.searchsorted(sizes, sizes[start] + limit)), start + 1), len(column))
+        yield start, end, pc.fill_null(column.slice(start, end - start).cast(pa.string()), "")
+        start = end

@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkTable, sums
-from flowlab.llm.common import byte_slices
+from flowlab.llm.chunk_ids import ChunkTable, sums, words_of
+from flowlab.llm.common import text_slices
 
 #: Labelled rows expected in the sample that the model is fitted on.
 SAMPLE_ROWS = 4000
@@ -156,8 +156,8 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
         table = ChunkTable(m.chunks, len(m.langs) + 1)
         for b in batches:
             langs, scores = [], []
-            for _, _, texts in byte_slices(b.column(at)):
-                lang, score = m.predict(sums(*table([t.split() for t in texts])))
+            for _, _, texts in text_slices(b.column(at)):
+                lang, score = m.predict(sums(*table.of(*words_of(texts))))
                 langs += lang
                 scores += score.tolist()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],

@@ -17,11 +17,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkIds, in_parts, remembered
-from flowlab.llm.common import byte_slices
+from flowlab.llm.chunk_ids import ChunkIds, in_parts, remembered, words_of
+from flowlab.llm.common import text_slices
 from flowlab.operators.ranking import rank_within_group
 from flowlab.session import cut_lineage
 
@@ -39,7 +40,7 @@ _ENCODERS = remembered({})
 # one run of ASCII or Latin-1 letters: one word of the tokenizer
 _WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 # a full stop or comma between a letter and white space: a word of its own
-_STOP = re.compile(rb"(?<=[a-z])[.,](?=[ \n]|\Z)")
+_STOP = r"([a-z])([.,])([ \n]|$)"
 
 
 def word_encoder(path: str) -> ChunkIds:
@@ -74,10 +75,12 @@ def word_encoder(path: str) -> ChunkIds:
     return _ENCODERS[path]
 
 
-def _chunks(text: bytes) -> list[bytes]:
+def chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """White-space separated chunks of all texts in a row, and the ends of the texts in it."""
     # the tokenizer lower-cases and parts a word from the stop behind it; doing so first makes more
     # chunks equal, unless the text may hold a special token, which is matched as written
-    return text.split() if b"<|" in text else _STOP.sub(rb" \g<0>", text.lower()).split()
+    plain = pc.replace_substring_regex(pc.ascii_lower(texts), _STOP, r"\1 \2\3")
+    return words_of(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, sequence: int = SEQUENCE,
@@ -89,8 +92,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, sequence: int = SE
         encode = word_encoder(tokenizer_path)
         for b in batches:
             doc_ids = b.column(0).to_pylist()
-            for lo, hi, texts in byte_slices(b.column(1)):
-                ids, ends = encode([_chunks(t) for t in texts])
+            for lo, hi, texts in text_slices(b.column(1)):
+                ids, ends = encode.of(*chunks(texts))
                 rows, begin = [], 0
                 for doc, end in zip(doc_ids[lo:hi], ends.tolist()):
                     own = np.append(ids[begin:end], np.uint32(end_id)).astype("<u4")

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlab.llm.chunk_ids import ChunkTable
-from flowlab.llm.common import byte_slices
+from flowlab.llm.chunk_ids import ChunkTable, words_of
+from flowlab.llm.common import text_slices
 from flowlab.llm.language_id import hash_sample
 
 #: Labelled rows expected in the sample: two thirds for the weights, one third for calibration.
@@ -227,9 +227,8 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
         table = ChunkTable(m.chunks, 1)
         for b in batches:
             scores, passages = [], []
-            for _, _, texts in byte_slices(b.column(at)):
-                chunked = [t.split() for t in texts]
-                rows, ends = table(chunked)
+            for _, _, texts in text_slices(b.column(at)):
+                rows, ends = table.of(*words_of(texts))
                 begin = 0
                 for end in ends.tolist():
                     w, begin = rows[begin:end, 0], end

@@ -3,11 +3,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from flowlab.llm.packing import cutting_stock, pack, plan_sequences, word_encoder, _chunks
+from flowlab.llm.packing import cutting_stock, pack, plan_sequences, word_encoder, chunks
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,7 +22,7 @@ def test_chunk_encoding_equals_the_tokenizer():
     texts = ["", " ", "Plain words, and more. Again!", "don't DON'T we'll", "á ÉTÉ. ×. ÷, x×.", "İstanbul ΣΣ ΟΣ.",
              "tab\tand\x0bvt\x1cfs nbsp em", "<|endoftext|> A<|STARTOFTEXT|>b <|startoftext|>.", "...,,, a.. b.,", "12 3a4 你好。 \U0001f600.",
              "é. ẛ̣,", "ª. º, µ."]
-    ids, ends = enc([_chunks(t.encode()) for t in texts])
+    ids, ends = enc.of(*chunks(pa.array(texts, pa.string())))
     for t, a, b in zip(texts, [0, *ends.tolist()], ends.tolist()):
         assert ids[a:b].tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
@@ -89,7 +90,7 @@ def test_a_small_memory_gives_the_same_ids():
 
     rng = random.Random(1)
     texts = [[str(min(int(rng.expovariate(0.05)), 300)).encode() for _ in range(rng.randint(0, 30))] for _ in range(400)]
-    enc = ChunkIds(lambda new: in_parts(new, lambda cs: [[int(c), *range(int(c) % 4)] for c in cs], 7), max_chunks=20)
+    enc = ChunkIds(lambda new: in_parts(new, lambda cs: [[int(c), *range(int(c) % 4)] for c in cs], 7), max_bytes=20 * 160)
     for i in range(0, 400, 5):
         ids, ends = enc(texts[i:i + 5])
         want = [[x for c in t for x in (int(c), *range(int(c) % 4))] for t in texts[i:i + 5]]
@@ -97,6 +98,24 @@ def test_a_small_memory_gives_the_same_ids():
         assert len(enc.index) <= 20 + 150
 
 
+def test_the_memory_is_bounded_in_bytes():
+    """Texts without white space are one chunk each: what is remembered of them has a bound too."""
+    from flowlab.llm.chunk_ids import CACHE_BYTES, ChunkIds, ChunkTable, in_parts
+
+    enc = ChunkIds(lambda new: in_parts(new, lambda cs: [list(c[:8]) * 500 for c in cs]))
+    table = ChunkTable(lambda new: np.array([[len(c), c[0]] for c in new], float), 2)
+    for i in range(60):
+        texts = [[f"{i}-{k}-".encode() + b"x" * 10_000] for k in range(200)]
+        ids, ends = enc(texts)
+        assert ids[:8].tolist() == list(texts[0][0][:8]) and (np.diff(ends) == 4000).all()
+        rows, _ = table(texts)
+        assert rows[:, 0].tolist() == [len(t[0]) for t in texts]
+        for t in (enc, table):
+            held = sum(map(len, t.index))
+            assert held <= CACHE_BYTES + 200 * 11_000 and t.cost >= held
+    assert 4 * enc.used <= CACHE_BYTES
+
+
 @pytest.mark.parametrize("sizes", [(1, 31), (17, 18), (1, 2), (40, 61), (1, 257)])
 def test_short_texts_leave_little_padding(spark, sizes):
     rng = random.Random(sizes[0])
