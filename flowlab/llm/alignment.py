@@ -21,13 +21,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkIds, in_parts, remembered
+from flowlab.llm.chunk_ids import ChunkIds, flattened, in_parts, remembered
 from flowlab.llm.common import byte_slices
 from flowlab.llm.model_store import new_folder
-from flowlab.llm.sentence_pieces import PieceModel
+from flowlab.llm.sentence_pieces import MARK
 
 #: Bytes of text in a slice (about; a longer document is a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Slices whose rows of one pair may meet under one key; more are dealt over more keys.
 SLICES_PER_KEY = 1 << 20
 _CODERS = remembered({})
@@ -51,6 +51,7 @@ class _Coder:
     :func:`joint_chunks`, as neither tokenizer has a token across such a cut."""
 
     def __init__(self, byte_level_path: str, piece_path: str):
+        import sentencepiece
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(byte_level_path)
@@ -59,27 +60,27 @@ class _Coder:
             special = {t["id"] for t in json.load(f).get("added_tokens", [])}
         sign = _byte_of_sign()
         self.a_bytes = _bytes_of_ids({i: t.encode() if i in special else bytes(sign[c] for c in t) for t, i in tok.get_vocab().items()})
-        model = PieceModel(piece_path, "bpe")
-        self.b_bytes = _bytes_of_ids(dict(enumerate(model.bytes)))
+        sp = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        pieces = {i: sp.id_to_piece(i) for i in range(sp.get_piece_size())}
+        self.b_bytes = _bytes_of_ids({i: bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode()
+                                      for i, p in pieces.items() if not (sp.is_control(i) or sp.is_unknown(i))})
+        mark = [i for i, p in pieces.items() if p == MARK]
 
         def encode_a(chunks):
             return [e.ids for e in tok.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
 
-        def encode_b(chunks):
-            words = [model._words.findall(c) for c in chunks]
-            known = sorted({w for ws in words for w in ws})
-            ids = dict(zip(known, model.encode_sorted(known)))
-            return [[i for w in ws for i in ids[w]] for ws in words]
+        def encode_b(chunks):                                    # the library puts the first space itself, but not before nothing
+            return [mark if c == b" " else ids for c, ids in zip(chunks, sp.encode([c[1:].decode() for c in chunks], num_threads=1))]
 
         self.a = ChunkIds(lambda new: in_parts(new, encode_a))
-        self.b = ChunkIds(lambda new: in_parts(new, encode_b, 1 << 15))
+        self.b = ChunkIds(lambda new: in_parts(new, encode_b))
         signs = [f"{i}{m}".encode() for i in range(max(len(self.a_bytes), len(self.b_bytes))) for m in _MARKS]
         self.shown = pa.array(signs, pa.large_binary())
 
     def __call__(self, texts: list[bytes]):
         """(ids, ends of the texts) by either tokenizer; a space stands before each text."""
-        chunks = [joint_chunks(b" " + t) if t else [] for t in texts]
-        return self.a(chunks), self.b(chunks)
+        chunks, ends = all_joint_chunks(texts)
+        return self.a.of(chunks, ends), self.b.of(chunks, ends)
 
 
 def joint_chunks(text: bytes) -> list[bytes]:
@@ -97,6 +98,17 @@ def joint_chunks(text: bytes) -> list[bytes]:
     return [c for c in out if c]
 
 
+def all_joint_chunks(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The :func:`joint_chunks` of a space and each text, in a row, and the ends of the texts in
+    it; an empty text has none."""
+    if any(b"\0" in t for t in texts):                           # the mark of a cut below
+        return flattened([joint_chunks(b" " + t) if t else [] for t in texts])
+    spaced = pa.array([b" " + t if t else None for t in texts], pa.string())
+    lists = pc.split_pattern(pc.replace_substring_regex(spaced, "([\x21-\x7e\u00c0-\u00ff]) ", "\\1\0 "), "\0")
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return lists.flatten().cast(pa.binary()), np.cumsum(sizes, dtype=np.int64)
+
+
 def coder(byte_level_path: str, piece_path: str) -> _Coder:
     """One for each Python worker."""
     key = (byte_level_path, piece_path)

@@ -118,3 +118,12 @@ def test_very_long_texts_many_slices_and_salts(spark, plain, monkeypatch):
 def test_empty_table(spark):
     got, counts = alignment.alignments(frame(spark, []), A, B)
     assert got.collect() == [] and counts.collect() == []
+
+
+def test_both_ways_to_cut_agree():
+    texts = [t.encode() for t in ODD if t is not None and "\0" not in t] + [b"x  y z", "é ü ñ a".encode()]
+    chunks, ends = alignment.all_joint_chunks(texts)
+    begin = 0
+    for t, end in zip(texts, ends.tolist()):
+        assert chunks.to_pylist()[begin:end] == (alignment.joint_chunks(b" " + t) if t else [])
+        begin = end
