@@ -31,13 +31,13 @@ from flowlab.llm.suffix_sort import PrefixHashes, mixed, sort_buckets
 #: Bytes a window has.
 LENGTH = 100
 #: Bytes of text in a slice (about; a longer document is a slice of its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Window starts looked at together.
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Hashes, and bytes of runs, that one group of the two shuffles holds (about).
-GROUP_HASHES, GROUP_BYTES = 2 << 20, 8 << 20
+GROUP_HASHES, GROUP_BYTES = 1 << 20, 2 << 20
 #: Slices that one task goes through, at most.
-TASK_SLICES = 16
+TASK_SLICES = 64
 _FIRST = -(1 << 63)                                              # a null id comes before all others
 
 

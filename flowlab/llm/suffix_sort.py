@@ -13,8 +13,20 @@ import numpy as np
 
 #: The base of the polynomial (odd, so it has an inverse modulo 2^64) and its inverse.
 BASE = 0xD1342543DE82EF95
-#: Suffix pairs whose bytes are compared at a time.
-PAIRS = 1 << 15
+#: Bytes hashed at a time, and suffix pairs whose bytes are compared at a time.
+BLOCK, PAIRS = 1 << 16, 1 << 13
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The powers 0 to ``n`` - 1 of ``base``, at least; kept for the next call."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.full(1 << max(n - 1, 1).bit_length(), np.uint64(base))
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        _POWERS[base] = have
+    return have
 
 
 class PrefixHashes:
@@ -22,14 +34,17 @@ class PrefixHashes:
 
     def __init__(self, text: np.ndarray, base: int = BASE):
         self.text, n = text, len(text)
-        power = np.full(n + 1, np.uint64(base))
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(power[:-1] * (text.astype(np.uint64) + np.uint64(1)), out=self.sums[1:])
-        power[1:] = np.uint64(pow(base, -1, 1 << 64))
-        power[:1] = 1
-        self.unpower = np.multiply.accumulate(power, out=power)
+        power = _powers(base, BLOCK)[:BLOCK]
+        for i in range(0, n, BLOCK):
+            part = text[i:i + BLOCK].astype(np.uint64)
+            part += np.uint64(1)
+            part *= power[:len(part)]
+            if i:
+                part *= np.uint64(pow(base, i, 1 << 64))
+                part[0] += self.sums[i]
+            np.cumsum(part, out=self.sums[i + 1:i + 1 + len(part)])
+        self.unpower = _powers(pow(base, -1, 1 << 64), n + 1)
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
         """Hash of ``length`` bytes from each of ``start``."""
@@ -123,10 +138,11 @@ def sort_buckets(hashes: PrefixHashes, start: np.ndarray, bucket: np.ndarray, le
     pair = np.flatnonzero(same_bucket)
     sorted_start = start[order]
     equal, fine = _ordered(hashes.text, sorted_start[pair - 1], sorted_start[pair], length)
-    if not fine.all():                                           # a collision: by bytes
-        for b in np.unique(begin[pair[~fine]]).tolist():
-            part = np.sort(order[b:end[b]])
-            order[b:end[b]] = sorted(part.tolist(), key=lambda k: hashes.text[start[k]:start[k] + length].tobytes())
+    there = np.zeros(n, bool)
+    there[order] = True                                          # wrong comparisons may give two suffixes one place
+    if not fine.all() or not there.all():                        # a collision: by bytes
+        for b in np.unique(np.concatenate((begin[pair[~fine]], begin[~there]))).tolist():
+            order[b:end[b]] = sorted(range(b, int(end[b])), key=lambda k: hashes.text[start[k]:start[k] + length].tobytes())
         sorted_start = start[order]
         equal, _ = _ordered(hashes.text, sorted_start[pair - 1], sorted_start[pair], length)
     repeats = np.zeros(n, bool)

@@ -97,7 +97,7 @@ def test_very_long_texts(spark):
     assert got[2] == [(6, 400_006)] and got[3] == [(5, 500_000)] and got[4] == [] and got[1] == []
 
 
-@settings(max_examples=80, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(st.text(alphabet="ab", max_size=120), st.integers(1, 9), st.integers(1, 4), st.booleans())
 def test_buckets_are_sorted(text, length, buckets, weak):
     data = np.frombuffer(text.encode(), np.uint8)
