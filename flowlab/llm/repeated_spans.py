@@ -187,14 +187,15 @@ def _cut(folder: str, length: int):
     return run
 
 
-def _by_range(groups: int):
-    """A slice's hashes, dealt by range."""
+def _by_group(groups: int):
+    """A slice's hashes, dealt over groups."""
     def run(batches):
         for b in batches:
             for name, found in zip(b.column(0).to_pylist(), b.column(1)):
-                h = np.sort(found.values.to_numpy(zero_copy_only=False).view(np.uint64))
-                group = range_of(h, groups)
-                cut = np.searchsorted(group, np.arange(groups + 1))
+                h = found.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                group = group_of(h, groups)
+                order = np.argsort(group, kind="stable")
+                h, cut = h[order], np.searchsorted(group[order], np.arange(groups + 1))
                 some = np.flatnonzero(np.diff(cut))
                 offsets = np.append(cut[some], len(h)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([name] * len(some), pa.string()),
@@ -203,12 +204,13 @@ def _by_range(groups: int):
     return run
 
 
-def range_of(h: np.ndarray, groups: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+def group_of(h: np.ndarray, groups: int) -> np.ndarray:
+    """Anchors are the least hashes of their windows, so they are mixed anew before they are dealt."""
+    return ((mixed(h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of a range's hashes, for each slice those that another slice has too."""
+    """Of a group's hashes, for each slice those that another slice has too."""
     lists = table.column("hashes").combine_chunks()
     h = lists.flatten().to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
@@ -253,7 +255,7 @@ def _send(folder: str, length: int, groups: int):
                 start, n = _stretches(np.concatenate(gone))
                 yield _sent_row(slice=name, gone=start, gone_n=n)
                 r = {k: v[ship] for k, v in r.items()}
-                group = range_of(r["anchor"], groups)
+                group = group_of(r["anchor"], groups)
                 doc = np.searchsorted(a["ends"], r["start"], side="right")
                 digest = a["digest"].reshape(-1, 32)[:, :8].copy().view(">u8").ravel().astype(np.uint64).view(np.int64)
                 begins = a["ends"] - np.diff(a["ends"], prepend=0)
@@ -362,7 +364,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     tasks = max(1, min(n_slices, max(cores, -(-n_slices // TASK_SLICES))))
 
     groups = max(1, min(cores, n_slices), -(-n_hashes // GROUP_HASHES))
-    shared = parts.select("slice", "hashes").mapInArrow(_by_range(groups), "group long, slice string, hashes array<long>") \
+    shared = parts.select("slice", "hashes").mapInArrow(_by_group(groups), "group long, slice string, hashes array<long>") \
         .groupBy("group").applyInArrow(_shared, "slice string, hashes array<long>").where(F.size("hashes") > 0)
     shared.write.parquet(f"{folder}/shared")
     shared = spark.read.parquet(f"{folder}/shared")

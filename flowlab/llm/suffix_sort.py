@@ -42,7 +42,7 @@ class PrefixHashes:
             part *= power[:len(part)]
             if i:
                 part *= np.uint64(pow(base, i, 1 << 64))
-                part[0] += self.sums[i]
+                part[:1] += self.sums[i:i + 1]
             np.cumsum(part, out=self.sums[i + 1:i + 1 + len(part)])
         self.unpower = _powers(pow(base, -1, 1 << 64), n + 1)
 

@@ -127,3 +127,12 @@ def test_runs_hold_every_window_once(texts, length):
         for k in range(n):
             by.setdefault(data[s + k:s + k + length], set()).add((a, lead - k))
     assert all(len(v) == 1 for v in by.values())                     # equal windows: the same anchor at the same place
+
+
+def test_anchors_are_dealt_evenly():
+    """Anchors are small hashes; the groups they are dealt to must not follow that."""
+    rng = np.random.default_rng(5)
+    text = rng.integers(97, 123, 400_000).astype(np.uint8)
+    anchors = np.unique(repeated_spans.runs(text, np.array([len(text)]), 100)["anchor"])
+    sizes = np.bincount(repeated_spans.group_of(anchors, 16), minlength=16)
+    assert sizes.min() > 0.8 * sizes.mean() and sizes.max() < 1.2 * sizes.mean()
