@@ -198,18 +198,73 @@ def explore(cands: DataFrame, interactions: DataFrame, weight: float = 0.3, age_
     return top_k(e, k, user, item)
 
 
-def normalise_scores(catalogue: DataFrame, score: str = "score", key: str | None = None) -> DataFrame:
+def normalise_scores(catalogue: DataFrame, score: str = "score", key: str | None = None, user: str = USER) -> DataFrame:
     """REC5. Softmax over the whole catalogue, before any top-k: each score in [0, 1], the sum 1
-    (per ``key``, if given, e.g. a segment). The maximum and the sum are aggregates, so no task
-    has to hold a catalogue."""
+    for each user, or per ``key`` (e.g. a segment); a table without the user column is one
+    catalogue. The maximum and the sum are aggregates, so no task has to hold a catalogue."""
+    if key is None and user in catalogue.columns:
+        key = user
     if key is None:
         top = catalogue.agg(F.max(score).alias("__m"))
         e = catalogue.withColumn("__e", F.exp(F.col(score) - top.scalar()))
         return e.withColumn(score, F.col("__e") / e.agg(F.sum("__e").alias("__s")).scalar()).drop("__e")
     top = catalogue.groupBy(F.col(key).alias("__k")).agg(F.max(score).alias("__m"))
-    e = catalogue.join(top, F.col(key) == F.col("__k")).withColumn("__e", F.exp(F.col(score) - F.col("__m"))).drop("__k", "__m")
+    e = catalogue.join(top, F.col(key).eqNullSafe(F.col("__k"))).withColumn("__e", F.exp(F.col(score) - F.col("__m"))).drop("__k", "__m")
     total = e.groupBy(F.col(key).alias("__k")).agg(F.sum("__e").alias("__s"))
-    return e.join(total, F.col(key) == F.col("__k")).withColumn(score, F.col("__e") / F.col("__s")).drop("__e", "__k", "__s")
+    return e.join(total, F.col(key).eqNullSafe(F.col("__k"))).withColumn(score, F.col("__e") / F.col("__s")).drop("__e", "__k", "__s")
+
+
+def factor_blocks(factors: DataFrame, size: int, prefix: str) -> DataFrame:
+    """Rows of (id, features), dense ids from 0, as one row for each ``size`` of them: the block, its
+    ids and its factors in a row (bounded by ``size``)."""
+    rows = F.array_sort(F.collect_list(F.struct("id", F.col("features").cast("array<double>").alias("f"))))
+    packed = factors.groupBy(F.expr(f"id div {size}").cast("int").alias(f"{prefix}_block")).agg(rows.alias("rows"))
+    return packed.select(f"{prefix}_block", F.transform("rows", lambda r: r["id"]).alias(f"{prefix}_ids"),
+                         F.flatten(F.transform("rows", lambda r: r["f"])).alias(f"{prefix}_flat"))
+
+
+def block_softmax(users: DataFrame, items: DataFrame, k: int, user_block: int = 2048, item_block: int = 8192) -> DataFrame:
+    """(u, rank, i, score): for each user the ``k`` items of the highest probability, where a user's
+    probabilities, exp(user . item) over all items, sum to one. ``users`` and ``items`` hold (id,
+    features). Every block of users meets every block of items in one product; what leaves it is,
+    for each user, the running maximum and sum and its ``k`` best, never the scores themselves.
+    Maxima and sums of a user's blocks are then merged; equal scores go to the smaller id."""
+    import numpy as np
+    import pyarrow as pa
+
+    packed = cut_lineage(factor_blocks(items, item_block, "i"))
+    n_blocks = packed.count()
+    asked = factor_blocks(users, user_block, "u").withColumn("i_block", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
+
+    def product(batches):
+        for b in batches:
+            for r in range(b.num_rows):
+                u_ids, u, i_ids, i = (b.column(c)[r].values.to_numpy(zero_copy_only=False) for c in range(4))
+                score = u.reshape(len(u_ids), -1) @ i.reshape(len(i_ids), -1).T
+                top = score.max(axis=1)
+                total = np.exp(score - top[:, None]).sum(axis=1)
+                order = np.argsort(-score, axis=1, kind="stable")[:, :k]          # ids ascend in a block
+                best = pa.ListArray.from_arrays(np.arange(len(u_ids) + 1, dtype=np.int32) * order.shape[1], pa.StructArray.from_arrays(
+                    [pa.array(i_ids[order.ravel()].astype(np.int32)), pa.array(np.take_along_axis(score, order, 1).ravel())], names=["i", "s"]))
+                yield pa.RecordBatch.from_arrays([pa.array(u_ids.astype(np.int32)), pa.array(top), pa.array(total), best], names=["u", "top", "total", "best"])
+
+    parts = asked.join(packed, "i_block").select("u_ids", "u_flat", "i_ids", "i_flat") \
+        .mapInArrow(product, "u int, top double, total double, best array<struct<i: int, s: double>>")
+    # at most k items of each block: no user's catalogue is gathered
+    merged = cut_lineage(parts.groupBy("u").agg(F.max("top").alias("top"), F.collect_list(F.struct("top", "total", "best")).alias("blocks")))
+    total = F.aggregate("blocks", F.lit(0.0), lambda acc, x: acc + x["total"] * F.exp(x["top"] - F.col("top")))
+    best = F.slice(F.array_sort(F.flatten(F.transform("blocks", lambda x: F.transform(x["best"], lambda y: F.struct((-y["s"]).alias("s"), y["i"].alias("i")))))), 1, k)
+    return merged.select("u", "top", total.alias("total"), F.posexplode(best).alias("pos", "x")) \
+        .select("u", (F.col("pos") + 1).alias("rank"), F.col("x.i").alias("i"), (F.exp(-F.col("x.s") - F.col("top")) / F.col("total")).alias("score"))
+
+
+def recommend_probabilities(model, uid: DataFrame, iid: DataFrame, users: DataFrame, k: int = DEFAULT_K,
+                            user: str = USER, item: str = ITEM) -> DataFrame:
+    """REC5 with REC4. Top-k items for the requested users, with probabilities over the whole
+    catalogue -> ``(user, rank, item, score)``; users the model does not know yield no rows."""
+    req = users.select(user).distinct().join(uid, user).select(F.col("__u").alias("id"))
+    e = block_softmax(model.userFactors.join(req, "id", "left_semi"), model.itemFactors, k)
+    return e.join(uid, F.col("u") == F.col("__u")).join(iid, F.col("i") == F.col("__i")).select(user, "rank", item, "score")
 
 
 # ---- evaluation -------------------------------------------------------------------------------

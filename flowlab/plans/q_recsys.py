@@ -11,6 +11,7 @@ from ..operators.filters import successful_only
 from ..operators.joins import enrich_ranked_list, join_items_interactions, lookup_title, restrict_to_requests
 from ..operators.mapping import split_fields
 from ..operators.sampling import bernoulli_sample, repartition_for_join
+from ..operators.similar import similar_items
 from ..sources.readers import read_recommendations, read_requests, scratch_path
 from .registry import register
 from .views import items, ratings, table, with_views
@@ -196,6 +197,27 @@ def q_normalise_context(spark, sf):
     return rs.normalise_scores(c, key="context")
 
 
+SIMILAR_SQL = f"""
+WITH c AS (SELECT USER_ID AS u, ITEM_ID AS i, count(*) AS c FROM ({INTER_SQL}) s GROUP BY 1, 2),
+n AS (SELECT i, sum(c * c) AS n FROM c GROUP BY 1),
+p AS (SELECT a.i AS x, b.i AS y, sum(a.c * b.c) AS dot FROM c a JOIN c b ON a.u = b.u AND a.i <> b.i GROUP BY 1, 2),
+s AS (SELECT x, y, CAST(dot AS DOUBLE) / sqrt(CAST(nx.n AS DOUBLE) * CAST(ny.n AS DOUBLE)) AS score
+      FROM p JOIN n nx ON nx.i = x JOIN n ny ON ny.i = y)
+SELECT x AS ITEM_ID, CAST(rank AS INTEGER) AS rank, y AS SIMILAR_ITEM, score FROM
+  (SELECT *, row_number() OVER (PARTITION BY x ORDER BY score DESC, y) AS rank FROM s) r WHERE rank <= 10"""
+
+
+@register("rec9_similar_items", SIMILAR_SQL)
+def q_similar(spark, sf):
+    return similar_items(interactions(spark, sf), k=10)
+
+
+@register("rec9_similar_items_heavy", SIMILAR_SQL)
+def q_similar_heavy(spark, sf):
+    """Most users count as heavy: their pairs pass through the bounds."""
+    return similar_items(interactions(spark, sf), k=10, light=24)
+
+
 @register("rec8_rerank_in_context", f"""
 WITH c AS ({CTX_SQL}), r AS ({ALL_RECS_SQL}),
 n AS (SELECT ITEM_ID, context, count(*) AS n FROM c GROUP BY 1, 2),
@@ -433,6 +455,13 @@ def q_als(spark, sf):
     return rs.recommend_batch(model, uid, iid, s["test_truth"], K)
 
 
+@register("rec5_normalise_als")
+def q_probabilities(spark, sf):
+    s = split(spark, sf)
+    model, uid, iid = _als(spark, sf, s["train"].unionByName(s["test_input"]))
+    return rs.recommend_probabilities(model, uid, iid, s["test_truth"], K)
+
+
 @register("rec6_als_segment_users")
 def q_segment(spark, sf):
     inter = interactions(spark, sf)

@@ -56,8 +56,11 @@ ROUND_COLS = {
     'rec3_tune': ['ndcg'],
     'rec5_normalise_by_context': ['score'],
     'rec5_normalise_scores': ['score'],
+    'rec5_normalise_als': ['score'],
     'rec6_als_segment_users': ['score'],
     'rec7_explore': ['score'],
+    'rec9_similar_items': ['score'],
+    'rec9_similar_items_heavy': ['score'],
     'rec8_recommend_with_context': ['score'],
     'rec8_rerank_in_context': ['score'],
     'rec_als_metrics': ['mrr_at_25', 'ndcg_at_5', 'precision_at_5', 'ndcg_at_10', 'precision_at_10', 'ndcg_at_25', 'precision_at_25'],
