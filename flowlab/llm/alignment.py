@@ -18,6 +18,7 @@ import json
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,11 @@ from flowlab.llm.sentence_pieces import MARK
 SLICE_BYTES = 1 << 20
 #: Slices whose rows of one pair may meet under one key; more are dealt over more keys.
 SLICES_PER_KEY = 1 << 20
+#: Bytes that a worker's table of chunks remembers.
+CACHE_BYTES = 32 << 20
 _CODERS = remembered({})
+MARK_BYTES = MARK.encode()
+_SECOND = np.uint32(1 << 31)                                     # marks the ids of the second tokenizer where both lie in one list
 _MARKS = [",", "|", ";", ""]                                     # what follows a token in a document's list of groups
 
 
@@ -64,32 +69,70 @@ class _Coder:
         pieces = {i: sp.id_to_piece(i) for i in range(sp.get_piece_size())}
         self.b_bytes = _bytes_of_ids({i: bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode()
                                       for i, p in pieces.items() if not (sp.is_control(i) or sp.is_unknown(i))})
-        mark = [i for i, p in pieces.items() if p == MARK]
-
-        def encode_a(chunks):
-            return [e.ids for e in tok.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
-
-        def encode_b(chunks):                                    # the library puts the first space itself, but not before nothing
-            return [mark if c == b" " else ids for c, ids in zip(chunks, sp.encode([c[1:].decode() for c in chunks], num_threads=1))]
-
-        self.a = ChunkIds(lambda new: in_parts(new, encode_a))
-        self.b = ChunkIds(lambda new: in_parts(new, encode_b))
+        mark, mask = [i for i, p in pieces.items() if p == MARK], int(_SECOND)
+
+        def one_by_one(chunks):
+            a = [e.ids for e in tok.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
+            # the library puts the first space itself, but not before nothing
+            b = [mark if c == b" " else ids for c, ids in zip(chunks, sp.encode([c[1:].decode() for c in chunks], num_threads=1))]
+            return [[i | mask for i in y] + x for x, y in zip(a, b)]
+
+        def encode(chunks):
+            """Many chunks as one text, whose tokens end where they end."""
+            plain, other = [], []
+            for c in chunks:
+                (plain if _cut_behind(c) and c[:1] == b" " and MARK_BYTES not in c else other).append(c)
+            for i in range(0, len(plain), 4096):
+                part = plain[i:i + 4096]
+                text, ends = b"".join(part).decode(), np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
+                a = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                b = np.array(sp.encode(text[1:], num_threads=1), np.uint32)
+                cuts = [_cuts(ids, size, ends) for ids, size in ((a, a_size), (b, b_size))]
+                if any(c is None for c in cuts):
+                    yield from in_parts(part, one_by_one)
+                    continue
+                n_a, n_b = cuts
+                sizes = n_a + n_b
+                first = np.cumsum(sizes) - sizes
+                flat = np.empty(len(a) + len(b), np.uint32)
+                flat[np.arange(len(b)) + np.repeat(np.cumsum(n_a) - n_a, n_b)] = b | _SECOND
+                flat[np.arange(len(a)) + np.repeat(first + n_b - (np.cumsum(n_a) - n_a), n_a)] = a
+                yield part, flat, sizes
+            yield from in_parts(other, one_by_one)
+
+        a_size, b_size = (pc.binary_length(t).to_numpy() for t in (self.a_bytes, self.b_bytes))
+        self.both = ChunkIds(encode, CACHE_BYTES)
         signs = [f"{i}{m}".encode() for i in range(max(len(self.a_bytes), len(self.b_bytes))) for m in _MARKS]
         self.shown = pa.array(signs, pa.large_binary())
 
     def __call__(self, texts: list[bytes]):
         """(ids, ends of the texts) by either tokenizer; a space stands before each text."""
-        chunks, ends = all_joint_chunks(texts)
-        return self.a.of(chunks, ends), self.b.of(chunks, ends)
+        ids, ends = self.both.of(*all_joint_chunks(texts))
+        second = ids >= _SECOND
+        before = np.concatenate(([0], np.cumsum(second)))[ends]
+        return (ids[~second], ends - before), (ids[second] ^ _SECOND, before)
+
+
+def _cut_behind(text: bytes) -> bool:
+    """Whether a text may be cut before a space that follows this: behind a visible ASCII character
+    or one of U+00C0 to U+00FF (so never behind white space)."""
+    return bool(text) and (0x20 < text[-1] < 0x7F or text[-2:-1] == b"\xc3")
+
+
+def _cuts(ids: np.ndarray, size: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+    """How many tokens each stretch up to one of ``ends`` (in bytes) has; None if a token crosses one."""
+    token_ends = np.cumsum(size[ids])
+    at = np.searchsorted(token_ends, ends, side="right")
+    if not len(ids) or token_ends[-1] != ends[-1] or not (token_ends[at - 1] == ends).all():
+        return None
+    return np.diff(at, prepend=0)
 
 
 def joint_chunks(text: bytes) -> list[bytes]:
-    """``text`` cut before each space that follows a visible ASCII character or a character of
-    U+00C0 to U+00FF (so never white space)."""
+    """``text`` cut before each space where :func:`_cut_behind` allows it."""
     out, held = [], []
     for w in text.split(b" "):
-        last = held[-1] if held else b""
-        if last and (0x20 < last[-1] < 0x7F or last[-2:-1] == b"\xc3"):
+        if held and _cut_behind(held[-1]):
             out.append(b" ".join(held))
             held = [b"", w]
         else:
@@ -195,7 +238,7 @@ def _group_texts(shown: pa.Array, a_ids, b_ids, of_a, of_b, a_ends, b_ends) -> l
 
 
 _SLICE = ("slice string, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
-          "links array<int>, pair_a array<int>, pair_b array<int>, pair_docs array<int>")
+          "links binary, pair_a array<int>, pair_b array<int>, pair_docs array<int>")
 
 
 def _slice_row(c: _Coder, name: str, doc_ids: list, texts: list[bytes]) -> dict:
@@ -215,15 +258,15 @@ def _slice_row(c: _Coder, name: str, doc_ids: list, texts: list[bytes]) -> dict:
     shown = _group_texts(c.shown, a_ids, b_ids, of_a, of_b, a_ends, b_ends)
     return {"slice": name, "doc_id": doc_ids, "n_a": np.diff(a_ends, prepend=0), "n_b": np.diff(b_ends, prepend=0), "n_groups": groups,
             "n_links": np.bincount(doc, minlength=len(texts)), "groups_sha256": [hashlib.sha256(s).hexdigest() if k else "" for s, k in zip(shown, keep.tolist())],
-            "links": coded.indices.to_numpy(), "pair_a": pairs >> 32, "pair_b": pairs & 0xFFFFFFFF, "pair_docs": docs}
+            "links": zstandard.ZstdCompressor(level=1).compress(coded.indices.to_numpy().astype("<i4").tobytes()), "pair_a": pairs >> 32, "pair_b": pairs & 0xFFFFFFFF, "pair_docs": docs}
 
 
 _TYPES = {"slice": pa.string(), "doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(),
-          "groups_sha256": pa.string(), "links": pa.int32(), "pair_a": pa.int32(), "pair_b": pa.int32(), "pair_docs": pa.int32()}
+          "groups_sha256": pa.string(), "links": pa.binary(), "pair_a": pa.int32(), "pair_b": pa.int32(), "pair_docs": pa.int32()}
 
 
 def _one_row(row: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([row[k]], t) if k == "slice" else pa.ListArray.from_arrays([0, len(row[k])], pa.array(row[k], t))
+    return pa.RecordBatch.from_arrays([pa.array([row[k]], t) if k in ("slice", "links") else pa.ListArray.from_arrays([0, len(row[k])], pa.array(row[k], t))
                                        for k, t in _TYPES.items()], names=list(_TYPES))
 
 
@@ -277,11 +320,14 @@ def _finish(batches):
             def column(name, b=b, r=r):
                 return b.column(name)[r].values
 
+            def packed(b=b, r=r):
+                return zstandard.ZstdDecompressor().decompress(b.column("links")[r].as_py(), max_output_size=1 << 40)
+
             scored = column("scored")
             place = scored.field("place").to_numpy()
             docs, best = (np.zeros(len(place), np.int64) for _ in range(2))
             docs[place], best[place] = scored.field("docs").to_numpy(), scored.field("best").to_numpy(zero_copy_only=False)
-            links, ends = column("links"), np.cumsum(column("n_links").to_numpy())
+            links, ends = pa.array(np.frombuffer(packed(), "<i4")), np.cumsum(column("n_links").to_numpy())
             count_sum, n_best = (_segment_sums(pa.array(v).take(links), ends) for v in (docs, best))
             yield pa.RecordBatch.from_arrays(
                 [*(column(k) for k in ("doc_id", "n_a", "n_b", "n_groups", "n_links")), pa.array(n_best), pa.array(count_sum), column("groups_sha256")],
