@@ -1,8 +1,8 @@
 """Language identification, words first: a known word scores by its log frequency in each
 language; an unseen one falls back to the longest of its character n-grams that are known.
 
-The model is fitted on a bounded sample of the labelled rows (``SAMPLE_ROWS`` expected, chosen
-by a hash of the id), so its size has a bound too; every text is scored whole, from the scan,
+The model is fitted on a bounded sample of the labelled rows (``LABEL_ROWS`` different ones of
+each language, by a hash of id and text), so its size has a bound too; every text is scored whole, from the scan,
 without a shuffle."""
 
 from __future__ import annotations
@@ -12,14 +12,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.llm.chunk_ids import ChunkTable, sums, words_of
 from flowlab.llm.common import text_slices
 
-#: Labelled rows expected in the sample that the model is fitted on.
-SAMPLE_ROWS = 4000
+#: Different labelled rows of each language in the sample that the model is fitted on.
+LABEL_ROWS = 1000
 #: Longest character n-gram.
 NGRAM = 5
 #: Added to every count.
@@ -28,12 +28,16 @@ UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def hash_sample(rows: DataFrame, key, expected: int) -> DataFrame:
-    """About ``expected`` of ``rows``, chosen by a hash of ``key``; all of them if there are fewer."""
-    n = rows.count()
-    if n <= expected:
-        return rows
-    return rows.where((F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 32)) < F.lit(int(expected / n * (1 << 32)))))
+def label_sample(rows: DataFrame, label_rows: int) -> DataFrame:
+    """Of rows (id, label, text) with a label and a text: the ``label_rows`` different ones of each
+    label with the least hashes of id and text; all of them if there are fewer. Only hashes are
+    ranked; the hash up to which a label's rows are taken is one row for each label."""
+    hashed = rows.withColumn("__hash", F.xxhash64("id", "text", F.lit("sample")))
+    by_hash = Window.partitionBy("label").orderBy("__hash")
+    least = hashed.select("label", "__hash").distinct().withColumn("__n", F.row_number().over(by_hash)).where(F.col("__n") <= label_rows) \
+        .groupBy(F.col("label").alias("__label")).agg(F.max("__hash").alias("__last"))
+    return hashed.join(least, (F.col("label") == F.col("__label")) & (F.col("__hash") <= F.col("__last"))) \
+        .groupBy("label", "__hash").agg(F.first("text").alias("text")).select("label", "text")
 
 
 def _words(text: str) -> list[str]:
@@ -69,20 +73,20 @@ class LanguageModel:
     """Log frequencies of words and n-grams by language."""
 
     def __init__(self, rows):
-        """``rows``: (lang, size, gram, n), n at least two."""
+        """``rows``: (lang, size, gram, n)."""
         self.langs = sorted({r[0] for r in rows})
         at = {lang: i for i, lang in enumerate(self.langs)}
-        counts = [defaultdict(lambda: np.zeros(len(self.langs))) for _ in range(NGRAM + 1)]
-        for lang, size, gram, n in rows:
-            counts[size][gram][at[lang]] += n
         # one table of log frequencies: words first, then the n-grams by length; each has its index
         self.index, tables, n_rows = [], [], 0
-        for c in counts:
-            keys = sorted(c)
-            m = np.array([c[k] for k in keys]) if keys else np.zeros((0, len(self.langs)))
-            tables.append(np.log((m + SMOOTHING) / (m.sum(axis=0) + SMOOTHING * (len(keys) + 1))))
-            self.index.append({k: n_rows + i for i, k in enumerate(keys)})
-            n_rows += len(keys)
+        for size in range(NGRAM + 1):
+            own = [(lang, gram, n) for lang, s, gram, n in rows if s == size]
+            index = {k: i for i, k in enumerate(sorted({gram for _, gram, _ in own}))}
+            m = np.zeros((len(index), len(self.langs)))
+            for lang, gram, n in own:
+                m[index[gram], at[lang]] += n
+            tables.append(np.log((m + SMOOTHING) / (m.sum(axis=0) + SMOOTHING * (len(index) + 1))))
+            self.index.append({k: n_rows + i for k, i in index.items()})
+            n_rows += len(index)
         self.logs = np.concatenate(tables)
 
     def evidence(self, word: str) -> list[int]:
@@ -130,12 +134,13 @@ class LanguageModel:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
+        label_rows: int = LABEL_ROWS) -> LanguageModel:
     """Fit on rows with a text and a language. What comes to the driver is bounded by the sample."""
-    rows = hash_sample(labelled.where(labelled[lang_col].isNotNull() & labelled[text_col].isNotNull()), labelled[id_col], sample_rows)
-    counts = rows.select(labelled[lang_col], labelled[text_col]).mapInArrow(_count, "lang string, size int, gram string, n long") \
-        .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).where("n > 1")
-    return LanguageModel([tuple(r) for r in counts.collect()])
+    rows = labelled.where(labelled[lang_col].isNotNull() & labelled[text_col].isNotNull()) \
+        .select(labelled[id_col].alias("id"), labelled[lang_col].cast("string").alias("label"), labelled[text_col].cast("string").alias("text"))
+    counts = label_sample(rows, label_rows).mapInArrow(_count, "lang string, size int, gram string, n long") \
+        .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    return LanguageModel(list(zip(*(c.to_pylist() for c in counts.toArrow().columns))))
 
 
 def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",

@@ -1,14 +1,15 @@
 """Toxicity by maximum-scoring segments.
 
 Token weights are log-odds of toxic against clean labelled texts, shrunk by a Dirichlet prior:
-the prior of a word is the rate of its first letters, theirs the rate of the corpus. A small
-cost for each token makes the expected weight negative, so a linear scan (all maximal scoring
-segments) finds the passages that stand out. Extreme-value statistics say how large a segment
-a clean text of that length would show by chance; the most significant one is mapped
-to a probability on labelled rows that the weights were not learned from.
+the prior of a word is the rate of its first letters, theirs the rate of the corpus. Every word
+of the sample keeps its weight, negative ones too. A cost for each token makes the expected
+weight of clean text negative, so a linear scan (all maximal scoring segments) finds the passages
+that stand out. Extreme-value statistics say how large a segment a clean text of that length
+would show by chance, and how large the sum of its r best ones; the least likely of these sums is
+mapped to a probability on labelled rows that the weights were not learned from.
 
-Fitted on a bounded sample of labelled rows (``SAMPLE_ROWS`` expected, by a hash of the id);
-every text is scored whole, from the scan, without a shuffle."""
+Fitted on a bounded sample of labelled rows (``CLASS_ROWS`` toxic and as many clean ids, by a
+hash of the id, one text each); every text is scored whole, from the scan, without a shuffle."""
 
 from __future__ import annotations
 
@@ -18,29 +19,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlab.llm.chunk_ids import ChunkTable, words_of
 from flowlab.llm.common import text_slices
-from flowlab.llm.language_id import hash_sample
+from flowlab.session import cut_lineage
 
-#: Labelled rows expected in the sample: two thirds for the weights, one third for calibration.
-SAMPLE_ROWS = 12_000
+#: Labelled ids of either class in the sample: two thirds for the weights, one third for calibration.
+CLASS_ROWS = 6_000
 #: Strength of the Dirichlet prior, in texts.
 PRIOR_TEXTS = 4.0
 #: Letters of a word's beginning that serve as its prior.
 STEM = 5
-#: Cost of every token.
-TOKEN_COST = 0.5
-#: Weights below this are not kept: the token counts as neutral. So do tokens seen in fewer toxic texts.
-LEAST_WEIGHT = 2.0
-LEAST_TEXTS = 3
+#: Cost of every token, and how far below zero clean tokens must weigh on average.
+TOKEN_COST, DRIFT = 0.5, 0.25
 #: Segments with an expected number by chance below this are significant.
 EXPECTED_BY_CHANCE = 0.05
 _LETTERS = re.compile(r"[^\W\d_]+")
-_BINS = np.arange(-4, 12.25, 0.25)
+_BINS = np.arange(-12, 12.25, 0.25)
 
 
 def _words(text: str) -> list[str]:
@@ -81,6 +79,7 @@ def maximal_segments(weights: np.ndarray) -> list[tuple[float, int, int]]:
 class ToxicityModel:
     words: dict[str, float]
     stems: dict[str, float]
+    cost: float = TOKEN_COST
     decay: float = 1.0          # lambda of the extreme-value law of segment scores
     spread: float = 1.0         # its K
     bias: float = -3.0
@@ -92,22 +91,32 @@ class ToxicityModel:
 
     def chunks(self, chunks: list[bytes]) -> np.ndarray:
         """A chunk weighs as its weightiest word."""
-        return np.array([[max(map(self.weight, _words(c.decode())), default=0.0) - TOKEN_COST] for c in chunks])
-
-    def evidence(self, segments, n: int) -> list[float]:
-        """For each segment minus the log of the number expected by chance in a text of ``n`` tokens."""
-        return [self.decay * s - np.log(self.spread * max(n, 1)) for s, _, _ in segments]
-
-    def total(self, evidence) -> float:
-        """The evidence of the most significant segment: the extreme value that chance has to match."""
-        return float(max((e for e in evidence if e > -np.log(EXPECTED_BY_CHANCE)), default=0.0))
+        return np.array([[max(map(self.weight, _words(c.decode())), default=0.0) - self.cost] for c in chunks])
+
+    def evidence(self, scores, n: int) -> np.ndarray:
+        """For each segment score minus the log of the number expected by chance in ``n`` tokens."""
+        return self.decay * np.asarray(scores, float) - np.log(self.spread * max(n, 1))
+
+    def total(self, evidence: np.ndarray) -> float:
+        """Minus the log of the chance of the least likely sum of the r best segments, for any r:
+        exp(-T) T^(r-1) / (r! (r-1)!) for a sum T, and a half for each further r. What chance
+        gives once in twenty texts counts as nothing."""
+        if not len(evidence):
+            return 0.0
+        t = np.cumsum(np.sort(evidence)[::-1])
+        r = np.arange(1, len(t) + 1)
+        logs = np.cumsum(np.log(r))                              # of r!
+        rare = t - (r - 1) * np.log(np.maximum(t, 1)) + logs + (logs - np.log(r)) - (r - 1) * np.log(2)
+        best = float(np.where(t > 0, rare, 0.0).max())
+        return best if best > -np.log(EXPECTED_BY_CHANCE) else 0.0
 
     def probability(self, total: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.slope * total, -50, 50))))
 
 
 def _weights(counts, toxic_tokens: int, clean_tokens: int) -> tuple[dict, dict]:
-    """``counts``: (word, toxic texts, clean texts) of the words whose stem has enough toxic texts."""
+    """``counts``: (word, toxic texts, clean texts) -> log-odds of all words, and of all beginnings
+    for the words that are not among them."""
     rate = (toxic_tokens + 1) / (toxic_tokens + clean_tokens + 2)
 
     def odds(r):
@@ -119,14 +128,11 @@ def _weights(counts, toxic_tokens: int, clean_tokens: int) -> tuple[dict, dict]:
         s[0] += t
         s[1] += c
     shrunk = {s: (t + PRIOR_TEXTS * rate) / (t + c + PRIOR_TEXTS) for s, (t, c) in stems.items()}
-    toxic_stems = {s: o for s, r in shrunk.items() if len(s) == STEM and stems[s][0] >= LEAST_TEXTS and (o := odds(r)) >= LEAST_WEIGHT}
     words = {}
     for w, t, c in counts:
         prior = shrunk[w[:STEM]] if len(w) > STEM else rate
-        o = odds((t + PRIOR_TEXTS * prior) / (t + c + PRIOR_TEXTS))
-        if t >= LEAST_TEXTS and o >= LEAST_WEIGHT or w[:STEM] in toxic_stems:
-            words[w] = o
-    return words, toxic_stems
+        words[w] = odds((t + PRIOR_TEXTS * prior) / (t + c + PRIOR_TEXTS))
+    return words, {s: odds(r) for s, r in shrunk.items() if len(s) == STEM}
 
 
 def _decay(histogram: np.ndarray) -> float:
@@ -165,46 +171,69 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(t[0]), float(max(t[1], 0.0))
 
 
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, class_rows: int) -> DataFrame:
+    """(__id, __toxic, __text) of ``class_rows`` labelled ids of either class at most."""
+    known = labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull()) \
+        .groupBy(labels[id_col].cast("long").alias("__id")).agg(F.max(labels[label_col].cast("int")).alias("__toxic"))
+    texts = docs.where(docs[text_col].isNotNull()).select(docs[id_col].cast("long").alias("__id"), docs[text_col].cast("string").alias("__text"))
+    known = known.join(texts.select("__id").distinct(), "__id", "left_semi")                # a label may have no text here
+    by_hash = Window.partitionBy("__toxic").orderBy(F.xxhash64("__id", F.lit("sample")), "__id")
+    sample = known.withColumn("__n", F.row_number().over(by_hash)).where(F.col("__n") <= class_rows).drop("__n")
+    # an id may come with very many rows: one text of each
+    return texts.join(F.broadcast(sample), "__id").groupBy("__id", "__toxic") \
+        .agg(F.min_by("__text", F.struct(F.xxhash64("__text"), "__text")).alias("__text"))      # 2 * class_rows narrow rows are broadcast
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
+        class_rows: int = CLASS_ROWS) -> ToxicityModel:
     """Fit on the rows of ``docs`` that ``labels`` (id, 0 or 1) covers. Labels of repeated ids
-    count once (the larger); null labels, ids and texts are left out. The driver gets the
-    weights and the calibration rows of the sample, both bounded by it."""
+    count once (the larger), as do the rows of one id; null labels, ids and texts are left out.
+    The driver gets the words of the sample and its calibration rows, both bounded by it."""
     spark = docs.sparkSession
-    known = labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull()) \
-        .groupBy(labels[id_col].cast("long").alias("__id")).agg(F.max(labels[label_col].cast("int")).alias("__toxic"))
-    sample = hash_sample(known, F.col("__id"), sample_rows)
-    rows = docs.where(docs[text_col].isNotNull()).select(docs[id_col].cast("long").alias("__id"), docs[text_col].alias("__text")) \
-        .join(F.broadcast(sample), "__id")                     # about sample_rows narrow rows
+    rows = cut_lineage(_sample(docs, labels, id_col, text_col, label_col, class_rows))
     part = F.pmod(F.xxhash64("__id", F.lit("part")), F.lit(3))
     counts = rows.where(part != 0).select("__toxic", "__text").mapInArrow(_count, "word string, toxic long, clean long") \
-        .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    toxic_tokens, clean_tokens = counts.agg(F.sum("toxic"), F.sum("clean")).first()
-    toxic_stems = counts.groupBy(F.substring("word", 1, STEM).alias("stem")).agg(F.sum("toxic").alias("t")).where(F.col("t") >= LEAST_TEXTS).select("stem")
-    kept = counts.join(toxic_stems, F.substring("word", 1, STEM) == F.col("stem"), "left_semi")
-    model = ToxicityModel(*_weights([tuple(r) for r in kept.collect()], toxic_tokens or 0, clean_tokens or 0))
-    shared = spark.sparkContext.broadcast(model)
-
-    def calibrate(batches):
-        table = ChunkTable(shared.value.chunks, 1)
+        .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
+    counts = list(zip(*(c.to_pylist() for c in counts.columns)))
+    model = ToxicityModel(*_weights(counts, sum(t for _, t, _ in counts), sum(c for _, _, c in counts)))
+
+    def over_the_rest(work, schema):
+        shared = spark.sparkContext.broadcast(model)
+        got = rows.where(part == 0).select("__toxic", "__text").mapInArrow(lambda batches: work(shared.value, batches), schema).collect()
+        shared.unpersist()
+        return got
+
+    def weigh(m, batches):
+        table = ChunkTable(m.chunks, 1)
+        for b in batches:
+            out = [(toxic, np.histogram(np.clip(table([text.encode().split()])[0][:, 0], -12, 12), _BINS)[0].tolist())
+                   for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.list_(pa.int64())))], names=["toxic", "histogram"])
+
+    def scan(m, batches):
+        table = ChunkTable(m.chunks, 1)
         for b in batches:
             out = []
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                chunks = text.encode().split()
-                w = table([chunks])[0][:, 0]
-                out.append((toxic, len(w), [s for s, _, _ in maximal_segments(w)], np.histogram(w, _BINS)[0].tolist()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int64())))],
-                                             names=["toxic", "n", "segments", "histogram"])
-
-    got = rows.where(part == 0).select("__toxic", "__text").mapInArrow(calibrate, "toxic int, n int, segments array<double>, histogram array<long>").collect()
-    clean = [r for r in got if not r.toxic]
+                w = table([text.encode().split()])[0][:, 0]
+                out.append((toxic, len(w), [s for s, _, _ in maximal_segments(w)]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.list_(pa.float64())))],
+                                             names=["toxic", "n", "segments"])
+
+    clean = [r.histogram for r in over_the_rest(weigh, "toxic int, histogram array<long>") if not r.toxic]
+    if clean:
+        histogram = np.sum(clean, axis=0)
+        mean = float((histogram * (_BINS[:-1] + _BINS[1:]) / 2).sum() / max(histogram.sum(), 1))
+        more = max(0.0, np.ceil(4 * (mean + DRIFT)) / 4)         # whole bins
+        model.cost += more
+        model.decay = _decay(np.roll(histogram, -int(4 * more)) if more else histogram)
+    got = over_the_rest(scan, "toxic int, n int, segments array<double>")
     if not got:
         return model
-    if clean:
-        model.decay = _decay(np.sum([r.histogram for r in clean], axis=0))
-        excess = [model.decay * max(r.segments, default=0.0) - np.log(max(r.n, 1)) for r in clean]
+    excess = [model.decay * max(r.segments, default=0.0) - np.log(max(r.n, 1)) for r in got if not r.toxic]
+    if excess:
         model.spread = float(np.exp(np.mean(excess) - np.euler_gamma))       # the mean of the extreme-value law
-    x = np.array([model.total(model.evidence([(s, 0, 0) for s in r.segments], r.n)) for r in got])
+    x = np.array([model.total(model.evidence(r.segments, r.n)) for r in got])
     model.bias, model.slope = _logistic(x, np.array([r.toxic for r in got], float))
     return model
 
@@ -213,7 +242,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
                   passages_out: str = "toxic_passages") -> DataFrame:
     """``docs`` with the probability of being toxic and the significant passages (begin, end in
     white-space separated tokens, evidence) behind their columns; no shuffle. Null and empty
-    texts have no passage and the score of that. A column that has the name of an output is
+    texts have no passage and the score of that; repeated rows are scored alike. A column that has the name of an output is
     replaced. Empty in, empty out."""
     docs = docs.drop(score_out, passages_out)
     shared = docs.sparkSession.sparkContext.broadcast(model)   # bounded by the sample
@@ -233,7 +262,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
                 for end in ends.tolist():
                     w, begin = rows[begin:end, 0], end
                     segments = maximal_segments(w) if (w > 0).any() else []
-                    evidence = m.evidence(segments, len(w))
+                    evidence = m.evidence([s for s, _, _ in segments], len(w))
                     scores.append(m.probability(m.total(evidence)))
                     passages.append([{"begin": a, "end": z, "evidence": float(e)} for (_, a, z), e in zip(segments, evidence) if e > -np.log(EXPECTED_BY_CHANCE)])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(passages, arrow)], names=[*b.schema.names, score_out, passages_out])

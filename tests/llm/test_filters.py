@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flowlab.llm.common import fold_of
 from flowlab.llm.language_id import fit as fit_language, with_language
@@ -47,6 +48,119 @@ def test_language_of_held_out_documents_and_edges(spark):
     assert {r.lang_pred for r in with_language(odd, fit_language(docs.limit(0))).collect()} == {"und"}
 
 
+def plain_backoff(rows, text):
+    """The score by definition: mean log frequencies, words first, else their longest known n-grams."""
+    import math
+    import re
+    from collections import Counter
+
+    langs = sorted({lang for lang, _ in rows})
+    def words(t):
+        return re.findall(r"[^\W\d_]+", t.lower())
+    counts = [{lang: Counter() for lang in langs} for _ in range(6)]
+    for lang, t in rows:
+        for w in words(t):
+            counts[0][lang][w] += 1
+            for n in range(1, 6):
+                for i in range(len(w) + 3 - n):
+                    counts[n][lang][f" {w} "[i:i + n]] += 1
+    known = [set().union(*c.values()) for c in counts]
+
+    def log(n, lang, g):
+        return math.log((counts[n][lang][g] + 0.5) / (sum(counts[n][lang].values()) + 0.5 * (len(known[n]) + 1)))
+
+    total, found = dict.fromkeys(langs, 0.0), words(text)
+    for w in found:
+        if w in known[0]:
+            for lang in langs:
+                total[lang] += log(0, lang, w)
+            continue
+        for n in range(5, 0, -1):
+            grams = [g for i in range(len(w) + 3 - n) if (g := f" {w} "[i:i + n]) in known[n]]
+            if grams:
+                for lang in langs:
+                    total[lang] += sum(log(n, lang, g) for g in grams) / len(grams)
+                break
+    if not found:
+        return "und", 0.0
+    top = {lang: v / math.sqrt(len(found)) for lang, v in total.items()}
+    p = {lang: math.exp(v - max(top.values())) for lang, v in top.items()}
+    best = max(langs, key=lambda lang: (p[lang], [-ord(c) for c in lang]))
+    return best, p[best] / sum(p.values())
+
+
+def test_language_scores_by_definition(spark):
+    docs = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    train = [(r.lang, r.text) for r in docs[:90] if r.lang and r.text]
+    tables = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(train)], "doc_id long, text string, lang string")
+    model = fit_language(tables)
+    ask = [(r.doc_id, r.text) for r in docs[90:130]] + [(-1, "zzzz qqq"), (-2, "the der le"), (-3, ""), (-4, "Ünseen wörds hapax " * 3)]
+    got = {r.doc_id: r for r in with_language(spark.createDataFrame(ask, "doc_id long, text string"), model).collect()}
+    for i, t in ask:
+        lang, score = plain_backoff(train, t or "")
+        assert got[i].lang_pred == lang and got[i].lang_score == pytest.approx(score, abs=1e-9)
+    once = [w for w, n in __import__("collections").Counter(w for _, t in train for w in t.lower().split() if w.isalpha()).items() if n == 1]
+    assert once and all(w in model.index[0] for w in once)              # words seen once are kept
+
+
+def test_every_language_and_class_is_sampled(spark, monkeypatch):
+    from flowlab.llm.language_id import label_sample
+
+    rows = [(i, "en", f"text {i}") for i in range(3000)] + [(i, "xx", f"rare {i}") for i in range(9000, 9012)] + [(None, "de", "same")] * 2000 + [(7, "fr", "x")] * 2000
+    df = spark.createDataFrame(rows, "id long, label string, text string")
+    got = [r.label for r in label_sample(df, 50).collect()]
+    assert {x: got.count(x) for x in set(got)} == {"en": 50, "xx": 12, "de": 1, "fr": 1}
+    model = fit_language(spark.createDataFrame([(i, t, lang) for i, lang, t in rows], "doc_id long, text string, lang string"), label_rows=50)
+    assert model.langs == ["de", "en", "fr", "xx"]
+
+
+def test_mild_words_and_repeated_rows(spark):
+    """Texts of many mildly toxic words, each four times as frequent as in clean texts: no single
+    word is proof, all together are."""
+    rng = random.Random(3)
+    mild, other = [f"mild{chr(97 + i // 7)}{chr(97 + i % 7)}" for i in range(48)], [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    rows = []
+    for i in range(2400):
+        toxic = i % 5 == 0
+        rows.append((i, " ".join(rng.choice(mild if rng.random() < (0.6 if toxic else 0.15) else other) for _ in range(rng.randint(60, 160))), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = fit_toxicity(docs, docs.where("doc_id < 1600").select("doc_id", F.col("label").alias("toxic")))
+    got = {r.doc_id: r.toxicity for r in with_toxicity(docs, model).collect()}
+    test = [(i, t) for i, _, t in rows if i >= 1600]
+    assert np.mean([got[i] >= 0.7 for i, t in test if t]) > 0.9
+    assert np.mean([got[i] >= 0.7 for i, t in test if not t]) < 0.02
+    assert min(model.words.values()) < 0 and len(model.words) >= 440      # the log-odds of all words
+    again = with_toxicity(docs.where("doc_id < 5").unionAll(docs.where("doc_id < 5")), model).collect()
+    assert len(again) == 10 and all(r.toxicity == got[r.doc_id] for r in again)
+    ties = docs.withColumn("doc_id", F.lit(1).cast("long"))               # one id for all rows: one text of it is learned from
+    one = fit_toxicity(ties, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))
+    assert one.words
+
+
+def test_scores_by_definition(spark):
+    """The score of a text from the model's own weights, by plain loops."""
+    import math
+
+    model, plain, rng = planted(spark)
+    texts = [" ".join(rng.choices(plain + ["zork", "blurgh"], k=rng.randint(1, 80))) for _ in range(40)] + ["zork vexil, grubo!", ""]
+    got = {r.doc_id: r for r in with_toxicity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        weights = []
+        for chunk in text.split():
+            found = [w for w in __import__("re").findall(r"[^\W\d_]+", chunk.lower())]
+            weights.append(max((model.words.get(w, model.stems.get(w[:5], 0.0)) for w in found), default=0.0) - model.cost)
+        facts = [model.decay * s - math.log(model.spread * max(len(weights), 1)) for s, _, _ in brute_segments(weights)]
+        facts.sort(reverse=True)
+        best = 0.0
+        for r in range(1, len(facts) + 1):
+            t = sum(facts[:r])
+            if t > 0:
+                best = max(best, t - (r - 1) * math.log(max(t, 1)) + math.lgamma(r + 1) + math.lgamma(r) - (r - 1) * math.log(2))
+        best = best if best > -math.log(0.05) else 0.0
+        want = 1 / (1 + math.exp(-max(-50, min(50, model.bias + model.slope * best))))
+        assert got[i].toxicity == pytest.approx(want, abs=1e-9)
+
+
 def test_toxicity_of_planted_documents(spark):
     rng = random.Random(5)
     plain = ["".join(rng.choices("abdeghilmnorstu", k=rng.randint(2, 8))) for _ in range(1500)]
