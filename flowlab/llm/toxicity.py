@@ -4,9 +4,10 @@ Token weights are log-odds of toxic against clean labelled texts, shrunk by a Di
 the prior of a word is the rate of its first letters, theirs the rate of the corpus. Every word
 of the sample keeps its weight, negative ones too. A cost for each token makes the expected
 weight of clean text negative, so a linear scan (all maximal scoring segments) finds the passages
-that stand out. Extreme-value statistics say how large a segment a clean text of that length
-would show by chance, and how large the sum of its r best ones; the least likely of these sums is
-mapped to a probability on labelled rows that the weights were not learned from.
+that stand out. Extreme-value statistics, fitted to clean texts, say how large a segment a clean
+text of that length would show by chance; the segments that chance does not explain are summed
+up, and the least likely sum of the r best ones is mapped to a probability on labelled rows that
+the weights were not learned from.
 
 Fitted on a bounded sample of labelled rows (``CLASS_ROWS`` toxic and as many clean ids, by a
 hash of the id, one text each); every text is scored whole, from the scan, without a shuffle."""
@@ -29,16 +30,15 @@ from flowlab.session import cut_lineage
 
 #: Labelled ids of either class in the sample: two thirds for the weights, one third for calibration.
 CLASS_ROWS = 6_000
-#: Strength of the Dirichlet prior, in texts.
-PRIOR_TEXTS = 4.0
+#: Strength of the Dirichlet prior, as a share of the texts that the weights are learned from.
+PRIOR_SHARE = 0.04
 #: Letters of a word's beginning that serve as its prior.
 STEM = 5
 #: Cost of every token, and how far below zero clean tokens must weigh on average.
 TOKEN_COST, DRIFT = 0.5, 0.25
 #: Segments with an expected number by chance below this are significant.
-EXPECTED_BY_CHANCE = 0.05
+EXPECTED_BY_CHANCE = 0.001
 _LETTERS = re.compile(r"[^\W\d_]+")
-_BINS = np.arange(-12, 12.25, 0.25)
 
 
 def _words(text: str) -> list[str]:
@@ -98,23 +98,21 @@ class ToxicityModel:
         return self.decay * np.asarray(scores, float) - np.log(self.spread * max(n, 1))
 
     def total(self, evidence: np.ndarray) -> float:
-        """Minus the log of the chance of the least likely sum of the r best segments, for any r:
-        exp(-T) T^(r-1) / (r! (r-1)!) for a sum T, and a half for each further r. What chance
-        gives once in twenty texts counts as nothing."""
-        if not len(evidence):
+        """Over the segments that chance shows less than once in a thousand texts: minus the log of the
+        chance of the least likely sum of the r best, exp(-T) T^(r-1) / (r! (r-1)!) for a sum T,
+        with a half for each further r."""
+        t = np.sort(evidence[evidence > -np.log(EXPECTED_BY_CHANCE)])[::-1].cumsum()
+        if not len(t):
             return 0.0
-        t = np.cumsum(np.sort(evidence)[::-1])
         r = np.arange(1, len(t) + 1)
-        logs = np.cumsum(np.log(r))                              # of r!
-        rare = t - (r - 1) * np.log(np.maximum(t, 1)) + logs + (logs - np.log(r)) - (r - 1) * np.log(2)
-        best = float(np.where(t > 0, rare, 0.0).max())
-        return best if best > -np.log(EXPECTED_BY_CHANCE) else 0.0
+        logs = np.log(r).cumsum()                                # of r!
+        return float((t - (r - 1) * np.log(t) + 2 * logs - np.log(r) - (r - 1) * np.log(2)).max())
 
     def probability(self, total: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.slope * total, -50, 50))))
 
 
-def _weights(counts, toxic_tokens: int, clean_tokens: int) -> tuple[dict, dict]:
+def _weights(counts, toxic_tokens: int, clean_tokens: int, prior_texts: float) -> tuple[dict, dict]:
     """``counts``: (word, toxic texts, clean texts) -> log-odds of all words, and of all beginnings
     for the words that are not among them."""
     rate = (toxic_tokens + 1) / (toxic_tokens + clean_tokens + 2)
@@ -127,25 +125,22 @@ def _weights(counts, toxic_tokens: int, clean_tokens: int) -> tuple[dict, dict]:
         s = stems.setdefault(w[:STEM], [0, 0])
         s[0] += t
         s[1] += c
-    shrunk = {s: (t + PRIOR_TEXTS * rate) / (t + c + PRIOR_TEXTS) for s, (t, c) in stems.items()}
+    shrunk = {s: (t + prior_texts * rate) / (t + c + prior_texts) for s, (t, c) in stems.items()}
     words = {}
     for w, t, c in counts:
         prior = shrunk[w[:STEM]] if len(w) > STEM else rate
-        words[w] = odds((t + PRIOR_TEXTS * prior) / (t + c + PRIOR_TEXTS))
+        words[w] = odds((t + prior_texts * prior) / (t + c + prior_texts))
     return words, {s: odds(r) for s, r in shrunk.items() if len(s) == STEM}
 
 
-def _decay(histogram: np.ndarray) -> float:
-    """The positive root of E[exp(lambda weight)] = 1 over the tokens of clean texts."""
-    mid = (_BINS[:-1] + _BINS[1:]) / 2
-    p = histogram / max(histogram.sum(), 1)
-    if not (p[mid > 0] > 0).any():
-        return 1.0
-    lo, hi = 1e-3, 50.0
-    for _ in range(60):
-        x = (lo + hi) / 2
-        lo, hi = (x, hi) if (p * np.exp(np.minimum(x * mid, 700))).sum() < 1 else (lo, x)
-    return float(np.clip(lo, 0.05, 3.0))
+def _extreme_value_law(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Lambda and K of clean texts with the best segment scores ``best`` and ``n`` tokens, by
+    maximum likelihood: P(best <= s) = exp(-K n exp(-lambda s))."""
+    def fitted(decay):
+        spread = len(best) / float((n * np.exp(-decay * best)).sum())
+        return float((np.log(decay * spread * n) - decay * best - spread * n * np.exp(-decay * best)).sum()), decay, spread
+
+    return max(fitted(d) for d in np.exp(np.linspace(-4, 3, 300)))[1:]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -192,47 +187,40 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     rows = cut_lineage(_sample(docs, labels, id_col, text_col, label_col, class_rows))
     part = F.pmod(F.xxhash64("__id", F.lit("part")), F.lit(3))
-    counts = rows.where(part != 0).select("__toxic", "__text").mapInArrow(_count, "word string, toxic long, clean long") \
+    learn = rows.where(part != 0)
+    counts = learn.select("__toxic", "__text").mapInArrow(_count, "word string, toxic long, clean long") \
         .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
     counts = list(zip(*(c.to_pylist() for c in counts.columns)))
-    model = ToxicityModel(*_weights(counts, sum(t for _, t, _ in counts), sum(c for _, _, c in counts)))
+    model = ToxicityModel(*_weights(counts, sum(t for _, t, _ in counts), sum(c for _, _, c in counts), max(1.0, PRIOR_SHARE * learn.count())))
 
-    def over_the_rest(work, schema):
+    def scan(segments: bool):
+        """(toxic, tokens, their weight, segment scores) of the other rows."""
         shared = spark.sparkContext.broadcast(model)
-        got = rows.where(part == 0).select("__toxic", "__text").mapInArrow(lambda batches: work(shared.value, batches), schema).collect()
+
+        def run(batches):
+            table = ChunkTable(shared.value.chunks, 1)
+            for b in batches:
+                out = []
+                for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    w = table([text.encode().split()])[0][:, 0]
+                    out.append((toxic, len(w), float(w.sum()), [s for s, _, _ in maximal_segments(w)] if segments else []))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.float64())))],
+                                                 names=["toxic", "n", "weight", "segments"])
+
+        got = rows.where(part == 0).select("__toxic", "__text").mapInArrow(run, "toxic int, n int, weight double, segments array<double>").collect()
         shared.unpersist()
         return got
 
-    def weigh(m, batches):
-        table = ChunkTable(m.chunks, 1)
-        for b in batches:
-            out = [(toxic, np.histogram(np.clip(table([text.encode().split()])[0][:, 0], -12, 12), _BINS)[0].tolist())
-                   for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.list_(pa.int64())))], names=["toxic", "histogram"])
-
-    def scan(m, batches):
-        table = ChunkTable(m.chunks, 1)
-        for b in batches:
-            out = []
-            for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                w = table([text.encode().split()])[0][:, 0]
-                out.append((toxic, len(w), [s for s, _, _ in maximal_segments(w)]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.list_(pa.float64())))],
-                                             names=["toxic", "n", "segments"])
-
-    clean = [r.histogram for r in over_the_rest(weigh, "toxic int, histogram array<long>") if not r.toxic]
+    clean = [r for r in scan(False) if not r.toxic]
     if clean:
-        histogram = np.sum(clean, axis=0)
-        mean = float((histogram * (_BINS[:-1] + _BINS[1:]) / 2).sum() / max(histogram.sum(), 1))
-        more = max(0.0, np.ceil(4 * (mean + DRIFT)) / 4)         # whole bins
-        model.cost += more
-        model.decay = _decay(np.roll(histogram, -int(4 * more)) if more else histogram)
-    got = over_the_rest(scan, "toxic int, n int, segments array<double>")
+        mean = sum(r.weight for r in clean) / max(sum(r.n for r in clean), 1)
+        model.cost += max(0.0, mean + DRIFT)
+    got = scan(True)
     if not got:
         return model
-    excess = [model.decay * max(r.segments, default=0.0) - np.log(max(r.n, 1)) for r in got if not r.toxic]
-    if excess:
-        model.spread = float(np.exp(np.mean(excess) - np.euler_gamma))       # the mean of the extreme-value law
+    clean = [(max(r.segments, default=0.0), max(r.n, 1)) for r in got if not r.toxic]
+    if clean:
+        model.decay, model.spread = _extreme_value_law(*(np.array(c, float) for c in zip(*clean)))
     x = np.array([model.total(model.evidence(r.segments, r.n)) for r in got])
     model.bias, model.slope = _logistic(x, np.array([r.toxic for r in got], float))
     return model
