@@ -31,12 +31,13 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def label_sample(rows: DataFrame, label_rows: int) -> DataFrame:
     """Of rows (id, label, text) with a label and a text: the ``label_rows`` different ones of each
     label with the least hashes of id and text; all of them if there are fewer. Only hashes are
-    ranked; the hash up to which a label's rows are taken is one row for each label."""
+    ranked; the hash up to which a label's rows are taken is one row for each label, as the model
+    has a column for each, and so broadcast."""
     hashed = rows.withColumn("__hash", F.xxhash64("id", "text", F.lit("sample")))
     by_hash = Window.partitionBy("label").orderBy("__hash")
     least = hashed.select("label", "__hash").distinct().withColumn("__n", F.row_number().over(by_hash)).where(F.col("__n") <= label_rows) \
         .groupBy(F.col("label").alias("__label")).agg(F.max("__hash").alias("__last"))
-    return hashed.join(least, (F.col("label") == F.col("__label")) & (F.col("__hash") <= F.col("__last"))) \
+    return hashed.join(F.broadcast(least), (F.col("label") == F.col("__label")) & (F.col("__hash") <= F.col("__last"))) \
         .groupBy("label", "__hash").agg(F.first("text").alias("text")).select("label", "text")
 
 

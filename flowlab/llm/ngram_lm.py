@@ -7,9 +7,11 @@ contexts' ranges, and the quantised smoothed probability of each node. A query g
 a context node: its successors are searched, relative to the context, in the list's bucket.
 
 Spark builds it: counts are pre-aggregated in the tasks that scan the text and shuffled to the
-shard of their first word; each shard is one file in the shared folder, mapped into memory by
-the tasks that score. Nothing of it passes through the driver but the number of words of each
-shard. Lower levels guide the next: an n-gram is only counted if both its ends are in the trie
+shard of their first word, of which there are as many as the corpus has tokens for; each shard is
+one file for each level in the shared folder, which a worker maps when it first needs it. First
+the counts of a shard are merged into its file, then, with one discount from the counts of counts
+of all shards, the level is built from it. Nothing of it passes through the driver but a few
+numbers for each shard. Lower levels guide the next: an n-gram is only counted if both its ends are in the trie
 (all n-grams seen fewer than ``min_count`` times are left to the smoothing, none is sampled).
 """
 
@@ -17,22 +19,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm import model_store
-from flowlab.llm.chunk_ids import ChunkTable, sums
-from flowlab.llm.common import byte_slices
+from flowlab.llm.chunk_ids import ChunkTable, remembered, sums, words_of
+from flowlab.llm.common import text_slices
 from flowlab.llm.elias_fano import EliasFano
 from flowlab.session import cut_lineage
 
 #: n-grams of two words and more seen fewer times are left to the smoothing.
 MIN_COUNT = 2
-#: Words aimed at for one shard.
-SHARD_WORDS = 250_000
+#: Tokens of the corpus, and so different n-grams of a level at most, aimed at for one shard.
+SHARD_TOKENS = 1 << 20
 #: Distinct n-grams that a counting task holds before it hands them on.
-HELD = 4_000_000
+HELD = 1_000_000
 #: The end of a text, and what comes before its first word: no word has white space.
 END = b" "
 _WORD_BITS = 31
@@ -43,6 +46,12 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split() + [END]
 
 
+def _tokens(table: ChunkTable, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of ``table`` of the :func:`words` of all texts in a row, and the ends of the texts."""
+    rows, ends = table.of(*words_of(pc.ascii_lower(texts)))
+    return np.insert(rows, ends, table([[END]])[0], axis=0), ends + np.arange(1, len(ends) + 1)
+
+
 def _hash(chunks) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(c) for c in chunks), np.uint64, len(chunks))
 
@@ -70,6 +79,8 @@ class _Counter:
             self.held = len(self.keys[0])
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.keys) == 1:
+            return self.keys[0], self.counts[0]
         if not self.keys:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         return _sum_by_key(np.concatenate(self.keys), np.concatenate(self.counts))
@@ -92,8 +103,8 @@ def _count_words(batches):
 
     table = ChunkTable(lambda new: _hash(new)[:, None], 1, dtype=np.uint64)
     for b in batches:
-        for _, _, texts in byte_slices(b.column(0)):
-            c.add(table([words(t) for t in texts])[0][:, 0])
+        for _, _, texts in text_slices(b.column(0)):
+            c.add(_tokens(table, texts)[0][:, 0])
         if c.full():
             yield from out()
     yield from out()
@@ -120,13 +131,25 @@ def _quantise(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Trie:
-    """Reader of the levels built so far. Files: ``1-<shard>``, ``2-<shard>``, ..."""
+    """Reader of the levels built so far. Files: ``1-<shard>``, ``2-<shard>``, ..., mapped when they
+    are first needed."""
 
     def __init__(self, folder: str, shards: int, starts: list[list[int]], min_count: int):
         self.folder, self.shards, self.starts, self.min_count = folder, shards, [np.array(s) for s in starts], min_count
-        self.levels = [[model_store.load(folder, f"{k + 1}-{s}") for s in range(shards)] for k in range(len(starts))]
-        self.lists = [[{key: EliasFano({p: f[f"{key}.{p}"] for p in ("low", "upper", "ones", "meta")})
-                        for key in (["keys"] if k == 0 else ["keys", "pointers"])} for f in level] for k, level in enumerate(self.levels)]
+        self._files: dict[tuple[int, int], dict] = {}
+        self._lists: dict[tuple[int, int], dict] = {}
+
+    def file(self, level: int, shard: int) -> dict[str, np.ndarray]:
+        if (level, shard) not in self._files:
+            self._files[level, shard] = model_store.load(self.folder, f"{level + 1}-{shard}")
+        return self._files[level, shard]
+
+    def lists(self, level: int, shard: int) -> dict[str, EliasFano]:
+        if (level, shard) not in self._lists:
+            f = self.file(level, shard)
+            self._lists[level, shard] = {key: EliasFano({p: f[f"{key}.{p}"] for p in ("low", "upper", "ones", "meta")})
+                                         for key in (["keys"] if level == 0 else ["keys", "pointers"])}
+        return self._lists[level, shard]
 
     def _by_shard(self, shard: np.ndarray):
         order = np.argsort(shard, kind="stable")
@@ -144,17 +167,17 @@ class Trie:
         bits = self.shards.bit_length() - 1
         shard = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
         for s, at in self._by_shard(shard):
-            found = self.lists[0][s]["keys"].find(hashes[at] - (np.uint64(s) << np.uint64(64 - bits) if bits else np.uint64(0)))
+            found = self.lists(0, s)["keys"].find(hashes[at] - (np.uint64(s) << np.uint64(64 - bits) if bits else np.uint64(0)))
             hit = found >= 0
             ids[at[hit]] = found[hit] + self.starts[0][s]
-            counts[at[hit]] = self.levels[0][s]["count"][found[hit]]
+            counts[at[hit]] = self.file(0, s)["count"][found[hit]]
         return ids, counts
 
     def children(self, level: int, nodes: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Node of ``level`` (1: bigrams) that extends each node of the level above by a word, or -1."""
         out = np.full(len(nodes), -1, np.int64)
         for s, at in self._by_shard(self.shard_of(level - 1, nodes)):
-            lists = self.lists[level][s]
+            lists = self.lists(level, s)
             own, inverse = np.unique(nodes[at] - self.starts[level - 1][s], return_inverse=True)
             begin, end = lists["pointers"].get(own).astype(np.int64), lists["pointers"].get(own + 1).astype(np.int64)
             base = np.zeros(len(own), np.uint64)
@@ -169,7 +192,7 @@ class Trie:
         """The dequantised ``name`` ('p': log10 probability, 'b': log10 back-off weight) of nodes."""
         out = np.zeros(len(nodes))
         for s, at in self._by_shard(self.shard_of(level, nodes)):
-            f = self.levels[level][s]
+            f = self.file(level, s)
             out[at] = f[f"{name}.book"][f[name][nodes[at] - self.starts[level][s]]]
         return out
 
@@ -198,19 +221,28 @@ def _unique_children(trie: Trie, level: int, nodes: np.ndarray, ids: np.ndarray)
     return trie.children(level, (keys >> np.uint64(_WORD_BITS)).astype(np.int64), (keys & np.uint64((1 << _WORD_BITS) - 1)).astype(np.int64))[inverse]
 
 
-def _word_table(trie: Trie) -> ChunkTable:
-    def compute(new):
-        ids, counts = trie.word_ids(_hash(new))
-        return np.stack([ids, counts], 1)
+_TRIES = remembered({})
+
 
-    return ChunkTable(compute, 2, dtype=np.int64)
+def _reader(spec) -> tuple[Trie, ChunkTable]:
+    """The trie built so far and the (id, count) of chunks: one of each for a Python worker."""
+    folder, shards, starts, min_count = spec
+    if (folder, len(starts)) not in _TRIES:
+        trie = Trie(*spec)
+
+        def compute(new):
+            ids, counts = trie.word_ids(_hash(new))
+            return np.stack([ids, counts], 1)
+
+        table = ChunkTable(compute, 2, dtype=np.int64)           # forgets the worker's other encoders
+        _TRIES[folder, len(starts)] = (trie, table)
+    return _TRIES[folder, len(starts)]
 
 
 def _count_ngrams(spec, level: int, end_id: int):
     """Counts of (context node of ``level`` words, word), in one block for each shard."""
     def run(batches):
-        trie = Trie(*spec)
-        table, c = _word_table(trie), _Counter()
+        (trie, table), c = _reader(spec), _Counter()
 
         def out():
             keys, counts = c.merged()
@@ -223,8 +255,8 @@ def _count_ngrams(spec, level: int, end_id: int):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["shard", "keys", "counts"])
 
         for b in batches:
-            for _, _, texts in byte_slices(b.column(0)):
-                rows, ends = table([words(t) for t in texts])
+            for _, _, texts in text_slices(b.column(0)):
+                rows, ends = _tokens(table, texts)
                 ids, common = rows[:, 0], rows[:, 1] >= trie.min_count
                 context = _ngram_nodes(trie, ids, common, ends, end_id, level)[-1]
                 ask = (context >= 0) & common
@@ -249,25 +281,41 @@ def _build_words(folder: str):
     return run
 
 
-def _build_level(spec, level: int, stats):
-    """Merge the counts of one shard, drop the rare, smooth, quantise, write the level's file."""
+def _merge_counts(folder: str, level: int, min_count: int):
+    """Merge the counts of one shard into its file, drop the rare; counts of counts."""
     def run(key, table):
-        trie, s = Trie(*spec), key[0].as_py()
-        keys = [np.cumsum(_from_planes(x.as_py(), np.uint64), dtype=np.uint64) if len(x.as_py()) else np.zeros(0, np.uint64) for x in table.column("keys")]
-        counts = [_from_planes(x.as_py(), np.uint32).astype(np.int64) for x in table.column("counts")]
-        keys, counts = _sum_by_key(np.concatenate(keys), np.concatenate(counts))
+        s = key[0].as_py()
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for k, c in zip(table.column("keys"), table.column("counts")):
+            held.append((np.cumsum(_from_planes(k.as_py(), np.uint64), dtype=np.uint64), _from_planes(c.as_py(), np.uint32).astype(np.int64)))
+            if sum(len(x) for x, _ in held) > max(HELD, len(keys)):
+                keys, counts = _sum_by_key(np.concatenate([keys, *(x for x, _ in held)]), np.concatenate([counts, *(x for _, x in held)]))
+                held = []
+        keys, counts = _sum_by_key(np.concatenate([keys, *(x for x, _ in held)]), np.concatenate([counts, *(x for _, x in held)]))
         once, twice = int((counts == 1).sum()), int((counts == 2).sum())
-        keep = counts >= trie.min_count
-        keys, counts = keys[keep], counts[keep]
+        keep = counts >= min_count
+        model_store.save(folder, f"{level + 1}-{s}", {"merged": keys[keep], "count": counts[keep]})
+        return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([int(keep.sum())], pa.int64()), "once": pa.array([once], pa.int64()), "twice": pa.array([twice], pa.int64())})
+    return run
+
+
+def _build_level(spec, level: int, stats):
+    """Smooth and quantise the merged counts of each shard, write the level's file in their place."""
+    def one(trie, s):
+        merged = model_store.load(trie.folder, f"{level + 1}-{s}", mapped=False)
+        if "merged" not in merged:                               # built by an earlier attempt
+            return
+        keys, counts = merged["merged"], merged["count"]
         first = trie.starts[level - 1]
         begin = first[s]
         n_contexts = (first[s + 1] if s + 1 < trie.shards else stats["sizes"][level - 1]) - begin
         context, ids = (keys >> np.uint64(_WORD_BITS)).astype(np.int64) - begin, (keys & np.uint64((1 << _WORD_BITS) - 1)).astype(np.int64)
         pointers = np.searchsorted(context, np.arange(n_contexts + 1))
         # how often each context was seen, and the lower-order probability of each successor
-        above = trie.levels[level - 1][s]["count"].astype(float)
+        above = trie.file(level - 1, s)["count"].astype(float)
         lower = _lower(trie, level, context + begin, ids, stats)
-        discount = once / (once + 2 * twice) if once and twice else 0.5
+        discount = stats["discounts"][level]
         freed = np.ones(n_contexts)
         np.subtract.at(freed, context, (counts - discount) / above[context])
         p = (counts - discount) / above[context] + freed[context] * lower
@@ -281,7 +329,14 @@ def _build_level(spec, level: int, stats):
         arrays = {f"keys.{k}": a for k, a in EliasFano.of(ids.astype(np.uint64) + lift[context]).arrays.items()}
         arrays |= {f"pointers.{k}": a for k, a in EliasFano.of(pointers).arrays.items()}
         model_store.save(trie.folder, f"{level + 1}-{s}", arrays | {"count": counts, "p": p_code, "p.book": p_book, "b": b_code, "b.book": b_book})
-        return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([len(keys)], pa.int64())})
+
+    def run(batches):
+        trie = Trie(*spec)
+        for b in batches:
+            for s in b.column(0).to_pylist():
+                one(trie, s)
+            yield b
+
     return run
 
 
@@ -293,7 +348,7 @@ def _lower(trie: Trie, level: int, context: np.ndarray, ids: np.ndarray, stats)
     """Probability of each word after the context without its first word."""
     counts = np.zeros(len(ids))
     for s, at in trie._by_shard(trie.shard_of(0, ids)):
-        counts[at] = trie.levels[0][s]["count"][ids[at] - trie.starts[0][s]]
+        counts[at] = trie.file(0, s)["count"][ids[at] - trie.starts[0][s]]
     if level == 1:
         return _unigram(counts, stats)
     # context nodes were reached through their parents: the last word alone is found again by its bigram
@@ -309,7 +364,7 @@ def _last_words(trie: Trie, level: int, nodes: np.ndarray) -> tuple[np.ndarray,
     parent, word = np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
     for s, at in trie._by_shard(trie.shard_of(level, nodes)):
         own, inverse = np.unique(nodes[at] - trie.starts[level][s], return_inverse=True)
-        lists = trie.lists[level][s]
+        lists = trie.lists(level, s)
         pointers = lists["pointers"].get(np.arange(lists["pointers"].n)).astype(np.int64)
         p = np.searchsorted(pointers, own, side="right") - 1
         base = np.zeros(len(own), np.uint64)
@@ -341,7 +396,7 @@ def _conditional(trie: Trie, contexts: list[np.ndarray], ids: np.ndarray, counts
 def _backoff(trie: Trie, level: int, context: np.ndarray) -> np.ndarray:
     out = np.zeros(len(context))
     for s, at in trie._by_shard(trie.shard_of(level - 1, context)):
-        f = trie.levels[level][s]
+        f = trie.file(level, s)
         out[at] = f["b.book"][f["b"][context[at] - trie.starts[level - 1][s]]]
     return out
 
@@ -364,13 +419,12 @@ def fit(docs: DataFrame, text_col: str = "text", order: int = 2, min_count: int
     n_words, tokens, once, twice = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
     if n_words >= 1 << _WORD_BITS:
         raise ValueError("more words than word ids")
-    bits = max(4, (n_words // SHARD_WORDS).bit_length())
+    bits = max(4, (int(tokens) // SHARD_TOKENS).bit_length())
     shards = 1 << bits
     keyed = vocabulary.select("h", "n", F.shiftrightunsigned("h", 64 - bits).cast("int").alias("shard"), F.lit(bits).alias("bits"))
     empty = {f"keys.{p}": a for p, a in EliasFano.of(np.zeros(0, np.uint64)).arrays.items()}
 
-    def sizes(built, level):
-        got = {r.shard: r.n for r in built.collect()}          # a number for each shard
+    def sizes(got, level):
         for s in set(range(shards)) - got.keys():              # shards without rows
             more = {"count": np.zeros(0, np.int64)}
             if level:
@@ -383,15 +437,22 @@ def fit(docs: DataFrame, text_col: str = "text", order: int = 2, min_count: int
         totals.append(sum(each))
 
     starts, totals = [], []
-    sizes(keyed.groupBy("shard").applyInArrow(_build_words(folder), "shard int, n long"), 0)
+    built = keyed.groupBy("shard").applyInArrow(_build_words(folder), "shard int, n long").collect()        # a number for each shard
+    sizes({r.shard: r.n for r in built}, 0)
     discount = once / (once + 2 * twice) if once and twice else 0.5
-    stats = {"tokens": max(int(tokens), 1), "words": n_words, "discount": discount, "sizes": totals}
+    stats = {"tokens": max(int(tokens), 1), "words": n_words, "discount": discount, "discounts": {}, "sizes": totals}
     spec = (folder, shards, starts, min_count)
     end_id = int(Trie(*spec).word_ids(_hash([END]))[0][0])
     for level in range(1, order):
         spec = (folder, shards, [*starts], min_count)
         counted = texts.mapInArrow(_count_ngrams(spec, level, end_id), "shard int, keys binary, counts binary")
-        sizes(counted.groupBy("shard").applyInArrow(_build_level(spec, level, stats | {"sizes": [*totals]}), "shard int, n long"), level)
+        merged = counted.groupBy("shard").applyInArrow(_merge_counts(folder, level, min_count), "shard int, n long, once long, twice long").collect()
+        once, twice = sum(r.once for r in merged), sum(r.twice for r in merged)
+        stats["discounts"][level] = once / (once + 2 * twice) if once and twice else 0.5
+        own = spark.createDataFrame([(r.shard,) for r in merged], "shard int")
+        if merged:
+            own.repartition(shards, "shard").mapInArrow(_build_level(spec, level, stats | {"sizes": [*totals]}), "shard int").count()
+        sizes({r.shard: r.n for r in merged}, level)
     return Model((folder, shards, starts, min_count), stats | {"tokens": int(tokens)}, order, end_id)
 
 
@@ -405,13 +466,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     spec, stats, order, end_id = model.spec, model.stats, model.order, model.end_id
 
     def run(batches):
-        trie = Trie(*spec)
-        table = _word_table(trie)
+        trie, table = _reader(spec)
         safe = stats | {"tokens": max(stats["tokens"], 1)}
         for b in batches:
             known, base, own, size = [], [], [], []
-            for _, _, texts in byte_slices(b.column(1)):
-                rows, ends = table([words(t) for t in texts])
+            for _, _, texts in text_slices(b.column(1)):
+                rows, ends = _tokens(table, texts)
                 ids, counts = rows[:, 0], rows[:, 1]
                 contexts = _ngram_nodes(trie, ids, counts >= trie.min_count, ends, end_id, order - 1) if order > 1 and end_id >= 0 else []
                 log = _conditional(trie, contexts, ids, counts, safe) if stats["tokens"] else np.zeros(len(ids))

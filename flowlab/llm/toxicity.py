@@ -31,13 +31,15 @@ from flowlab.session import cut_lineage
 #: Labelled ids of either class in the sample: two thirds for the weights, one third for calibration.
 CLASS_ROWS = 6_000
 #: Strength of the Dirichlet prior, as a share of the texts that the weights are learned from.
-PRIOR_SHARE = 0.04
+PRIOR_SHARE = 0.06
 #: Letters of a word's beginning that serve as its prior.
 STEM = 5
 #: Cost of every token, and how far below zero clean tokens must weigh on average.
 TOKEN_COST, DRIFT = 0.5, 0.25
 #: Segments with an expected number by chance below this are significant.
-EXPECTED_BY_CHANCE = 0.001
+EXPECTED_BY_CHANCE = 0.05
+#: Those that are shown as passages are expected less often.
+SHOWN_BY_CHANCE = 0.001
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -98,7 +100,7 @@ class ToxicityModel:
         return self.decay * np.asarray(scores, float) - np.log(self.spread * max(n, 1))
 
     def total(self, evidence: np.ndarray) -> float:
-        """Over the segments that chance shows less than once in a thousand texts: minus the log of the
+        """Over the segments that chance shows less than once in twenty texts: minus the log of the
         chance of the least likely sum of the r best, exp(-T) T^(r-1) / (r! (r-1)!) for a sum T,
         with a half for each further r."""
         t = np.sort(evidence[evidence > -np.log(EXPECTED_BY_CHANCE)])[::-1].cumsum()
@@ -252,7 +254,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
                     segments = maximal_segments(w) if (w > 0).any() else []
                     evidence = m.evidence([s for s, _, _ in segments], len(w))
                     scores.append(m.probability(m.total(evidence)))
-                    passages.append([{"begin": a, "end": z, "evidence": float(e)} for (_, a, z), e in zip(segments, evidence) if e > -np.log(EXPECTED_BY_CHANCE)])
+                    passages.append([{"begin": a, "end": z, "evidence": float(e)} for (_, a, z), e in zip(segments, evidence) if e > -np.log(SHOWN_BY_CHANCE)])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(passages, arrow)], names=[*b.schema.names, score_out, passages_out])
 
     return docs.mapInArrow(run, schema)

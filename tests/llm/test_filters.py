@@ -150,7 +150,7 @@ def test_scores_by_definition(spark):
             found = [w for w in __import__("re").findall(r"[^\W\d_]+", chunk.lower())]
             weights.append(max((model.words.get(w, model.stems.get(w[:5], 0.0)) for w in found), default=0.0) - model.cost)
         facts = [model.decay * s - math.log(model.spread * max(len(weights), 1)) for s, _, _ in brute_segments(weights)]
-        facts = sorted((e for e in facts if e > -math.log(0.001)), reverse=True)
+        facts = sorted((e for e in facts if e > -math.log(0.05)), reverse=True)
         sums = [sum(facts[:r]) for r in range(1, len(facts) + 1)]
         best = max((t - (r - 1) * math.log(t) + math.lgamma(r + 1) + math.lgamma(r) - (r - 1) * math.log(2) for r, t in enumerate(sums, 1)), default=0.0)
         want = 1 / (1 + math.exp(-max(-50, min(50, model.bias + model.slope * best))))

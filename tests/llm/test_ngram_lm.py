@@ -64,6 +64,58 @@ def test_scores_against_plain_counts(spark, order):
                 assert abs(by[i] - sum(log10(p1(x)) for x in tokens(t))) < 1e-6
 
 
+def plain_scorer(train, order):
+    """Interpolated absolute discounting over all n-grams, one discount for each order; before a
+    text's first word stands the end of another."""
+    grams = [Counter() for _ in range(order)]
+    for t in train:
+        w = ["</s>", *tokens(t)]
+        for k in range(order):
+            grams[k].update(tuple(w[i - k:i + 1]) for i in range(1, len(w)) if i - k >= 0)
+    total, vocab = sum(grams[0].values()), len(grams[0])
+    discount = []
+    for g in grams:
+        one, two = (sum(n == k for n in g.values()) for k in (1, 2))
+        discount.append(one / (one + 2 * two) if one and two else 0.5)
+    freed = [Counter() for _ in range(order)]
+    for k in range(1, order):
+        for g, n in grams[k].items():
+            freed[k][g[:-1]] += (n - discount[k]) / grams[k - 1][g[:-1]]
+
+    def p(g):
+        if len(g) == 1:
+            return (grams[0][g] - discount[0]) / total if g in grams[0] else discount[0] * vocab / total
+        k, context = len(g) - 1, g[:-1]
+        if context not in grams[k - 1]:
+            return p(g[1:])
+        own = (grams[k][g] - discount[k]) / grams[k - 1][context] if g in grams[k] else 0.0
+        return own + (1 - freed[k][context]) * p(g[1:])
+
+    def score_text(t):
+        w = ["</s>", *tokens(t)]
+        return sum(log10(p(tuple(w[max(0, i - order + 1):i + 1]))) for i in range(1, len(w)))
+
+    return score_text
+
+
+@pytest.mark.parametrize("order,tokens_per_shard", [(2, 1 << 20), (3, 1 << 20), (3, 40)])
+def test_scores_against_plain_ngrams(spark, monkeypatch, order, tokens_per_shard):
+    """Few n-grams for each shard, so nearly every value has a bin of its own."""
+    from flowlab.llm import ngram_lm
+
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", tokens_per_shard)
+    rng = random.Random(order)
+    vocab = [f"w{i}" for i in range(40)] + ["The", "é"]
+    rows = [(i, " ".join(rng.choices(vocab, weights=range(1, 43), k=rng.randint(0, 18)))) for i in range(90)]
+    held = [(900 + i, " ".join(rng.choices([*vocab, "new"], k=rng.randint(0, 30)))) for i in range(60)] + [(990, None), (991, ""), (992, "w41 " * 2000)]
+    docs = spark.createDataFrame(rows + held, "doc_id long, text string")
+    got = {r.doc_id: r for r in score(docs, fit(docs.where("doc_id < 900"), order=order, min_count=1)).collect()}
+    plain = plain_scorer([t for _, t in rows], order)
+    for i, t in rows + held:
+        assert abs(got[i].score - plain(t)) < 2e-3 * got[i].n_tokens, (i, t)
+    assert abs(sum(r.score for r in got.values()) / sum(plain(t) for _, t in rows + held) - 1) < 1e-3
+
+
 @pytest.mark.parametrize("order", [2, 3])
 def test_every_context_gives_a_distribution(spark, order):
     rng = random.Random(7)
