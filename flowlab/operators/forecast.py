@@ -62,6 +62,8 @@ def _shift(c: Column, k, freq: str = "day") -> Column:
         return F.date_add(c, k * 7 if isinstance(k, int) else k * F.lit(7))
     if freq == "month":
         return F.add_months(c, k)
+    if freq == "hour":
+        return c + F.make_dt_interval(F.lit(0), (F.lit(k) if isinstance(k, int) else k).cast("int"))
     raise ValueError(f"unsupported frequency {freq}")
 
 
@@ -73,9 +75,25 @@ def _period_diff(a: Column, b: Column, freq: str = "day") -> Column:
         return F.floor(F.datediff(a, b) / 7)
     if freq == "month":
         return F.round(F.months_between(a, b)).cast("int")
+    if freq == "hour":
+        return F.floor((F.unix_seconds(a) - F.unix_seconds(b)) / 3600).cast("int")
     raise ValueError(f"unsupported frequency {freq}")
 
 
+def _age(freq: str) -> Column:
+    """Whole periods from a training point to the cutoff."""
+    return _period_diff(F.col("cutoff"), F.col(TS), freq).cast("int")
+
+
+def _moment(freq: str) -> str:
+    """Type of a period's start: dates, but hours of a day are timestamps."""
+    return "timestamp" if freq == "hour" else "date"
+
+
+#: Periods of a season, by frequency.
+SEASONS = {"hour": 24, "day": 7, "week": 52, "month": 12}
+
+
 # ---- TS1 / AGG2 / TS2 / TS3 ------------------------------------------------------------------
 
 def prepare_series(raw: DataFrame, ds: str = "ds", y: str = "y", item_col: str | None = None,
@@ -96,8 +114,8 @@ def prepare_series(raw: DataFrame, ds: str = "ds", y: str = "y", item_col: str |
 
 def to_daily(series: DataFrame, ts: str = "timestamp", freq: str = "day") -> DataFrame:
     """AGG2 for forecasting: sum duplicates into one row per (item, period start date)."""
-    unit = {"day": "day", "week": "week", "month": "month"}[freq]
-    d = F.to_date(F.date_trunc(unit, F.col(ts)))
+    unit = {"hour": "hour", "day": "day", "week": "week", "month": "month"}[freq]
+    d = F.date_trunc(unit, F.col(ts)).cast(_moment(freq))
     return series.groupBy(F.col(ITEM), d.alias(TS)).agg(F.sum(Y).alias(Y))
 
 
@@ -115,8 +133,8 @@ def fill_gaps(series: DataFrame, freq: str = "day", middlefill: str = "zero", ba
                                     (F.percentile(Y, 0.5) if "median" in kinds else F.lit(None).cast("double")).alias("__median"))
     if end is None:
         end = series_end(series)        # one scalar
-    end_col = F.lit(end).cast("date")
-    step = {"day": F.expr("INTERVAL 1 DAY"), "week": F.expr("INTERVAL 7 DAYS"),
+    end_col = F.lit(end).cast(_moment(freq))
+    step = {"hour": F.expr("INTERVAL 1 HOUR"), "day": F.expr("INTERVAL 1 DAY"), "week": F.expr("INTERVAL 7 DAYS"),
             "month": F.expr("INTERVAL 1 MONTH")}[freq]
     cal = span.select(ITEM, "__last", "__mean", "__median",
                       F.explode(F.sequence(F.col("__first"), end_col, step)).alias(TS))
@@ -125,7 +143,7 @@ def fill_gaps(series: DataFrame, freq: str = "day", middlefill: str = "zero", ba
         # a point holds from its date to the day before the next one: lay its value over those dates
         ahead = Window.partitionBy(ITEM).orderBy(TS)
         held = series.select(ITEM, F.col(TS).alias("__from"), F.col(Y).alias("__held"),
-                             F.coalesce(F.lead(TS).over(ahead), F.date_add(end_col, 1)).alias("__to"))
+                             F.coalesce(F.lead(TS).over(ahead), _shift(end_col, 1, freq)).alias("__to"))
         held = held.select(ITEM, "__held", F.explode(F.filter(F.sequence("__from", "__to", step), lambda x: x < F.col("__to"))).alias(TS))
         j = j.join(held, [ITEM, TS], "left")
 
@@ -192,49 +210,47 @@ def series_end(series: DataFrame):
 def backtest_windows(series: DataFrame, horizon: int, n_windows: int = 1, end=None,
                      freq: str = "day") -> DataFrame:
     """TS4. Tag rows with ``(window, cutoff, split)`` for ``n_windows`` back-to-back test
-    windows of ``horizon`` periods (days, weeks or months) ending at ``end``. Window 1 is the
+    windows of ``horizon`` periods (hours, days, weeks or months) ending at ``end``. Window 1 is the
     newest. A row may belong to several windows (train of an older one, test of a newer one).
     Raises for other than 1 to 5 windows, or if the test windows cover more than half of the
     longest series."""
     if not 1 <= n_windows <= 5:
         raise ValueError("1 to 5 backtest windows")
-    if freq not in ("day", "week", "month"):
+    if freq not in SEASONS:
         raise ValueError(f"unsupported frequency {freq}")
     begin = series.agg(F.min(TS)).first()[0]
     if end is None:
         end = series_end(series)
     if isinstance(end, str):
-        end = _dt.date.fromisoformat(end[:10])
+        end = _dt.datetime.fromisoformat(end) if freq == "hour" else _dt.date.fromisoformat(end[:10])
     def back(k):
-        last = F.lit(end).cast("date")
-        return {"day": F.date_sub(last, k * horizon), "week": F.date_sub(last, 7 * k * horizon),
-                "month": F.add_months(last, -k * horizon)}[freq]
+        return _shift(F.lit(end).cast(_moment(freq)), -k * horizon, freq)
 
     if begin is not None and end is not None:
-        n = {"day": (end - begin).days, "week": (end - begin).days // 7,
+        n = {"hour": int((end - begin).total_seconds()) // 3600, "day": (end - begin).days, "week": (end - begin).days // 7,
              "month": 12 * (end.year - begin.year) + end.month - begin.month}[freq] + 1
         if 2 * n_windows * horizon > n:
             raise ValueError("the test windows cover more than half of the series")
     arr = F.array(*[F.struct(F.lit(k).alias("window"), back(k).alias("cutoff")) for k in range(1, n_windows + 1)])
     x = series.select("*", F.inline(arr))
-    lim = {"day": F.date_add("cutoff", horizon), "week": F.date_add("cutoff", 7 * horizon), "month": F.add_months("cutoff", horizon)}[freq]
+    lim = _shift(F.col("cutoff"), horizon, freq)
     split = F.when(F.col(TS) <= F.col("cutoff"), F.lit("train")).when(F.col(TS) <= lim, F.lit("test"))
     return x.withColumn("split", split).filter(F.col("split").isNotNull())
 
 
-def final_cutoff(series: DataFrame, end=None) -> DataFrame:
+def final_cutoff(series: DataFrame, end=None, freq: str = "day") -> DataFrame:
     """Whole series as the training part of window 0 (for the real forecast, TS15)."""
     if end is None:
         end = series_end(series)
-    return series.withColumn("window", F.lit(0)).withColumn("cutoff", F.lit(end).cast("date")) \
+    return series.withColumn("window", F.lit(0)).withColumn("cutoff", F.lit(end).cast(_moment(freq))) \
         .withColumn("split", F.lit("train"))
 
 
-def _future(train: DataFrame, horizon: int, keys=(ITEM, "window", "cutoff")) -> DataFrame:
-    """One row per (item, window, step) for the ``horizon`` steps after each cutoff."""
+def _future(train: DataFrame, horizon: int, freq: str = "day", keys=(ITEM, "window", "cutoff")) -> DataFrame:
+    """One row per (item, window, step) for the ``horizon`` periods after each cutoff."""
     k = train.select(*keys).distinct()
     return k.select(*keys, F.posexplode(F.sequence(F.lit(1), F.lit(horizon))).alias("__p", "step")) \
-        .drop("__p").withColumn(TS, F.date_add(F.col("cutoff"), F.col("step")))
+        .drop("__p").withColumn(TS, _shift(F.col("cutoff"), F.col("step"), freq))
 
 
 def _long(df: DataFrame, algo: str, cols: dict) -> DataFrame:
@@ -246,13 +262,14 @@ def _long(df: DataFrame, algo: str, cols: dict) -> DataFrame:
 
 # ---- models -----------------------------------------------------------------------------------
 
-def forecast_seasonal_naive(windows: DataFrame, horizon: int, m: int = 7) -> DataFrame:
-    """TS5. Value of the same position in the last full season before the cutoff, repeated.
-    Point forecast: all quantiles equal it."""
+def forecast_seasonal_naive(windows: DataFrame, horizon: int, m: int | None = None, freq: str = "day") -> DataFrame:
+    """TS5. Value of the same position in the last full season (``m`` periods; by default that of
+    the frequency) before the cutoff, repeated. Point forecast: all quantiles equal it."""
+    m = m or SEASONS[freq]
     train = windows.filter(F.col("split") == "train")
-    fut = _future(train, horizon)
-    src = F.date_sub(F.col("cutoff"), (m - ((F.col("step") - 1) % m)).cast("int"))
-    f = fut.withColumn("__src", src)
+    fut = _future(train, horizon, freq)
+    back = m - 1 - ((F.col("step") - 1) % m)
+    f = fut.withColumn("__src", _shift(F.col("cutoff"), (-back).cast("int"), freq))
     t = train.select(ITEM, "window", F.col(TS).alias("__src"), F.col(Y).alias("__v"))
     j = f.join(t, [ITEM, "window", "__src"], "left")
     return _long(j, "SeasonalNaive", {q: F.col("__v") for q in QUANTILES})
@@ -275,47 +292,48 @@ def weighted_quantiles(values: DataFrame, keys, value: str, weight: str, quantil
 
 
 def forecast_npts(windows: DataFrame, horizon: int, kernel: str = "exponential", decay: float = 0.01,
-                  season: str | None = None) -> DataFrame:
+                  season: str | None = None, freq: str = "day") -> DataFrame:
     """TS6. Non-parametric: the future value follows the weighted empirical distribution of
-    the training history; weight ``exp(-decay x age in days)`` (or 1 for ``uniform``);
-    with ``season='dayofweek'`` only history on the target's weekday counts.
+    the training history; weight ``exp(-decay x age in periods)`` (or 1 for ``uniform``);
+    with ``season`` ('dayofweek', 'month' or 'hour') only history of the target's season counts.
     Because each weight is relative to the cutoff, the distribution is the same for every
     step (apart from its season); quantiles are its weighted quantiles."""
     train = windows.filter(F.col("split") == "train")
-    age = F.datediff(F.col("cutoff"), F.col(TS))
+    age = _age(freq)
     wt = F.exp(-F.lit(decay) * age) if kernel == "exponential" else F.lit(1.0)
     keys = [ITEM, "window", "cutoff"]
+    phase = {"dayofweek": F.dayofweek, "month": F.month, "hour": F.hour}[season](TS) if season else None
     h = train.select(*keys, F.col(Y).alias("__v"), wt.alias("__wt"),
-                     *([F.dayofweek(TS).alias("__season")] if season else []))
+                     *([phase.alias("__season")] if season else []))
     qk = keys + (["__season"] if season else [])
     q = weighted_quantiles(h, qk, "__v", "__wt")
-    fut = _future(train, horizon)
+    fut = _future(train, horizon, freq)
     if season:
-        fut = fut.withColumn("__season", F.dayofweek(TS))
+        fut = fut.withColumn("__season", phase)
     j = fut.join(q, qk, "left")
     return _long(j, "NPTS", {qq: F.col(QUANTILE_NAMES[qq]) for qq in QUANTILES})
 
 
-def forecast_ets(windows: DataFrame, horizon: int, alpha: float = 0.3, nonnegative: bool = False) -> DataFrame:
+def forecast_ets(windows: DataFrame, horizon: int, alpha: float = 0.3, nonnegative: bool = False, freq: str = "day") -> DataFrame:
     """TS7. Simple exponential smoothing, in closed form: level at the cutoff =
     sum over history of alpha(1-alpha)^age y + (1-alpha)^n y_first, a weighted sum (one
     aggregate). Interval: weighted residual spread around the level, widened with the step
     as in SES (sigma sqrt(1 + (h-1) alpha^2)). ``nonnegative`` cuts all quantiles at zero."""
     train = windows.filter(F.col("split") == "train")
     keys = [ITEM, "window", "cutoff"]
-    age = F.datediff(F.col("cutoff"), F.col(TS))
+    age = _age(freq)
     a = F.lit(alpha)
     st = train.groupBy(*keys).agg(F.min(TS).alias("__first"),
                                   F.min_by(Y, F.col(TS)).alias("__y0"),
                                   F.sum(a * F.pow(1 - a, age) * F.col(Y)).alias("__s"))
     # the first point carries (1-alpha)^(n-1) instead of alpha(1-alpha)^(n-1)
-    n1 = F.datediff(F.col("cutoff"), F.col("__first"))
+    n1 = _period_diff(F.col("cutoff"), F.col("__first"), freq)
     lvl = F.col("__s") - a * F.pow(1 - a, n1) * F.col("__y0") + F.pow(1 - a, n1) * F.col("__y0")
     st = st.withColumn("__level", lvl)
     wts = a * F.pow(1 - a, age)
     r = train.join(st.select(*keys, "__level"), keys).groupBy(*keys).agg(
         F.sqrt(F.try_divide(F.sum(wts * F.pow(F.col(Y) - F.col("__level"), 2)), F.sum(wts))).alias("__sd"))
-    fut = _future(train, horizon).join(st.select(*keys, "__level"), keys).join(r, keys)
+    fut = _future(train, horizon, freq).join(st.select(*keys, "__level"), keys).join(r, keys)
     spread = F.col("__sd") * F.sqrt(1 + (F.col("step") - 1) * alpha * alpha)
     value = {q: F.col("__level") + F.lit(Z[q]) * spread if q != 0.5 else F.col("__level") for q in QUANTILES}
     return _long(fut, "ETS", {q: F.greatest(v, F.lit(0.0)) if nonnegative else v for q, v in value.items()})
@@ -337,7 +355,7 @@ def holt_weights(alpha: float, beta: float, max_lag: int) -> list[tuple]:
     return rows
 
 
-def forecast_holt(windows: DataFrame, horizon: int, alpha: float = 0.3, beta: float = 0.1) -> DataFrame:
+def forecast_holt(windows: DataFrame, horizon: int, alpha: float = 0.3, beta: float = 0.1, freq: str = "day") -> DataFrame:
     """TS7 (trend). Holt's linear method with level_1 = y_1, trend_1 = 0, evaluated exactly as
     weighted sums: the weights per lag come from ``holt_weights`` (a table with one row per
     period of history, joined by lag), so fitting is one grouped aggregate. Forecast
@@ -346,7 +364,7 @@ def forecast_holt(windows: DataFrame, horizon: int, alpha: float = 0.3, beta: fl
     spark = windows.sparkSession
     train = windows.filter(F.col("split") == "train")
     keys = [ITEM, "window", "cutoff"]
-    age = F.datediff(F.col("cutoff"), F.col(TS))
+    age = _age(freq)
     max_lag = train.agg(F.max(age)).first()[0] or 0          # one scalar
     w = spark.createDataFrame(holt_weights(alpha, beta, int(max_lag)),
                               "lag int, wl double, wb double, cl double, cb double")
@@ -364,7 +382,7 @@ def forecast_holt(windows: DataFrame, horizon: int, alpha: float = 0.3, beta: fl
     wt = a * F.pow(1 - a, F.col("lag"))
     sd = x.select(*keys, "lag", Y).join(st, keys).groupBy(*keys).agg(
         F.sqrt(F.try_divide(F.sum(wt * F.pow(F.col(Y) - fitted, 2)), F.sum(wt))).alias("__sd"))
-    fut = _future(train, horizon).join(st, keys).join(sd, keys)
+    fut = _future(train, horizon, freq).join(st, keys).join(sd, keys)
     h = F.col("step")
     mean = F.col("__l") + h * F.col("__b")
     # sum_(j=1..h-1) (1 + j b)^2 = (h-1) + b h(h-1) + b^2 (h-1)h(2h-1)/6
@@ -421,18 +439,18 @@ def hw_multipliers(alpha: float, beta: float, gamma: float, m: int, horizon: int
 
 
 def forecast_holt_winters(windows: DataFrame, horizon: int, alpha: float = 0.3, beta: float = 0.1,
-                          gamma: float = 0.2, m: int = 7) -> DataFrame:
+                          gamma: float = 0.2, m: int | None = None, freq: str = "day") -> DataFrame:
     """TS7 (trend + season). Additive Holt-Winters with level_1 = y_1, trend_1 = 0 and zero
     initial seasonal terms, evaluated exactly as weighted sums over the history (weights per
     lag from the system's matrix powers; one grouped aggregate). Forecast
     level + h trend + the seasonal term of the step's phase; interval from the weighted
     spread around the fitted values, widened by the Holt-Winters step multiplier."""
-    spark = windows.sparkSession
+    spark, m = windows.sparkSession, m or SEASONS[freq]
     A, g = hw_system(alpha, beta, gamma, m)
     d = m + 2
     train = windows.filter(F.col("split") == "train")
     keys = [ITEM, "window", "cutoff"]
-    age = F.datediff(F.col("cutoff"), F.col(TS))
+    age = _age(freq)
     max_lag = train.agg(F.max(age)).first()[0] or 0          # one scalar
     schema = "lag int, " + ", ".join([f"w{i} double" for i in range(d)] + [f"c{i} double" for i in range(d)])
     w = spark.createDataFrame(linear_weights(A, g, int(max_lag)), schema)
@@ -450,7 +468,7 @@ def forecast_holt_winters(windows: DataFrame, horizon: int, alpha: float = 0.3,
     sd = x.select(*keys, "lag", Y).join(st, keys).groupBy(*keys).agg(
         F.sqrt(F.try_divide(F.sum(wt * F.pow(F.col(Y) - fitted, 2)), F.sum(wt))).alias("__sd"))
     mult = F.array(*[F.lit(v) for v in hw_multipliers(alpha, beta, gamma, m, horizon)])
-    fut = _future(train, horizon).join(st, keys).join(sd, keys)
+    fut = _future(train, horizon, freq).join(st, keys).join(sd, keys)
     h = F.col("step")
     season = F.element_at("__S", (F.lit(m) - (h - 1) % m).cast("int"))
     mean = F.col("__x0") + h * F.col("__x1") + season
@@ -458,13 +476,13 @@ def forecast_holt_winters(windows: DataFrame, horizon: int, alpha: float = 0.3,
     return _long(fut, "HoltWinters", {q: mean + F.lit(Z[q]) * spread for q in QUANTILES})
 
 
-def forecast_ar(windows: DataFrame, horizon: int) -> DataFrame:
+def forecast_ar(windows: DataFrame, horizon: int, freq: str = "day") -> DataFrame:
     """TS8. AR(1) with intercept: y_t = c + phi y_(t-1), fitted by ``regr_*`` aggregates over a
     one-step self-join (no ordered window). h-step mean phi^h y_T + c(1-phi^h)/(1-phi),
     Gaussian interval with variance sigma^2 sum_(j<h) phi^(2j)."""
     train = windows.filter(F.col("split") == "train")
     keys = [ITEM, "window", "cutoff"]
-    prev = train.select(*keys, F.date_add(F.col(TS), 1).alias(TS), F.col(Y).alias("__prev"))
+    prev = train.select(*keys, _shift(F.col(TS), 1, freq).alias(TS), F.col(Y).alias("__prev"))
     pairs = train.select(*keys, TS, Y).join(prev, keys + [TS])
     fit = pairs.groupBy(*keys).agg(
         F.regr_slope(Y, "__prev").alias("__phi"), F.regr_intercept(Y, "__prev").alias("__c"),
@@ -473,7 +491,7 @@ def forecast_ar(windows: DataFrame, horizon: int) -> DataFrame:
     last = train.groupBy(*keys).agg(F.max_by(Y, F.col(TS)).alias("__yT"))
     sse = F.col("__syy") - F.try_divide(F.col("__sxy") * F.col("__sxy"), F.col("__sxx"))
     fit = fit.withColumn("__s2", F.try_divide(F.greatest(sse, F.lit(0.0)), F.col("__n") - 2))
-    fut = _future(train, horizon).join(fit, keys).join(last, keys)
+    fut = _future(train, horizon, freq).join(fit, keys).join(last, keys)
     phi, c, hh = F.coalesce(F.col("__phi"), F.lit(0.0)), F.coalesce(F.col("__c"), F.col("__yT")), F.col("step")
     ph = F.pow(phi, hh)
     geo = F.when(F.abs(1 - phi) < 1e-12, hh).otherwise((1 - ph) / (1 - phi))
@@ -501,7 +519,7 @@ def _solve_all(pdf, k: int):
     return beta, np.maximum(sse, 0.0) / np.maximum(pdf["n"].to_numpy(float) - k, 1)
 
 
-def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2) -> DataFrame:
+def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2, freq: str = "day") -> DataFrame:
     """TS8 (order p). y_t = c + sum_i phi_i y_(t-i) by least squares per item. The lagged
     columns come from p equi-joins on t - i (no ordered window); X'X, X'y and y'y are grouped
     sums (partial aggregation), the last p values are conditional maxima. One row per item
@@ -515,7 +533,7 @@ def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2) -> DataFrame:
     base = train.select(*keys, TS, F.col(Y).alias("__y"))
     x = base
     for i in range(1, p + 1):
-        lag = base.select(*keys, F.date_add(F.col(TS), i).alias(TS), F.col("__y").alias(f"__l{i}"))
+        lag = base.select(*keys, _shift(F.col(TS), i, freq).alias(TS), F.col("__y").alias(f"__l{i}"))
         x = x.join(lag, keys + [TS])
     cols = ["__one"] + [f"__l{i}" for i in range(1, p + 1)]
     x = x.withColumn("__one", F.lit(1.0))
@@ -524,18 +542,17 @@ def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2) -> DataFrame:
     sums += [F.sum(F.col(cols[i]) * F.col("__y")).alias(f"b_{i}") for i in range(k)]
     sums += [F.sum(F.col("__y") * F.col("__y")).alias("yy"), F.count(F.lit(1)).alias("n")]
     st = x.groupBy(*keys).agg(*sums)
-    age = F.datediff(F.col("cutoff"), F.col(TS))
+    age = _age(freq)
     last = train.filter(age < p).groupBy(*keys).agg(
         *[F.max(F.when(age == j, F.col(Y))).alias(f"last_{j}") for j in range(p)])
     j = st.join(last, keys)
-    out_schema = f"{ITEM} string, window int, cutoff date, step int, {TS} date, algorithm string, quantile double, value double"
+    out_schema = f"{ITEM} string, window int, cutoff {_moment(freq)}, step int, algorithm string, quantile double, value double"
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         beta, s2 = _solve_all(pdf, k)
         c, phi = beta[:, 0], beta[:, 1:]
         hist = np.stack([pdf[f"last_{q}"].to_numpy(float) for q in range(p)], 1)      # newest first
         psi, acc, parts = [np.ones(len(pdf))], np.zeros(len(pdf)), []
-        cutoff = pd.to_datetime(pdf["cutoff"])
         for h in range(1, horizon + 1):                                # all items of the batch step together
             mean = c + np.einsum("np,np->n", phi, hist)
             hist = np.concatenate([mean[:, None], hist[:, :-1]], 1)
@@ -543,14 +560,15 @@ def forecast_ar_p(windows: DataFrame, horizon: int, p: int = 2) -> DataFrame:
             psi.append(sum((phi[:, q] * psi[h - 1 - q] for q in range(p) if h - 1 - q >= 0), np.zeros(len(pdf))))
             sd = np.sqrt(s2 * acc)
             for q in QUANTILES:
-                parts.append(pd.DataFrame({ITEM: pdf[ITEM], "window": pdf["window"], "cutoff": pdf["cutoff"], "step": h,
-                                           TS: (cutoff + pd.Timedelta(days=h)).dt.date, "algorithm": f"AR{p}", "quantile": q, "value": mean + Z[q] * sd}))
+                parts.append(pd.DataFrame({ITEM: pdf[ITEM], "window": pdf["window"], "cutoff": pdf["cutoff"], "step": h, "algorithm": f"AR{p}", "quantile": q, "value": mean + Z[q] * sd}))
         return pd.concat(parts)
 
-    return j.mapInPandas(lambda it: (solve(pdf) for pdf in it), out_schema)
+    return j.mapInPandas(lambda it: (solve(pdf) for pdf in it), out_schema) \
+        .select(*keys, "step", _shift(F.col("cutoff"), F.col("step"), freq).alias(TS), "algorithm", "quantile", "value")
 
 
-def _design(df: DataFrame, fourier: int, calendar: DataFrame | None, country: str) -> tuple[DataFrame, list]:
+def _design(df: DataFrame, fourier: int, calendar: DataFrame | None, country: str, freq: str = "day") -> tuple[DataFrame, list]:
+    """Trend, yearly harmonics, those of the week (days and hours) and of the day (hours), holidays."""
     d = F.col(TS)
     t = F.datediff(d, F.lit("1970-01-01").cast("date")) / 365.25
     x = df.withColumn("x_trend", t)
@@ -560,10 +578,14 @@ def _design(df: DataFrame, fourier: int, calendar: DataFrame | None, country: st
         a = 2 * math.pi * k * F.dayofyear(d) / 365.25
         x = x.withColumn(f"x_sy{k}", F.sin(a)).withColumn(f"x_cy{k}", F.cos(a))
         cols += [f"x_sy{k}", f"x_cy{k}"]
-    for k in range(1, 4):
+    for k in range(1, 4) if freq in ("day", "hour") else ():
         a = 2 * math.pi * k * F.dayofweek(d) / 7.0
         x = x.withColumn(f"x_sw{k}", F.sin(a)).withColumn(f"x_cw{k}", F.cos(a))
         cols += [f"x_sw{k}", f"x_cw{k}"]
+    for k in range(1, 4) if freq == "hour" else ():
+        a = 2 * math.pi * k * F.hour(d) / 24.0
+        x = x.withColumn(f"x_sh{k}", F.sin(a)).withColumn(f"x_ch{k}", F.cos(a))
+        cols += [f"x_sh{k}", f"x_ch{k}"]
     if calendar is not None:
         from .joins import attach_holidays
         x = attach_holidays(x, calendar, country, TS, "__hol").withColumn(
@@ -573,7 +595,7 @@ def _design(df: DataFrame, fourier: int, calendar: DataFrame | None, country: st
 
 
 def forecast_harmonic(windows: DataFrame, horizon: int, fourier: int = 2, calendar: DataFrame | None = None,
-                      country: str = "US") -> DataFrame:
+                      country: str = "US", freq: str = "day") -> DataFrame:
     """TS9. Trend + yearly/weekly Fourier terms (+ holiday flag) by least squares per item.
 
     X'X and X'y are sums of products: computed as grouped aggregates (partial, skew-safe),
@@ -583,14 +605,14 @@ def forecast_harmonic(windows: DataFrame, horizon: int, fourier: int = 2, calend
 
     train = windows.filter(F.col("split") == "train")
     keys = [ITEM, "window", "cutoff"]
-    x, cols = _design(train, fourier, calendar, country)
+    x, cols = _design(train, fourier, calendar, country, freq)
     k = len(cols)
     sums = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"a_{i}_{j}") for i in range(k) for j in range(i, k)]
     sums += [F.sum(F.col(cols[i]) * F.col(Y)).alias(f"b_{i}") for i in range(k)]
     sums += [F.sum(F.col(Y) * F.col(Y)).alias("yy"), F.count(F.lit(1)).alias("n")]
     st = x.groupBy(*keys).agg(*sums)
 
-    out_schema = ", ".join([f"{ITEM} string", "window int", "cutoff date"] + [f"beta_{i} double" for i in range(k)]
+    out_schema = ", ".join([f"{ITEM} string", "window int", f"cutoff {_moment(freq)}"] + [f"beta_{i} double" for i in range(k)]
                            + ["s2 double"])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -598,7 +620,7 @@ def forecast_harmonic(windows: DataFrame, horizon: int, fourier: int = 2, calend
         return pdf[[ITEM, "window", "cutoff"]].assign(**{f"beta_{i}": beta[:, i] for i in range(k)}, s2=s2)
 
     fit = st.mapInPandas(lambda it: (solve(p) for p in it), out_schema)
-    fut, _ = _design(_future(train, horizon), fourier, calendar, country)
+    fut, _ = _design(_future(train, horizon, freq), fourier, calendar, country, freq)
     j = fut.join(fit, keys)
     mean = sum((F.col(cols[i]) * F.col(f"beta_{i}") for i in range(k)), F.lit(0.0))
     sd = F.sqrt(F.col("s2"))
@@ -615,20 +637,21 @@ def actuals(windows: DataFrame) -> DataFrame:
     return t.select(ITEM, "window", TS, F.col(Y).alias("y"))
 
 
-def mase_scale(windows: DataFrame, m: int = 7) -> DataFrame:
+def mase_scale(windows: DataFrame, m: int = 7, freq: str = "day") -> DataFrame:
     """Mean |y_t - y_(t-m)| on the training part, per (item, window), by a self-join on t - m."""
     train = windows.filter(F.col("split") == "train").select(ITEM, "window", TS, Y)
-    lagged = train.select(ITEM, "window", F.date_add(F.col(TS), m).alias(TS), F.col(Y).alias("__lag"))
+    lagged = train.select(ITEM, "window", _shift(F.col(TS), m, freq).alias(TS), F.col(Y).alias("__lag"))
     return train.join(lagged, [ITEM, "window", TS]).groupBy(ITEM, "window").agg(
         F.avg(F.abs(F.col(Y) - F.col("__lag"))).alias("scale"))
 
 
-def evaluate(forecasts: DataFrame, windows: DataFrame, m: int = 7, quantiles=QUANTILES) -> DataFrame:
-    """TS10 + TS11 per (algorithm, window): RMSE, MAPE, WAPE, MASE on the p50 point forecast
+def evaluate(forecasts: DataFrame, windows: DataFrame, m: int | None = None, quantiles=QUANTILES, freq: str = "day",
+             by=()) -> DataFrame:
+    """TS10 + TS11 per (algorithm, window), and per item if ``by`` says so: RMSE, MAPE, WAPE, MASE on the p50 point forecast
     and weighted quantile loss per quantile, and their mean (Q14: root and absolute)."""
     act = actuals(windows)
     f = forecasts.join(act, [ITEM, "window", TS])
-    keys = ["algorithm", "window"]
+    keys = ["algorithm", "window", *by]
     wql = []
     for q in quantiles:
         fq = F.col("value")
@@ -645,7 +668,7 @@ def evaluate(forecasts: DataFrame, windows: DataFrame, m: int = 7, quantiles=QUA
         *wql)
     point = point.withColumn("avg_wQL", sum(F.col(f"wQL_{QUANTILE_NAMES[q]}") for q in quantiles) / len(quantiles))
     per_item = f.filter(p50).groupBy("algorithm", "window", ITEM).agg(F.avg(F.abs(err)).alias("__mae"))
-    mase = per_item.join(mase_scale(windows, m), [ITEM, "window"]).groupBy(*keys).agg(
+    mase = per_item.join(mase_scale(windows, m or SEASONS[freq], freq), [ITEM, "window"]).groupBy(*keys).agg(
         F.avg(F.try_divide(F.col("__mae"), F.col("scale"))).alias("MASE"))
     return point.join(mase, keys, "left")
 
@@ -662,6 +685,20 @@ def summarise_windows(metrics: DataFrame) -> DataFrame:
         summ.select("algorithm", "window", "EvaluationType", *METRICS))
 
 
+def auto_select_items(item_metrics: DataFrame, metric: str = "avg_wQL") -> DataFrame:
+    """TS13 per item: of the metrics of each (algorithm, window, item), the algorithm with the
+    lowest mean over the windows; windows without a value (no demand) are left out, names break
+    ties, and an item without any value gets the first name."""
+    mean = item_metrics.groupBy(ITEM, "algorithm").agg(F.avg(metric).alias(metric))
+    best = F.struct(F.col(metric).isNull(), F.col(metric), F.col("algorithm"))
+    return mean.groupBy(ITEM).agg(F.min_by("algorithm", best).alias("algorithm"), F.min(metric).alias(metric), F.count(metric).alias("candidates"))
+
+
+def best_per_item(forecasts: DataFrame, selected: DataFrame) -> DataFrame:
+    """The rows of each item's selected algorithm."""
+    return forecasts.join(selected.select(ITEM, "algorithm"), [ITEM, "algorithm"])
+
+
 def auto_select(summary: DataFrame, metric: str = "avg_wQL") -> DataFrame:
     """TS13. Lowest mean wQL wins (algorithm name breaks ties); rank table of all."""
     s = summary.filter(F.col("EvaluationType") == "SUMMARY")
@@ -683,7 +720,7 @@ def metrics_table(summary: DataFrame, digits: int = 4) -> DataFrame:
 MODELS = {
     "NPTS": lambda w, h, **kw: forecast_npts(w, h, **kw),
     "ETS": lambda w, h, **kw: forecast_ets(w, h, **kw),
-    "AR": lambda w, h, **kw: forecast_ar(w, h),
+    "AR": lambda w, h, **kw: forecast_ar(w, h, **kw),
     "ARp": lambda w, h, **kw: forecast_ar_p(w, h, **kw),
     "Holt": lambda w, h, **kw: forecast_holt(w, h, **kw),
     "HoltWinters": lambda w, h, **kw: forecast_holt_winters(w, h, **kw),
@@ -692,9 +729,9 @@ MODELS = {
 }
 
 
-def create_forecast(series: DataFrame, horizon: int, algorithm: str = "NPTS", end=None, **kw) -> DataFrame:
-    """TS15. All items, ``horizon`` steps after the end of the series, p10/p50/p90 long rows."""
-    return MODELS[algorithm](final_cutoff(series, end), horizon, **kw).drop("window")
+def create_forecast(series: DataFrame, horizon: int, algorithm: str = "NPTS", end=None, freq: str = "day", **kw) -> DataFrame:
+    """TS15. All items, ``horizon`` periods after the end of the series, p10/p50/p90 long rows."""
+    return MODELS[algorithm](final_cutoff(series, end, freq), horizon, freq=freq, **kw).drop("window")
 
 
 def forecast_wide(long: DataFrame) -> DataFrame:

@@ -38,17 +38,19 @@ def daily(spark, sf):
     return cut_lineage(fc.to_daily(prepared(spark, sf)))
 
 
-def filled(spark, sf):
-    return fc.fill_gaps(daily(spark, sf))
+def filled(spark, sf, freq="day"):
+    from ..session import cut_lineage
+
+    return fc.fill_gaps(cut_lineage(fc.to_daily(prepared(spark, sf), freq=freq)), freq=freq)
 
 
-def windows(spark, sf):
+def windows(spark, sf, cal=None):
     """Backtest windows, checkpointed: every model, the actuals and the MASE scale read them,
     so they are computed once and their lineage is cut (safe against lost executors)."""
     from ..session import cut_lineage
 
-    f = filled(spark, sf)
-    return cut_lineage(fc.backtest_windows(f, H, NW))
+    cal = cal or DAY
+    return cut_lineage(fc.backtest_windows(filled(spark, sf, cal.freq), cal.horizon, cal.n_windows, freq=cal.freq))
 
 
 def us_holidays(series):
@@ -57,27 +59,52 @@ def us_holidays(series):
     return fc.holiday_calendar(series.sparkSession, ("US",), lo, hi + 1)
 
 
-def all_forecasts(spark, sf, w=None):
-    w = w if w is not None else windows(spark, sf)
-    parts = [fc.forecast_npts(w, H, decay=DECAY), fc.forecast_ets(w, H, alpha=ALPHA), fc.forecast_ar(w, H),
-             fc.forecast_seasonal_naive(w, H, m=M), fc.forecast_holt(w, H, alpha=HA, beta=HB),
-             fc.forecast_holt_winters(w, H, WA, WB, WG, WM)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def model(name, w, cal):
+    at = {"freq": cal.freq}
+    return {"npts": lambda: fc.forecast_npts(w, cal.horizon, decay=DECAY, **at), "ets": lambda: fc.forecast_ets(w, cal.horizon, alpha=ALPHA, **at),
+            "ar": lambda: fc.forecast_ar(w, cal.horizon, **at), "snaive": lambda: fc.forecast_seasonal_naive(w, cal.horizon, m=cal.m, **at),
+            "holt": lambda: fc.forecast_holt(w, cal.horizon, alpha=HA, beta=HB, **at),
+            "hwin": lambda: fc.forecast_holt_winters(w, cal.horizon, WA, WB, WG, cal.m, **at)}[name]()
+
+
+def all_forecasts(spark, sf, w=None, cal=None):
+    cal = cal or DAY
+    w = w if w is not None else windows(spark, sf, cal)
+    out = None
+    for name in ("npts", "ets", "ar", "snaive", "holt", "hwin"):
+        part = model(name, w, cal)
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-def metrics(spark, sf):
+def metrics(spark, sf, cal=None, by=()):
     """Metrics per (algorithm, window); checkpointed because the summary, the selection and
     the pivot each read them more than once (the table is tiny)."""
     from ..session import cut_lineage
 
-    w = windows(spark, sf)
-    return cut_lineage(fc.evaluate(all_forecasts(spark, sf, w), w, m=M))
+    cal = cal or DAY
+    w = windows(spark, sf, cal)
+    return cut_lineage(fc.evaluate(all_forecasts(spark, sf, w, cal), w, m=cal.m, freq=cal.freq, by=by))
 
 
 # ---- SQL twins ---------------------------------------------------------------------------------
+class Calendar:
+    """How a frequency counts, in SQL; and the horizon, windows and seasons of its queries."""
+
+    def __init__(self, freq: str, horizon: int, n_windows: int, m: int):
+        self.freq, self.horizon, self.n_windows, self.m = freq, horizon, n_windows, m
+        self.interval = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS", "month": "INTERVAL 1 MONTH"}[freq]
+
+    def plus(self, c: str, k: str) -> str:
+        if self.freq == "month":
+            return f"CAST({c} + to_months(CAST({k} AS INTEGER)) AS DATE)"
+        return f"CAST({c} + CAST(({k}) * {7 if self.freq == 'week' else 1} AS INTEGER) AS DATE)"
+
+    def age(self, a: str, b: str) -> str:
+        return {"day": f"({a} - {b})", "week": f"(({a} - {b}) // 7)", "month": f"date_diff('month', {b}, {a})"}[self.freq]
+
+
+DAY, WEEK, MONTH = Calendar("day", H, NW, M), Calendar("week", 4, 3, 13), Calendar("month", 3, 3, 12)
 ALL_PREP_SQL = with_views("""
 SELECT TRY_CAST(ds AS TIMESTAMP) AS "timestamp", TRY_CAST(y AS DOUBLE) AS target_value, item_id
 FROM (SELECT strftime("timestamp", '%Y-%m-%d') AS ds, target_value AS y, item_id FROM demand) r""", "demand")
@@ -85,25 +112,38 @@ PREP_SQL = with_views(f"""
 SELECT TRY_CAST(ds AS TIMESTAMP) AS "timestamp", TRY_CAST(y AS DOUBLE) AS target_value, item_id
 FROM (SELECT strftime("timestamp", '%Y-%m-%d') AS ds, target_value AS y, item_id FROM demand) r
 WHERE ds >= '{YEARS[0] + 1}-01-01' AND ds < '{YEARS[1]}-01-01'""", "demand")
-DAILY_SQL = f"""SELECT item_id, CAST(date_trunc('day', "timestamp") AS DATE) AS ts, sum(target_value) AS target_value
+def series_sql(cal: Calendar = DAY) -> str:
+    return f"""SELECT item_id, CAST(date_trunc('{cal.freq}', "timestamp") AS DATE) AS ts, sum(target_value) AS target_value
 FROM ({ALL_PREP_SQL}) p GROUP BY ALL"""
-FILLED_SQL = f"""
-WITH d AS ({DAILY_SQL}),
+
+
+def filled_sql(cal: Calendar = DAY) -> str:
+    return f"""
+WITH d AS ({series_sql(cal)}),
 span AS (SELECT item_id, min(ts) AS f, max(ts) AS l FROM d GROUP BY 1),
 e AS (SELECT max(ts) AS e FROM d),
-cal AS (SELECT item_id, l, CAST(unnest(generate_series(f, e.e, INTERVAL 1 DAY)) AS DATE) AS ts FROM span, e)
+cal AS (SELECT item_id, l, CAST(unnest(generate_series(f, e.e, {cal.interval})) AS DATE) AS ts FROM span, e)
 SELECT cal.item_id, cal.ts,
        CASE WHEN d.target_value IS NOT NULL THEN d.target_value WHEN cal.ts <= l THEN 0.0 ELSE 0.0 END AS target_value,
        d.target_value IS NULL AS was_filled
 FROM cal LEFT JOIN d USING (item_id, ts)"""
-WINDOWS_SQL = f"""
-WITH f AS ({FILLED_SQL}),
-w AS (SELECT CAST(k AS INTEGER) AS "window", CAST(e - CAST(k * {H} AS INTEGER) AS DATE) AS cutoff
-      FROM range(1, {NW + 1}) t(k), (SELECT max(ts) AS e FROM f) m)
+
+
+def windows_sql(cal: Calendar = DAY) -> str:
+    return f"""
+WITH f AS ({filled_sql(cal)}),
+w AS (SELECT CAST(k AS INTEGER) AS "window", {cal.plus("e", f"-k * {cal.horizon}")} AS cutoff
+      FROM range(1, {cal.n_windows + 1}) t(k), (SELECT max(ts) AS e FROM f) m)
 SELECT f.*, w."window", w.cutoff, CASE WHEN ts <= cutoff THEN 'train' ELSE 'test' END AS split
-FROM f, w WHERE ts <= cutoff + {H}"""
-FUTURE_SQL = f"""SELECT item_id, "window", cutoff, CAST(step AS INTEGER) AS step, CAST(cutoff + CAST(step AS INTEGER) AS DATE) AS ts
-FROM (SELECT DISTINCT item_id, "window", cutoff FROM wins WHERE split = 'train') k, range(1, {H + 1}) s(step)"""
+FROM f, w WHERE ts <= {cal.plus("cutoff", str(cal.horizon))}"""
+
+
+def future_sql(cal: Calendar = DAY) -> str:
+    return f"""SELECT item_id, "window", cutoff, CAST(step AS INTEGER) AS step, {cal.plus("cutoff", "step")} AS ts
+FROM (SELECT DISTINCT item_id, "window", cutoff FROM wins WHERE split = 'train') k, range(1, {cal.horizon + 1}) s(step)"""
+
+
+DAILY_SQL, FILLED_SQL, WINDOWS_SQL, FUTURE_SQL = series_sql(), filled_sql(), windows_sql(), future_sql()
 KEYS = 'item_id, "window", cutoff'
 
 
@@ -113,8 +153,9 @@ def _long_sql(src: str, algo: str, cols: dict) -> str:
     return " UNION ALL ".join(parts)
 
 
-NPTS_SQL = f"""
-h AS (SELECT {KEYS}, target_value AS v, exp(-{DECAY} * (cutoff - ts)) AS wt FROM wins WHERE split = 'train'),
+def npts_sql(cal: Calendar = DAY) -> str:
+    return f"""
+h AS (SELECT {KEYS}, target_value AS v, exp(-{DECAY} * {cal.age('cutoff', 'ts')}) AS wt FROM wins WHERE split = 'train'),
 a AS (SELECT {KEYS}, v, sum(wt) AS w FROM h GROUP BY ALL),
 c AS (SELECT *, sum(w) OVER (PARTITION BY {KEYS} ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
              sum(w) OVER (PARTITION BY {KEYS}) AS tot FROM a),
@@ -123,11 +164,13 @@ q AS (SELECT {KEYS}, {", ".join(f"min(CASE WHEN round(cum, 9) >= round(tot * {q}
 npts_j AS (SELECT fu.*, q.p10, q.p50, q.p90 FROM fut fu LEFT JOIN q USING (item_id, "window", cutoff)),
 npts AS ({_long_sql("npts_j", "NPTS", {0.1: "p10", 0.5: "p50", 0.9: "p90"})})"""
 
-ETS_SQL = f"""
-tr AS (SELECT *, cutoff - ts AS age FROM wins WHERE split = 'train'),
+
+def ets_sql(cal: Calendar = DAY) -> str:
+    return f"""
+tr AS (SELECT *, {cal.age('cutoff', 'ts')} AS age FROM wins WHERE split = 'train'),
 st AS (SELECT {KEYS}, min(ts) AS f, arg_min(target_value, ts) AS y0, sum({ALPHA} * pow(1 - {ALPHA}, age) * target_value) AS s
        FROM tr GROUP BY ALL),
-lv AS (SELECT {KEYS}, s - {ALPHA} * pow(1 - {ALPHA}, cutoff - f) * y0 + pow(1 - {ALPHA}, cutoff - f) * y0 AS lvl FROM st),
+lv AS (SELECT {KEYS}, s - {ALPHA} * pow(1 - {ALPHA}, {cal.age('cutoff', 'f')}) * y0 + pow(1 - {ALPHA}, {cal.age('cutoff', 'f')}) * y0 AS lvl FROM st),
 sd AS (SELECT {KEYS}, sqrt(sum({ALPHA} * pow(1 - {ALPHA}, age) * pow(target_value - lvl, 2))
                            / sum({ALPHA} * pow(1 - {ALPHA}, age))) AS sd
        FROM tr JOIN lv USING (item_id, "window", cutoff) GROUP BY ALL),
@@ -136,10 +179,12 @@ ets_j AS (SELECT fu.*, lvl, sd * sqrt(1 + (step - 1) * {ALPHA} * {ALPHA}) AS spr
 ets AS ({_long_sql("ets_j", "ETS", {0.1: f"lvl + ({fc.Z[0.1]}) * spread", 0.5: "lvl",
                                     0.9: f"lvl + ({fc.Z[0.9]}) * spread"})})"""
 
-AR_SQL = f"""
+
+def ar_sql(cal: Calendar = DAY) -> str:
+    return f"""
 trn AS (SELECT {KEYS}, ts, target_value FROM wins WHERE split = 'train'),
 pr AS (SELECT t.*, p.target_value AS prev FROM trn t JOIN trn p
-        ON t.item_id = p.item_id AND t."window" = p."window" AND t.cutoff = p.cutoff AND t.ts = p.ts + 1),
+        ON t.item_id = p.item_id AND t."window" = p."window" AND t.cutoff = p.cutoff AND t.ts = {cal.plus('p.ts', '1')}),
 fit AS (SELECT {KEYS}, regr_slope(target_value, prev) AS phi, regr_intercept(target_value, prev) AS c,
                regr_count(target_value, prev) AS n,
                CASE WHEN regr_count(target_value, prev) - 2 = 0 THEN NULL ELSE
@@ -155,8 +200,10 @@ ar1 AS (SELECT *, pow(ph, step) * yT + cc * CASE WHEN abs(1 - ph) < 1e-12 THEN s
         FROM ar0),
 ar AS ({_long_sql("ar1", "AR", {0.1: f"mean + ({fc.Z[0.1]}) * sd", 0.5: "mean + 0.0 * sd", 0.9: f"mean + ({fc.Z[0.9]}) * sd"})})"""
 
-SNAIVE_SQL = f"""
-sn0 AS (SELECT fu.*, CAST(cutoff - CAST({M} - ((step - 1) % {M}) AS INTEGER) AS DATE) AS src FROM fut fu),
+
+def snaive_sql(cal: Calendar = DAY) -> str:
+    return f"""
+sn0 AS (SELECT fu.*, {cal.plus('cutoff', f'-({cal.m} - 1 - ((step - 1) % {cal.m}))')} AS src FROM fut fu),
 sn1 AS (SELECT sn0.*, t.target_value AS v FROM sn0 LEFT JOIN wins t
         ON t.split = 'train' AND t.item_id = sn0.item_id AND t."window" = sn0."window" AND t.ts = sn0.src),
 snaive AS ({_long_sql("sn1", "SeasonalNaive", {0.1: "v", 0.5: "v", 0.9: "v"})})"""
@@ -167,15 +214,16 @@ def _d(x: float) -> str:
 
 
 _A11, _A21, _A22 = 1.0 - HA, -(HA * HB), 1.0 - HA * HB
-HOLT_SQL = f"""
-hk AS (SELECT max(cutoff - ts) AS K FROM wins WHERE split = 'train'),
+def holt_sql(cal: Calendar = DAY) -> str:
+    return f"""
+hk AS (SELECT max({cal.age('cutoff', 'ts')}) AS K FROM wins WHERE split = 'train'),
 hw(lag, wl, wb, cl, cb) AS (
   SELECT 0, {_d(HA)}, {_d(HA * HB)}, {_d(1.0)}, {_d(0.0)}
   UNION ALL
   SELECT lag + 1, {_d(_A11)} * wl + {_d(_A11)} * wb, {_d(_A21)} * wl + {_d(_A22)} * wb,
          {_d(_A11)} * cl + {_d(_A11)} * cb, {_d(_A21)} * cl + {_d(_A22)} * cb
   FROM hw WHERE lag < (SELECT K FROM hk)),
-ht AS (SELECT {KEYS}, ts, target_value, CAST(cutoff - ts AS INTEGER) AS lag FROM wins WHERE split = 'train'),
+ht AS (SELECT {KEYS}, ts, target_value, CAST({cal.age('cutoff', 'ts')} AS INTEGER) AS lag FROM wins WHERE split = 'train'),
 hf AS (SELECT {KEYS}, max(lag) AS n1 FROM ht GROUP BY ALL),
 hx AS (SELECT ht.*, hf.n1, hw.wl, hw.wb, hw.cl, hw.cb FROM ht JOIN hf USING (item_id, "window", cutoff) JOIN hw USING (lag)),
 hs AS (SELECT {KEYS}, coalesce(sum(CASE WHEN lag < n1 THEN wl * target_value END), 0.0)
@@ -202,23 +250,24 @@ def _matrix_sql(A, prefix: str) -> list[str]:
     return out
 
 
-def _hw_sql() -> str:
+def hw_sql(cal: Calendar = DAY) -> str:
+    WM = cal.m
     A, g = fc.hw_system(WA, WB, WG, WM)
     d = WM + 2
     ws, cs = [f"w{i}" for i in range(d)], [f"c{i}" for i in range(d)]
     init = [_d(v) for v in g] + [_d(1.0)] + [_d(0.0)] * (d - 1)
     step = _matrix_sql(A, "w") + _matrix_sql(A, "c")
-    mult = "[" + ", ".join(_d(v) for v in fc.hw_multipliers(WA, WB, WG, WM, H)) + "]"
+    mult = "[" + ", ".join(_d(v) for v in fc.hw_multipliers(WA, WB, WG, WM, cal.horizon)) + "]"
     S = "[" + ", ".join(f"x{i}" for i in range(2, d)) + "]"
     xs = ",\n".join(f"coalesce(sum(CASE WHEN lag < n1 THEN w{i} * target_value END), 0.0) "
                     f"+ max(CASE WHEN lag >= n1 THEN c{i} * target_value END) AS x{i}" for i in range(d))
     return f"""
-wk AS (SELECT max(cutoff - ts) AS K FROM wins WHERE split = 'train'),
+wk AS (SELECT max({cal.age('cutoff', 'ts')}) AS K FROM wins WHERE split = 'train'),
 ww(lag, {", ".join(ws + cs)}) AS (
   SELECT 0, {", ".join(init)}
   UNION ALL
   SELECT lag + 1, {", ".join(step)} FROM ww WHERE lag < (SELECT K FROM wk)),
-wt AS (SELECT {KEYS}, ts, target_value, CAST(cutoff - ts AS INTEGER) AS lag FROM wins WHERE split = 'train'),
+wt AS (SELECT {KEYS}, ts, target_value, CAST({cal.age('cutoff', 'ts')} AS INTEGER) AS lag FROM wins WHERE split = 'train'),
 wf AS (SELECT {KEYS}, max(lag) AS n1 FROM wt GROUP BY ALL),
 wx AS (SELECT wt.*, wf.n1, {", ".join("ww." + c for c in ws + cs)}
        FROM wt JOIN wf USING (item_id, "window", cutoff) JOIN ww USING (lag)),
@@ -234,22 +283,20 @@ hwin AS ({_long_sql("hw_j", "HoltWinters", {0.1: f"mean + ({fc.Z[0.1]}) * spread
                                             0.9: f"mean + ({fc.Z[0.9]}) * spread"})})"""
 
 
-HW_SQL = _hw_sql()
-
-
-def forecasts_sql(which=("npts", "ets", "ar", "snaive", "holt", "hwin")) -> str:
-    blocks = {"npts": NPTS_SQL, "ets": ETS_SQL, "ar": AR_SQL, "snaive": SNAIVE_SQL, "holt": HOLT_SQL, "hwin": HW_SQL}
-    body = ",".join(blocks[w] for w in which)
+def forecasts_sql(which=("npts", "ets", "ar", "snaive", "holt", "hwin"), cal: Calendar = DAY) -> str:
+    blocks = {"npts": npts_sql, "ets": ets_sql, "ar": ar_sql, "snaive": snaive_sql, "holt": holt_sql, "hwin": hw_sql}
+    body = ",".join(blocks[w](cal) for w in which)
     union = " UNION ALL ".join(f"SELECT * FROM {w}" for w in which)
-    return f"WITH RECURSIVE wins AS ({WINDOWS_SQL}), fut AS ({FUTURE_SQL}), {body} {union}"
+    return f"WITH RECURSIVE wins AS ({windows_sql(cal)}), fut AS ({future_sql(cal)}), {body} {union}"
 
 
-METRICS_SQL = f"""
-WITH fcs AS ({forecasts_sql()}),
-wins AS ({WINDOWS_SQL}),
+def metrics_sql(cal: Calendar = DAY, by: str = "") -> str:
+    return f"""
+WITH fcs AS ({forecasts_sql(cal=cal)}),
+wins AS ({windows_sql(cal)}),
 act AS (SELECT item_id, "window", ts, target_value AS y FROM wins WHERE split = 'test' AND NOT was_filled),
 f AS (SELECT fcs.*, act.y FROM fcs JOIN act USING (item_id, "window", ts)),
-pt AS (SELECT algorithm, "window",
+pt AS (SELECT algorithm, "window"{by},
           sqrt(avg(pow(CASE WHEN quantile = 0.5 THEN y - value END, 2))) AS RMSE,
           avg(CASE WHEN quantile = 0.5 AND y <> 0 THEN abs(y - value) / abs(y) END) AS MAPE,
           sum(abs(CASE WHEN quantile = 0.5 THEN y - value END)) / nullif(sum(CASE WHEN quantile = 0.5 THEN abs(y) END), 0) AS WAPE,
@@ -257,12 +304,14 @@ pt AS (SELECT algorithm, "window",
        FROM f GROUP BY ALL),
 trn AS (SELECT item_id, "window", ts, target_value FROM wins WHERE split = 'train'),
 sc AS (SELECT a.item_id, a."window", avg(abs(a.target_value - b.target_value)) AS scale
-       FROM trn a JOIN trn b ON a.item_id = b.item_id AND a."window" = b."window" AND a.ts = b.ts + {M} GROUP BY ALL),
+       FROM trn a JOIN trn b ON a.item_id = b.item_id AND a."window" = b."window" AND a.ts = {cal.plus('b.ts', str(cal.m))} GROUP BY ALL),
 pi AS (SELECT algorithm, "window", item_id, avg(abs(y - value)) AS mae FROM f WHERE quantile = 0.5 GROUP BY ALL),
-ms AS (SELECT algorithm, "window", avg(CASE WHEN scale = 0 THEN NULL ELSE mae / scale END) AS MASE
+ms AS (SELECT algorithm, "window"{by}, avg(CASE WHEN scale = 0 THEN NULL ELSE mae / scale END) AS MASE
        FROM pi JOIN sc USING (item_id, "window") GROUP BY ALL)
-SELECT pt.*, (wQL_p10 + wQL_p50 + wQL_p90) / 3 AS avg_wQL, ms.MASE FROM pt LEFT JOIN ms USING (algorithm, "window")"""
+SELECT pt.*, (wQL_p10 + wQL_p50 + wQL_p90) / 3 AS avg_wQL, ms.MASE FROM pt LEFT JOIN ms USING (algorithm, "window"{by})"""
+
 
+METRICS_SQL = metrics_sql()
 MET_COLS = ", ".join(fc.METRICS)
 SUMMARY_SQL = f"""
 WITH m AS ({METRICS_SQL})
@@ -473,6 +522,26 @@ def q_evaluate(spark, sf):
     return metrics(spark, sf)
 
 
+def _register_calendar(cal):
+    """Each model and the evaluation of all of them, by weeks or months."""
+    name = {"week": "weekly", "month": "monthly"}[cal.freq]
+    for key, query in {"snaive": "ts5_seasonal_naive", "npts": "ts6_npts", "ets": "ts7_ets", "holt": "ts7_holt", "hwin": "ts7_holt_winters", "ar": "ts8_ar"}.items():
+        register(f"{query}_{name}", forecasts_sql((key,), cal))(lambda spark, sf, key=key: model(key, windows(spark, sf, cal), cal))
+    register(f"ts10_ts11_evaluate_{name}", metrics_sql(cal))(lambda spark, sf: metrics(spark, sf, cal))
+
+
+_register_calendar(WEEK)
+_register_calendar(MONTH)
+
+
+@register("ts13_auto_select_items", f"""
+WITH m AS ({metrics_sql(WEEK, ", item_id")}),
+a AS (SELECT item_id, algorithm, avg(avg_wQL) AS avg_wQL FROM m GROUP BY ALL)
+SELECT item_id, first(algorithm ORDER BY avg_wQL IS NULL, avg_wQL, algorithm) AS algorithm, min(avg_wQL) AS avg_wQL, count(avg_wQL) AS candidates FROM a GROUP BY 1""")
+def q_select_items(spark, sf):
+    return fc.auto_select_items(metrics(spark, sf, WEEK, by=("item_id",)))
+
+
 @register("ts12_summarise_windows", SUMMARY_SQL)
 def q_summary(spark, sf):
     return fc.summarise_windows(metrics(spark, sf))
@@ -496,9 +565,6 @@ def q_metrics_table(spark, sf):
     return fc.metrics_table(fc.summarise_windows(metrics(spark, sf)))
 
 
-FINAL_SQL = NPTS_SQL.replace("npts_j", "npts_jf")
-
-
 def _final(spark, sf):
     return fc.create_forecast(filled(spark, sf), H, "NPTS", decay=DECAY)
 
@@ -506,7 +572,7 @@ def _final(spark, sf):
 _FINAL_SQL = f"""
 WITH f AS ({FILLED_SQL}),
 wins AS (SELECT f.*, 0 AS "window", (SELECT max(ts) FROM f) AS cutoff, 'train' AS split FROM f),
-fut AS ({FUTURE_SQL}), {NPTS_SQL}
+fut AS ({FUTURE_SQL}), {npts_sql()}
 SELECT item_id, cutoff, step, ts, algorithm, quantile, value FROM npts"""
 
 

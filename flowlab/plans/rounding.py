@@ -86,7 +86,10 @@ ROUND_COLS = {
     'str8_resample_stream': ['value'],
     'str9_enrich_stream': ['value'],
     'ts10_ts11_evaluate': ['RMSE', 'MAPE', 'WAPE', 'wQL_p10', 'wQL_p50', 'wQL_p90', 'avg_wQL', 'MASE'],
+    'ts10_ts11_evaluate_weekly': ['RMSE', 'MAPE', 'WAPE', 'wQL_p10', 'wQL_p50', 'wQL_p90', 'avg_wQL', 'MASE'],
+    'ts10_ts11_evaluate_monthly': ['RMSE', 'MAPE', 'WAPE', 'wQL_p10', 'wQL_p50', 'wQL_p90', 'avg_wQL', 'MASE'],
     'ts12_summarise_windows': ['RMSE', 'MAPE', 'WAPE', 'MASE', 'wQL_p10', 'wQL_p50', 'wQL_p90', 'avg_wQL'],
+    'ts13_auto_select_items': ['avg_wQL'],
     'ts13_auto_select': ['avg_wQL'],
     'ts14_metrics_table': ['AR', 'ETS', 'Holt', 'HoltWinters', 'NPTS', 'SeasonalNaive'],
     'ts15_create_forecast': ['quantile', 'value'],
@@ -101,12 +104,24 @@ ROUND_COLS = {
     'ts4_backtest_windows_monthly': ['target_value'],
     'ts4_backtest_windows_weekly': ['target_value'],
     'ts5_seasonal_naive': ['quantile', 'value'],
+    'ts5_seasonal_naive_weekly': ['quantile', 'value'],
+    'ts5_seasonal_naive_monthly': ['quantile', 'value'],
     'ts6_npts': ['quantile', 'value'],
+    'ts6_npts_weekly': ['quantile', 'value'],
+    'ts6_npts_monthly': ['quantile', 'value'],
     'ts6_npts_seasonal': ['quantile', 'value'],
     'ts7_ets': ['quantile', 'value'],
+    'ts7_ets_weekly': ['quantile', 'value'],
+    'ts7_ets_monthly': ['quantile', 'value'],
     'ts7_holt': ['quantile', 'value'],
+    'ts7_holt_weekly': ['quantile', 'value'],
+    'ts7_holt_monthly': ['quantile', 'value'],
     'ts7_holt_winters': ['quantile', 'value'],
+    'ts7_holt_winters_weekly': ['quantile', 'value'],
+    'ts7_holt_winters_monthly': ['quantile', 'value'],
     'ts8_ar': ['quantile', 'value'],
+    'ts8_ar_weekly': ['quantile', 'value'],
+    'ts8_ar_monthly': ['quantile', 'value'],
     'ts9_harmonic': ['quantile', 'value'],
     'txt2_transcript_words': ['start_time', 'end_time', 'confidence', 'pause'],
     'txt4_flatten_entities': ['Score'],
