@@ -1,8 +1,8 @@
 """Language identification, words first: a known word scores by its log frequency in each
 language; an unseen one falls back to the longest of its character n-grams that are known.
 
-The model is fitted on a bounded sample of the labelled rows (``LABEL_ROWS`` different ones of
-each language, by a hash of id and text), so its size has a bound too; every text is scored whole, from the scan,
+The model is fitted on a bounded sample of the labelled rows (about ``LABEL_ROWS`` different ones
+of each language, by a hash of id and text), so its size has a bound too; every text is scored whole, from the scan,
 without a shuffle."""
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlab.llm import model_store
 from flowlab.llm.chunk_ids import ChunkTable, sums, words_of
 from flowlab.llm.common import text_slices
 
-#: Different labelled rows of each language in the sample that the model is fitted on.
+#: Different labelled rows of each language expected in the sample that the model is fitted on.
 LABEL_ROWS = 1000
 #: Longest character n-gram.
 NGRAM = 5
@@ -29,15 +30,13 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def label_sample(rows: DataFrame, label_rows: int) -> DataFrame:
-    """Of rows (id, label, text) with a label and a text: the ``label_rows`` different ones of each
-    label with the least hashes of id and text; all of them if there are fewer. Only hashes are
-    ranked; the hash up to which a label's rows are taken is one row for each label, as the model
-    has a column for each, and so broadcast."""
+    """Of rows (id, label, text) with a label and a text: about ``label_rows`` different ones of each
+    label, drawn by a hash of id and text; all of them if there are fewer. What is drawn of a label
+    is one row for each label, as the model has a column for each, and so broadcast."""
     hashed = rows.withColumn("__hash", F.xxhash64("id", "text", F.lit("sample")))
-    by_hash = Window.partitionBy("label").orderBy("__hash")
-    least = hashed.select("label", "__hash").distinct().withColumn("__n", F.row_number().over(by_hash)).where(F.col("__n") <= label_rows) \
-        .groupBy(F.col("label").alias("__label")).agg(F.max("__hash").alias("__last"))
-    return hashed.join(F.broadcast(least), (F.col("label") == F.col("__label")) & (F.col("__hash") <= F.col("__last"))) \
+    share = hashed.groupBy(F.col("label").alias("__label")).agg((label_rows / F.approx_count_distinct("__hash")).alias("__share"))
+    drawn = F.pmod(F.col("__hash"), F.lit(1 << 32)) / float(1 << 32)
+    return hashed.join(F.broadcast(share), (F.col("label") == F.col("__label")) & (drawn < F.col("__share"))) \
         .groupBy("label", "__hash").agg(F.first("text").alias("text")).select("label", "text")
 
 
@@ -153,12 +152,12 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
     from pyspark.sql import types as T
 
     docs = docs.drop(lang_out, score_out)
-    shared = docs.sparkSession.sparkContext.broadcast(model)    # bounded by the sample
+    place = model_store.put(docs.sparkSession, "languages", model)
     schema = T.StructType(docs.schema.fields + [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
     at = docs.columns.index(text_col)
 
     def run(batches):
-        m = shared.value
+        m = model_store.get(place)
         table = ChunkTable(m.chunks, len(m.langs) + 1)
         for b in batches:
             langs, scores = [], []

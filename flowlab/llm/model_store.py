@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import json
 import os
+import pickle
 import tempfile
 import uuid
 from urllib.parse import urlparse
@@ -81,3 +82,22 @@ def load(folder: str, name: str, mapped: bool = True) -> dict[str, np.ndarray]:
         d = np.dtype(kind)
         out[k] = whole[begin + at:begin + at + n * d.itemsize].view(d)
     return out
+
+
+_HELD: dict[str, object] = {}
+
+
+def put(spark: SparkSession, kind: str, model) -> str:
+    """Write a fitted model of bounded size to the shared folder; its place is what tasks carry."""
+    folder = new_folder(spark, kind)
+    save(folder, "model", {"pickled": np.frombuffer(pickle.dumps(model), np.uint8)})
+    return folder
+
+
+def get(folder: str):
+    """The model of :func:`put`. A worker holds one at a time, so models that lazy results still
+    refer to don't pile up in workers as broadcasts would."""
+    if folder not in _HELD:
+        _HELD.clear()
+        _HELD[folder] = pickle.loads(load(folder, "model", mapped=False)["pickled"].tobytes())
+    return _HELD[folder]

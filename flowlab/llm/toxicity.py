@@ -20,15 +20,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlab.llm import model_store
 from flowlab.llm.chunk_ids import ChunkTable, words_of
 from flowlab.llm.common import text_slices
 from flowlab.session import cut_lineage
 
-#: Labelled ids of either class in the sample: two thirds for the weights, one third for calibration.
+#: Labelled ids of either class expected in the sample: two thirds for the weights, one third for calibration.
 CLASS_ROWS = 6_000
 #: Strength of the Dirichlet prior, as a share of the texts that the weights are learned from.
 PRIOR_SHARE = 0.06
@@ -169,16 +170,17 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, class_rows: int) -> DataFrame:
-    """(__id, __toxic, __text) of ``class_rows`` labelled ids of either class at most."""
+    """(__id, __toxic, __text) of about ``class_rows`` labelled ids of either class, or all of them."""
     known = labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull()) \
         .groupBy(labels[id_col].cast("long").alias("__id")).agg(F.max(labels[label_col].cast("int")).alias("__toxic"))
     texts = docs.where(docs[text_col].isNotNull()).select(docs[id_col].cast("long").alias("__id"), docs[text_col].cast("string").alias("__text"))
     known = known.join(texts.select("__id").distinct(), "__id", "left_semi")                # a label may have no text here
-    by_hash = Window.partitionBy("__toxic").orderBy(F.xxhash64("__id", F.lit("sample")), "__id")
-    sample = known.withColumn("__n", F.row_number().over(by_hash)).where(F.col("__n") <= class_rows).drop("__n")
+    share = {r["__toxic"]: min(1.0, class_rows / r["count"]) for r in known.groupBy("__toxic").count().collect()}
+    drawn = F.pmod(F.xxhash64("__id", F.lit("sample")), F.lit(1 << 32)) / float(1 << 32)
+    sample = known.where(drawn < F.when(F.col("__toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0)))
     # an id may come with very many rows: one text of each
     return texts.join(F.broadcast(sample), "__id").groupBy("__id", "__toxic") \
-        .agg(F.min_by("__text", F.struct(F.xxhash64("__text"), "__text")).alias("__text"))      # 2 * class_rows narrow rows are broadcast
+        .agg(F.min_by("__text", F.struct(F.xxhash64("__text"), "__text")).alias("__text"))      # about 2 * class_rows narrow rows are broadcast
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -197,10 +199,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def scan(segments: bool):
         """(toxic, tokens, their weight, segment scores) of the other rows."""
-        shared = spark.sparkContext.broadcast(model)
+        place = model_store.put(spark, "toxicity", model)
 
         def run(batches):
-            table = ChunkTable(shared.value.chunks, 1)
+            table = ChunkTable(model_store.get(place).chunks, 1)
             for b in batches:
                 out = []
                 for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -209,9 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.float64())))],
                                                  names=["toxic", "n", "weight", "segments"])
 
-        got = rows.where(part == 0).select("__toxic", "__text").mapInArrow(run, "toxic int, n int, weight double, segments array<double>").collect()
-        shared.unpersist()
-        return got
+        return rows.where(part == 0).select("__toxic", "__text").mapInArrow(run, "toxic int, n int, weight double, segments array<double>").collect()
 
     clean = [r for r in scan(False) if not r.toxic]
     if clean:
@@ -235,14 +235,14 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
     texts have no passage and the score of that; repeated rows are scored alike. A column that has the name of an output is
     replaced. Empty in, empty out."""
     docs = docs.drop(score_out, passages_out)
-    shared = docs.sparkSession.sparkContext.broadcast(model)   # bounded by the sample
+    place = model_store.put(docs.sparkSession, "toxicity", model)
     passage = T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("evidence", T.DoubleType())]))
     schema = T.StructType(docs.schema.fields + [T.StructField(score_out, T.DoubleType()), T.StructField(passages_out, passage)])
     at = docs.columns.index(text_col)
     arrow = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("evidence", pa.float64())]))
 
     def run(batches):
-        m = shared.value
+        m = model_store.get(place)
         table = ChunkTable(m.chunks, 1)
         for b in batches:
             scores, passages = [], []

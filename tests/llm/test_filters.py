@@ -109,7 +109,8 @@ def test_every_language_and_class_is_sampled(spark, monkeypatch):
     rows = [(i, "en", f"text {i}") for i in range(3000)] + [(i, "xx", f"rare {i}") for i in range(9000, 9012)] + [(None, "de", "same")] * 2000 + [(7, "fr", "x")] * 2000
     df = spark.createDataFrame(rows, "id long, label string, text string")
     got = [r.label for r in label_sample(df, 50).collect()]
-    assert {x: got.count(x) for x in set(got)} == {"en": 50, "xx": 12, "de": 1, "fr": 1}
+    n = {x: got.count(x) for x in set(got)}
+    assert 25 <= n.pop("en") <= 80 and n == {"xx": 12, "de": 1, "fr": 1}
     model = fit_language(spark.createDataFrame([(i, t, lang) for i, lang, t in rows], "doc_id long, text string, lang string"), label_rows=50)
     assert model.langs == ["de", "en", "fr", "xx"]
 
