@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Numbers (labels x dimensions) of a model that may lie beside every vector.
+from ..session import cut_lineage
+
+#: Numbers (labels x dimensions) of a block of the model, which lies beside every vector.
 MODEL_NUMBERS = 4_000_000
 
 
@@ -19,32 +21,56 @@ def train_labels(vectors: DataFrame, vec_col: str = "embedding", label_col: str
         .select(label_col, F.transform("__c", lambda s: s["v"]).alias("centroid"))
 
 
+def label_blocks(model: DataFrame, label_col: str = "label", block_labels: int | None = None) -> list[DataFrame]:
+    """The model's centroids in blocks of ``block_labels`` (by default what ``MODEL_NUMBERS`` holds),
+    each as one row with an array of (Name, c): as many frames as the model has blocks."""
+    from .ranking import dense_index
+
+    n, dims = model.agg(F.count(F.lit(1)), F.max(F.size("centroid"))).first()          # two scalars
+    size = block_labels or max(1, MODEL_NUMBERS // max(dims or 1, 1))
+    named = model.select(F.col(label_col).alias("Name"), F.col("centroid").alias("c"))
+    if n > size:
+        named = cut_lineage(named.join(dense_index(named, "Name", "__i"), "Name"))
+    parts = [named.where(F.expr(f"__i div {size}") == b) if n > size else named for b in range(max(1, -(-n // size)))]
+    return [p.agg(F.array_sort(F.collect_list(F.struct("Name", "c"))).alias("__m")) for p in parts]
+
+
 def detect_labels(model: DataFrame, vectors: DataFrame, min_confidence: float = 60.0, id_col: str = "vec_id",
-                  vec_col: str = "embedding", label_col: str = "label", temperature: float = 0.01) -> DataFrame:
+                  vec_col: str = "embedding", label_col: str = "label", temperature: float = 0.01,
+                  block_labels: int | None = None) -> DataFrame:
     """IMG2. Ranked labels per vector: confidence = 100 x softmax(-distance / temperature)
     over the labels; labels under ``min_confidence`` are not reported (a vector may get none).
 
-    The model (one centroid per label) becomes one row with an array of centroids, laid beside
-    every vector, so scoring is a per-row map; its size, #labels x dims, is checked against
-    ``MODEL_NUMBERS`` first."""
-    size = model.agg(F.sum(F.size("centroid"))).first()[0] or 0          # one scalar
-    if size > MODEL_NUMBERS:
-        raise ValueError(f"the model holds {size} numbers, more than {MODEL_NUMBERS}: score it in blocks of labels")
-    row = model.agg(F.array_sort(F.collect_list(F.struct(F.col(label_col).alias("Name"), F.col("centroid").alias("c")))).alias("__m"))
-    vec = F.col(vec_col)
-    dists = F.transform("__m", lambda r: F.struct(r["Name"].alias("Name"), F.sqrt(F.aggregate(
-        F.zip_with(vec, r["c"], lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)), F.lit(0.0), lambda acc, v: acc + v)).alias("d")))
-    x = vectors.withColumn("__m", row.scalar()).select(id_col, label_col, dists.alias("__d"))
-    mind = F.array_min(F.transform("__d", lambda s: s["d"]))
-    ex = F.transform("__d", lambda s: F.struct(s["Name"].alias("Name"),
-                                               F.exp(-(s["d"] - mind) / temperature).alias("e")))
-    x = x.withColumn("__e", ex)
-    tot = F.aggregate(F.transform("__e", lambda s: s["e"]), F.lit(0.0), lambda a, v: a + v)
-    conf = F.transform("__e", lambda s: F.struct(s["Name"].alias("Name"), (s["e"] * 100.0 / tot).alias("Confidence")))
+    The model is dealt in blocks of centroids (:func:`label_blocks`), each one row laid beside
+    every vector, so scoring is a per-row map. A block gives a vector its least distance, its sum
+    of exponentials relative to that, and the labels that reach the confidence within the block
+    (they need no less within the whole model); the blocks of a vector are then merged by these."""
+    rows = vectors.select(F.monotonically_increasing_id().alias("__row"), id_col, label_col, F.col(vec_col).alias("__v"))
+    parts = None
+    for block in label_blocks(model, label_col, block_labels):
+        dists = F.transform("__m", lambda r: F.struct(r["Name"].alias("Name"), F.sqrt(F.aggregate(
+            F.zip_with("__v", r["c"], lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)), F.lit(0.0), lambda acc, v: acc + v)).alias("d")))
+        x = rows.withColumn("__m", block.scalar()).select("__row", id_col, label_col, dists.alias("__d"))
+        x = x.withColumn("__near", F.array_min(F.transform("__d", lambda s: s["d"])))
+        e = F.transform("__d", lambda s: F.exp(-(s["d"] - F.col("__near")) / temperature))
+        x = x.withColumn("__sum", F.aggregate(e, F.lit(0.0), lambda a, v: a + v))
+        likely = F.filter("__d", lambda s: F.exp(-(s["d"] - F.col("__near")) / temperature) * 100.0 / F.col("__sum") >= min_confidence)
+        x = x.select("__row", id_col, label_col, "__near", "__sum", likely.alias("__likely"))
+        parts = x if parts is None else parts.unionByName(x)
+        single = parts is x
+    if single:
+        merged = parts.withColumnsRenamed({"__near": "__least", "__sum": "__total"})
+    else:
+        g = parts.groupBy("__row").agg(F.first(id_col).alias(id_col), F.first(label_col).alias(label_col), F.min("__near").alias("__least"),
+                                       F.collect_list(F.struct("__near", "__sum", "__likely")).alias("__blocks"))      # one for each block
+        total = F.aggregate("__blocks", F.lit(0.0), lambda acc, b: acc + b["__sum"] * F.exp(-(b["__near"] - F.col("__least")) / temperature))
+        merged = g.select(id_col, label_col, "__least", total.alias("__total"), F.flatten(F.transform("__blocks", lambda b: b["__likely"])).alias("__likely"))
+    conf = F.transform("__likely", lambda s: F.struct(s["Name"].alias("Name"), (F.exp(-(s["d"] - F.col("__least")) / temperature) * 100.0 / F.col("__total")).alias("Confidence")))
     kept = F.filter(conf, lambda s: s["Confidence"] >= min_confidence)
-    ranked = F.reverse(F.array_sort(F.transform(kept, lambda s: F.struct(s["Confidence"], -s["Name"], s["Name"]))))
+    # most confident first; equal ones by name, the smaller first
+    ranked = F.array_sort(F.transform(kept, lambda s: F.struct((-s["Confidence"]).alias("n"), s["Name"].alias("Name"), s["Confidence"].alias("Confidence"))))
     labels = F.transform(ranked, lambda s: F.struct(s["Name"].alias("Name"), s["Confidence"].alias("Confidence")))
-    return x.select(id_col, label_col, labels.alias("CustomLabels"))
+    return merged.select(id_col, label_col, labels.alias("CustomLabels"))
 
 
 def top_label(detections: DataFrame, label_col: str = "label") -> DataFrame:

@@ -88,13 +88,14 @@ def q_external(spark, sf):
                                     "item_id string, `timestamp` timestamp, target_value double", sep="\t")
 
 
-@register("src11_latest_output", with_views("SELECT * FROM transactions_raw WHERE category = 'MACHINERY'", "transactions_raw"))
+@register("src11_latest_output", with_views("SELECT * REPLACE (amt + 1 AS amt) FROM transactions_raw", "transactions_raw"))
 def q_latest(spark, sf):
+    """Two runs over all transactions, many files each: the later one is read."""
     base = rd.scratch_path(spark, "runs")
     raw = transactions_raw(spark, sf)
-    raw.filter(F.col("category") == "BUILDING").coalesce(1).write.option("header", True).csv(base + "/run1")
-    raw.filter(F.col("category") == "MACHINERY").coalesce(1).write.option("header", True).csv(base + "/run2")
-    return rd.latest_output(spark, base, "csv", RAW_DDL, header="true", recursiveFileLookup="true")
+    raw.write.option("header", True).csv(base + "/run1")
+    raw.withColumn("amt", F.col("amt") + 1).write.option("header", True).csv(base + "/run2")
+    return rd.latest_output(spark, base, "csv", RAW_DDL, whole_run=True, header="true", recursiveFileLookup="true")
 
 
 @register("snk2_parquet_round_trip", RAW_SQL)

@@ -319,9 +319,8 @@ def q_train_score(spark, sf):
 
 @register("frd13_variable_importance")
 def q_importance(spark, sf):
-    spec = [v for v in fr.CARD_VARIABLES if v.name in prepared(spark, sf)["train"].columns]
-    model = _model(spark, sf)
-    return spark.createDataFrame(fr.variable_importance(model, spec, buckets=64), "variable string, importance double")
+    """The labelled events of the training period, with each variable permuted."""
+    return fr.variable_importance(_model(spark, sf), prepared(spark, sf)["train"])
 
 
 @register("frd14_compare_versions")

@@ -21,7 +21,7 @@ ROUND_COLS = {
     'frd11_confusion_at': ['threshold', 'TPR', 'FPR', 'precision', 'alerts_per_100k'],
     'frd12_auc': ['auc'],
     'frd12_roc_curve': ['threshold', 'TPR', 'FPR'],
-    'frd13_variable_importance': ['importance'],
+    'frd13_variable_importance': ['auc', 'importance'],
     'frd14_compare_versions': ['auc'],
     'frd1_prepare_test_sample': ['amt'],
     'frd1_prepare_train': ['amt'],

@@ -54,13 +54,16 @@ def read_csv_inferred(spark: SparkSession, paths, sep: str = ",") -> DataFrame:
 
 
 def read_csv_matching(spark: SparkSession, folder: str, schema, suffix: str = ".csv",
-                      name_regex: str | None = None) -> DataFrame:
-    """SRC5. Files picked by suffix; with ``name_regex`` only files whose name matches are kept
-    (checked on the file name metadata, so no listing on the driver)."""
+                      name_regex: str | None = None, others: str = "raise") -> DataFrame:
+    """SRC5. Files picked by suffix, whose names must match ``name_regex``: a row of any other file
+    fails the read with the file's name (``others="skip"`` leaves such files out instead). Checked
+    on the file name metadata as rows are read, so nothing is listed on the driver."""
     df = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", f"*{suffix}")
           .option("recursiveFileLookup", True).csv(folder))
     if name_regex:
-        df = df.filter(F.col("_metadata.file_name").rlike(name_regex))
+        name = F.col("_metadata.file_name")
+        unexpected = F.raise_error(F.concat(F.lit(f"unexpected file name, not like {name_regex}: "), name)).cast("boolean")
+        df = df.filter(F.when(name.rlike(name_regex), F.lit(True)).otherwise(unexpected if others == "raise" else F.lit(False)))
     return df
 
 
@@ -119,9 +122,9 @@ def create_external_table(spark: SparkSession, name: str, location: str, schema,
     return spark.sql(f"SELECT count(*) AS n FROM `{name}`")
 
 
-def latest_output(spark: SparkSession, folder: str, fmt: str = "csv", schema=None, **options) -> DataFrame:
-    """SRC11. Rows of the newest file under a folder (by modification time, then path). The
-    newest path is an aggregate over the files' names and times (their content is not read);
+def latest_output(spark: SparkSession, folder: str, fmt: str = "csv", schema=None, whole_run: bool = False, **options) -> DataFrame:
+    """SRC11. Rows of the newest file under a folder (by modification time, then path), or with
+    ``whole_run`` of all files in that file's folder, as a run writes many. The newest path is an aggregate over the files' names and times (their content is not read);
     then that one path is read. An empty folder raises, as any missing input does."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", options.get("recursiveFileLookup", "true")) \
         .load(folder).select("path", "modificationTime").where(~F.col("path").rlike("/[._][^/]*$"))
@@ -129,4 +132,4 @@ def latest_output(spark: SparkSession, folder: str, fmt: str = "csv", schema=Non
     r = spark.read.format(fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)
-    return r.load(newest)
+    return r.load(newest.rsplit("/", 1)[0] if whole_run and newest else newest)
