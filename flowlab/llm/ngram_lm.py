@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,6 +120,11 @@ def _from_planes(b: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    top = int(counts.max()) if len(counts) else 0
+    return counts.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.int64)
+
+
 def _quantise(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One byte for each value and the 256 values they stand for: equally many in every bin."""
     if not len(logs):
@@ -275,8 +281,7 @@ def _build_words(folder: str):
         h, n = h[order], n[order]
         bits = table.column("bits")[0].as_py()
         arrays = {f"keys.{p}": a for p, a in EliasFano.of(h - (np.uint64(s) << np.uint64(64 - bits) if bits else np.uint64(0))).arrays.items()}
-        small = np.uint32 if not len(n) or n.max() < 1 << 32 else np.int64
-        model_store.save(folder, f"1-{s}", arrays | {"count": n.astype(small)})
+        model_store.save(folder, f"1-{s}", arrays | {"count": _narrow(n)})
         return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([len(h)], pa.int64())})
     return run
 
@@ -295,7 +300,8 @@ def _merge_counts(folder: str, level: int, min_count: int):
         keys, counts = _sum_by_key(np.concatenate([keys, *(x for x, _ in held)]), np.concatenate([counts, *(x for _, x in held)]))
         once, twice = int((counts == 1).sum()), int((counts == 2).sum())
         keep = counts >= min_count
-        model_store.save(folder, f"{level + 1}-{s}", {"merged": keys[keep], "count": counts[keep]})
+        packed = zstandard.ZstdCompressor(level=1).compress(_planes(np.diff(keys[keep], prepend=np.uint64(0))))
+        model_store.save(folder, f"{level + 1}-{s}", {"merged": np.frombuffer(packed, np.uint8), "count": _narrow(counts[keep])})
         return pa.table({"shard": pa.array([s], pa.int32()), "n": pa.array([int(keep.sum())], pa.int64()), "once": pa.array([once], pa.int64()), "twice": pa.array([twice], pa.int64())})
     return run
 
@@ -306,7 +312,8 @@ def _build_level(spec, level: int, stats):
         merged = model_store.load(trie.folder, f"{level + 1}-{s}", mapped=False)
         if "merged" not in merged:                               # built by an earlier attempt
             return
-        keys, counts = merged["merged"], merged["count"]
+        keys = np.cumsum(_from_planes(zstandard.ZstdDecompressor().decompress(merged["merged"].tobytes(), max_output_size=1 << 40), np.uint64), dtype=np.uint64)
+        counts = merged["count"].astype(np.int64)
         first = trie.starts[level - 1]
         begin = first[s]
         n_contexts = (first[s + 1] if s + 1 < trie.shards else stats["sizes"][level - 1]) - begin
@@ -328,7 +335,7 @@ def _build_level(spec, level: int, stats):
         lift = np.cumsum(last) - last
         arrays = {f"keys.{k}": a for k, a in EliasFano.of(ids.astype(np.uint64) + lift[context]).arrays.items()}
         arrays |= {f"pointers.{k}": a for k, a in EliasFano.of(pointers).arrays.items()}
-        model_store.save(trie.folder, f"{level + 1}-{s}", arrays | {"count": counts, "p": p_code, "p.book": p_book, "b": b_code, "b.book": b_book})
+        model_store.save(trie.folder, f"{level + 1}-{s}", arrays | {"count": _narrow(counts), "p": p_code, "p.book": p_book, "b": b_code, "b.book": b_book})
 
     def run(batches):
         trie = Trie(*spec)
