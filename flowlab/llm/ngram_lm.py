@@ -112,7 +112,7 @@ def _count_words(batches):
 
 
 def _planes(a: np.ndarray) -> bytes:
-    return a.view(np.uint8).reshape(len(a), -1).T.tobytes()
+    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
 
 
 def _from_planes(b: bytes, kind) -> np.ndarray:
