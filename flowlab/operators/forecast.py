@@ -726,9 +726,23 @@ MODELS = {
     "HoltWinters": lambda w, h, **kw: forecast_holt_winters(w, h, **kw),
     "SeasonalNaive": lambda w, h, **kw: forecast_seasonal_naive(w, h, **kw),
     "Harmonic": lambda w, h, **kw: forecast_harmonic(w, h, **kw),
+    "ARIMA": lambda w, h, **kw: _arima(w, h, **kw),
+    "HoltWintersGrid": lambda w, h, **kw: _grid(w, h, **kw),
 }
 
 
+def _arima(windows: DataFrame, horizon: int, **kw) -> DataFrame:
+    from .arima import forecast_arima
+
+    return forecast_arima(windows, horizon, **kw)
+
+
+def _grid(windows: DataFrame, horizon: int, **kw) -> DataFrame:
+    from .smoothing import forecast_grid
+
+    return forecast_grid(windows, horizon, **kw)
+
+
 def create_forecast(series: DataFrame, horizon: int, algorithm: str = "NPTS", end=None, freq: str = "day", **kw) -> DataFrame:
     """TS15. All items, ``horizon`` periods after the end of the series, p10/p50/p90 long rows."""
     return MODELS[algorithm](final_cutoff(series, end, freq), horizon, freq=freq, **kw).drop("window")
@@ -755,18 +769,81 @@ def forecast_map(long: DataFrame) -> DataFrame:
     return pts.groupBy(ITEM).agg(F.map_from_entries(F.collect_list(F.struct(name, F.col("pts")))).alias("Predictions"))
 
 
-def explain_impact(windows: DataFrame, horizon: int, calendar: DataFrame, country: str = "US") -> DataFrame:
-    """TS17. Impact of each attribute of the harmonic model: mean wQL without it minus with it,
-    scaled to -1..1 by the largest absolute change."""
-    base = evaluate(forecast_harmonic(windows, horizon, calendar=calendar, country=country), windows)
-    variants = {"holiday": forecast_harmonic(windows, horizon, calendar=None),
-                "yearly_seasonality": forecast_harmonic(windows, horizon, fourier=0, calendar=calendar,
-                                                        country=country)}
-    out = base.agg(F.avg("avg_wQL").alias("__v")).withColumn("attribute", F.lit("__base"))
-    for name, fc in variants.items():
-        e = evaluate(fc, windows).agg(F.avg("avg_wQL").alias("__v")).withColumn("attribute", F.lit(name))
-        out = out.unionByName(e)
-    allw = Window.partitionBy()            # <= 3 rows
-    d = out.withColumn("delta", F.col("__v") - F.max(F.when(F.col("attribute") == "__base", F.col("__v"))).over(allw))
-    d = d.filter(F.col("attribute") != "__base")
-    return d.select("attribute", "delta", F.try_divide(F.col("delta"), F.max(F.abs("delta")).over(allw)).alias("impact"))
+def _attributes(cols) -> dict[str, list[int]]:
+    """Columns of the design by the attribute they stand for."""
+    of = {"x_trend": "trend", "x_sy": "yearly_seasonality", "x_cy": "yearly_seasonality", "x_sw": "weekly_seasonality", "x_cw": "weekly_seasonality",
+          "x_sh": "daily_seasonality", "x_ch": "daily_seasonality", "x_hol": "holiday"}
+    out: dict[str, list[int]] = {}
+    for i, c in enumerate(cols):
+        for prefix, name in of.items():
+            if c.startswith(prefix):
+                out.setdefault(name, []).append(i)
+    return out
+
+
+def forecast_harmonic_subsets(windows: DataFrame, horizon: int, fourier: int = 2, calendar: DataFrame | None = None,
+                              country: str = "US", freq: str = "day") -> tuple[DataFrame, list[str]]:
+    """The harmonic model with every subset of its attributes (the intercept always stays), as
+    algorithms '0' to '2^n - 1' whose bits say which of the attributes are in, and their names.
+    All are solved from one table of sums of products for each item, by its submatrices."""
+    import numpy as np
+    import pandas as pd
+
+    train = windows.filter(F.col("split") == "train")
+    keys = [ITEM, "window", "cutoff"]
+    x, cols = _design(train, fourier, calendar, country, freq)
+    k, groups = len(cols), _attributes(cols)
+    names = list(groups)
+    sums = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"a_{i}_{j}") for i in range(k) for j in range(i, k)]
+    sums += [F.sum(F.col(cols[i]) * F.col(Y)).alias(f"b_{i}") for i in range(k)]
+    sums += [F.sum(F.col(Y) * F.col(Y)).alias("yy"), F.count(F.lit(1)).alias("n")]
+    schema = f"{ITEM} string, window int, cutoff {_moment(freq)}, subset int, beta array<double>, s2 double"
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for subset in range(1 << len(names)):
+            own = sorted([0] + [i for b, name in enumerate(names) if subset >> b & 1 for i in groups[name]])
+            sub = pd.DataFrame({f"a_{i}_{j}": pdf[f"a_{own[i]}_{own[j]}"] for i in range(len(own)) for j in range(i, len(own))}
+                               | {f"b_{i}": pdf[f"b_{c}"] for i, c in enumerate(own)} | {"yy": pdf["yy"], "n": pdf["n"]})
+            beta, s2 = _solve_all(sub, len(own))
+            full = np.zeros((len(pdf), k))
+            full[:, own] = beta
+            parts.append(pdf[keys].assign(subset=subset, beta=list(full), s2=s2))
+        return pd.concat(parts)
+
+    fit = x.groupBy(*keys).agg(*sums).mapInPandas(lambda it: (solve(p) for p in it if len(p)), schema)
+    fut, _ = _design(_future(train, horizon, freq), fourier, calendar, country, freq)
+    j = fut.join(fit, keys)
+    mean = sum((F.col(cols[i]) * F.col("beta")[i] for i in range(k)), F.lit(0.0))
+    arr = F.array(*[F.struct(F.lit(q).alias("quantile"), (mean + F.lit(Z[q]) * F.sqrt("s2")).alias("value")) for q in QUANTILES])
+    return j.select(*keys, "step", TS, F.col("subset").cast("string").alias("algorithm"), F.inline(arr)), names
+
+
+def shapley(loss: dict[int, float], n: int) -> list[float]:
+    """Exact Shapley values of ``n`` players from the loss of every subset (by bits): the mean, over
+    all orders, of what each takes off the loss. They add up to the loss without any minus that
+    with all."""
+    out = []
+    for i in range(n):
+        rest = [s for s in range(1 << n) if not s >> i & 1]
+        out.append(sum(math.factorial(s.bit_count()) * math.factorial(n - s.bit_count() - 1) / math.factorial(n) * (loss[s] - loss[s | 1 << i]) for s in rest))
+    return out
+
+
+def explain_impact(windows: DataFrame, horizon: int, calendar: DataFrame | None = None, country: str = "US", freq: str = "day",
+                   m: int | None = None) -> DataFrame:
+    """TS17. (attribute, delta, impact): the exact Shapley value of every attribute of the harmonic
+    model (trend, yearly, weekly and daily season, holidays), as the part of the mean wQL that it
+    takes off; and that scaled to -1..1 by the largest absolute value. The deltas add up to the loss
+    of the intercept alone minus that of the whole model. The driver gets one number a subset."""
+    from ..session import cut_lineage
+
+    forecasts, names = forecast_harmonic_subsets(windows, horizon, calendar=calendar, country=country, freq=freq)
+    losses = cut_lineage(evaluate(forecasts, windows, m, freq=freq).groupBy("algorithm").agg(F.avg("avg_wQL").alias("loss")))
+    loss = {int(r.algorithm): r.loss for r in losses.collect()}       # 2^attributes rows
+    spark, schema = windows.sparkSession, "attribute string, delta double, impact double"
+    if len(loss) < 1 << len(names) or any(v is None for v in loss.values()):
+        return spark.createDataFrame([], schema)
+    values = shapley(loss, len(names))
+    top = max(map(abs, values), default=0.0)
+    return spark.createDataFrame([(a, v, v / top if top else None) for a, v in zip(names, values)], schema)

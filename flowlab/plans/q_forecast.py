@@ -511,6 +511,16 @@ def q_ar_p(spark, sf):
     return fc.forecast_ar_p(windows(spark, sf), H, p=3)
 
 
+@register("ts8_arima")
+def q_arima(spark, sf):
+    return fc.MODELS["ARIMA"](windows(spark, sf, WEEK), WEEK.horizon, freq="week")
+
+
+@register("ts7_holt_winters_grid")
+def q_grid(spark, sf):
+    return fc.MODELS["HoltWintersGrid"](windows(spark, sf), H, m=M)
+
+
 @register("ts9_harmonic")
 def q_harmonic(spark, sf):
     w = windows(spark, sf)
