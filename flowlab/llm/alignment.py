@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkIds, flattened, in_parts, remembered
+from flowlab.llm.chunk_ids import ChunkIds, flattened, in_parts, remembered, take_over
 from flowlab.llm.common import byte_slices
 from flowlab.llm.model_store import new_folder
 from flowlab.llm.sentence_pieces import MARK
@@ -156,6 +156,7 @@ def coder(byte_level_path: str, piece_path: str) -> _Coder:
     """One for each Python worker."""
     key = (byte_level_path, piece_path)
     if key not in _CODERS:
+        take_over()
         _CODERS[key] = _Coder(*key)
     return _CODERS[key]
 

@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 #: Bytes that one table of a Python worker remembers (chunks, what belongs to them, and the cost
 #: of an entry); beyond it, chunks seen least often are forgotten.
 CACHE_BYTES = 48 << 20
+#: The same for a table beside a fitted model.
+SMALL_BYTES = 24 << 20
 #: What an entry costs beside its bytes.
 ENTRY_BYTES = 150
 _REMEMBERED: list[dict] = []
@@ -28,6 +30,12 @@ def remembered(by_name: dict) -> dict:
     return by_name
 
 
+def take_over() -> None:
+    """Forget what other operators left in this worker, before a new encoder or table is built."""
+    for by_name in _REMEMBERED:
+        by_name.clear()
+
+
 def in_parts(chunks: list[bytes], encode, size: int = 4096, limit: int = 1 << 20):
     """``encode`` (list of chunks -> list of id lists) over parts of the chunks of about ``limit``
     bytes, for :class:`ChunkIds`."""
@@ -166,8 +174,6 @@ class ChunkTable(_Known):
 
     def __init__(self, compute, width: int, max_bytes: int = CACHE_BYTES, dtype=np.float64):
         """``compute``: list of distinct byte chunks -> (n, width) array."""
-        for encoders in _REMEMBERED:
-            encoders.clear()
         self.compute, self.width, self.dtype = compute, width, dtype
         super().__init__(max_bytes)
 

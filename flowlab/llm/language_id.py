@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm import model_store
-from flowlab.llm.chunk_ids import ChunkTable, sums, words_of
+from flowlab.llm.chunk_ids import SMALL_BYTES, ChunkTable, sums, words_of
 from flowlab.llm.common import text_slices
 
 #: Different labelled rows of each language expected in the sample that the model is fitted on.
@@ -158,14 +158,12 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
 
     def run(batches):
         m = model_store.get(place)
-        table = ChunkTable(m.chunks, len(m.langs) + 1)
+        table = ChunkTable(m.chunks, len(m.langs) + 1, SMALL_BYTES)
         for b in batches:
-            langs, scores = [], []
-            for _, _, texts in text_slices(b.column(at)):
-                lang, score = m.predict(sums(*table.of(*words_of(texts))))
-                langs += lang
-                scores += score.tolist()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             names=[*b.schema.names, lang_out, score_out])
+            for lo, hi, texts in text_slices(b.column(at)):
+                langs, scores = m.predict(sums(*table.of(*words_of(texts))))
+                part = b.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                                                 names=[*b.schema.names, lang_out, score_out])
 
     return docs.mapInArrow(run, schema)

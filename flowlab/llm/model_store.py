@@ -14,6 +14,7 @@ from urllib.parse import urlparse
 import numpy as np
 from pyspark.sql import SparkSession
 
+from flowlab.llm.chunk_ids import remembered, take_over
 from flowlab.session import ensure_checkpoint_dir
 
 
@@ -84,7 +85,7 @@ def load(folder: str, name: str, mapped: bool = True) -> dict[str, np.ndarray]:
     return out
 
 
-_HELD: dict[str, object] = {}
+_HELD: dict[str, object] = remembered({})
 
 
 def put(spark: SparkSession, kind: str, model) -> str:
@@ -98,6 +99,6 @@ def get(folder: str):
     """The model of :func:`put`. A worker holds one at a time, so models that lazy results still
     refer to don't pile up in workers as broadcasts would."""
     if folder not in _HELD:
-        _HELD.clear()
+        take_over()
         _HELD[folder] = pickle.loads(load(folder, "model", mapped=False)["pickled"].tobytes())
     return _HELD[folder]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm import model_store
-from flowlab.llm.chunk_ids import ChunkTable, remembered, sums, words_of
+from flowlab.llm.chunk_ids import ChunkTable, remembered, sums, take_over, words_of
 from flowlab.llm.common import text_slices
 from flowlab.llm.elias_fano import EliasFano
 from flowlab.session import cut_lineage
@@ -234,13 +234,14 @@ def _reader(spec) -> tuple[Trie, ChunkTable]:
     """The trie built so far and the (id, count) of chunks: one of each for a Python worker."""
     folder, shards, starts, min_count = spec
     if (folder, len(starts)) not in _TRIES:
+        take_over()
         trie = Trie(*spec)
 
         def compute(new):
             ids, counts = trie.word_ids(_hash(new))
             return np.stack([ids, counts], 1)
 
-        table = ChunkTable(compute, 2, dtype=np.int64)           # forgets the worker's other encoders
+        table = ChunkTable(compute, 2, dtype=np.int64)
         _TRIES[folder, len(starts)] = (trie, table)
     return _TRIES[folder, len(starts)]
 

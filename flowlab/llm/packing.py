@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkIds, in_parts, remembered, words_of
+from flowlab.llm.chunk_ids import ChunkIds, in_parts, remembered, take_over, words_of
 from flowlab.llm.common import text_slices
 from flowlab.operators.ranking import rank_within_group
 from flowlab.session import cut_lineage
@@ -47,6 +47,7 @@ def word_encoder(path: str) -> ChunkIds:
     """Encoder of white-space separated chunks for a tokenizer file (``tokenizers`` library) that
     drops white space and marks the ends of words; one for each Python worker."""
     if path not in _ENCODERS:
+        take_over()
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.chunk_ids import ChunkIds, in_parts, remembered
+from flowlab.llm.chunk_ids import ChunkIds, in_parts, remembered, take_over
 from flowlab.llm.common import byte_slices
 
 MARK = "▁"
@@ -166,6 +166,7 @@ class PieceModel:
 def reader(path: str, kind: str) -> tuple[PieceModel, ChunkIds]:
     """One for each Python worker."""
     if (path, kind) not in _READERS:
+        take_over()
         m = PieceModel(path, kind)
         _READERS[path, kind] = (m, ChunkIds(lambda new: in_parts(new, m.encode_sorted, 1 << 15)))
     return _READERS[path, kind]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlab.llm import model_store
-from flowlab.llm.chunk_ids import ChunkTable, words_of
+from flowlab.llm.chunk_ids import SMALL_BYTES, ChunkTable, words_of
 from flowlab.llm.common import text_slices
 from flowlab.session import cut_lineage
 
@@ -202,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         place = model_store.put(spark, "toxicity", model)
 
         def run(batches):
-            table = ChunkTable(model_store.get(place).chunks, 1)
+            table = ChunkTable(model_store.get(place).chunks, 1, SMALL_BYTES)
             for b in batches:
                 out = []
                 for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -243,18 +243,18 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
 
     def run(batches):
         m = model_store.get(place)
-        table = ChunkTable(m.chunks, 1)
+        table = ChunkTable(m.chunks, 1, SMALL_BYTES)
         for b in batches:
-            scores, passages = [], []
-            for _, _, texts in text_slices(b.column(at)):
+            for lo, hi, texts in text_slices(b.column(at)):
                 rows, ends = table.of(*words_of(texts))
-                begin = 0
+                scores, passages, begin = [], [], 0
                 for end in ends.tolist():
                     w, begin = rows[begin:end, 0], end
                     segments = maximal_segments(w) if (w > 0).any() else []
                     evidence = m.evidence([s for s, _, _ in segments], len(w))
                     scores.append(m.probability(m.total(evidence)))
                     passages.append([{"begin": a, "end": z, "evidence": float(e)} for (_, a, z), e in zip(segments, evidence) if e > -np.log(SHOWN_BY_CHANCE)])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(passages, arrow)], names=[*b.schema.names, score_out, passages_out])
+                part = b.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array(passages, arrow)], names=[*b.schema.names, score_out, passages_out])
 
     return docs.mapInArrow(run, schema)
