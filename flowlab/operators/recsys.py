@@ -223,17 +223,15 @@ def factor_blocks(factors: DataFrame, size: int, prefix: str) -> DataFrame:
                          F.flatten(F.transform("rows", lambda r: r["f"])).alias(f"{prefix}_flat"))
 
 
-def block_softmax(users: DataFrame, items: DataFrame, k: int, user_block: int = 2048, item_block: int = 8192) -> DataFrame:
-    """(u, rank, i, score): for each user the ``k`` items of the highest probability, where a user's
-    probabilities, exp(user . item) over all items, sum to one. ``users`` and ``items`` hold (id,
-    features). Every block of users meets every block of items in one product; what leaves it is,
-    for each user, the running maximum and sum and its ``k`` best, never the scores themselves.
-    Maxima and sums of a user's blocks are then merged; equal scores go to the smaller id."""
+def _block_products(users: DataFrame, items: DataFrame, k: int, user_block: int, item_block: int) -> DataFrame:
+    """(u, top, blocks): every block of users meets every block of items in one product; what leaves
+    it is, for each user, the largest score, the sum of exponentials relative to it, and the ``k``
+    best items of the block, never the scores themselves."""
     import numpy as np
     import pyarrow as pa
 
     packed = cut_lineage(factor_blocks(items, item_block, "i"))
-    n_blocks = packed.count()
+    n_blocks = packed.agg(F.coalesce(F.max("i_block") + 1, F.lit(0))).first()[0]
     asked = factor_blocks(users, user_block, "u").withColumn("i_block", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
 
     def product(batches):
@@ -251,13 +249,31 @@ def block_softmax(users: DataFrame, items: DataFrame, k: int, user_block: int =
     parts = asked.join(packed, "i_block").select("u_ids", "u_flat", "i_ids", "i_flat") \
         .mapInArrow(product, "u int, top double, total double, best array<struct<i: int, s: double>>")
     # at most k items of each block: no user's catalogue is gathered
-    merged = cut_lineage(parts.groupBy("u").agg(F.max("top").alias("top"), F.collect_list(F.struct("top", "total", "best")).alias("blocks")))
+    return parts.groupBy("u").agg(F.max("top").alias("top"), F.collect_list(F.struct("top", "total", "best")).alias("blocks"))
+
+
+def _best_of_blocks(k: int):
+    flat = F.flatten(F.transform("blocks", lambda x: F.transform(x["best"], lambda y: F.struct((-y["s"]).alias("s"), y["i"].alias("i")))))
+    return F.slice(F.array_sort(flat), 1, k)
+
+
+def block_softmax(users: DataFrame, items: DataFrame, k: int, user_block: int = 2048, item_block: int = 8192) -> DataFrame:
+    """(u, rank, i, score): for each user the ``k`` items of the highest probability, where a user's
+    probabilities, exp(user . item) over all items, sum to one. ``users`` and ``items`` hold (id,
+    features). Maxima and sums of a user's blocks are merged; equal scores go to the smaller id."""
+    merged = _block_products(users, items, k, user_block, item_block)
     total = F.aggregate("blocks", F.lit(0.0), lambda acc, x: acc + x["total"] * F.exp(x["top"] - F.col("top")))
-    best = F.slice(F.array_sort(F.flatten(F.transform("blocks", lambda x: F.transform(x["best"], lambda y: F.struct((-y["s"]).alias("s"), y["i"].alias("i")))))), 1, k)
-    return merged.select("u", "top", total.alias("total"), F.posexplode(best).alias("pos", "x")) \
+    return merged.select("u", "top", total.alias("total"), F.posexplode(_best_of_blocks(k)).alias("pos", "x")) \
         .select("u", (F.col("pos") + 1).alias("rank"), F.col("x.i").alias("i"), (F.exp(-F.col("x.s") - F.col("top")) / F.col("total")).alias("score"))
 
 
+def block_top(users: DataFrame, items: DataFrame, k: int, user_block: int = 2048, item_block: int = 8192) -> DataFrame:
+    """(u, rank, i, score): for each user the ``k`` items of the largest product; equal ones go to the
+    smaller id."""
+    return _block_products(users, items, k, user_block, item_block).select("u", F.posexplode(_best_of_blocks(k)).alias("pos", "x")) \
+        .select("u", (F.col("pos") + 1).alias("rank"), F.col("x.i").alias("i"), (-F.col("x.s")).alias("score"))
+
+
 def recommend_probabilities(model, uid: DataFrame, iid: DataFrame, users: DataFrame, k: int = DEFAULT_K,
                             user: str = USER, item: str = ITEM) -> DataFrame:
     """REC5 with REC4. Top-k items for the requested users, with probabilities over the whole
