@@ -105,7 +105,8 @@ def next_ids(ids: DataFrame) -> DataFrame:
 
 def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next. The edited text ends with the beginning of the next document's (next
+    near_edited, near_next, and where the tree of the edited text differs: branches_edited (the
+    number of its paragraphs that do), first_section and first_paragraph (-1: none). The edited text ends with the beginning of the next document's (next
     smaller id; of rows that share an id, the text with the smallest md5 stands for it). Null
     texts are empty. Repeated rows stay; a single document follows itself; empty in, empty out.
 
@@ -129,7 +130,13 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.concat(F.substring("t", F.lit(1), F.char_length("t") - half), F.substring("n.head", F.lit(1), half)).alias("e"),
         F.regexp_extract_all(F.lower(F.hex("n.leaves")), F.lit(".{8}"), F.lit(0)).alias("c"))
     trees = e.select("*", tree(F.col("t")).alias("a"), tree(F.col("e")).alias("b"))
-    near = trees.select("*", short_leaves(F.col("a")).alias("la"), short_leaves(F.col("b")).alias("lb"))
-    return near.select("doc_id", "n_chars", F.sha2("e", 256).alias("edited_sha256"), fingerprint(F.col("t"), F.col("a")).alias("fingerprint"),
-                       fingerprint(F.col("e"), F.col("b")).alias("edited_fingerprint"), likeness(F.col("la"), F.col("lb")).alias("near_edited"),
-                       likeness(F.col("la"), F.col("c")).alias("near_next"))
+    near = trees.select("*", short_leaves(F.col("a")).alias("la"), short_leaves(F.col("b")).alias("lb"),
+                        fingerprint(F.col("t"), F.col("a")).alias("fingerprint"), fingerprint(F.col("e"), F.col("b")).alias("edited_fingerprint"))
+    # equal roots end the comparison, else it descends into the sections that differ
+    same = F.col("fingerprint") == F.col("edited_fingerprint")
+    found = near.select("*", F.when(~same, differing_branches(F.col("fingerprint"), F.col("edited_fingerprint"))).alias("branches"))
+    first = F.get("branches", F.lit(0))
+    return found.select("doc_id", "n_chars", F.sha2("e", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+                        likeness(F.col("la"), F.col("lb")).alias("near_edited"), likeness(F.col("la"), F.col("c")).alias("near_next"),
+                        F.coalesce(F.size("branches"), F.lit(0)).alias("branches_edited"),
+                        F.coalesce(first["section"], F.lit(-1)).alias("first_section"), F.coalesce(first["paragraph"], F.lit(-1)).alias("first_paragraph"))

@@ -108,13 +108,20 @@ def _likeness_sql(a: str, b: str) -> str:
     return f"CASE WHEN greatest(len({la}), len({lb})) = 0 THEN 1.0 ELSE len(list_intersect({la}, {lb})) / greatest(len({la}), len({lb})) END"
 
 
+# the paragraphs (section i, paragraph j, from 1) at which the trees a and b differ
+_BRANCHES_SQL = ("flatten(list_transform(list_filter(range(1, greatest(len(a), len(b)) + 1), lambda i: a[i] IS DISTINCT FROM b[i]), lambda i: "
+                 "list_transform(list_filter(range(1, greatest(coalesce(len(a[i]), 1), coalesce(len(b[i]), 1)) + 1), lambda j: a[i][j] IS DISTINCT FROM b[i][j]), "
+                 "lambda j: struct_pack(i := i, j := j))))")
+
+
 @_query(f"""
 WITH o AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS n_t
            FROM documents WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 e AS (SELECT doc_id, t, n_t, length(t) AS n_chars, substr(t, 1, length(t) - length(t) // 2) || substr(n_t, 1, length(t) // 2) AS e FROM o),
 k AS (SELECT *, {_tree_sql('t')} AS a, {_tree_sql('e')} AS b, {_tree_sql('n_t')} AS c FROM e)
 SELECT doc_id, n_chars, sha256(e) AS edited_sha256, {_fingerprint_sql('t', 'a')} AS fingerprint, {_fingerprint_sql('e', 'b')} AS edited_fingerprint,
-       {_likeness_sql('a', 'b')} AS near_edited, {_likeness_sql('a', 'c')} AS near_next FROM k""")
+       {_likeness_sql('a', 'b')} AS near_edited, {_likeness_sql('a', 'c')} AS near_next, len({_BRANCHES_SQL}) AS branches_edited,
+       coalesce(({_BRANCHES_SQL})[1].i - 1, -1) AS first_section, coalesce(({_BRANCHES_SQL})[1].j - 1, -1) AS first_paragraph FROM k""")
 def op10_document_fingerprints(spark, sf_dir):
     from flowlab.llm.merkle import edit_report
 
