@@ -12,18 +12,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Tasks that share the rows of a popular key.
+SALTS = 16
+
+
+def salted(lookup: DataFrame) -> DataFrame:
+    """Every row of a lookup table once for each salt."""
+    return lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def salt_of(*cols):
+    """The salt that deals a row with a popular key by its other columns."""
+    return F.pmod(F.xxhash64(*cols), F.lit(SALTS)).cast("int")
+
+
 def join_items_interactions(items: DataFrame, events: DataFrame, item_key: str, event_key: str) -> DataFrame:
-    """JOI1. Inner equi join where keys differ in name and maybe type (cast to the events' type)."""
+    """JOI1. Inner equi join where keys differ in name and maybe type (cast to the events' type). An
+    item may have a third of all events, so its events are dealt over salts."""
     et = events.schema[event_key].dataType
-    it = items.withColumn(item_key, F.col(item_key).try_cast(et))
-    return events.join(it, events[event_key] == it[item_key], "inner")
+    it = salted(items.withColumn(item_key, F.col(item_key).try_cast(et)))
+    ev = events.withColumn("__own", salt_of(*events.columns))
+    return ev.join(it, (ev[event_key] == it[item_key]) & (ev["__own"] == it["__salt"]), "inner").drop("__own", "__salt")
 
 
 def lookup_title(ids: DataFrame, items: DataFrame, id_col: str, item_key: str = "movieId",
                  fields=("title", "genres")) -> DataFrame:
-    """JOI2. id -> title (and genre). Unknown ids are kept with null fields (left join)."""
-    lk = items.select(F.col(item_key).alias("__k"), *fields)
-    return ids.join(lk, ids[id_col] == lk["__k"], "left").drop("__k")
+    """JOI2. id -> title (and genre). Unknown ids are kept with null fields (left join); the rows of a
+    popular id are dealt over salts."""
+    lk = salted(items.select(F.col(item_key).alias("__k"), *fields))
+    own = ids.withColumn("__own", salt_of(*ids.columns))
+    return own.join(lk, (own[id_col] == lk["__k"]) & (own["__own"] == lk["__salt"]), "left").drop("__k", "__own", "__salt")
 
 
 def enrich_ranked_list(df: DataFrame, key_col: str, list_col: str, items: DataFrame,
@@ -33,11 +51,10 @@ def enrich_ranked_list(df: DataFrame, key_col: str, list_col: str, items: DataFr
     ``value_expr`` is a Column over the ``items`` frame. Lists are short (top-k), so each
     regrouped row holds at most k elements; unknown ids keep their slot as null.
     """
-    salts = 16                   # a popular id is in very many lists: its rows are dealt over salts
+    # a popular id is in very many lists: its rows are dealt over salts
     e = df.select(key_col, F.posexplode(list_col).alias("__pos", "__id"))
-    lk = items.select(F.col(item_key).cast(e.schema["__id"].dataType).alias("__k"), value_expr.alias("__v"),
-                      F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
-    j = e.join(lk, (F.col("__id") == F.col("__k")) & (F.pmod(F.xxhash64(key_col), F.lit(salts)) == F.col("__salt")), "left")
+    lk = salted(items.select(F.col(item_key).cast(e.schema["__id"].dataType).alias("__k"), value_expr.alias("__v")))
+    j = e.join(lk, (F.col("__id") == F.col("__k")) & (salt_of(key_col) == F.col("__salt")), "left")
     g = j.groupBy(key_col).agg(F.array_sort(F.collect_list(F.struct("__pos", "__v"))).alias("__s"))
     return g.select(key_col, F.transform("__s", lambda s: s["__v"]).alias(out))
 

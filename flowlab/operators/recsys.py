@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .aggregates import drop_duplicate_rows
-from .joins import enrich_ranked_list
+from .joins import enrich_ranked_list, salt_of, salted
 from .mapping import apply_mapping, split_fields
 from .ranking import dense_index, rank_within_group
 from .sampling import bernoulli_sample, fraction_threshold, repartition_for_join, stable_hash
@@ -68,7 +68,9 @@ def train_recommender(interactions: DataFrame, rank: int = 10, max_iter: int = 1
     counts = cut_lineage(implicit_counts(interactions, user, item))
     uid = cut_lineage(dense_index(counts, user, "__u"))
     iid = cut_lineage(dense_index(counts, item, "__i"))
-    data = cut_lineage(counts.join(uid, user).join(iid, item))
+    # a popular item, or a busy user, has many rows: they are dealt by the other key
+    data = counts.withColumn("__salt", salt_of(item)).join(salted(uid), [user, "__salt"])
+    data = cut_lineage(data.withColumn("__salt", salt_of(user)).join(salted(iid), [item, "__salt"]).drop("__salt"))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, userCol="__u",
               itemCol="__i", ratingCol="strength", coldStartStrategy="drop", seed=seed, nonnegative=False)
     return als.fit(data), uid, iid
@@ -166,7 +168,7 @@ def rerank_in_context(cands: DataFrame, interactions: DataFrame, requests: DataF
     share = seen.join(seen.groupBy(F.col(item).alias("__it")).agg(F.sum("__n").alias("__t")), F.col(item) == F.col("__it")) \
         .select(F.col(item).alias("__it"), F.col(context).alias("__ctx"), (F.col("__n") / F.col("__t")).alias("__share"))
     asked = requests.select(user, context).distinct().join(cands.select(user, item, "score"), user)
-    scored = asked.join(share, (F.col(item) == F.col("__it")) & (F.col(context) == F.col("__ctx")), "left") \
+    scored = asked.join(salted(share), (F.col(item) == F.col("__it")) & (F.col(context) == F.col("__ctx")) & (salt_of(user) == F.col("__salt")), "left") \
         .select(user, context, item, (F.col("score") * F.coalesce("__share", F.lit(0.0))).alias("score"))
     w = Window.partitionBy(user, context).orderBy(F.col("score").desc(), F.col(item))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
