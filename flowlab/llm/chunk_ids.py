@@ -7,6 +7,8 @@ touches each distinct chunk of a slice once. ``ChunkIds`` keeps the ids of the c
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from itertools import chain
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow.compute as pc
 
 #: Bytes that one table of a Python worker remembers (chunks, what belongs to them, and the cost
 #: of an entry); beyond it, chunks seen least often are forgotten.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 40 << 20
 #: The same for a table beside a fitted model.
 SMALL_BYTES = 24 << 20
 #: What an entry costs beside its bytes.
@@ -34,6 +36,10 @@ def take_over() -> None:
     """Forget what other operators left in this worker, before a new encoder or table is built."""
     for by_name in _REMEMBERED:
         by_name.clear()
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc keeps freed memory otherwise
+    if trim:
+        trim(0)
 
 
 def in_parts(chunks: list[bytes], encode, size: int = 4096, limit: int = 1 << 20):

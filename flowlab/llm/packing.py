@@ -93,7 +93,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, sequence: int = SE
         encode = word_encoder(tokenizer_path)
         for b in batches:
             doc_ids = b.column(0).to_pylist()
-            for lo, hi, texts in text_slices(b.column(1)):
+            for lo, hi, texts in text_slices(b.column(1), 2 << 20):
                 ids, ends = encode.of(*chunks(texts))
                 rows, begin = [], 0
                 for doc, end in zip(doc_ids[lo:hi], ends.tolist()):
