@@ -61,7 +61,10 @@ def q_csv_table(spark, sf):
     return rd.register_csv_table(spark, "tx_" + uuid.uuid4().hex[:8], base, RAW_DDL)
 
 
-@register("src4_read_csv_inferred")
+@register("src4_read_csv_inferred", with_views("""
+SELECT * REPLACE (CAST("index" AS INTEGER) AS "index", CAST(trans_date_trans_time AS TIMESTAMP) AS trans_date_trans_time, CAST(cc_num AS INTEGER) AS cc_num,
+                  CAST(zip AS INTEGER) AS zip, CAST(unix_time AS INTEGER) AS unix_time, CAST(trans_num AS INTEGER) AS trans_num, CAST(is_fraud AS INTEGER) AS is_fraud)
+FROM transactions_raw""", "transactions_raw"))
 def q_inferred(spark, sf):
     path = rd.scratch_path(spark, "inferred")
     transactions_raw(spark, sf).write.option("header", True).csv(path)

@@ -167,8 +167,11 @@ def q_boxes(spark, sf):
     return boxes_to_pixels(_boxed(spark, sf))
 
 
-@register("src9_read_labeled_files")
+@register("src9_read_labeled_files", "SELECT CAST(label AS VARCHAR) AS label, vec_id FROM embeddings WHERE label IN (1, 2, 3)")
 def q_labeled_files(spark, sf):
+    """Vectors written as files under a folder for each label; the files of three labels, line by line."""
     path = scratch_path(spark, "labeled")
     vectors(spark, sf).write.partitionBy("label").json(path)
-    return read_labeled_files(spark, path, labels=[1, 2, 3]).select("path", "label", "file_name", "length")
+    lines = F.explode(F.split(F.col("content").cast("string"), "\n"))
+    return read_labeled_files(spark, path, labels=[1, 2, 3]).select("label", lines.alias("line")).where("line <> ''") \
+        .select("label", F.get_json_object("line", "$.vec_id").cast("bigint").alias("vec_id"))
