@@ -728,9 +728,16 @@ MODELS = {
     "Harmonic": lambda w, h, **kw: forecast_harmonic(w, h, **kw),
     "ARIMA": lambda w, h, **kw: _arima(w, h, **kw),
     "HoltWintersGrid": lambda w, h, **kw: _grid(w, h, **kw),
+    "Changepoints": lambda w, h, **kw: _changepoints(w, h, **kw),
 }
 
 
+def _changepoints(windows: DataFrame, horizon: int, **kw) -> DataFrame:
+    from .changepoints import forecast_changepoints
+
+    return forecast_changepoints(windows, horizon, **kw)
+
+
 def _arima(windows: DataFrame, horizon: int, **kw) -> DataFrame:
     from .arima import forecast_arima
 

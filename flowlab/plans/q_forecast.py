@@ -527,6 +527,12 @@ def q_harmonic(spark, sf):
     return fc.forecast_harmonic(w, H, calendar=us_holidays(w))
 
 
+@register("ts9_changepoints")
+def q_changepoints(spark, sf):
+    w = windows(spark, sf)
+    return fc.MODELS["Changepoints"](w, H, calendar=us_holidays(w))
+
+
 @register("ts10_ts11_evaluate", METRICS_SQL)
 def q_evaluate(spark, sf):
     return metrics(spark, sf)
