@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +83,8 @@ def _room(a, need):
 class _Known:
     """Numbers for chunks, and how often each was seen."""
 
+    ordered = False
+
     def __init__(self, max_bytes: int):
         self.max_bytes = max_bytes
         self.clear()
@@ -92,16 +94,18 @@ class _Known:
         self.cost, self.hits = 0, np.zeros(0, np.int64)
 
     def place(self, chunks: pa.Array, learn, cost) -> np.ndarray:
-        """The number of each chunk. ``learn`` gets the new ones, ascending; ``cost`` tells what a
+        """The number of each chunk. ``learn`` gets the new ones, ascending if asked; ``cost`` tells what a
         list of numbers costs beside the chunks."""
         if self.cost > self.max_bytes:
             self.forget(cost)
         coded = chunks.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        new = sorted(c for c in distinct if c not in self.index)
-        if new:
-            learn(new)
-        at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        at = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [distinct[i] for i in missing.tolist()]
+            learn(sorted(new) if self.ordered else new)
+            at[missing] = np.fromiter(map(self.index.__getitem__, new), np.int64, len(new))
         coded = coded.indices.to_numpy()
         self.hits = _room(self.hits, len(self.index))
         self.hits[at] += np.bincount(coded, minlength=len(distinct))
@@ -132,10 +136,10 @@ class _Known:
 
 
 class ChunkIds(_Known):
-    def __init__(self, encode_many, max_bytes: int = CACHE_BYTES):
-        """``encode_many``: list of distinct byte chunks, ascending -> parts of them, each as
-        (chunks, their ids in a row, the number of ids of each)."""
-        self.encode_many = encode_many
+    def __init__(self, encode_many, max_bytes: int = CACHE_BYTES, ordered: bool = False):
+        """``encode_many``: list of distinct byte chunks (ascending if ``ordered``) -> parts of them,
+        each as (chunks, their ids in a row, the number of ids of each)."""
+        self.encode_many, self.ordered = encode_many, ordered
         super().__init__(max_bytes)
 
     def clear(self):

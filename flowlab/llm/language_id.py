@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from flowlab.llm import model_store
 from flowlab.llm.chunk_ids import SMALL_BYTES, ChunkTable, sums, words_of
 from flowlab.llm.common import text_slices
+from flowlab.llm.model_store import HashedRows
 
 #: Different labelled rows of each language expected in the sample that the model is fitted on.
 LABEL_ROWS = 1000
@@ -76,48 +77,51 @@ class LanguageModel:
         """``rows``: (lang, size, gram, n)."""
         self.langs = sorted({r[0] for r in rows})
         at = {lang: i for i, lang in enumerate(self.langs)}
-        # one table of log frequencies: words first, then the n-grams by length; each has its index
-        self.index, tables, n_rows = [], [], 0
+        # tables of log frequencies: of words, then of the n-grams of each length
+        self.tables = []
         for size in range(NGRAM + 1):
             own = [(lang, gram, n) for lang, s, gram, n in rows if s == size]
             index = {k: i for i, k in enumerate(sorted({gram for _, gram, _ in own}))}
             m = np.zeros((len(index), len(self.langs)))
             for lang, gram, n in own:
                 m[index[gram], at[lang]] += n
-            tables.append(np.log((m + SMOOTHING) / (m.sum(axis=0) + SMOOTHING * (len(index) + 1))))
-            self.index.append({k: n_rows + i for k, i in index.items()})
-            n_rows += len(index)
-        self.logs = np.concatenate(tables)
-
-    def evidence(self, word: str) -> list[int]:
-        """Rows of the table that speak for a word: its own, or those of the longest n-grams known."""
-        own = self.index[0].get(word)
-        if own is not None:
-            return [own]
-        w = f" {word} "
+            self.tables.append(HashedRows(list(index), np.log((m + SMOOTHING) / (m.sum(axis=0) + SMOOTHING * (len(index) + 1)))))
+
+    def evidence(self, words: list[str]) -> np.ndarray:
+        """Scores of words by language: of a known word its own, else the mean of the longest of its
+        n-grams that are known, else zero."""
+        out = np.zeros((len(words), len(self.langs)))
+        at = self.tables[0].find(words)
+        known = np.flatnonzero(at >= 0)
+        out[known] = self.tables[0].rows[at[known]]
+        left = np.flatnonzero(at < 0).tolist()
         for size in range(NGRAM, 0, -1):
-            at = self.index[size]
-            found = [at[g] for i in range(len(w) - size + 1) if (g := w[i:i + size]) in at]
-            if found:
-                return found
-        return []
+            grams, owner = [], []
+            for i in left:
+                own = _grams(words[i], size)
+                grams += own
+                owner += [i] * len(own)
+            if not grams:
+                continue
+            at, owner = self.tables[size].find(grams), np.array(owner)
+            hit = at >= 0
+            n = np.bincount(owner[hit], minlength=len(words))
+            np.add.at(out, owner[hit], self.tables[size].rows[at[hit]] / n[owner[hit], None])
+            left = [i for i in left if not n[i]]
+        return out
 
     def chunks(self, chunks: list[bytes]) -> np.ndarray:
-        """For each chunk: the words' scores by language (n-grams by their mean), then the number of words."""
+        """For each chunk: the words' scores by language, then the number of words."""
         out = np.zeros((len(chunks), len(self.langs) + 1))
-        rows, sizes, owner = [], [], []
+        words, owner = [], []
         for i, c in enumerate(chunks):
             for w in _words(c.decode()):
-                found = self.evidence(w)
-                out[i, -1] += 1
-                if found:
-                    rows += found
-                    sizes.append(len(found))
-                    owner.append(i)
-        if rows:
-            n = np.array(sizes)
-            means = np.add.reduceat(self.logs[rows], np.cumsum(n) - n, axis=0) / n[:, None]
-            np.add.at(out, (np.array(owner)[:, None], np.arange(len(self.langs))[None, :]), means)
+                words.append(w)
+                owner.append(i)
+        if words:
+            owner = np.array(owner)
+            np.add.at(out[:, :-1], owner, self.evidence(words))
+            out[:, -1] = np.bincount(owner, minlength=len(chunks))
         return out
 
     def predict(self, totals: np.ndarray) -> tuple[list[str], np.ndarray]:

@@ -12,6 +12,7 @@ import uuid
 from urllib.parse import urlparse
 
 import numpy as np
+import xxhash
 from pyspark.sql import SparkSession
 
 from flowlab.llm.chunk_ids import remembered, take_over
@@ -102,3 +103,28 @@ def get(folder: str):
         take_over()
         _HELD[folder] = pickle.loads(load(folder, "model", mapped=False)["pickled"].tobytes())
     return _HELD[folder]
+
+
+class HashedRows:
+    """Rows of numbers by string, told apart by 64-bit hashes: two arrays instead of a dictionary, as
+    every worker holds one."""
+
+    def __init__(self, keys: list[str], rows: np.ndarray):
+        hashes = hash_strings(keys)
+        order = np.argsort(hashes)
+        self.hashes, self.rows = hashes[order], np.asarray(rows)[order]
+
+    def __len__(self):
+        return len(self.hashes)
+
+    def find(self, keys: list[str]) -> np.ndarray:
+        """The place of each key's row, -1 without one."""
+        asked = hash_strings(keys)
+        if not len(self.hashes):
+            return np.full(len(asked), -1)
+        at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == asked, at, -1)
+
+
+def hash_strings(keys: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(k.encode("utf-8", "surrogatepass")) for k in keys), np.uint64, len(keys))

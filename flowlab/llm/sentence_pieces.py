@@ -168,7 +168,7 @@ def reader(path: str, kind: str) -> tuple[PieceModel, ChunkIds]:
     if (path, kind) not in _READERS:
         take_over()
         m = PieceModel(path, kind)
-        _READERS[path, kind] = (m, ChunkIds(lambda new: in_parts(new, m.encode_sorted, 1 << 15)))
+        _READERS[path, kind] = (m, ChunkIds(lambda new: in_parts(new, m.encode_sorted, 1 << 15), ordered=True))
     return _READERS[path, kind]
 
 

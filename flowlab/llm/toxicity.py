@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from flowlab.llm import model_store
 from flowlab.llm.chunk_ids import SMALL_BYTES, ChunkTable, words_of
 from flowlab.llm.common import text_slices
+from flowlab.llm.model_store import HashedRows
 from flowlab.session import cut_lineage
 
 #: Labelled ids of either class expected in the sample: two thirds for the weights, one third for calibration.
@@ -80,21 +81,33 @@ def maximal_segments(weights: np.ndarray) -> list[tuple[float, int, int]]:
 
 @dataclass
 class ToxicityModel:
-    words: dict[str, float]
-    stems: dict[str, float]
+    words: HashedRows           # a weight for each word of the sample
+    stems: HashedRows           # and for each beginning, for other words
     cost: float = TOKEN_COST
     decay: float = 1.0          # lambda of the extreme-value law of segment scores
     spread: float = 1.0         # its K
     bias: float = -3.0
     slope: float = 1.0
 
-    def weight(self, word: str) -> float:
-        w = self.words.get(word)
-        return w if w is not None else self.stems.get(word[:STEM], 0.0)
+    def weights(self, words: list[str]) -> np.ndarray:
+        out = np.zeros(len(words))
+        at = self.words.find(words)
+        known = at >= 0
+        out[known] = self.words.rows[at[known]]
+        other = np.flatnonzero(~known)
+        at = self.stems.find([words[i][:STEM] for i in other.tolist()])
+        out[other[at >= 0]] = self.stems.rows[at[at >= 0]]
+        return out
 
     def chunks(self, chunks: list[bytes]) -> np.ndarray:
         """A chunk weighs as its weightiest word."""
-        return np.array([[max(map(self.weight, _words(c.decode())), default=0.0) - self.cost] for c in chunks])
+        found = [_words(c.decode()) for c in chunks]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        out, some = np.zeros(len(chunks)), np.flatnonzero(sizes)
+        if len(some):
+            flat = self.weights([w for ws in found for w in ws])
+            out[some] = np.maximum.reduceat(flat, (np.cumsum(sizes) - sizes)[some])
+        return (out - self.cost)[:, None]
 
     def evidence(self, scores, n: int) -> np.ndarray:
         """For each segment score minus the log of the number expected by chance in ``n`` tokens."""
@@ -115,7 +128,7 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.slope * total, -50, 50))))
 
 
-def _weights(counts, toxic_tokens: int, clean_tokens: int, prior_texts: float) -> tuple[dict, dict]:
+def _weights(counts, toxic_tokens: int, clean_tokens: int, prior_texts: float) -> tuple[HashedRows, HashedRows]:
     """``counts``: (word, toxic texts, clean texts) -> log-odds of all words, and of all beginnings
     for the words that are not among them."""
     rate = (toxic_tokens + 1) / (toxic_tokens + clean_tokens + 2)
@@ -133,7 +146,8 @@ def _weights(counts, toxic_tokens: int, clean_tokens: int, prior_texts: float) -
     for w, t, c in counts:
         prior = shrunk[w[:STEM]] if len(w) > STEM else rate
         words[w] = odds((t + prior_texts * prior) / (t + c + prior_texts))
-    return words, {s: odds(r) for s, r in shrunk.items() if len(s) == STEM}
+    whole = [s for s in shrunk if len(s) == STEM]
+    return HashedRows(list(words), np.array(list(words.values()))), HashedRows(whole, np.array([odds(shrunk[s]) for s in whole]))
 
 
 def _extreme_value_law(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
