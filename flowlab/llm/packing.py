@@ -64,7 +64,7 @@ def word_encoder(path: str) -> ChunkIds:
                 (plain if _WORD.fullmatch(c) else other).append(c)
             for i in range(0, len(plain), 2048):              # many words as one text, cut where words end
                 part = plain[i:i + 2048]
-                ids = np.array(tok.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint32)
+                ids = np.array(tok.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
                 cut = np.flatnonzero(ends_word[ids]) + 1
                 if len(cut) == len(part):
                     yield part, ids, np.diff(cut, prepend=0)
