@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.llm import model_store
-from flowlab.llm.chunk_ids import SMALL_BYTES, ChunkTable, sums, words_of
+from flowlab.llm.chunk_ids import SMALL_BYTES, ChunkTable, sums, take_over, words_of
 from flowlab.llm.common import text_slices
 from flowlab.llm.model_store import HashedRows
 
@@ -51,23 +51,24 @@ def _grams(word: str, n: int) -> list[str]:
 
 
 def _count(batches):
-    """(lang, size, gram, n): size 0 for words, else the length of the n-gram."""
+    """(lang, size, gram, n): size 0 for words, else the length of the n-gram; one length of one
+    language after the other, so a task holds no more than the words and one list of n-grams."""
+    take_over()
     for b in batches:
         counts = defaultdict(Counter)
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             counts[lang].update(_words(text))
-        rows = []
         for lang, words in counts.items():
-            rows += [(lang, 0, w, n) for w, n in words.items()]
-            for size in range(1, NGRAM + 1):
-                grams = Counter()
-                for w, n in words.items():
-                    for g in _grams(w, size):
-                        grams[g] += n
-                rows += [(lang, size, g, n) for g, n in grams.items()]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.string(), pa.int64()))],
-                                             names=["lang", "size", "gram", "n"])
+            for size in range(NGRAM + 1):
+                found = words
+                if size:
+                    found = Counter()
+                    for w, n in words.items():
+                        for g in _grams(w, size):
+                            found[g] += n
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found)), pa.array([size] * len(found), pa.int32()), pa.array(list(found), pa.string()),
+                                                      pa.array(list(found.values()), pa.int64())], names=["lang", "size", "gram", "n"])
 
 
 class LanguageModel:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlab.llm import model_store
-from flowlab.llm.chunk_ids import SMALL_BYTES, ChunkTable, words_of
+from flowlab.llm.chunk_ids import SMALL_BYTES, ChunkTable, take_over, words_of
 from flowlab.llm.common import text_slices
 from flowlab.llm.model_store import HashedRows
 from flowlab.session import cut_lineage
@@ -50,6 +50,7 @@ def _words(text: str) -> list[str]:
 
 
 def _count(batches):
+    take_over()
     for b in batches:
         by = (Counter(), Counter())
         for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
