@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from flowlab.operators import joins as jn
+from flowlab.operators import text as tx
 
 
 def plan(df) -> str:
@@ -18,3 +19,28 @@ def test_salted_lookups_are_never_broadcast(spark, tmp_path):
               jn.enrich_ranked_list(lists, "u", "l", items, "movieId", F.col("title"))]
     assert [("BroadcastHashJoin" in plan(j), j.count()) for j in joined] == [(False, 80), (False, 100), (False, 100)]
     assert joined[1].where("title is null").count() == 20 and joined[2].where("enriched[0] is null").count() == 20
+
+
+def test_runs_and_tokens_are_neither_shuffled_nor_sorted(spark):
+    docs = spark.createDataFrame([(1, "Ab cd, the  ef gh 7 AB CD"), (2, None), (3, ""), (4, "Ünï ab cd the"), (5, " x"), (None, "ab")], "doc_id int, text string")
+    got = {(r.doc_id, r.TokenId): (r.Text, r.BeginOffset, r.EndOffset) for r in tx.tokens_with_offsets(docs).collect()}
+    assert got[1, 1] == ("Ab", 0, 2) and got[1, 7] == ("CD", 23, 25) and got[4, 2] == ("ab", 4, 6) and got[5, 1] == ("x", 1, 2) and got[None, 1] == ("ab", 0, 2) and len(got) == 13
+    text = plan(tx.tokens_with_offsets(docs))
+    assert "Window" not in text and text.count("Exchange") == 1                   # the raw text, once
+    ph = {(r.doc_id, r["rank"]): (r.Text, r.BeginOffset, r.EndOffset) for r in tx.key_phrases(docs, 2).collect()}
+    assert ph[1, 1] == ("Ab cd", 0, 5) and ph[1, 2] == ("ef gh", 12, 17) and ph[4, 1] == ("Ünï ab cd", 0, 9) and ph[5, 1] == ("x", 1, 2)
+
+
+def test_documents_that_share_an_id_are_one(spark):
+    docs = spark.createDataFrame([(1, "ab cd"), (1, "ab cd"), (2, "ef"), (None, "x"), (None, "x")], "doc_id int, text string")
+    rows = sorted((str(r.doc_id), r.TokenId, r.Text, r.BeginOffset, r.EndOffset) for r in tx.tokens_with_offsets(docs).collect())
+    assert [r[:3] for r in rows] == [("1", 1, "ab"), ("1", 2, "ab"), ("1", 3, "cd"), ("1", 4, "cd"), ("2", 1, "ef"), ("None", 1, "x"), ("None", 2, "x")]
+    assert rows[0][3:] == (0, 2) and rows[3][3:] == (8, 10)
+
+
+def test_a_large_lexicon_is_not_sent_to_every_task(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "ab ab x"), (2, "x"), (3, None)], "doc_id int, text string")
+    lexicon = spark.createDataFrame([("ab", 1.0), ("x", -1.0), ("y", 0.1)], "word string, polarity double")
+    small = sorted(map(str, tx.sentiment(docs, lexicon).collect()))
+    monkeypatch.setattr(tx, "SENT_WORDS", 1)
+    assert sorted(map(str, tx.sentiment(docs, lexicon).collect())) == small and "POSITIVE" in small[0]
