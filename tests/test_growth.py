@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from flowlab.operators import joins as jn
+from flowlab.operators import recsys as rs
 from flowlab.operators import text as tx
 
 
@@ -44,3 +45,11 @@ def test_a_large_lexicon_is_not_sent_to_every_task(spark, monkeypatch):
     small = sorted(map(str, tx.sentiment(docs, lexicon).collect()))
     monkeypatch.setattr(tx, "SENT_WORDS", 1)
     assert sorted(map(str, tx.sentiment(docs, lexicon).collect())) == small and "POSITIVE" in small[0]
+
+
+def test_block_products_are_dealt_over_tasks_and_ties_go_to_the_smaller_id(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "id int, features array<float>")
+    users, items = frame([(u, [1.0, float(u)]) for u in range(5)]), frame([(i, [float(i % 3), 0.0]) for i in range(24)])
+    df = rs.block_top(users, items, 3, 2, 4)
+    assert sorted((r.u, r["rank"], r.i, r.score) for r in df.collect()) == [(u, n + 1, i, 2.0) for u in range(5) for n, i in enumerate((2, 5, 8))]
+    assert "REPARTITION_BY_NUM" in plan(df)                # not merged into one task for being small
