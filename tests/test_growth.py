@@ -1,5 +1,8 @@
 """Plans and operators that have to hold on tables much larger than the tests'."""
 
+from types import SimpleNamespace
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from flowlab.operators import joins as jn
@@ -53,3 +56,49 @@ def test_block_products_are_dealt_over_tasks_and_ties_go_to_the_smaller_id(spark
     df = rs.block_top(users, items, 3, 2, 4)
     assert sorted((r.u, r["rank"], r.i, r.score) for r in df.collect()) == [(u, n + 1, i, 2.0) for u in range(5) for n, i in enumerate((2, 5, 8))]
     assert "REPARTITION_BY_NUM" in plan(df)                # not merged into one task for being small
+
+
+def test_top_lists_of_a_model_come_from_its_factors(spark, monkeypatch):
+    """No cross join in Spark ML: balls that can't reach a list are left out, and the lists stay exact."""
+    rng = np.random.default_rng(4)
+    u, v = rng.normal(size=(40, 5)).astype(np.float32), rng.normal(size=(150, 5)).astype(np.float32)
+    u[3], v[17], v[90] = 0, v[5], v[5]                             # ties
+    factors = lambda a: spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(a)], "id int, features array<float>")
+    model = SimpleNamespace(userFactors=factors(u), itemFactors=factors(v))
+    uid = spark.createDataFrame([(1000 + i, i) for i in range(40)], "USER_ID long, __u int")
+    iid = spark.createDataFrame([(5000 + i, i) for i in range(150)], "ITEM_ID long, __i int")
+    top = rs.block_top
+    monkeypatch.setattr(rs, "BALL", 8)
+    monkeypatch.setattr(rs, "block_top", lambda *a: top(*a, 16, 64))
+    score = u.astype(float) @ v.astype(float).T
+    for got, s, first, second in ((rs.recommend_batch(model, uid, iid, uid, 4), score, "USER_ID", "ITEM_ID"), (rs.segment_users(model, uid, iid, iid, 4), score.T, "ITEM_ID", "USER_ID")):
+        offset = {"USER_ID": 1000, "ITEM_ID": 5000}
+        rows = {(r[first] - offset[first], r["rank"]): (r[second] - offset[second], r.score) for r in got.collect()}
+        assert len(rows) == 4 * len(s)
+        for a in range(len(s)):
+            best = np.lexsort((np.arange(s.shape[1]), -s[a]))[:4]
+            assert [rows[a, r][0] for r in range(1, 5)] == best.tolist()
+            assert np.allclose([rows[a, r][1] for r in range(1, 5)], s[a][best], rtol=1e-6)
+
+
+def test_few_products_are_taken(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(size=(50, 4)).astype(np.float32), rng.normal(size=(4000, 4)).astype(np.float32)
+    items = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id int, features array<float>")
+    items.select("id", "features", F.lit(0).alias("block")).groupBy("block") \
+        .applyInArrow(rs._ball_blocks(50, np.float32), "ids binary, factors binary, sizes binary, centres binary, radii binary").write.parquet(f"file://{tmp_path}/balls")
+
+    class Counted(rs._BestOf):
+        rows = 0
+
+        def add(self, rows, ids, scores):
+            Counted.rows += len(rows)
+            super().add(rows, ids, scores)
+
+    own, rs._BestOf = rs._BestOf, Counted
+    try:
+        best = rs._search(u, f"file://{tmp_path}/balls", np.float32, 3)
+    finally:
+        rs._BestOf = own
+    assert (best.ids == np.argsort(-(u.astype(float) @ v.astype(float).T), axis=1)[:, :3]).all()
+    assert Counted.rows < u.shape[0] * v.shape[0] / 50
