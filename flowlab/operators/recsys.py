@@ -189,8 +189,9 @@ def explore(cands: DataFrame, interactions: DataFrame, weight: float = 0.3, age_
     # new items a list lacks: among the first (k + longest) ids at least k are not in it
     head = [r[0] for r in new.orderBy(item).limit(k + longest).select(item).collect()]
     fresh = F.array(*[F.lit(x).cast(it) for x in head]) if head else F.array().cast(T.ArrayType(it))
-    # a popular item is a candidate of very many users: its rows are dealt over salts
-    marked = cands.join(salted(new.select(F.col(item).alias("__new"))), (F.col(item) == F.col("__new")) & (salt_of(user) == F.col("__salt")), "left")
+    # users share their candidates: few new items are among them, so the rows mostly stay where they are
+    own_new = new.join(cands.select(F.col(item).alias("__i")).distinct(), F.col(item) == F.col("__i"), "left_semi")
+    marked = cands.join(own_new.select(F.col(item).alias("__new")), F.col(item) == F.col("__new"), "left")
     own = marked.groupBy(user).agg(F.collect_list(F.struct(F.col(item).alias("i"), F.col("score").cast("double").alias("s"),
                                                            F.col("__new").isNotNull().alias("n"))).alias("__own"))
     blend = F.transform("__own", lambda c: F.struct(((1 - weight) * c["s"] + F.when(c["n"], F.lit(float(weight))).otherwise(0.0)).alias("score"), c["i"].alias("i")))

@@ -12,6 +12,7 @@ from ..operators.joins import enrich_ranked_list, join_items_interactions, looku
 from ..operators.mapping import split_fields
 from ..operators.sampling import bernoulli_sample, repartition_for_join
 from ..operators.similar import similar_items
+from ..session import cut_lineage
 from ..sources.readers import read_recommendations, read_requests, scratch_path
 from .registry import register
 from .views import items, ratings, table, with_views
@@ -254,7 +255,7 @@ b AS (SELECT c.USER_ID, c.ITEM_ID, 0.7 * c.score + CASE WHEN nw.ITEM_ID IS NOT N
 r AS (SELECT *, row_number() OVER (PARTITION BY USER_ID ORDER BY score DESC, ITEM_ID) AS rank FROM b)
 SELECT USER_ID, ITEM_ID, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= {K}""")
 def q_explore(spark, sf):
-    inter = interactions(spark, sf)
+    inter = cut_lineage(interactions(spark, sf))             # six passes read it: joined and sorted out once
     cands = rs.recommend_popular(inter, inter, 2 * K)
     return rs.explore(cands, inter, 0.3, 30, K)
 

@@ -102,3 +102,13 @@ def test_few_products_are_taken(spark, tmp_path):
         rs._BestOf = own
     assert (best.ids == np.argsort(-(u.astype(float) @ v.astype(float).T), axis=1)[:, :3]).all()
     assert Counted.rows < u.shape[0] * v.shape[0] / 50
+
+
+def test_new_items_mark_the_candidates_without_copies_for_salts(spark):
+    day = 86400
+    inter = spark.createDataFrame([(1, 10, 0), (2, 10, 90 * day), (1, 20, 80 * day), (2, 30, 90 * day)], "USER_ID long, ITEM_ID long, TIMESTAMP long")
+    cands = spark.createDataFrame([(1, 10, 0.5), (1, 20, 0.25), (2, 10, 0.5), (2, None, 0.1)], "USER_ID long, ITEM_ID long, score double")
+    df = rs.explore(cands, inter, 0.5, 30, 3)
+    assert sorted((r.USER_ID, r["rank"], r.ITEM_ID, r.score) for r in df.where("ITEM_ID is not null").collect()) == \
+        [(1, 1, 20, 0.625), (1, 2, 30, 0.5), (1, 3, 10, 0.25), (2, 1, 20, 0.5), (2, 2, 30, 0.5), (2, 3, 10, 0.25)]
+    assert "__salt" not in plan(df)
