@@ -7,6 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from flowlab.llm import elias_fano
+from flowlab.llm import ngram_lm as lm
 from flowlab.llm.elias_fano import EliasFano
 from flowlab.llm.ngram_lm import END, Trie, _conditional, _hash, fit, score
 
@@ -144,3 +146,29 @@ def test_empty_corpus_and_empty_input(spark):
     got = {r.doc_id: r for r in score(docs, fit(docs.limit(0))).collect()}
     assert got[1].n_tokens == 3 and got[1].n_known == 0 and got[1].train_tokens == 0 and got[1].base_score == 0 == got[2].score
     assert score(docs.limit(0), fit(docs)).count() == 0
+
+
+def test_places_in_words_and_lists():
+    rng = np.random.default_rng(3)
+    words = np.append(rng.integers(1, 1 << 63, 300, dtype=np.uint64) >> rng.integers(0, 60, 300).astype(np.uint64) | np.uint64(1), np.uint64((1 << 64) - 1))
+    for w in words.tolist():
+        at = [i for i in range(64) if w >> i & 1]
+        assert elias_fano._select_in_word(np.full(len(at), w, np.uint64), np.arange(len(at))).tolist() == at
+    values = np.unique(rng.integers(0, 1 << 30, 5000, dtype=np.uint64))
+    e = elias_fano.EliasFano.of(values)
+    assert (e.zeros + e.ones == 64 * np.arange(len(e.ones))).all()          # kept, not counted anew for each search
+    assert (e.get(np.arange(len(values))) == values).all() and (e.find(values) == np.arange(len(values))).all()
+
+
+def test_a_score_asks_for_each_node_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c a b d"), (2, "b c a b"), (3, ""), (4, "x a b")], "doc_id long, text string")
+    model = lm.fit(docs, order=3, min_count=1)
+    trie = lm.Trie(*model.spec)
+    text = lm.words(b"a b c q b d") + lm.words(b"a b")
+    ids, counts = trie.word_ids(lm._hash(text))
+    asked, children = [], trie.children
+    monkeypatch.setattr(trie, "children", lambda level, nodes, words: asked.append(level) or children(level, nodes, words))
+    contexts, nodes = lm._ngram_nodes(trie, ids, counts >= 1, np.array([7, 10]), model.end_id, 2)
+    found = lm._conditional(trie, contexts, ids, counts, model.stats, nodes)
+    assert asked == [1, 2]
+    assert np.array_equal(found, lm._conditional(trie, contexts, ids, counts, model.stats)) and contexts[1][7] == -1 and contexts[1][2] >= 0
