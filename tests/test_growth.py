@@ -69,7 +69,7 @@ def test_top_lists_of_a_model_come_from_its_factors(spark, monkeypatch):
     iid = spark.createDataFrame([(5000 + i, i) for i in range(150)], "ITEM_ID long, __i int")
     top = rs.block_top
     monkeypatch.setattr(rs, "BALL", 8)
-    monkeypatch.setattr(rs, "block_top", lambda *a: top(*a, 16, 64))
+    monkeypatch.setattr(rs, "block_top", lambda *a, **b: top(*a, 16, 64, **b))
     score = u.astype(float) @ v.astype(float).T
     for got, s, first, second in ((rs.recommend_batch(model, uid, iid, uid, 4), score, "USER_ID", "ITEM_ID"), (rs.segment_users(model, uid, iid, iid, 4), score.T, "ITEM_ID", "USER_ID")):
         offset = {"USER_ID": 1000, "ITEM_ID": 5000}
