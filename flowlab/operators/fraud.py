@@ -337,14 +337,13 @@ def batch_predict(model, events: DataFrame, spec=None, rules=None) -> DataFrame:
     return apply_rules(scored.select(*keep), rules or SCORE_RULES)
 
 
-def permuted_variants(rows: DataFrame, variables, id_col: str, seed: int = 0) -> DataFrame:
-    """Every row once as it is (``__variant`` 0) and once for each variable with that variable's
-    value from another row. Rows are ranked by the md5 of their id; variable k takes its values
-    from ``shift_k`` ranks further on, the last rows from the first: a stable permutation, the same
-    for all of one variable's rows. Values travel to their rank, one shuffle for all variables."""
+def _with_moved_values(rows: DataFrame, variables, id_col: str, seed: int) -> DataFrame:
+    """Every row once, with ``__p0``, ``__p1``, ... beside it: the value of each variable that its
+    variant has. Rows are ranked by the md5 of their id; variable k takes its values from ``shift_k``
+    ranks further on, the last rows from the first: a stable permutation, the same for all of one
+    variable's rows. Values travel to their rank, one shuffle for all variables."""
     import zlib
 
-    variables = list(variables)
     ranked = rows.withColumn("__key", F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))))
     ranked = cumulative_within_group(ranked, [], ["__key", id_col], None, cum_col="__rank", total_col="__n").drop("__key")
     ranked = cut_lineage(ranked.withColumn("__at", F.col("__rank") - 1).drop("__rank"))
@@ -352,12 +351,59 @@ def permuted_variants(rows: DataFrame, variables, id_col: str, seed: int = 0) ->
     shifts = [1 + zlib.crc32(f"{seed}:{v}".encode()) % max(n - 1, 1) for v in variables]
     sent = ranked.select(F.inline(F.array(*[F.struct(F.pmod(F.col("__at") - k, F.lit(max(n, 1))).alias("__to"), F.lit(i).alias("__i"), F.col(v).cast("string").alias("__v"))
                                             for i, (v, k) in enumerate(zip(variables, shifts))])))
-    moved = sent.groupBy("__to").agg(*[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(f"__p{i}") for i in range(len(variables))])
-    both = ranked.join(moved, F.col("__at") == F.col("__to"))
+    # dealt first: one row for each place and variable, nothing for a map-side sort to combine
+    moved = sent.repartition("__to").groupBy("__to").agg(*[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(f"__p{i}") for i in range(len(variables))])
     kinds = {f.name: f.dataType for f in rows.schema.fields}
-    variants = both.withColumn("__variant", F.explode(F.sequence(F.lit(0), F.lit(len(variables)))))
-    return variants.withColumns({v: F.when(F.col("__variant") == i + 1, F.col(f"__p{i}").cast(kinds[v])).otherwise(F.col(v)) for i, v in enumerate(variables)}) \
-        .select(*rows.columns, "__variant")
+    return ranked.join(moved, F.col("__at") == F.col("__to")) \
+        .select(*rows.columns, *[F.col(f"__p{i}").cast(kinds[v]).alias(f"__p{i}") for i, v in enumerate(variables)])
+
+
+def _variants(both: DataFrame, swaps: dict, n: int) -> DataFrame:
+    """Variants 0 to ``n`` of every row; column c is ``swaps[c][1]`` in variant ``swaps[c][0]``, which
+    keeps the column's metadata (ML stages read vector sizes from it)."""
+    out = both.withColumn("__variant", F.explode(F.sequence(F.lit(0), F.lit(n))))
+    names = [c for c in both.columns if c not in {p for _, p in swaps.values()}]
+
+    def column(c):
+        if c not in swaps:
+            return F.col(c)
+        k, p = swaps[c]
+        return F.when(F.col("__variant") == k, F.col(p)).otherwise(F.col(c)).alias(c, metadata=both.schema[c].metadata)
+
+    return out.select(*[column(c) for c in names], "__variant")
+
+
+def permuted_variants(rows: DataFrame, variables, id_col: str, seed: int = 0) -> DataFrame:
+    """Every row once as it is (``__variant`` 0) and once for each variable with that variable's
+    value from another row (:func:`_with_moved_values`)."""
+    variables = list(variables)
+    both = _with_moved_values(rows, variables, id_col, seed)
+    return _variants(both, {v: (i + 1, f"__p{i}") for i, v in enumerate(variables)}, len(variables))
+
+
+def scored_variants(model, rows: DataFrame, variables, id_col: str, seed: int = 0) -> DataFrame:
+    """``model.transform`` of :func:`permuted_variants`. What a stage makes of one variable alone (its
+    hashed block) is the same in all variants but one, so such stages see each row twice, with its
+    own and with its moved value, before the variants are made; only the others see every variant."""
+    from pyspark.ml.feature import FeatureHasher
+
+    variables = list(variables)
+    df = _with_moved_values(rows, variables, id_col, seed)
+    swaps, rest = {v: (i + 1, f"__p{i}") for i, v in enumerate(variables)}, []
+    for stage in getattr(model, "stages", [model]):
+        reads = stage.getInputCols() if isinstance(stage, FeatureHasher) else []
+        if len(reads) != 1 or reads[0] not in variables:
+            rest.append(stage)
+            continue
+        v, out = reads[0], stage.getOutputCol()
+        moved, made = swaps[v][1], f"__m_{out}"
+        df = stage.transform(df).withColumnsRenamed({v: "__own", moved: v, out: "__made"})      # the hash holds the column's name
+        df = stage.transform(df).withColumnsRenamed({v: moved, "__own": v, out: made, "__made": out})
+        swaps[out] = (swaps[v][0], made)
+    df = _variants(df, swaps, len(variables))
+    for stage in rest:
+        df = stage.transform(df)
+    return df
 
 
 def auc_by(df: DataFrame, group: str, score_col: str, label_col: str, positive="fraud") -> DataFrame:
@@ -372,7 +418,7 @@ def auc_by(df: DataFrame, group: str, score_col: str, label_col: str, positive="
 def variable_importance(model, events: DataFrame, spec=None, id_col: str = "trans_num", label_col: str = "EVENT_LABEL",
                         positive="fraud", seed: int = 0) -> DataFrame:
     """FRD13. (variable, auc, importance): how much of the AUC goes when a variable's values are
-    dealt to other events (:func:`permuted_variants`). It depends on what the model does with the
+    dealt to other events (:func:`scored_variants`). It depends on what the model does with the
     variable, not on its unit; a variable that the model has no use for is near zero. All variants
     are scored in one pass; unlabelled events are left out, ids should tell events apart."""
     from .mapping import conform_variables
@@ -382,7 +428,7 @@ def variable_importance(model, events: DataFrame, spec=None, id_col: str = "tran
     names = numeric + strings
     rows = conform_variables(events, spec).where(F.col(label_col).isNotNull())
     keep = list(dict.fromkeys([id_col, label_col, *names]))
-    scored = insight_score(model.transform(permuted_variants(rows.select(*keep), names, id_col, seed)), "probability")
+    scored = insight_score(scored_variants(model, rows.select(*keep), names, id_col, seed), "probability")
     by = auc_by(scored, "__variant", "fraud_model_insightscore", label_col, positive)
     base = by.where("__variant = 0").agg(F.max("auc").alias("__base"))
     name = F.element_at(F.array(*[F.lit(v) for v in names]), F.col("__variant"))

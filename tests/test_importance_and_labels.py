@@ -51,6 +51,24 @@ def test_importance_does_not_depend_on_units(spark):
         assert abs(a[name][0] - auc) < 1e-9
 
 
+def test_variables_are_hashed_before_the_variants_are_made(spark):
+    """Scores equal those of the whole model over all variants; hashing sees each event twice, not once a variant."""
+    ev = card_events(spark, n=200)
+    model = fr.train_fraud_model(ev, SPEC, buckets=16, max_iter=3)
+    rows, names = ev.where("EVENT_LABEL is not null").select("trans_num", "EVENT_LABEL", "amt", "category"), ["amt", "category"]
+    got = fr.scored_variants(model, rows, names, "trans_num")
+    want = model.transform(fr.permuted_variants(rows, names, "trans_num"))
+
+    def collected(df):
+        return sorted((r["__variant"], r.trans_num, r.amt, r.category, r.features.toArray().tolist(), r.probability.toArray().tolist()) for r in df.collect())
+
+    assert collected(got) == collected(want) and got.count() == 3 * rows.count()
+    plan = fr.insight_score(got, "probability").select("__variant", "fraud_model_insightscore")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    variants = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    hashing = [i for i, line in enumerate(plan) if "UDF(struct(category" in line]
+    assert hashing and min(hashing) > variants
+
+
 def test_importance_of_one_and_no_event(spark):
     ev = card_events(spark)
     model = fr.train_fraud_model(ev, SPEC, buckets=16, max_iter=3)
