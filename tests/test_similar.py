@@ -64,6 +64,29 @@ def test_a_hot_user_adds_few_pairs(spark):
     assert got == {k: v[0] for k, v in brute(rows, 5).items()}
 
 
+@pytest.mark.parametrize("light", [1000, 12])
+def test_pairs_are_not_shuffled(spark, light, monkeypatch):
+    """No table of pairs is made; blocks and slices of a few pairs give the same lists."""
+    rows = events(3, users=60, items=300, n=3000)
+    made = []
+    monkeypatch.setattr(sm, "light_pairs", lambda *a: made.append(a))
+    monkeypatch.setattr(sm, "heavy_pairs", lambda *a: made.append(a))
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = brute(rows, 5)
+    for sizes in ((1 << 21, 1 << 24), (300, 2000)):
+        monkeypatch.setattr(sm, "STEP", sizes[0])
+        monkeypatch.setattr(sm, "BLOCK_PAIRS", sizes[1])
+        got = {(r.ITEM_ID, r.rank): r.SIMILAR_ITEM for r in sm.similar_items(df, k=5, light=light).collect()}
+        assert got == {k: v[0] for k, v in want.items()} and not made
+
+
+def test_users_may_be_text(spark):
+    rows = events(6, n=300)
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("cast(USER_ID as string) USER_ID", "cast(ITEM_ID + 100 as string) ITEM_ID", "TIMESTAMP")
+    got = {(r.ITEM_ID, r.rank): r.SIMILAR_ITEM for r in sm.similar_items(df, k=5, light=5).collect()}
+    assert got == {(str(i + 100), r): str(y + 100) for (i, r), (y, _) in brute(rows, 5).items()}
+
+
 def test_similar_items_of_odd_tables(spark):
     def run(rows):
         return [tuple(r) for r in sm.similar_items(spark.createDataFrame(rows, SCHEMA), k=3, light=1).collect()]
