@@ -95,3 +95,17 @@ def test_counter_merges_what_waits(monkeypatch):
     assert keys.tolist() == np.flatnonzero(want).tolist() and counts.tolist() == want[want > 0].tolist()
     c.clear()
     assert [len(x) for x in c.merged()] == [0, 0]
+
+
+@pytest.mark.parametrize("sizes", [[0, 0, 5, 0, 1, 70_000, 0, 3], [1, 0, 0, 0], [0, 0, 0, 9], [100_000] * 4])
+def test_shards_of_nodes(sizes):
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).tolist()
+    trie = lm.Trie("", len(sizes), [starts], 1)
+    nodes = np.unique(np.random.default_rng(0).integers(0, sum(sizes), 3000))
+    want = np.repeat(np.arange(len(sizes)), sizes)[nodes]
+    for ask, of in ((nodes, want), (nodes[::-1], want[::-1]), (nodes[:0], want[:0])):
+        assert trie.shard_of(0, ask).tolist() == of.tolist()
+        got = np.full(len(ask), -1)
+        for s, at in trie._spread(0, ask):
+            got[at] = s
+        assert got.tolist() == of.tolist()
