@@ -29,3 +29,17 @@ def test_few_requests_occupy_all_cores(spark):
     df = rs.block_top(factors(3 * rs.QUERY_ROWS), factors(40), 3)
     assert df.count() == 9 * rs.QUERY_ROWS
     assert df.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism)
+
+
+def test_blocks_of_a_fit_follow_the_counts(spark, monkeypatch):
+    from pyspark.ml.recommendation import ALS
+
+    seen = []
+    fit = ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, data: seen.append((self.getNumUserBlocks(), self.getNumItemBlocks())) or fit(self, data))
+    inter = spark.createDataFrame([(u, i) for u in range(12) for i in range(10)], "USER_ID long, ITEM_ID long")
+    rs.train_recommender(inter, rank=2, max_iter=1)
+    monkeypatch.setattr(rs, "BLOCK_COUNTS", 9)
+    model, uid, iid = rs.train_recommender(inter, rank=2, max_iter=2)
+    assert seen == [(10, 10), (14, 14)]                            # small tables: as Spark ML has it
+    assert rs.recommend_batch(model, uid, iid, inter, 3).count() == 36
